@@ -152,3 +152,75 @@ def q_max_count(spark, sf_dir):
 @query("min_count")
 def q_min_count(spark, sf_dir):
     return ix.min_count(ix.postings(pages(spark, sf_dir)), qterms(spark, sf_dir))
+
+
+# --- link graph -------------------------------------------------------------
+from ..functions.urls import normalize_url, site_of  # noqa: E402
+from ..operators import graph as gr  # noqa: E402
+
+
+@query("extract_links")
+def q_extract_links(spark, sf_dir):
+    return gr.extract_links(pages(spark, sf_dir))
+
+
+@query("normalize_url")
+def q_normalize_url(spark, sf_dir):
+    return gr.extract_links(pages(spark, sf_dir)).select(
+        "src", "raw_dst", normalize_url("raw_dst", 1).alias("once"), normalize_url("raw_dst", 2).alias("twice"))
+
+
+@query("site_of")
+def q_site_of(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    urls = gr.edges(p).select(F.col("dst").alias("url")).unionByName(p.select(F.col("path").alias("url")))
+    return urls.distinct().select("url", site_of("url").alias("site"))
+
+
+@query("seen_urls")
+def q_seen_urls(spark, sf_dir):
+    return gr.seen_urls(gr.edges(pages(spark, sf_dir)), fx.START_PAGE)
+
+
+@query("frontier_step")
+def q_frontier_step(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    start = spark.createDataFrame([(fx.START_PAGE, 0)], "path string, depth bigint")
+    frontier = gr.with_status(start, gr.page_index(p), 1)
+    return gr.frontier_step(frontier, gr.edges(p.where("readable")), start, 1)
+
+
+@query("dangling_links")
+def q_dangling_links(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    return gr.dangling_links(gr.edges(p), p)
+
+
+@query("inlink_audit")
+def q_inlink_audit(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    return gr.inlink_audit(gr.edges(p), p)
+
+
+def crawled(spark, sf_dir):
+    return gr.crawl(pages(spark, sf_dir), fx.START_PAGE)
+
+
+@query("crawl")
+def q_crawl(spark, sf_dir):
+    return crawled(spark, sf_dir)
+
+
+@query("unreached_pages")
+def q_unreached_pages(spark, sf_dir):
+    return gr.unreached_pages(pages(spark, sf_dir), crawled(spark, sf_dir))
+
+
+@query("crawl_stats")
+def q_crawl_stats(spark, sf_dir):
+    return gr.crawl_stats(crawled(spark, sf_dir))
+
+
+@query("crawl_pending")
+def q_crawl_pending(spark, sf_dir):
+    return gr.crawl_pending(crawled(spark, sf_dir))

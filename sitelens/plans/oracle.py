@@ -152,8 +152,9 @@ def inline_macros(text: str) -> str:
         return strip(m.group(1))
 
     # arguments here are simple column references
-    text = re.sub(r"fetch_path\(([A-Za-z_][A-Za-z_0-9\.]*)\)", repl_fetch, text)
-    text = re.sub(r"strip_parent\(([A-Za-z_][A-Za-z_0-9\.]*)\)", repl_strip, text)
+    arg = r"([A-Za-z_][A-Za-z_0-9\.]*|'[^']*')"
+    text = re.sub(r"fetch_path\(" + arg + r"\)", repl_fetch, text)
+    text = re.sub(r"strip_parent\(" + arg + r"\)", repl_strip, text)
     return text
 
 
@@ -215,3 +216,32 @@ FROM (SELECT DISTINCT term FROM query_terms) AS w
 LEFT JOIN (SELECT p.term, p.fr, p.path, row_number() OVER (PARTITION BY p.term ORDER BY {_order}) AS rk
            FROM postings AS p WHERE p.term IN (SELECT term FROM query_terms)) AS b
   ON b.term = w.term AND b.rk = 1""", "query_terms", "postings")
+
+# --- link graph -----------------------------------------------------------------
+cte("readable_edges", """SELECT DISTINCT l.src, strip_parent(l.raw_dst) AS dst
+FROM links AS l JOIN corpus AS c ON c.path = l.src AND c.readable""", "links", "corpus")
+oracle("extract_links", "SELECT src, raw_dst, strip_parent(raw_dst) AS dst FROM links", "links")
+oracle("normalize_url", """SELECT src, raw_dst, strip_parent(raw_dst) AS once, fetch_path(raw_dst) AS twice
+FROM links""", "links")
+oracle("site_of", """SELECT DISTINCT url, regexp_extract(url, '^/*([^/]+)', 1) AS site
+FROM (SELECT dst AS url FROM edges UNION ALL SELECT path AS url FROM corpus)""", "edges", "corpus")
+oracle("seen_urls", f"""SELECT DISTINCT url FROM (SELECT dst AS url FROM edges UNION ALL SELECT '{START_PAGE}' AS url)""",
+       "edges")
+oracle("frontier_step", f"""SELECT DISTINCT e.dst AS path FROM readable_edges AS e
+WHERE e.src = fetch_path('{START_PAGE}') AND e.dst <> '{START_PAGE}'""", "readable_edges")
+oracle("dangling_links", """SELECT src, dst FROM edges
+WHERE fetch_path(dst) NOT IN (SELECT path FROM corpus)""", "edges", "corpus")
+oracle("inlink_audit", """SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS site FROM corpus
+WHERE path NOT IN (SELECT fetch_path(dst) FROM edges)""", "corpus", "edges")
+oracle("crawl", "SELECT path, depth, status, bytes FROM crawl", "crawl")
+oracle("unreached_pages", """SELECT path FROM corpus
+WHERE path NOT IN (SELECT fetch_path(path) FROM crawl)""", "corpus", "crawl")
+oracle("crawl_stats", """SELECT status, CAST(count(*) AS BIGINT) AS n_urls,
+  CAST(count(*) FILTER (WHERE bytes > 0) AS BIGINT) AS downloads,
+  CAST(sum(CASE WHEN bytes > 0 THEN bytes ELSE 0 END) AS BIGINT) AS bytes
+FROM crawl GROUP BY status""", "crawl")
+oracle("crawl_pending", """SELECT depth AS max_depth,
+  CAST(sum(n) OVER (ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fetched,
+  CAST(coalesce(lead(n) OVER (ORDER BY depth), 0) AS BIGINT) AS pending,
+  CASE WHEN coalesce(lead(n) OVER (ORDER BY depth), 0) > 0 THEN 'Crawling still in progress.Sorry.' ELSE 'ready' END AS gate
+FROM (SELECT depth, count(*) AS n FROM crawl GROUP BY depth)""", "crawl")
