@@ -224,3 +224,43 @@ def q_crawl_stats(spark, sf_dir):
 @query("crawl_pending")
 def q_crawl_pending(spark, sf_dir):
     return gr.crawl_pending(crawled(spark, sf_dir))
+
+
+# --- requests, commands, counters ---------------------------------------------
+from ..functions.timefmt import uptime_hms  # noqa: E402
+from ..operators import traffic as tr  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+
+@query("request_log")
+def q_request_log(spark, sf_dir):
+    return tr.request_log(fx.requests(spark, sf_dir)).select("event_id", "server", "is_cmd", "req_path")
+
+
+@query("command_log")
+def q_command_log(spark, sf_dir):
+    c = tr.command_log(fx.commands(spark, sf_dir))
+    return c.select("event_id", "kind", F.array_join("terms", " ").alias("terms_text"),
+                    F.when(F.col("kind") == "SEARCH", F.size("terms")).cast("bigint").alias("n_terms"), "reply")
+
+
+@query("request_status")
+def q_request_status(spark, sf_dir):
+    return tr.request_status(fx.requests(spark, sf_dir), pages(spark, sf_dir)).drop("ts")
+
+
+@query("server_stats")
+def q_server_stats(spark, sf_dir):
+    return tr.server_stats(tr.request_status(fx.requests(spark, sf_dir), pages(spark, sf_dir)))
+
+
+@query("stats_asof")
+def q_stats_asof(spark, sf_dir):
+    return tr.stats_asof(fx.requests(spark, sf_dir), pages(spark, sf_dir))
+
+
+@query("uptime_hms")
+def q_uptime_hms(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    secs = (F.unix_seconds("ts") - F.unix_seconds(F.date_trunc("month", "ts"))).cast("bigint")
+    return ev.select("event_id", secs.alias("secs")).select("event_id", "secs", uptime_hms("secs").alias("uptime"))

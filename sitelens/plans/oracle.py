@@ -245,3 +245,40 @@ oracle("crawl_pending", """SELECT depth AS max_depth,
   CAST(coalesce(lead(n) OVER (ORDER BY depth), 0) AS BIGINT) AS pending,
   CASE WHEN coalesce(lead(n) OVER (ORDER BY depth), 0) > 0 THEN 'Crawling still in progress.Sorry.' ELSE 'ready' END AS gate
 FROM (SELECT depth, count(*) AS n FROM crawl GROUP BY depth)""", "crawl")
+
+# --- requests, commands, counters -------------------------------------------------
+
+
+def _hms(s: str) -> str:
+    return f"printf('%02d:%02d:%02d', ({s}) // 3600, (({s}) % 3600) // 60, ({s}) % 60)"
+
+
+oracle("request_log", "SELECT event_id, server, is_cmd, req_path FROM request_log", "request_log")
+oracle("command_log", """SELECT event_id, kind,
+  CASE WHEN kind = 'SEARCH' THEN array_to_string(terms, ' ') END AS terms_text,
+  CASE WHEN kind = 'SEARCH' THEN CAST(len(terms) AS BIGINT) END AS n_terms,
+  CASE WHEN kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.' END AS reply
+FROM (SELECT event_id,
+  CASE WHEN raw = 'STATS' || chr(13) || chr(10) THEN 'STATS'
+       WHEN raw = 'SHUTDOWN' || chr(13) || chr(10) THEN 'SHUTDOWN'
+       WHEN regexp_matches(raw, '^ *SEARCH( |\\z)') THEN 'SEARCH' ELSE 'UNKNOWN' END AS kind,
+  list_filter(string_split_regex(regexp_extract(raw, '^([^\\n]*)', 1), '[ \\r\\n]'), lambda x: x <> '')[2:] AS terms
+  FROM commands)""", "commands")
+oracle("request_status", "SELECT event_id, server, path, status, bytes FROM request_status", "request_status")
+oracle("server_stats", """SELECT server,
+  CAST(count(*) FILTER (WHERE status = 200 AND bytes > 0) AS BIGINT) AS served,
+  CAST(sum(CASE WHEN status = 200 AND bytes > 0 THEN bytes ELSE 0 END) AS BIGINT) AS bytes
+FROM request_status GROUP BY server""", "request_status")
+oracle("stats_asof", f"""SELECT event_id, server, served, bytes, {_hms('secs - start_secs')} AS uptime,
+  printf('Server up for %s , %d pages have been served ,%d bytes.', {_hms('secs - start_secs')}, served, bytes) AS reply
+FROM (SELECT event_id, server, is_cmd, secs,
+    CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER w AS BIGINT) AS served,
+    CAST(sum(CASE WHEN ok THEN b ELSE 0 END) OVER w AS BIGINT) AS bytes,
+    min(secs) OVER (PARTITION BY server) AS start_secs
+  FROM (SELECT r.event_id, r.server, r.is_cmd, r.ts, epoch_us(r.ts) // 1000000 AS secs,
+          (NOT r.is_cmd AND c.readable AND strlen(c.html) > 0) AS ok, strlen(c.html) AS b
+        FROM request_log AS r LEFT JOIN corpus AS c ON c.path = r.req_path)
+  WINDOW w AS (PARTITION BY server ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE is_cmd""", "request_log", "corpus")
+oracle("uptime_hms", f"""SELECT event_id, secs, {_hms('secs')} AS uptime
+FROM (SELECT event_id, epoch_us(ts) // 1000000 - epoch_us(date_trunc('month', ts)) // 1000000 AS secs FROM events)""")
