@@ -41,8 +41,10 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], values: dict[
     totals = ranged.groupBy(*keys, _CHUNK).agg(
         *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values],
         *[F.min(c).alias(f"_m_{k}") for k, c in firsts.items()])
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per (key, chunk): with no key this window sees only n rows
+    spec = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    before = spec.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    upto = spec.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = totals.select(*keys, _CHUNK,
                             *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in values],
                             *[F.min(f"_m_{k}").over(upto).alias(k) for k in firsts])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import index as ix
 from ..operators import lines as ln
+from ..functions import text as T
 from ..sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +265,65 @@ def q_uptime_hms(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     secs = (F.unix_seconds("ts") - F.unix_seconds(F.date_trunc("month", "ts"))).cast("bigint")
     return ev.select("event_id", secs.alias("secs")).select("event_id", "secs", uptime_hms("secs").alias("uptime"))
+
+
+# --- sources and sinks, text counts ---------------------------------------------
+from ..session import scratch_path  # noqa: E402
+from ..sources import index_store as ist  # noqa: E402
+from ..sources import pages as pg  # noqa: E402
+
+
+@query("scan_pages")
+def q_scan_pages(spark, sf_dir):
+    return pg.page_table(pages(spark, sf_dir))
+
+
+@query("site_catalog")
+def q_site_catalog(spark, sf_dir):
+    return pg.site_catalog(pages(spark, sf_dir))
+
+
+@query("write_pages")
+def q_write_pages(spark, sf_dir):
+    """Round trip: write every page under its site, then rewrite one site
+    (dynamic overwrite must keep the others), read back."""
+    folder = scratch_path(spark, "pages")
+    p = pages(spark, sf_dir)
+    pg.write_pages(p, folder)
+    pg.write_pages(p.where(F.col("path").startswith("site3/")), folder)
+    return pg.read_pages(spark, folder).select("path", "site", "readable", T.text_bytes("html").alias("n_bytes"),
+                                                 F.md5("html").alias("html_md5"))
+
+
+@query("write_index")
+def q_write_index(spark, sf_dir):
+    folder = scratch_path(spark, "index")
+    ist.write_index(ix.occurrences(pages(spark, sf_dir)), folder)
+    return ist.read_index(spark, folder).select("term", "path", "row", "line_no", "tf")
+
+
+@query("text_bwl")
+def q_text_bwl(spark, sf_dir):
+    return ln.text_bwl(read_table(spark, sf_dir, "documents"))
+
+
+@query("corpus_bwl")
+def q_corpus_bwl(spark, sf_dir):
+    return ln.corpus_bwl(pages(spark, sf_dir))
+
+
+# --- generator layout -----------------------------------------------------------
+from ..operators import layout as lay  # noqa: E402
+from ..functions.text import lines_array  # noqa: E402
+
+
+@query("sample_links")
+def q_sample_links(spark, sf_dir):
+    return lay.sample_links(pages(spark, sf_dir))
+
+
+@query("line_slices")
+def q_line_slices(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    plan = lay.slice_plan(p.select("path", F.size(lines_array("html")).alias("n_lines")), n_slices=4)
+    return lay.line_slices(ln.page_lines(p), plan)

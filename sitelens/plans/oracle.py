@@ -282,3 +282,48 @@ FROM (SELECT event_id, server, is_cmd, secs,
 WHERE is_cmd""", "request_log", "corpus")
 oracle("uptime_hms", f"""SELECT event_id, secs, {_hms('secs')} AS uptime
 FROM (SELECT event_id, epoch_us(ts) // 1000000 - epoch_us(date_trunc('month', ts)) // 1000000 AS secs FROM events)""")
+
+# --- sources and sinks, text counts -------------------------------------------------
+oracle("scan_pages", """SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS site, html,
+  CAST(strlen(html) AS BIGINT) AS n_bytes FROM corpus""", "corpus")
+oracle("site_catalog", """SELECT regexp_extract(path, '^/*([^/]+)', 1) AS site, CAST(count(*) AS BIGINT) AS n_pages,
+  CAST(sum(strlen(html)) AS BIGINT) AS n_bytes FROM corpus GROUP BY 1""", "corpus")
+oracle("write_pages", """SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS site, readable,
+  CAST(strlen(html) AS BIGINT) AS n_bytes, md5(html) AS html_md5 FROM corpus""", "corpus")
+oracle("write_index", "SELECT term, path, row, line_no, tf FROM occurrences", "occurrences")
+oracle("text_bwl", """SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes,
+  CAST(len(regexp_extract_all(text, '[^ \\n]+[ \\n]')) AS BIGINT) AS words,
+  CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS lines
+FROM documents""")
+oracle("corpus_bwl", """SELECT site, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(words) AS BIGINT) AS words,
+  CAST(sum(lines) AS BIGINT) AS lines, CAST(count(*) AS BIGINT) AS n_pages
+FROM (SELECT regexp_extract(path, '^/*([^/]+)', 1) AS site, strlen(html) AS bytes,
+        len(regexp_extract_all(html, '[^ \\n]+[ \\n]')) AS words,
+        length(html) - length(replace(html, chr(10), '')) AS lines FROM corpus)
+GROUP BY ROLLUP (site)""", "corpus")
+
+# --- generator layout -------------------------------------------------------------
+cte("ordinals", """SELECT path, site, CAST(row_number() OVER (PARTITION BY site ORDER BY path) - 1 AS BIGINT) AS idx,
+  CAST(row_number() OVER (ORDER BY site, path) - 1 AS BIGINT) AS g
+FROM (SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS site FROM corpus)""", "corpus")
+cte("site_sizes", "SELECT site, count(*) AS P, min(g) AS start FROM ordinals GROUP BY site", "ordinals")
+cte("layout_t", """
+  SELECT o.path, o.site, o.idx, o.g, s.P, s.start,
+    (SELECT count(*) FROM ordinals) - s.P AS m,
+    least(s.P // 2 + 1, s.P - 1) AS f,
+    least((SELECT count(*) FROM site_sizes) // 2 + 1, (SELECT count(*) FROM ordinals) - s.P) AS q,
+    CAST(('0x' || substr(md5('int:' || o.path), 1, 8)) AS BIGINT) AS h1,
+    CAST(('0x' || substr(md5('ext:' || o.path), 1, 8)) AS BIGINT) AS h2
+  FROM ordinals AS o JOIN site_sizes AS s ON s.site = o.site""", "ordinals", "site_sizes")
+cte("layout_i", "SELECT path, site, idx, P, h1, unnest(generate_series(0, f - 1)) AS k FROM layout_t WHERE f > 0", "layout_t")
+cte("layout_e", "SELECT path, start, P, m, h2, unnest(generate_series(0, q - 1)) AS k FROM layout_t WHERE q > 0", "layout_t")
+oracle("sample_links", """SELECT i.path AS src, 'internal' AS kind, CAST(i.k AS BIGINT) AS k, o.path AS dst
+FROM layout_i AS i JOIN ordinals AS o ON o.site = i.site AND o.idx = (i.idx + 1 + (i.h1 % (i.P - 1) + i.k) % (i.P - 1)) % i.P
+UNION ALL
+SELECT e.path AS src, 'external' AS kind, CAST(e.k AS BIGINT) AS k, o.path AS dst
+FROM layout_e AS e JOIN ordinals AS o ON o.g = CASE WHEN (e.h2 % e.m + e.k) % e.m < e.start THEN (e.h2 % e.m + e.k) % e.m
+                                      ELSE (e.h2 % e.m + e.k) % e.m + e.P END""", "layout_i", "layout_e", "ordinals")
+cte("slice_plan", """SELECT path, CAST(k AS BIGINT) AS k, k * len AS lo, (k + 1) * len AS hi
+  FROM (SELECT path, greatest(len(ls) // 4, 1) AS len, unnest(generate_series(0, 3)) AS k FROM page_split)""", "page_split")
+oracle("line_slices", """SELECT l.path, p.k, l.line_no, l.line FROM lines AS l JOIN slice_plan AS p ON p.path = l.path AND l.line_no BETWEEN p.lo AND p.hi""",
+       "lines", "slice_plan")
