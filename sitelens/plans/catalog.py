@@ -327,3 +327,12 @@ def q_line_slices(spark, sf_dir):
     p = pages(spark, sf_dir)
     plan = lay.slice_plan(p.select("path", F.size(lines_array("html")).alias("n_lines")), n_slices=4)
     return lay.line_slices(ln.page_lines(p), plan)
+
+
+# --- streams ------------------------------------------------------------------
+from ..streaming import streams as st  # noqa: E402
+
+QUERIES["stream_server_stats"] = st.stream_server_stats
+QUERIES["stream_seen_urls"] = st.stream_seen_urls
+QUERIES["stream_postings"] = st.stream_postings
+QUERIES["stream_commands"] = st.stream_commands

@@ -254,16 +254,17 @@ def _hms(s: str) -> str:
 
 
 oracle("request_log", "SELECT event_id, server, is_cmd, req_path FROM request_log", "request_log")
-oracle("command_log", """SELECT event_id, kind,
-  CASE WHEN kind = 'SEARCH' THEN array_to_string(terms, ' ') END AS terms_text,
-  CASE WHEN kind = 'SEARCH' THEN CAST(len(terms) AS BIGINT) END AS n_terms,
-  CASE WHEN kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.' END AS reply
-FROM (SELECT event_id,
+cte("command_rows", """SELECT event_id,
   CASE WHEN raw = 'STATS' || chr(13) || chr(10) THEN 'STATS'
        WHEN raw = 'SHUTDOWN' || chr(13) || chr(10) THEN 'SHUTDOWN'
        WHEN regexp_matches(raw, '^ *SEARCH( |\\z)') THEN 'SEARCH' ELSE 'UNKNOWN' END AS kind,
   list_filter(string_split_regex(regexp_extract(raw, '^([^\\n]*)', 1), '[ \\r\\n]'), lambda x: x <> '')[2:] AS terms
-  FROM commands)""", "commands")
+FROM commands""", "commands")
+oracle("command_log", """SELECT event_id, kind,
+  CASE WHEN kind = 'SEARCH' THEN array_to_string(terms, ' ') END AS terms_text,
+  CASE WHEN kind = 'SEARCH' THEN CAST(len(terms) AS BIGINT) END AS n_terms,
+  CASE WHEN kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.' END AS reply
+FROM command_rows""", "command_rows")
 oracle("request_status", "SELECT event_id, server, path, status, bytes FROM request_status", "request_status")
 oracle("server_stats", """SELECT server,
   CAST(count(*) FILTER (WHERE status = 200 AND bytes > 0) AS BIGINT) AS served,
@@ -327,3 +328,21 @@ cte("slice_plan", """SELECT path, CAST(k AS BIGINT) AS k, k * len AS lo, (k + 1)
   FROM (SELECT path, greatest(len(ls) // 4, 1) AS len, unnest(generate_series(0, 3)) AS k FROM page_split)""", "page_split")
 oracle("line_slices", """SELECT l.path, p.k, l.line_no, l.line FROM lines AS l JOIN slice_plan AS p ON p.path = l.path AND l.line_no BETWEEN p.lo AND p.hi""",
        "lines", "slice_plan")
+
+# --- streams (at end of input each equals its batch form) -------------------------------
+oracle("stream_server_stats", ORACLES["server_stats"][0], *ORACLES["server_stats"][1])
+oracle("stream_seen_urls", "SELECT DISTINCT dst AS url FROM edges", "edges")
+oracle("stream_postings", ORACLES["postings"][0], *ORACLES["postings"][1])
+cte("command_keys", """SELECT event_id, kind, list_distinct(terms) AS uterms,
+  array_to_string(list_sort(list_distinct(terms)), ' ') AS qkey FROM command_rows""", "command_rows")
+cte("command_hits", """SELECT DISTINCT q.qkey, o.path, o.row
+FROM (SELECT DISTINCT qkey, unnest(uterms) AS term FROM command_keys WHERE kind = 'SEARCH') AS q
+JOIN occurrences AS o ON o.term = q.term""", "command_keys", "occurrences")
+oracle("stream_commands", """SELECT c.event_id, c.kind,
+  CASE WHEN c.kind = 'SEARCH' THEN CAST(coalesce(h.n_pages, 0) AS BIGINT) END AS n_pages,
+  CASE WHEN c.kind = 'SEARCH' THEN CAST(coalesce(h.n_rows, 0) AS BIGINT) END AS n_rows,
+  CASE WHEN c.kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.'
+       WHEN c.kind = 'SEARCH' AND coalesce(h.n_rows, 0) = 0 THEN 'No results found' END AS reply
+FROM command_keys AS c
+LEFT JOIN (SELECT qkey, count(DISTINCT path) AS n_pages, count(*) AS n_rows FROM command_hits GROUP BY qkey) AS h
+  ON h.qkey = c.qkey AND c.kind = 'SEARCH'""", "command_keys", "command_hits")

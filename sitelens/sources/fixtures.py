@@ -44,7 +44,11 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``corpus(doc_id, path, readable, html)``: one row per page."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     m = pages_per_site(docs)
-    docs = spread(docs, "doc_id")
+    return corpus_rows(spread(docs, "doc_id"), m)
+
+
+def corpus_rows(docs: DataFrame, m: int) -> DataFrame:
+    """Per-row page builder (also used on a stream of documents)."""
     s = F.col("doc_id") % N_SITES
     i = F.floor(F.col("doc_id") / N_SITES).cast("bigint")
     i0 = (2 * i + 1) % m
@@ -76,6 +80,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     m = pages_per_site(read_table(spark, sf_dir, "documents").select("doc_id"))
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return requests_rows(ev, m)
+
+
+def requests_rows(ev: DataFrame, m: int) -> DataFrame:
+    """Per-row request builder (also used on a stream of events)."""
     site = F.col("event_id") % N_SITES
     num = 1000 + F.floor(F.col("event_id") / N_SITES).cast("bigint") % (m + 10)
     path = page_name(site, num)
