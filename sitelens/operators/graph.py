@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows
 from ..functions.urls import href_targets, normalize_url, site_of
 from ..session import BROADCAST_ROW_LIMIT, cut_lineage
 
@@ -29,7 +30,7 @@ READY = "ready"
 def extract_links(pages: DataFrame) -> DataFrame:
     """``(src, raw_dst, dst)``: every anchor target of every page, in page
     order; ``dst`` has one leading ``../`` stripped (the queue key)."""
-    return (pages.select(F.col("path").alias("src"), F.explode(href_targets("html")).alias("raw_dst"))
+    return (explode_rows(pages, [F.col("path").alias("src")], href_targets("html"), "raw_dst")
             .select("src", "raw_dst", normalize_url("raw_dst", 1).alias("dst")))
 
 
@@ -80,12 +81,30 @@ def with_status(keys: DataFrame, pidx: DataFrame, n_keys: int) -> DataFrame:
                     _bytes(F.col("found"), F.col("readable"), F.col("n_bytes")).alias("bytes"))
 
 
-def frontier_step(frontier: DataFrame, link_edges: DataFrame, seen: DataFrame, n_frontier: int | None = None) -> DataFrame:
-    """One crawl round: links of the frontier's readable pages (``status``
-    200, looked up at ``fetch``) whose key was never seen.  ``-> (path)``."""
+def edge_status(link_edges: DataFrame, pidx: DataFrame) -> DataFrame:
+    """``(src, path, fetch, status, bytes)``: every link with the status a
+    fetch of its target gets.  One join before the crawl, so the rounds do
+    no page lookups.  A target linked from a third of all pages is a skewed
+    key of this join: AQE's skew split divides the link side."""
+    e = link_edges.select("src", F.col("dst").alias("path"), fetch_path("dst").alias("fetch"))
+    p = pidx.select(F.col("path").alias("fetch"), F.col("path").alias("found"), "readable", "n_bytes")
+    j = e.join(p, "fetch", "left")
+    return j.select("src", "path", "fetch", _status(F.col("found"), F.col("readable")).alias("status"),
+                    _bytes(F.col("found"), F.col("readable"), F.col("n_bytes")).alias("bytes"))
+
+
+def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, n_frontier: int | None = None) -> DataFrame:
+    """One crawl round: targets of links of the frontier's readable pages
+    (``status`` 200, looked up at ``fetch``) whose key was never seen.
+    ``linked`` is :func:`edge_status`; ``-> (path, fetch, status, bytes)``.
+
+    A frontier proven small is broadcast and the link table is streamed
+    without a shuffle; a large one is shuffle-joined."""
     srcs = frontier.where(F.col("status") == STATUS_OK).select(F.col("fetch").alias("src"))
     n = n_frontier if n_frontier is not None else BROADCAST_ROW_LIMIT + 1
-    cand = (_lookup_small(srcs, "src", link_edges, "src", n).select(F.col("dst").alias("path")).distinct())
+    if n <= BROADCAST_ROW_LIMIT:
+        srcs = F.broadcast(srcs)
+    cand = linked.join(srcs, "src", "left_semi").select("path", "fetch", "status", "bytes").distinct()
     return cand.join(seen.select("path"), "path", "left_anti")
 
 
@@ -99,9 +118,8 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds
     """
     spark: SparkSession = pages.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    readable = pages.where(F.col("readable"))
-    link_edges = cut_lineage(edges(readable).repartition(n_parts, "src"))
-    pidx = cut_lineage(page_index(pages).repartition(n_parts, "path"))
+    pidx = page_index(pages)
+    linked = cut_lineage(edge_status(edges(pages.where(F.col("readable"))), pidx).repartition(n_parts, "src"))
 
     start_df = spark.createDataFrame([(start, 0)], "path string, depth bigint")
     current = cut_lineage(with_status(start_df, pidx, 1))
@@ -116,14 +134,13 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds
         seen = rounds[0].select("path")
         for r in rounds[1:]:
             seen = seen.unionByName(r.select("path"))
-        new = frontier_step(current, link_edges, seen, n_current)
-        new = cut_lineage(new.withColumn("depth", F.lit(depth + 1).cast("bigint")))
-        n_new = new.count()
-        if n_new == 0:
+        new = frontier_step(current, linked, seen, n_current).withColumn("depth", F.lit(depth + 1).cast("bigint"))
+        nxt = cut_lineage(new.select("path", "depth", "fetch", "status", "bytes"))
+        n_next = nxt.count()
+        if n_next == 0:
             break
-        current = cut_lineage(with_status(new, pidx, n_new))
-        rounds.append(current)
-        n_current = n_new
+        rounds.append(nxt)
+        current, n_current = nxt, n_next
         depth += 1
     out = rounds[0]
     for r in rounds[1:]:

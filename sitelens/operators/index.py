@@ -13,18 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
 from .lines import with_indexable
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
     """``(term, path, row, line_no, tf)``: term count per indexable line
     (the stored index grain)."""
-    rows = (with_indexable(pages)
-            .select("path", F.posexplode("ix").alias("row", "z"))
+    rows = (posexplode_rows(with_indexable(pages), ["path"], F.col("ix"), "row", "z")
             .select("path", F.col("row").cast("bigint").alias("row"), F.col("z.line_no").alias("line_no"),
                     F.array_sort(T.line_terms("z.line")).alias("s")))
     runs = rows.select("path", "row", "line_no", "s", T.sorted_runs("s").alias("st"))
-    return (runs.select("path", "row", "line_no", F.explode(T.term_counts("s", "st")).alias("o"))
+    return (explode_rows(runs, ["path", "row", "line_no"], T.term_counts("s", "st"), "o")
             .select(F.col("o.term").alias("term"), "path", "row", "line_no", F.col("o.tf").alias("tf")))
 
 
@@ -50,7 +50,7 @@ def postings(pages: DataFrame) -> DataFrame:
         return F.struct(F.col("s")[b].alias("term"), (end - b).cast("bigint").alias("fr"),
                         F.array_distinct(F.slice("rw", b + 1, end - b)).alias("offsets"))
 
-    return (runs.select("path", F.explode(F.transform("st", posting)).alias("p"))
+    return (explode_rows(runs, ["path"], F.transform("st", posting), "p")
             .select(F.col("p.term").alias("term"), "path", F.col("p.fr").alias("fr"),
                     F.col("p.offsets").alias("offsets")))
 

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
 from ..functions.urls import site_of
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
     """``(path, line_no, line)``: physical lines, 0-based."""
-    return (pages.select("path", F.posexplode(T.lines_array("html")).alias("line_no", "line"))
+    return (posexplode_rows(pages, ["path"], T.lines_array("html"), "line_no", "line")
             .select("path", F.col("line_no").cast("bigint").alias("line_no"), "line"))
 
 
@@ -27,15 +28,13 @@ def with_indexable(pages: DataFrame, keep=("path",)) -> DataFrame:
 def indexable_lines(pages: DataFrame) -> DataFrame:
     """``(path, row, line_no, line)``: non-markup lines with their dense
     0-based ordinal ``row`` (the index's line key) and physical ``line_no``."""
-    return (with_indexable(pages)
-            .select("path", F.posexplode("ix").alias("row", "z"))
+    return (posexplode_rows(with_indexable(pages), ["path"], F.col("ix"), "row", "z")
             .select("path", F.col("row").cast("bigint").alias("row"), "z.line_no", "z.line"))
 
 
 def tokens(pages: DataFrame) -> DataFrame:
     """``(path, row, line_no, term)``: every term occurrence, in line order."""
-    return (indexable_lines(pages)
-            .select("path", "row", "line_no", F.explode(T.line_terms("line")).alias("term")))
+    return explode_rows(indexable_lines(pages), ["path", "row", "line_no"], T.line_terms("line"), "term")
 
 
 def text_bwl(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut_lineage
+from ..session import broadcast_if_small, materialize
 
 _CHUNK = "_chunk"
 
@@ -33,10 +33,12 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], values: dict[
     n = n_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     firsts = firsts or {}
     base = df.select("*", *[e.alias(f"_v_{k}") for k, e in values.items()])
-    # The chunk id is fixed once by a reliable checkpoint: both branches below
-    # must see the same assignment (a re-read shuffle may be coalesced
-    # differently by AQE), and a lost executor then recomputes from here.
-    ranged = cut_lineage(base.repartitionByRange(n, *keys, *order).withColumn(_CHUNK, F.spark_partition_id()))
+    # The chunk id is fixed once by writing the chunked rows to the shared
+    # folder: both branches below must see the same assignment (a re-read
+    # shuffle may be coalesced differently by AQE), and a lost executor then
+    # recomputes nothing before this point.
+    ranged, _ = materialize(base.repartitionByRange(n, *keys, *order).withColumn(_CHUNK, F.spark_partition_id()),
+                            "chunks")
 
     totals = ranged.groupBy(*keys, _CHUNK).agg(
         *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values],

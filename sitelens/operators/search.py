@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
 from ..functions.urls import site_of
 from ..session import broadcast_if_small
 from . import index as ix
@@ -39,7 +40,7 @@ def query_terms(queries: DataFrame, raw: str = "raw", max_terms: int | None = No
     terms = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
     if max_terms is not None:
         terms = F.slice(terms, 1, max_terms)
-    return queries.select("query_id", F.explode(terms).alias("term")).distinct()
+    return explode_rows(queries, ["query_id"], terms, "term").distinct()
 
 
 def _probe(qterms: DataFrame) -> DataFrame:
@@ -66,10 +67,10 @@ def matching_lines(pages: DataFrame, qterms: DataFrame, compat: bool = False) ->
     else:
         arr = F.transform("ix", lambda z: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
                                                    z["line"].alias("shown")))
-    lines = (base.select("path", F.posexplode(arr).alias("row", "z"))
+    lines = (posexplode_rows(base, ["path"], arr, "row", "z")
              .select("path", F.col("row").cast("bigint").alias("row"), F.col("z.line_no").alias("line_no"),
                      F.col("z.shown").alias("line"), F.array_distinct(T.line_terms("z.line")).alias("terms")))
-    return (lines.select("path", "row", "line_no", "line", F.explode("terms").alias("term"))
+    return (explode_rows(lines, ["path", "row", "line_no", "line"], F.col("terms"), "term")
             .join(_probe(qterms), "term", "inner")
             .select("query_id", "path", "row", "line_no", "line", "term"))
 

@@ -187,8 +187,10 @@ def q_seen_urls(spark, sf_dir):
 def q_frontier_step(spark, sf_dir):
     p = pages(spark, sf_dir)
     start = spark.createDataFrame([(fx.START_PAGE, 0)], "path string, depth bigint")
-    frontier = gr.with_status(start, gr.page_index(p), 1)
-    return gr.frontier_step(frontier, gr.edges(p.where("readable")), start, 1)
+    pidx = gr.page_index(p)
+    frontier = gr.with_status(start, pidx, 1)
+    linked = gr.edge_status(gr.edges(p.where("readable")), pidx)
+    return gr.frontier_step(frontier, linked, start, 1).select("path")
 
 
 @query("dangling_links")

@@ -90,3 +90,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> tuple
     if n <= limit:
         return F.broadcast(df), True
     return df, False
+
+
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read
+    it back: one job cuts the lineage (a lost executor recomputes nothing
+    before this point) and an ``Observation`` returns the row count from the
+    same job."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"rows_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    n = int(obs.get.get("n", 0) or 0)
+    return spark.read.schema(df.schema).parquet(path), n

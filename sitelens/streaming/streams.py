@@ -25,7 +25,7 @@ from ..operators import traffic as tr
 from ..session import broadcast_if_small, scratch_path
 from ..sources import fixtures as fx
 from ..sources import index_store as ist
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 NO_RESULTS = "No results found"
 
@@ -106,11 +106,17 @@ def stream_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     each page row, so the stream is stateless; each micro-batch's postings
     land in their own batch folder (replay-safe)."""
     m = fx.pages_per_site(read_table(spark, sf_dir, "documents").select("doc_id"))
-    pages = fx.corpus_rows(stream_table(spark, sf_dir, "documents"), m)
-    post = ix.postings(pages).select("term", "path", "fr", F.array_join("offsets", "-").alias("offsets_text"),
-                                     F.size("offsets").cast("bigint").alias("n_offsets"))
+    docs = stream_table(spark, sf_dir, "documents")
     out = scratch_path(spark, "stream-postings")
-    _run(post.writeStream.foreachBatch(_batch_sink(out)).option("checkpointLocation", out + "-ckpt"), "postings")
+
+    def index_batch(batch: DataFrame) -> DataFrame:
+        # a micro-batch may arrive as one split: spread it before the CPU work
+        pages = fx.corpus_rows(spread(batch, "doc_id"), m)
+        return ix.postings(pages).select("term", "path", "fr", F.array_join("offsets", "-").alias("offsets_text"),
+                                         F.size("offsets").cast("bigint").alias("n_offsets"))
+
+    _run(docs.writeStream.foreachBatch(_batch_sink(out, index_batch)).option("checkpointLocation", out + "-ckpt"),
+         "postings")
     return _read_batches(spark, out)
 
 
