@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..functions.urls import href_targets, normalize_url, site_of
-from ..session import BROADCAST_ROW_LIMIT, cut_lineage
+from ..session import BROADCAST_ROW_LIMIT, checkpoint_count, cut_lineage
 
 # Fixed values of the crawl rules.
 STATUS_OK = 200
@@ -135,8 +135,9 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds
         for r in rounds[1:]:
             seen = seen.unionByName(r.select("path"))
         new = frontier_step(current, linked, seen, n_current).withColumn("depth", F.lit(depth + 1).cast("bigint"))
-        nxt = cut_lineage(new.select("path", "depth", "fetch", "status", "bytes"))
-        n_next = nxt.count()
+        # one checkpoint per round (the lineage and the plan stay one round
+        # deep); the row count is observed in the same job
+        nxt, n_next = checkpoint_count(new.select("path", "depth", "fetch", "status", "bytes"), f"crawl_{depth + 1}")
         if n_next == 0:
             break
         rounds.append(nxt)

@@ -84,21 +84,54 @@ def search_hits(pages: DataFrame, qterms: DataFrame) -> DataFrame:
 def page_hits(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> DataFrame:
     """``(query_id, path, rows)``: per query and page the sorted distinct hit
     lines as ``array<struct<row, line_no, line>>`` (bounded by the page)."""
-    m = matching_lines(pages, qterms, compat=compat)
+    return _group_hits(matching_lines(pages, qterms, compat=compat))
+
+
+def _group_hits(m: DataFrame) -> DataFrame:
     return (m.groupBy("query_id", "path")
             .agg(F.array_sort(F.collect_set(F.struct("row", "line_no", "line"))).alias("rows")))
 
 
+def _rows_of(ph: DataFrame) -> DataFrame:
+    return (posexplode_rows(ph, ["query_id", "path", F.size("rows").cast("bigint").alias("n_rows")],
+                            F.col("rows"), "f", "h")
+            .select("query_id", "path", "n_rows", F.col("f").cast("bigint").alias("f"),
+                    F.col("h.row").alias("row"), F.col("h.line").alias("line")))
+
+
 def search_rows(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> DataFrame:
     """``(query_id, path, n_rows, f, row, line)``: hits with the text of the
     line, the number of hit lines of the page and the 0-based ordinal ``f``
     of the hit in its page (ascending row).  One shuffle: the group by page;
     the ordinal is the position in the page's sorted hit list, no window."""
-    ph = page_hits(pages, qterms, compat=compat)
-    return (ph.select("query_id", "path", F.size("rows").cast("bigint").alias("n_rows"),
-                      F.posexplode("rows").alias("f", "h"))
-            .select("query_id", "path", "n_rows", F.col("f").cast("bigint").alias("f"),
-                    F.col("h.row").alias("row"), F.col("h.line").alias("line")))
+    return _rows_of(page_hits(pages, qterms, compat=compat))
+
+
+# Fixed value: most query words written into a scan predicate as literals.
+IN_LIST_LIMIT = 10_000
+
+
+def search_stored(index: DataFrame, lines: DataFrame, qterms: DataFrame, n_buckets: int) -> DataFrame:
+    """:func:`search_rows` against a stored index and line store
+    (:mod:`sitelens.sources.index_store`): per query only the index row
+    groups of its words are read (a literal ``term IN`` list, pushed to the
+    parquet scan, when the word count is under a checked bound), and only the
+    line partitions of the hit pages (dynamic partition pruning on the
+    path bucket)."""
+    from ..sources.index_store import path_bucket
+
+    spark = index.sparkSession
+    rows = qterms.select("query_id", "term").limit(IN_LIST_LIMIT + 1).collect()
+    if len(rows) <= IN_LIST_LIMIT:
+        # proven small: one job gives both the scan predicate and the probe table
+        index = index.where(F.col("term").isin(sorted({r["term"] for r in rows})))
+        probe = F.broadcast(spark.createDataFrame(rows, "query_id bigint, term string"))
+    else:
+        probe = _probe(qterms)
+    hits = (index.join(probe, "term", "inner").select("query_id", "path", "row", "line_no").distinct()
+            .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
+    m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")
+    return _rows_of(_group_hits(m.select("query_id", "path", "row", "line_no", "line")))
 
 
 def hit_ordinal(pages: DataFrame, qterms: DataFrame) -> DataFrame:

@@ -338,3 +338,15 @@ QUERIES["stream_server_stats"] = st.stream_server_stats
 QUERIES["stream_seen_urls"] = st.stream_seen_urls
 QUERIES["stream_postings"] = st.stream_postings
 QUERIES["stream_commands"] = st.stream_commands
+
+
+@query("search_stored")
+def q_search_stored(spark, sf_dir):
+    """Build the index and line store once in the shared folder, then answer
+    every benchmark search from them."""
+    p = pages(spark, sf_dir)
+    n_buckets = ist.BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    idir, ldir = scratch_path(spark, "index"), scratch_path(spark, "lines")
+    ist.write_index(ix.occurrences(p), idir)
+    ist.write_lines(ln.indexable_lines(p), ldir, n_buckets)
+    return se.search_stored(ist.read_index(spark, idir), ist.read_lines(spark, ldir), qterms(spark, sf_dir), n_buckets)

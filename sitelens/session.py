@@ -14,7 +14,7 @@ BROADCAST_ROW_LIMIT = 2_000_000
 
 
 def get_spark(master: str | None = None, app: str = "sitelens",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Session with the settings every operator here assumes.
 
     On a cluster ``master`` is left to spark-submit; locally it defaults to
@@ -35,6 +35,9 @@ def get_spark(master: str | None = None, app: str = "sitelens",
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # local mode runs every task inside the driver JVM
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -106,3 +109,15 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     n = int(obs.get.get("n", 0) or 0)
     return spark.read.schema(df.schema).parquet(path), n
+
+
+def checkpoint_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, int]:
+    """Reliable checkpoint that also returns the row count, observed in the
+    checkpoint's own job (no separate count job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    ensure_checkpoint_dir(df.sparkSession)
+    obs = Observation(name)
+    out = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return out, int(obs.get.get("n", 0) or 0)
