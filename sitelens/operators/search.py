@@ -44,6 +44,7 @@ def query_terms(queries: DataFrame, raw: str = "raw", max_terms: int | None = No
 
 
 def _probe(qterms: DataFrame) -> DataFrame:
+    """The query-term table, broadcast when a count proves it small."""
     q, _ = broadcast_if_small(qterms.select("query_id", "term"))
     return q
 

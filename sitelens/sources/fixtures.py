@@ -33,8 +33,16 @@ def anchor(target: Column, label: str) -> Column:
     return F.concat(F.lit('<a href="../'), target, F.lit(f'"> {label}</a> \n'))
 
 
+_COUNTS: dict[tuple, int] = {}
+
+
 def pages_per_site(documents: DataFrame) -> int:
-    m = documents.count() // N_SITES
+    """Pages per site: the document count over the number of sites.  The
+    count of an unchanged input is remembered (one scalar per input)."""
+    key = tuple(sorted(documents.inputFiles()))
+    if key not in _COUNTS:
+        _COUNTS[key] = documents.count()
+    m = _COUNTS[key] // N_SITES
     if m < 1:
         raise ValueError(f"need at least {N_SITES} documents for the page fixture")
     return m

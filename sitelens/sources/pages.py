@@ -20,7 +20,8 @@ def scan_pages(spark: SparkSession, root: str) -> DataFrame:
     """Read every file one level below each site folder of ``root``
     (non-recursive) -> ``(path, site, html, n_bytes)``."""
     base = root.rstrip("/")
-    df = (spark.read.option("wholetext", True).text(f"{base}/*/*")
+    # wholetext must be given to text() itself: text() resets the option
+    df = (spark.read.text(f"{base}/*/*", wholetext=True)
           .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("html")))
     # file_path is a URI; keep the part after the root folder
     rel = F.regexp_extract(F.col("file"), r"([^/]+/[^/]+)$", 1)
