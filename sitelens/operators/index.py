@@ -72,8 +72,11 @@ def term_lookup(post: DataFrame, word: str) -> DataFrame:
 
 
 def _extreme(post: DataFrame, words: DataFrame, highest: bool) -> DataFrame:
+    from ..session import broadcast_if_small
+
     key = F.struct((-F.col("fr") if highest else F.col("fr")).alias("k"), F.col("path").alias("path"))
-    best = post.join(words.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.min(key).alias("b"))
+    probe, _ = broadcast_if_small(words.select("term").distinct())
+    best = post.join(probe, "term", "left_semi").groupBy("term").agg(F.min(key).alias("b"))
     fr = (-F.col("b.k")) if highest else F.col("b.k")
     return (words.select("term").distinct().join(best, "term", "left")
             .select("term", F.coalesce(fr, F.lit(0)).cast("bigint").alias("fr"), F.col("b.path").alias("path")))

@@ -76,6 +76,42 @@ def matching_lines(pages: DataFrame, qterms: DataFrame, compat: bool = False) ->
             .select("query_id", "path", "row", "line_no", "line", "term"))
 
 
+def search_words(pages: DataFrame, words: list[str], compat: bool = False) -> DataFrame:
+    """One SEARCH with literal words: ``(path, n_rows, f, row, line)``.
+
+    The words are a literal array, so each line is tested with
+    ``arrays_overlap`` in place: no join and no broadcast job; the only
+    shuffle groups the hit lines by page."""
+    ws = F.array(*[F.lit(w) for w in dict.fromkeys(words)]) if words else F.array().cast("array<string>")
+    base = with_indexable(pages, keep=("path", "html"))
+    if compat:
+        ls = T.lines_array("html")
+        arr = F.transform("ix", lambda z, r: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
+                                                      ls[r].alias("shown")))
+    else:
+        arr = F.transform("ix", lambda z: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
+                                                   z["line"].alias("shown")))
+    lines = (posexplode_rows(base, ["path"], arr, "row", "z")
+             .where(F.arrays_overlap(T.line_terms("z.line"), ws))
+             .select(F.lit(0).cast("bigint").alias("query_id"), "path", F.col("row").cast("bigint").alias("row"),
+                     F.col("z.line_no").alias("line_no"), F.col("z.shown").alias("line")))
+    return _rows_of(_group_hits(lines)).drop("query_id")
+
+
+def search_stored_words(index: DataFrame, lines: DataFrame, words: list[str], n_buckets: int) -> DataFrame:
+    """One SEARCH with literal words against the stored index and line store:
+    ``term IN (words)`` is pushed to the index scan and the hit pages' line
+    buckets are pruned at run time."""
+    from ..sources.index_store import path_bucket
+
+    hits = (index.where(F.col("term").isin(list(dict.fromkeys(words))))
+            .select("path", "row", "line_no").distinct()
+            .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
+    m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")
+    return _rows_of(_group_hits(m.select(F.lit(0).cast("bigint").alias("query_id"), "path", "row", "line_no",
+                                         "line"))).drop("query_id")
+
+
 def search_hits(pages: DataFrame, qterms: DataFrame) -> DataFrame:
     """``(query_id, path, row, line_no)``: distinct lines holding any word of
     the query.  The distinct is pre-aggregated per task before its shuffle."""

@@ -350,3 +350,11 @@ def q_search_stored(spark, sf_dir):
     ist.write_index(ix.occurrences(p), idir)
     ist.write_lines(ln.indexable_lines(p), ldir, n_buckets)
     return se.search_stored(ist.read_index(spark, idir), ist.read_lines(spark, ldir), qterms(spark, sf_dir), n_buckets)
+
+
+@query("search_command")
+def q_search_command(spark, sf_dir):
+    """One SEARCH command as typed (the first benchmark search), over every page."""
+    q = fx.search_queries(spark, sf_dir)
+    words = q.orderBy("query_id").select(se.command_words("raw").alias("w")).first()["w"][1:]
+    return se.search_words(pages(spark, sf_dir), words)

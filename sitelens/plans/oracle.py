@@ -347,3 +347,5 @@ FROM command_keys AS c
 LEFT JOIN (SELECT qkey, count(DISTINCT path) AS n_pages, count(*) AS n_rows FROM command_hits GROUP BY qkey) AS h
   ON h.qkey = c.qkey AND c.kind = 'SEARCH'""", "command_keys", "command_hits")
 oracle("search_stored", ORACLES["search_rows"][0], *ORACLES["search_rows"][1])
+oracle("search_command", """SELECT path, n_rows, f, row, line FROM search_rows
+WHERE query_id = (SELECT min(query_id) FROM search_queries)""", "search_rows", "search_queries")

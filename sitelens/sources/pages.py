@@ -54,15 +54,3 @@ def write_pages(pages: DataFrame, folder: str) -> None:
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder)
-
-
-def write_text_pages(pages: DataFrame, root: str) -> None:
-    """Write ``root/site/page`` files (small fixtures and tests only: one file
-    per page is written by the driver-side Python, not by Spark)."""
-    import os
-
-    for r in pages.select("path", "html").toLocalIterator():
-        target = os.path.join(root, r["path"])
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        with open(target, "w", encoding="utf-8", newline="") as fh:
-            fh.write(r["html"])

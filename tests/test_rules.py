@@ -188,3 +188,23 @@ def test_request_parse(spark):
     df = spark.createDataFrame(list(enumerate(raws)), "event_id long, raw string")
     got = {r["event_id"]: r["req_path"] for r in tr.request_log(df).collect()}
     assert got == {0: "s/p.html", 1: None, 2: "../s/p.html", 3: "x.html", 4: None}
+
+
+def test_search_words_equals_batch_search(spark, pages):
+    words = ["word", "alpha", "ñandú", "word"]
+    one = {tuple(r) for r in se.search_words(pages, words).collect()}
+    batch = se.search_rows(pages, se.query_terms(_queries(spark, ["SEARCH " + " ".join(words) + "\r\n"])))
+    assert one == {tuple(r) for r in batch.drop("query_id").collect()}
+    assert se.search_words(pages, []).count() == 0
+
+
+def test_stored_search_equals_batch_search(spark, pages):
+    from sitelens.session import scratch_path
+    from sitelens.sources import index_store as ist
+
+    idir, ldir = scratch_path(spark, "t-idx"), scratch_path(spark, "t-lines")
+    ist.write_index(ix.occurrences(pages), idir, n_files=3)
+    ist.write_lines(ln.indexable_lines(pages), ldir, 16)
+    words = ["word", "x", "café"]
+    got = {tuple(r) for r in se.search_stored_words(ist.read_index(spark, idir), ist.read_lines(spark, ldir), words, 16).collect()}
+    assert got == {tuple(r) for r in se.search_words(pages, words).collect()}

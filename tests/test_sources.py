@@ -13,10 +13,21 @@ from sitelens.sources import index_store as ist
 from sitelens.sources import pages as pg
 
 
+def write_text_pages(pages, root):
+    """Test helper: one file per page under ``root/site/`` (small fixtures only)."""
+    import os
+
+    for r in pages.select("path", "html").toLocalIterator():
+        target = os.path.join(root, r["path"])
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        with open(target, "w", encoding="utf-8", newline="") as fh:
+            fh.write(r["html"])
+
+
 def test_scan_text_files_round_trip(spark, small_dir):
     corpus = fx.corpus(spark, small_dir).where(F.col("doc_id") < 60)
     root = tempfile.mkdtemp(prefix="sitelens-pages-")
-    pg.write_text_pages(corpus, root)
+    write_text_pages(corpus, root)
     got = {r["path"]: (r["site"], r["n_bytes"], r["html"]) for r in pg.scan_pages(spark, root).collect()}
     exp = {r["path"]: (r["path"].split("/")[0], len(r["html"].encode()), r["html"]) for r in corpus.collect()}
     assert got == exp
