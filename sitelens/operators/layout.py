@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import site_of
-from ..session import broadcast_if_small
+from ..session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialize
+from ..sources.tables import spread
 from .prefix import running_sums
 
 # Hash salts that make internal and external picks independent.
@@ -43,16 +44,21 @@ def sample_links(pages: DataFrame, n_internal: Column | None = None, n_external:
     (N-P)`` over all pages outside the site.
     """
     p = pages.select("path", site_of("path").alias("site"))
-    within = running_sums(p, keys=["site"], order=["path"], values={"idx": F.lit(1).cast("bigint")})
-    within = within.withColumn("idx", F.col("idx") - 1)
-    ordered = running_sums(within, keys=[], order=["site", "path"], values={"g": F.lit(1).cast("bigint")})
-    ordered = ordered.withColumn("g", F.col("g") - 1)
+    # one chunked pass: the global ordinal over (site, path); a page's ordinal
+    # inside its site is that minus the site's first ordinal
+    ordered = running_sums(p, keys=[], order=["site", "path"], values={"g": F.lit(1).cast("bigint")})
+    # used five times below: written once to the shared folder (the page
+    # count comes from the same job)
+    ordered, n_total = materialize(ordered.select("site", "path", (F.col("g") - 1).alias("g")), "ordinals")
 
     sizes = ordered.groupBy("site").agg(F.count(F.lit(1)).alias("P"), F.min("g").alias("start"))
-    n_sites = sizes.count()
+    sizes, n_sites = materialize(sizes, "site-sizes")
     sizes, _ = broadcast_if_small(sizes)
-    n_pages = F.lit(ordered.count()).cast("bigint")
-    t = ordered.join(sizes, "site", "inner")
+    n_pages = F.lit(n_total).cast("bigint")
+    # each page expands to P//2+1 + W//2+1 candidate rows: spread the pages
+    # over all task slots first (a small table may come back as one file)
+    t = spread(ordered.join(sizes, "site", "inner"), "path").withColumn("idx", F.col("g") - F.col("start"))
+    ordered = t.select("site", "path", "g", "idx")
 
     f = n_internal if n_internal is not None else F.floor(F.col("P") / 2).cast("bigint") + 1
     q = n_external if n_external is not None else F.lit(n_sites // 2 + 1).cast("bigint")
@@ -65,7 +71,14 @@ def sample_links(pages: DataFrame, n_internal: Column | None = None, n_external:
                 .select(F.col("path").alias("src"), F.lit("internal").alias("kind"), "k", "site",
                         ((F.col("idx") + 1 + (F.col("h") % (F.col("P") - 1) + F.col("k")) % (F.col("P") - 1))
                          % F.col("P")).alias("idx")))
-    internal = internal.join(ordered.select("site", "idx", F.col("path").alias("dst")), ["site", "idx"], "inner")
+    # target lookups: a page table proven small (count observed above) is
+    # broadcast so the candidate rows are not shuffled; else a shuffle join
+    small = n_total <= BROADCAST_ROW_LIMIT
+    by_idx = ordered.select("site", "idx", F.col("path").alias("dst"))
+    by_g = ordered.select("g", F.col("path").alias("dst"))
+    if small:
+        by_idx, by_g = F.broadcast(by_idx), F.broadcast(by_g)
+    internal = internal.join(by_idx, ["site", "idx"], "inner")
 
     external = (t.select("path", "P", "start", m.alias("m"), _h(EXTERNAL_SALT, "path").alias("h"),
                          F.explode(_upto(q)).alias("k"))
@@ -74,7 +87,7 @@ def sample_links(pages: DataFrame, n_internal: Column | None = None, n_external:
                 .select("src", "kind", "k",
                         F.when(F.col("pos") < F.col("start"), F.col("pos")).otherwise(F.col("pos") + F.col("P"))
                         .alias("g")))
-    external = external.join(ordered.select("g", F.col("path").alias("dst")), "g", "inner")
+    external = external.join(by_g, "g", "inner")
     cols = ["src", "kind", "k", "dst"]
     return internal.select(*cols).unionByName(external.select(*cols))
 
