@@ -95,7 +95,7 @@ def search_words(pages: DataFrame, words: list[str], compat: bool = False) -> Da
              .where(F.arrays_overlap(T.line_terms("z.line"), ws))
              .select(F.lit(0).cast("bigint").alias("query_id"), "path", F.col("row").cast("bigint").alias("row"),
                      F.col("z.line_no").alias("line_no"), F.col("z.shown").alias("line")))
-    return _rows_of(_group_hits(lines)).drop("query_id")
+    return number_hits(lines).drop("query_id")
 
 
 def search_stored_words(index: DataFrame, lines: DataFrame, words: list[str], n_buckets: int) -> DataFrame:
@@ -108,8 +108,8 @@ def search_stored_words(index: DataFrame, lines: DataFrame, words: list[str], n_
             .select("path", "row", "line_no").distinct()
             .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
     m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")
-    return _rows_of(_group_hits(m.select(F.lit(0).cast("bigint").alias("query_id"), "path", "row", "line_no",
-                                         "line"))).drop("query_id")
+    return number_hits(m.select(F.lit(0).cast("bigint").alias("query_id"), "path", "row", "line_no",
+                                "line")).drop("query_id")
 
 
 def search_hits(pages: DataFrame, qterms: DataFrame) -> DataFrame:
@@ -118,30 +118,25 @@ def search_hits(pages: DataFrame, qterms: DataFrame) -> DataFrame:
     return matching_lines(pages, qterms).select("query_id", "path", "row", "line_no").distinct()
 
 
-def page_hits(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> DataFrame:
-    """``(query_id, path, rows)``: per query and page the sorted distinct hit
-    lines as ``array<struct<row, line_no, line>>`` (bounded by the page)."""
-    return _group_hits(matching_lines(pages, qterms, compat=compat))
-
-
-def _group_hits(m: DataFrame) -> DataFrame:
-    return (m.groupBy("query_id", "path")
-            .agg(F.array_sort(F.collect_set(F.struct("row", "line_no", "line"))).alias("rows")))
-
+def number_hits(m: DataFrame) -> DataFrame:
+    """``(query_id, path, n_rows, f, row, line)`` from matching lines
+    ``(query_id, path, row, line_no, line)``: one shuffle on (query, page);
+    the duplicate removal (a line holding several words of the query) and
+    the window over the page's hits reuse that partitioning.  Everything is
+    sort-based and spillable; a page's hits are bounded by the page."""
+    from pyspark.sql import Window as W
 
-def _rows_of(ph: DataFrame) -> DataFrame:
-    return (posexplode_rows(ph, ["query_id", "path", F.size("rows").cast("bigint").alias("n_rows")],
-                            F.col("rows"), "f", "h")
-            .select("query_id", "path", "n_rows", F.col("f").cast("bigint").alias("f"),
-                    F.col("h.row").alias("row"), F.col("h.line").alias("line")))
+    m = m.repartition("query_id", "path").dropDuplicates(["query_id", "path", "row", "line_no"])
+    page = W.partitionBy("query_id", "path")
+    return m.select("query_id", "path", F.count(F.lit(1)).over(page).cast("bigint").alias("n_rows"),
+                    (F.row_number().over(page.orderBy("row")) - 1).cast("bigint").alias("f"), "row", "line")
 
 
 def search_rows(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> DataFrame:
     """``(query_id, path, n_rows, f, row, line)``: hits with the text of the
     line, the number of hit lines of the page and the 0-based ordinal ``f``
-    of the hit in its page (ascending row).  One shuffle: the group by page;
-    the ordinal is the position in the page's sorted hit list, no window."""
-    return _rows_of(page_hits(pages, qterms, compat=compat))
+    of the hit in its page (ascending row)."""
+    return number_hits(matching_lines(pages, qterms, compat=compat).drop("term"))
 
 
 # Fixed value: most query words written into a scan predicate as literals.
@@ -168,7 +163,7 @@ def search_stored(index: DataFrame, lines: DataFrame, qterms: DataFrame, n_bucke
     hits = (index.join(probe, "term", "inner").select("query_id", "path", "row", "line_no").distinct()
             .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
     m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")
-    return _rows_of(_group_hits(m.select("query_id", "path", "row", "line_no", "line")))
+    return number_hits(m.select("query_id", "path", "row", "line_no", "line"))
 
 
 def hit_ordinal(pages: DataFrame, qterms: DataFrame) -> DataFrame:
