@@ -55,6 +55,17 @@ def postings(pages: DataFrame) -> DataFrame:
                     F.col("p.offsets").alias("offsets")))
 
 
+def page_term_counts(pages: DataFrame) -> DataFrame:
+    """``(term, path, fr)``: postings without offsets, for consumers that need
+    only frequencies (lexicon, ranking, extreme counts).  Per page the terms
+    are one sorted string array cut into runs: no row bookkeeping."""
+    terms = F.flatten(F.transform(F.col("ix"), lambda z: T.line_terms(z["line"])))
+    sorted_terms = with_indexable(pages).select("path", F.array_sort(terms).alias("s"))
+    runs = sorted_terms.select("path", "s", T.sorted_runs("s").alias("st"))
+    return (explode_rows(runs, ["path"], T.term_counts("s", "st"), "o")
+            .select(F.col("o.term").alias("term"), "path", F.col("o.tf").alias("fr")))
+
+
 def postings_from_occurrences(occ: DataFrame) -> DataFrame:
     """Same postings from a stored occurrence table (groups by term and page)."""
     return (occ.groupBy("term", "path")

@@ -63,7 +63,7 @@ def q_postings(spark, sf_dir):
 
 @query("lexicon")
 def q_lexicon(spark, sf_dir):
-    return ix.lexicon(ix.postings(pages(spark, sf_dir)))
+    return ix.lexicon(ix.page_term_counts(pages(spark, sf_dir)))
 
 
 # --- search -----------------------------------------------------------------
@@ -84,7 +84,7 @@ def q_query_terms(spark, sf_dir):
 
 @query("query_word_filter")
 def q_query_word_filter(spark, sf_dir):
-    lex = ix.lexicon(ix.postings(pages(spark, sf_dir)))
+    lex = ix.lexicon(ix.page_term_counts(pages(spark, sf_dir)))
     return se.query_word_filter(lex, qterms(spark, sf_dir)).select("query_id", "term", "df", "cf")
 
 
@@ -125,12 +125,12 @@ def q_search_ordered(spark, sf_dir):
 
 @query("rank_pages")
 def q_rank_pages(spark, sf_dir):
-    return se.rank_pages(ix.postings(pages(spark, sf_dir)), qterms(spark, sf_dir), k=TOP_K)
+    return se.rank_pages(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir), k=TOP_K)
 
 
 @query("rank_sites")
 def q_rank_sites(spark, sf_dir):
-    return se.rank_sites(ix.postings(pages(spark, sf_dir)), qterms(spark, sf_dir), k=TOP_K)
+    return se.rank_sites(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir), k=TOP_K)
 
 
 @query("union_rows")
@@ -147,12 +147,12 @@ def q_search_report(spark, sf_dir):
 
 @query("max_count")
 def q_max_count(spark, sf_dir):
-    return ix.max_count(ix.postings(pages(spark, sf_dir)), qterms(spark, sf_dir))
+    return ix.max_count(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir))
 
 
 @query("min_count")
 def q_min_count(spark, sf_dir):
-    return ix.min_count(ix.postings(pages(spark, sf_dir)), qterms(spark, sf_dir))
+    return ix.min_count(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir))
 
 
 # --- link graph -------------------------------------------------------------

@@ -208,3 +208,9 @@ def test_stored_search_equals_batch_search(spark, pages):
     words = ["word", "x", "café"]
     got = {tuple(r) for r in se.search_stored_words(ist.read_index(spark, idir), ist.read_lines(spark, ldir), words, 16).collect()}
     assert got == {tuple(r) for r in se.search_words(pages, words).collect()}
+
+
+def test_page_term_counts_equal_postings(pages):
+    a = {(r["term"], r["path"], r["fr"]) for r in ix.page_term_counts(pages).collect()}
+    b = {(r["term"], r["path"], r["fr"]) for r in ix.postings(pages).collect()}
+    assert a == b
