@@ -28,7 +28,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
             .select(F.col("o.term").alias("term"), "path", "row", "line_no", F.col("o.tf").alias("tf")))
 
 
-def postings(pages: DataFrame) -> DataFrame:
+def postings(pages: DataFrame, vocab: list[str] | None = None) -> DataFrame:
     """``(term, path, fr, offsets)``: ``fr`` occurrences of the term in the
     page, ``offsets`` the sorted distinct rows holding it.
 
@@ -50,19 +50,26 @@ def postings(pages: DataFrame) -> DataFrame:
         return F.struct(F.col("s")[b].alias("term"), (end - b).cast("bigint").alias("fr"),
                         F.array_distinct(F.slice("rw", b + 1, end - b)).alias("offsets"))
 
-    return (explode_rows(runs, ["path"], F.transform("st", posting), "p")
+    return (explode_rows(runs, ["path"], _keep(F.transform("st", posting), vocab), "p")
             .select(F.col("p.term").alias("term"), "path", F.col("p.fr").alias("fr"),
                     F.col("p.offsets").alias("offsets")))
 
 
-def page_term_counts(pages: DataFrame) -> DataFrame:
+def _keep(arr, vocab: list[str] | None):
+    """Keep only postings of ``vocab`` words, inside the row, before the
+    explode (``isin`` on a literal list is a hash-set lookup)."""
+    return arr if vocab is None else F.filter(arr, lambda o: o["term"].isin(vocab))
+
+
+def page_term_counts(pages: DataFrame, vocab: list[str] | None = None) -> DataFrame:
     """``(term, path, fr)``: postings without offsets, for consumers that need
     only frequencies (lexicon, ranking, extreme counts).  Per page the terms
-    are one sorted string array cut into runs: no row bookkeeping."""
+    are one sorted string array cut into runs: no row bookkeeping.  With
+    ``vocab`` only those words' rows are produced."""
     terms = F.flatten(F.transform(F.col("ix"), lambda z: T.line_terms(z["line"])))
     sorted_terms = with_indexable(pages).select("path", F.array_sort(terms).alias("s"))
     runs = sorted_terms.select("path", "s", T.sorted_runs("s").alias("st"))
-    return (explode_rows(runs, ["path"], T.term_counts("s", "st"), "o")
+    return (explode_rows(runs, ["path"], _keep(T.term_counts("s", "st"), vocab), "o")
             .select(F.col("o.term").alias("term"), "path", F.col("o.tf").alias("fr")))
 
 

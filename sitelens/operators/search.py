@@ -43,12 +43,35 @@ def query_terms(queries: DataFrame, raw: str = "raw", max_terms: int | None = No
     return explode_rows(queries, ["query_id"], terms, "term").distinct()
 
 
+# Fixed value: most query words written into a scan predicate as literals.
+IN_LIST_LIMIT = 10_000
+
+
 def _probe(qterms: DataFrame) -> DataFrame:
     """The query-term table, broadcast when a count proves it small."""
     q, _ = broadcast_if_small(qterms.select("query_id", "term"))
     return q
 
 
+def probe_and_vocab(qterms: DataFrame) -> tuple[DataFrame, list[str] | None]:
+    """Probe table and query vocabulary from one bounded collect.
+
+    Up to ``IN_LIST_LIMIT`` (query, word) rows are collected: then the probe
+    is broadcast and the vocabulary filters terms inside each row before any
+    explode (``isin`` on a literal list is a hash-set lookup).  Above the
+    bound nothing is collected: a size-checked probe and no pre-filter."""
+    spark = qterms.sparkSession
+    rows = qterms.select("query_id", "term").limit(IN_LIST_LIMIT + 1).collect()
+    if len(rows) <= IN_LIST_LIMIT:
+        probe = F.broadcast(spark.createDataFrame(rows, "query_id bigint, term string"))
+        return probe, sorted({r["term"] for r in rows})
+    return _probe(qterms), None
+
+
+def _only(terms, vocab: list[str] | None):
+    return terms if vocab is None else F.filter(terms, lambda t: t.isin(vocab))
+
+
 def query_word_filter(words: DataFrame, qterms: DataFrame, word: str = "term") -> DataFrame:
     """Rows of ``words`` whose word is one of a query's words, tagged with the
     query id (exact, case-sensitive match)."""
@@ -68,11 +91,13 @@ def matching_lines(pages: DataFrame, qterms: DataFrame, compat: bool = False) ->
     else:
         arr = F.transform("ix", lambda z: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
                                                    z["line"].alias("shown")))
+    probe, vocab = probe_and_vocab(qterms)
     lines = (posexplode_rows(base, ["path"], arr, "row", "z")
              .select("path", F.col("row").cast("bigint").alias("row"), F.col("z.line_no").alias("line_no"),
-                     F.col("z.shown").alias("line"), F.array_distinct(T.line_terms("z.line")).alias("terms")))
+                     F.col("z.shown").alias("line"),
+                     _only(F.array_distinct(T.line_terms("z.line")), vocab).alias("terms")))
     return (explode_rows(lines, ["path", "row", "line_no", "line"], F.col("terms"), "term")
-            .join(_probe(qterms), "term", "inner")
+            .join(probe, "term", "inner")
             .select("query_id", "path", "row", "line_no", "line", "term"))
 
 
@@ -139,10 +164,6 @@ def search_rows(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> Da
     return number_hits(matching_lines(pages, qterms, compat=compat).drop("term"))
 
 
-# Fixed value: most query words written into a scan predicate as literals.
-IN_LIST_LIMIT = 10_000
-
-
 def search_stored(index: DataFrame, lines: DataFrame, qterms: DataFrame, n_buckets: int) -> DataFrame:
     """:func:`search_rows` against a stored index and line store
     (:mod:`sitelens.sources.index_store`): per query only the index row
@@ -152,14 +173,10 @@ def search_stored(index: DataFrame, lines: DataFrame, qterms: DataFrame, n_bucke
     path bucket)."""
     from ..sources.index_store import path_bucket
 
-    spark = index.sparkSession
-    rows = qterms.select("query_id", "term").limit(IN_LIST_LIMIT + 1).collect()
-    if len(rows) <= IN_LIST_LIMIT:
-        # proven small: one job gives both the scan predicate and the probe table
-        index = index.where(F.col("term").isin(sorted({r["term"] for r in rows})))
-        probe = F.broadcast(spark.createDataFrame(rows, "query_id bigint, term string"))
-    else:
-        probe = _probe(qterms)
+    probe, vocab = probe_and_vocab(qterms)
+    if vocab is not None:
+        # proven small: the words become a scan predicate pushed to parquet
+        index = index.where(F.col("term").isin(vocab))
     hits = (index.join(probe, "term", "inner").select("query_id", "path", "row", "line_no").distinct()
             .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
     m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")

@@ -125,17 +125,23 @@ def q_search_ordered(spark, sf_dir):
 
 @query("rank_pages")
 def q_rank_pages(spark, sf_dir):
-    return se.rank_pages(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir), k=TOP_K)
+    q = qterms(spark, sf_dir)
+    _, vocab = se.probe_and_vocab(q)
+    return se.rank_pages(ix.page_term_counts(pages(spark, sf_dir), vocab), q, k=TOP_K)
 
 
 @query("rank_sites")
 def q_rank_sites(spark, sf_dir):
-    return se.rank_sites(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir), k=TOP_K)
+    q = qterms(spark, sf_dir)
+    _, vocab = se.probe_and_vocab(q)
+    return se.rank_sites(ix.page_term_counts(pages(spark, sf_dir), vocab), q, k=TOP_K)
 
 
 @query("union_rows")
 def q_union_rows(spark, sf_dir):
-    u = se.union_rows(ix.postings(pages(spark, sf_dir)), qterms(spark, sf_dir))
+    q = qterms(spark, sf_dir)
+    _, vocab = se.probe_and_vocab(q)
+    u = se.union_rows(ix.postings(pages(spark, sf_dir), vocab), q)
     return u.select("query_id", "path", F.array_join("rows", "-").alias("rows_text"), "n_rows")
 
 
