@@ -177,9 +177,16 @@ def inlink_audit(link_edges: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.select("path").join(targets, "path", "left_anti").select("path", site_of("path").alias("site"))
 
 
+def inlink_coverage(link_edges: DataFrame, pages: DataFrame) -> DataFrame:
+    """One row ``(n_pages, n_unlinked, all_linked)``: the generator's
+    self-check, done right (does every page have an incoming link?)."""
+    deg = in_degree(link_edges, pages)
+    return deg.agg(F.count(F.lit(1)).alias("n_pages"),
+                   F.count(F.when(F.col("in_degree") == 0, True)).alias("n_unlinked")).select(
+        "n_pages", "n_unlinked", (F.col("n_unlinked") == 0).alias("all_linked"))
+
+
 def all_pages_linked(link_edges: DataFrame, pages: DataFrame) -> bool:
-    """The generator's self-check, done right: does every page have an
-    incoming link?"""
     return inlink_audit(link_edges, pages).limit(1).count() == 0
 
 

@@ -364,3 +364,20 @@ def q_search_command(spark, sf_dir):
     q = fx.search_queries(spark, sf_dir)
     words = q.orderBy("query_id").select(se.command_words("raw").alias("w")).first()["w"][1:]
     return se.search_words(pages(spark, sf_dir), words)
+
+
+@query("search_totals")
+def q_search_totals(spark, sf_dir):
+    return se.search_totals(se.search_summary(pages(spark, sf_dir), qterms(spark, sf_dir)))
+
+
+@query("in_degree")
+def q_in_degree(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    return gr.in_degree(gr.edges(p), p)
+
+
+@query("inlink_coverage")
+def q_inlink_coverage(spark, sf_dir):
+    p = pages(spark, sf_dir)
+    return gr.inlink_coverage(gr.edges(p), p)

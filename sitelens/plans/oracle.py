@@ -349,3 +349,11 @@ LEFT JOIN (SELECT qkey, count(DISTINCT path) AS n_pages, count(*) AS n_rows FROM
 oracle("search_stored", ORACLES["search_rows"][0], *ORACLES["search_rows"][1])
 oracle("search_command", """SELECT path, n_rows, f, row, line FROM search_rows
 WHERE query_id = (SELECT min(query_id) FROM search_queries)""", "search_rows", "search_queries")
+oracle("search_totals", """SELECT query_id, CAST(count(DISTINCT path) AS BIGINT) AS n_pages,
+  CAST(count(*) AS BIGINT) AS n_rows FROM hit_lines GROUP BY query_id""", "hit_lines")
+cte("in_degree", """SELECT c.path, CAST(count(DISTINCT e.src) AS BIGINT) AS in_degree
+FROM corpus AS c LEFT JOIN edges AS e ON fetch_path(e.dst) = c.path GROUP BY c.path""", "corpus", "edges")
+oracle("in_degree", "SELECT path, in_degree FROM in_degree", "in_degree")
+oracle("inlink_coverage", """SELECT CAST(count(*) AS BIGINT) AS n_pages,
+  CAST(count(*) FILTER (WHERE in_degree = 0) AS BIGINT) AS n_unlinked,
+  count(*) FILTER (WHERE in_degree = 0) = 0 AS all_linked FROM in_degree""", "in_degree")

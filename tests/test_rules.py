@@ -214,3 +214,12 @@ def test_page_term_counts_equal_postings(pages):
     a = {(r["term"], r["path"], r["fr"]) for r in ix.page_term_counts(pages).collect()}
     b = {(r["term"], r["path"], r["fr"]) for r in ix.postings(pages).collect()}
     assert a == b
+
+
+def test_max_terms_option(spark):
+    raw = "SEARCH " + " ".join(f"w{i}" for i in range(14)) + "\r\n"
+    q = _queries(spark, [raw])
+    assert {r["term"] for r in se.query_terms(q, max_terms=10).collect()} == {f"w{i}" for i in range(10)}
+    assert se.query_terms(q).count() == 14
+    c = tr.command_log(spark.createDataFrame([(0, raw)], "event_id long, raw string"), max_terms=10).first()
+    assert c["terms"] == [f"w{i}" for i in range(10)]
