@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the text rules.
-LINE_SEP = "\n"          # lines end at LF; CR stays in the line
-TERM_SEP = " "           # terms are split on the space byte only
-MARKUP_LIKE = "<_%"      # '<' plus at least one more character marks a markup line
-WORD_END_PATTERN = "[^ \n]+[ \n]"   # a counted word is followed by a space or LF
+from ..fixed import LINE_SEP, MARKUP_FIRST_CHAR, TERM_SEP, WORD_ENDS
+
+MARKUP_LIKE = MARKUP_FIRST_CHAR + "_%"           # the marker plus at least one more character
+WORD_END_PATTERN = f"[^{WORD_ENDS}]+[{WORD_ENDS}]"  # a counted word is followed by a word end
 
 
 def _col(c) -> Column:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An anchor starts at the literal '<a href=' and its target is
-# the first double-quoted string after it, within the same line.
-LINK_PATTERN = '<a href=[^"\n]*"([^"\n]+)'
-PARENT_PREFIX = "../"
+from ..fixed import ANCHOR, PARENT_PREFIX, QUOTE
+
+# the target is the first quoted, non-empty string after the anchor literal,
+# within the same line
+LINK_PATTERN = f'{ANCHOR}[^{QUOTE}\n]*{QUOTE}([^{QUOTE}\n]+)'
 
 
 def _col(c) -> Column:

@@ -19,11 +19,9 @@ from ..functions.arrays import explode_rows
 from ..functions.urls import href_targets, normalize_url, site_of
 from ..session import BROADCAST_ROW_LIMIT, checkpoint_count, cut_lineage
 
-# Fixed values of the crawl rules.
-STATUS_OK = 200
-STATUS_FORBIDDEN = 403
-STATUS_MISSING = 404
-IN_PROGRESS = "Crawling still in progress.Sorry."
+from ..fixed import IN_PROGRESS_REPLY as IN_PROGRESS
+from ..fixed import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK
+
 READY = "ready"
 
 

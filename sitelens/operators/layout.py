@@ -18,7 +18,7 @@ from ..session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialize
 from ..sources.tables import spread
 from .prefix import running_sums
 
-# Hash salts that make internal and external picks independent.
+# Hash salts that make internal and external picks independent.
 INTERNAL_SALT = "int:"
 EXTERNAL_SALT = "ext:"
 

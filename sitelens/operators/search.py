@@ -19,9 +19,10 @@ from ..session import broadcast_if_small
 from . import index as ix
 from .lines import with_indexable
 
-# Fixed reply texts.
-NO_RESULTS = "No results found"
-QUERY_SEPARATORS = "[ \r\n]"
+from ..fixed import NO_RESULTS, RESULT_HEADER_FORMAT, RESULT_ROW_SEPARATOR
+from ..fixed import QUERY_SEPARATORS as _SEPS
+
+QUERY_SEPARATORS = f"[{_SEPS}]"
 
 
 def command_words(raw) -> Column:
@@ -43,7 +44,7 @@ def query_terms(queries: DataFrame, raw: str = "raw", max_terms: int | None = No
     return explode_rows(queries, ["query_id"], terms, "term").distinct()
 
 
-# Fixed value: most query words written into a scan predicate as literals.
+# Tuning: most query words written into a scan predicate as literals.
 IN_LIST_LIMIT = 10_000
 
 
@@ -251,9 +252,10 @@ def search_report(rows: DataFrame, queries: DataFrame) -> DataFrame:
     no hit gets one ``No results found`` row.  Order by (query_id, path, f)."""
     heads = (rows.select("query_id", "path", "n_rows").distinct()
              .select("query_id", "path", F.lit(-1).cast("bigint").alias("f"),
-                     F.concat(F.col("path"), F.lit(" : "), F.col("n_rows").cast("string"), F.lit(" ")).alias("text")))
+                     F.format_string(RESULT_HEADER_FORMAT, F.col("path"), F.col("n_rows")).alias("text")))
     body = rows.select("query_id", "path", "f",
-                       F.concat_ws(",", F.col("f").cast("string"), F.col("row").cast("string"), F.col("line")).alias("text"))
+                       F.concat_ws(RESULT_ROW_SEPARATOR, F.col("f").cast("string"), F.col("row").cast("string"),
+                                   F.col("line")).alias("text"))
     answered = rows.select("query_id").distinct()
     none = (queries.select("query_id").distinct().join(answered, "query_id", "left_anti")
             .select("query_id", F.lit(None).cast("string").alias("path"), F.lit(-1).cast("bigint").alias("f"),

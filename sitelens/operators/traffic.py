@@ -16,20 +16,18 @@ from .graph import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK, page_index
 from .prefix import running_sums
 from .search import command_words
 
-# Command texts, verbs and replies.
-STATS_COMMAND = "STATS\r\n"
-SHUTDOWN_COMMAND = "SHUTDOWN\r\n"
-SEARCH_VERB_PATTERN = r"^ *SEARCH( |\z)"
-REQUEST_PATTERN = r"^ *Get +([^ ]+)"
-UNKNOWN_REPLY = "Sorry , I don't serve this command."
-SERVER_STATS_FORMAT = "Server up for %s , %d pages have been served ,%d bytes."
+from ..fixed import REQUEST_VERB, SEARCH_VERB, SERVER_STATS_FORMAT, SHUTDOWN_COMMAND, STATS_COMMAND, UNKNOWN_REPLY
+
+# the first space-separated word is the verb (leading spaces skipped)
+SEARCH_VERB_PATTERN = rf"^ *{SEARCH_VERB}( |\z)"
+REQUEST_PATTERN = rf"^ *{REQUEST_VERB} +([^ ]+)"
 
 
 def request_log(requests: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds ``req_path``: the word after a first word exactly ``Get``, with
     one leading ``../`` stripped (the server's strip); NULL otherwise."""
     r = F.col(raw)
-    path = F.when(r.rlike(r"^ *Get +[^ ]"), normalize_url(F.regexp_extract(r, REQUEST_PATTERN, 1), 1))
+    path = F.when(r.rlike(rf"^ *{REQUEST_VERB} +[^ ]"), normalize_url(F.regexp_extract(r, REQUEST_PATTERN, 1), 1))
     return requests.withColumn("req_path", path)
 
 

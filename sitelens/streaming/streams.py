@@ -27,7 +27,7 @@ from ..sources import fixtures as fx
 from ..sources import index_store as ist
 from ..sources.tables import read_table, spread
 
-NO_RESULTS = "No results found"
+from ..fixed import NO_RESULTS  # noqa: E402
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
