@@ -4,9 +4,10 @@ The crawl is a breadth-first fixpoint run as a driver loop of DataFrame
 rounds (Spark 4.1 recursive CTEs only allow UNION ALL, which does not stop on
 cycles).  Each round cuts its lineage with a reliable checkpoint into the
 shared checkpoint folder, so a lost executor recomputes at most one round.
-Edges and the page index are hash-partitioned once and checkpointed; a small
-frontier is broadcast (after a count) and probes them without shuffling
-them, a large one is shuffled onto their existing partitioning.
+The fetch status of every link target is attached to the links once and
+checkpointed; a small frontier is broadcast (its size is the previous
+round's count) and probes that link table without shuffling it, a large one
+is shuffle-joined.
 """
 
 from __future__ import annotations
@@ -115,9 +116,8 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds
     not returned); ``max_rounds`` is a safety cap that raises, never trims.
     """
     spark: SparkSession = pages.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pidx = page_index(pages)
-    linked = cut_lineage(edge_status(edges(pages.where(F.col("readable"))), pidx).repartition(n_parts, "src"))
+    linked = cut_lineage(edge_status(edges(pages.where(F.col("readable"))), pidx))
 
     start_df = spark.createDataFrame([(start, 0)], "path string, depth bigint")
     current = cut_lineage(with_status(start_df, pidx, 1))
