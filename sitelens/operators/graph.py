@@ -12,13 +12,15 @@ is shuffle-joined.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..functions.urls import href_targets, normalize_url, site_of
-from ..session import BROADCAST_ROW_LIMIT, checkpoint_count, cut_lineage
+from ..session import BROADCAST_ROW_LIMIT, checkpoint_count, cut_lineage, scratch_path
 
 from ..fixed import IN_PROGRESS_REPLY as IN_PROGRESS
 from ..fixed import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK
@@ -92,19 +94,40 @@ def edge_status(link_edges: DataFrame, pidx: DataFrame) -> DataFrame:
                     _bytes(F.col("found"), F.col("readable"), F.col("n_bytes")).alias("bytes"))
 
 
-def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, n_frontier: int | None = None) -> DataFrame:
+def frontier_step(frontier: DataFrame, linked: DataFrame, seen, n_frontier: int | None = None) -> DataFrame:
     """One crawl round: targets of links of the frontier's readable pages
     (``status`` 200, looked up at ``fetch``) whose key was never seen.
-    ``linked`` is :func:`edge_status`; ``-> (path, fetch, status, bytes)``.
+    ``linked`` is :func:`edge_status`; ``seen`` a DataFrame with ``path`` or
+    a list of them (one per earlier round); ``-> (path, fetch, status, bytes)``.
 
     A frontier proven small is broadcast and the link table is streamed
-    without a shuffle; a large one is shuffle-joined."""
+    without a shuffle; a large one is shuffle-joined.  The candidates are
+    deduplicated on ``path`` and anti-joined with each earlier round in turn:
+    rounds stored as tables bucketed on ``path`` are read in place, so only
+    the candidates are shuffled (once), never the URLs seen so far."""
     srcs = frontier.where(F.col("status") == STATUS_OK).select(F.col("fetch").alias("src"))
     n = n_frontier if n_frontier is not None else BROADCAST_ROW_LIMIT + 1
     if n <= BROADCAST_ROW_LIMIT:
         srcs = F.broadcast(srcs)
-    cand = linked.join(srcs, "src", "left_semi").select("path", "fetch", "status", "bytes").distinct()
-    return cand.join(seen.select("path"), "path", "left_anti")
+    cand = linked.join(srcs, "src", "left_semi").select("path", "fetch", "status", "bytes").dropDuplicates(["path"])
+    for r in (seen if isinstance(seen, list) else [seen]):
+        cand = cand.join(r.select("path"), "path", "left_anti")
+    return cand
+
+
+def _round_table(df: DataFrame, n_buckets: int, name: str) -> tuple[DataFrame, str, str, int]:
+    """Write a crawl round as an external table bucketed and sorted on
+    ``path`` in the shared folder (one job; the row count is observed in it).
+    Returns the table, its folder, its catalog name and its row count."""
+    from pyspark.sql import Observation
+
+    spark = df.sparkSession
+    table = f"sitelens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    folder = scratch_path(spark, name)
+    obs = Observation(table)
+    (df.observe(obs, F.count(F.lit(1)).alias("n")).repartition(n_buckets, "path")
+     .write.format("parquet").option("path", folder).bucketBy(n_buckets, "path").sortBy("path").saveAsTable(table))
+    return spark.table(table), folder, table, int(obs.get.get("n", 0) or 0)
 
 
 def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds: int = 100_000) -> DataFrame:
@@ -114,37 +137,73 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds
 
     ``max_depth`` stops fetching after that depth (rows deeper than it are
     not returned); ``max_rounds`` is a safety cap that raises, never trims.
+
+    Each round is one job that cuts the lineage in the shared folder, and
+    its row count is observed in that job, so the size of the seen set is
+    known exactly.  While it is under the broadcast bound, rounds are
+    checkpoints and the seen set is broadcast to the anti-join (nothing but
+    the candidates moves).  Past the bound the seen set is written once as a
+    table bucketed on ``path``; from then on every round is such a table and
+    the candidates are merged against them in place (no shuffle of the
+    seen set in any round).
     """
     spark: SparkSession = pages.sparkSession
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pidx = page_index(pages)
     linked = cut_lineage(edge_status(edges(pages.where(F.col("readable"))), pidx))
 
+    cols = ["path", "depth", "fetch", "status", "bytes"]
     start_df = spark.createDataFrame([(start, 0)], "path string, depth bigint")
-    current = cut_lineage(with_status(start_df, pidx, 1))
-    rounds = [current]
-    n_current = 1
-    depth = 0
-    while n_current > 0:
-        if max_depth is not None and depth >= max_depth:
-            break
-        if depth >= max_rounds:
-            raise RuntimeError(f"crawl did not finish within {max_rounds} rounds")
-        seen = rounds[0].select("path")
-        for r in rounds[1:]:
-            seen = seen.unionByName(r.select("path"))
-        new = frontier_step(current, linked, seen, n_current).withColumn("depth", F.lit(depth + 1).cast("bigint"))
-        # one checkpoint per round (the lineage and the plan stay one round
-        # deep); the row count is observed in the same job
-        nxt, n_next = checkpoint_count(new.select("path", "depth", "fetch", "status", "bytes"), f"crawl_{depth + 1}")
-        if n_next == 0:
-            break
-        rounds.append(nxt)
-        current, n_current = nxt, n_next
-        depth += 1
-    out = rounds[0]
-    for r in rounds[1:]:
-        out = out.unionByName(r)
-    return out.select("path", "depth", "status", "bytes")
+    current, _ = checkpoint_count(with_status(start_df, pidx, 1).select(*cols), "crawl_0")
+    out_parts = [current]          # every round, for the result
+    bucketed: list[DataFrame] = []  # the seen set as bucketed tables (large mode)
+    tables: list[str] = []
+    n_current, n_seen, depth = 1, 1, 0
+    try:
+        while n_current > 0:
+            if max_depth is not None and depth >= max_depth:
+                break
+            if depth >= max_rounds:
+                raise RuntimeError(f"crawl did not finish within {max_rounds} rounds")
+            if not bucketed and n_seen <= BROADCAST_ROW_LIMIT:
+                seen = out_parts[0].select("path")
+                for r in out_parts[1:]:
+                    seen = seen.unionByName(r.select("path"))
+                seen_list = [F.broadcast(seen)]  # proven small by the observed counts
+            else:
+                if not bucketed:  # switch once: the seen set so far becomes one bucketed table
+                    seen = out_parts[0]
+                    for r in out_parts[1:]:
+                        seen = seen.unionByName(r)
+                    t, _, name, _ = _round_table(seen.select(*cols), n_buckets, "crawl-seen")
+                    bucketed.append(t)
+                    tables.append(name)
+                seen_list = bucketed
+            new = frontier_step(current, linked, seen_list, n_current).withColumn("depth", F.lit(depth + 1).cast("bigint"))
+            if bucketed:
+                nxt, folder, name, n_next = _round_table(new.select(*cols), n_buckets, f"crawl-{depth + 1}")
+                tables.append(name)
+                if n_next:
+                    bucketed.append(nxt)
+                    nxt = spark.read.schema(nxt.schema).parquet(folder)  # result side: no catalog entry
+            else:
+                nxt, n_next = checkpoint_count(new.select(*cols), f"crawl_{depth + 1}")
+            if n_next == 0:
+                break
+            out_parts.append(nxt)
+            current, n_current = nxt, n_next
+            n_seen += n_next
+            depth += 1
+        out = out_parts[0]
+        for r in out_parts[1:]:
+            out = out.unionByName(r)
+        # the result is cut from the round tables before their catalog entries go
+        out = cut_lineage(out.select("path", "depth", "status", "bytes")) if tables else \
+            out.select("path", "depth", "status", "bytes")
+    finally:
+        for t in tables:  # external tables: the folders stay, the catalog entries go
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+    return out
 
 
 def seen_urls(link_edges: DataFrame, start: str) -> DataFrame:

@@ -223,3 +223,17 @@ def test_max_terms_option(spark):
     assert se.query_terms(q).count() == 14
     c = tr.command_log(spark.createDataFrame([(0, raw)], "event_id long, raw string"), max_terms=10).first()
     assert c["terms"] == [f"w{i}" for i in range(10)]
+
+
+def test_crawl_large_mode_equals_small_mode(graph_pages, spark, small_dir, monkeypatch):
+    """With a tiny broadcast bound the crawl takes its large-data path: no
+    broadcast frontier, seen set as bucketed tables.  Same result."""
+    from sitelens.sources import fixtures as fx
+
+    small = {tuple(r) for r in gr.crawl(graph_pages, "start.html").collect()}
+    corpus = fx.corpus(spark, small_dir)
+    small_corpus = {tuple(r) for r in gr.crawl(corpus, fx.START_PAGE).collect()}
+    monkeypatch.setattr(gr, "BROADCAST_ROW_LIMIT", 2)
+    assert {tuple(r) for r in gr.crawl(graph_pages, "start.html").collect()} == small
+    assert {tuple(r) for r in gr.crawl(corpus, fx.START_PAGE).collect()} == small_corpus
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("sitelens_")]
