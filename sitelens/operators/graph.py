@@ -230,7 +230,9 @@ def in_degree(link_edges: DataFrame, pages: DataFrame) -> DataFrame:
 
 def inlink_audit(link_edges: DataFrame, pages: DataFrame) -> DataFrame:
     """``(path, site)``: pages that no link points to."""
-    targets = link_edges.select(fetch_path("dst").alias("path"))
+    # distinct first: a page linked from a third of all pages collapses to one
+    # row per task (map-side) before the anti-join's shuffle
+    targets = link_edges.select(fetch_path("dst").alias("path")).distinct()
     return pages.select("path").join(targets, "path", "left_anti").select("path", site_of("path").alias("site"))
 
 
@@ -249,7 +251,7 @@ def all_pages_linked(link_edges: DataFrame, pages: DataFrame) -> bool:
 
 def unreached_pages(pages: DataFrame, crawled: DataFrame) -> DataFrame:
     """``(path)``: pages that exist but the crawl never requests."""
-    asked = crawled.select(fetch_path("path").alias("path"))
+    asked = crawled.select(fetch_path("path").alias("path")).distinct()
     return pages.select("path").join(asked, "path", "left_anti")
 
 
