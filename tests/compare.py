@@ -80,7 +80,9 @@ def main(argv):
     from sitelens.session import get_spark
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark(shuffle_partitions=8)
+    import os
+
+    spark = get_spark(shuffle_partitions=8, driver_memory=os.environ.get("COMPARE_DRIVER_MEMORY", "8g"))
     import __spark_entry__ as E
 
     keys = argv[2:] or list(E.queries())
