@@ -1,10 +1,11 @@
 """Multi-word search (OR semantics) over page tables, ranking and reports.
 
 Plan shape for a batch of queries: pages -> indexable lines (in-row) ->
-distinct terms per line -> hash join with the *broadcast* query-term table
-(size checked first) -> group by (query, page).  Only hits cross a shuffle;
-the corpus is never shuffled, and a term found on a third of all lines is
-just a probe into the broadcast table.
+distinct terms per line, kept only if they are query words (a literal
+hash-set test, when the vocabulary is proven small) -> hash join with the
+*broadcast* query-term table -> one shuffle on (query, page) that numbers
+the hits.  Only hits cross a shuffle; the corpus is never shuffled, and a
+term found on a third of all lines is just a probe into the broadcast table.
 """
 
 from __future__ import annotations
