@@ -53,11 +53,12 @@ def command_log(cmds: DataFrame, raw: str = "raw", max_terms: int | None = None)
             .withColumn("reply", F.when(F.col("kind") == "UNKNOWN", F.lit(UNKNOWN_REPLY))))
 
 
-def _with_status(reqs: DataFrame, pages: DataFrame) -> DataFrame:
+def _with_status(reqs: DataFrame, pages: DataFrame | None, pidx: DataFrame | None = None) -> DataFrame:
     """Left join on the requested path.  A page requested by a third of all
     requests is a skewed join key: AQE's skew-join split handles it (the
-    request side of a left outer join can be split)."""
-    pidx = page_index(pages).withColumnRenamed("path", "req_path")
+    request side of a left outer join can be split).  ``pidx`` is a stored
+    :func:`page_index` (used instead of ``pages`` when given)."""
+    pidx = (pidx if pidx is not None else page_index(pages)).withColumnRenamed("path", "req_path")
     j = reqs.join(pidx, "req_path", "left")
     found = F.col("readable").isNotNull()
     status = (F.when(F.col("req_path").isNull(), F.lit(None))
@@ -68,12 +69,12 @@ def _with_status(reqs: DataFrame, pages: DataFrame) -> DataFrame:
     return j.withColumn("status", status).withColumn("bytes", F.when(F.col("req_path").isNotNull(), nbytes))
 
 
-def request_status(requests: DataFrame, pages: DataFrame) -> DataFrame:
+def request_status(requests: DataFrame, pages: DataFrame | None, pidx: DataFrame | None = None) -> DataFrame:
     """``(event_id, ts, server, path, status, bytes)`` for page requests: 404
     without a page, 403 for an unreadable one, else 200 with its bytes.
     Requests that do not parse (not ``Get``) have no path and are left out."""
     reqs = request_log(requests).where(~F.col("is_cmd") & F.col("req_path").isNotNull())
-    return _with_status(reqs, pages).select("event_id", "ts", "server", F.col("req_path").alias("path"),
+    return _with_status(reqs, pages, pidx).select("event_id", "ts", "server", F.col("req_path").alias("path"),
                                             "status", "bytes")
 
 
