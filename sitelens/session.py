@@ -121,3 +121,20 @@ def checkpoint_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, int]
     obs = Observation(name)
     out = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     return out, int(obs.get.get("n", 0) or 0)
+
+
+def bucketed_table(df: DataFrame, key: str, n_buckets: int, name: str) -> tuple[DataFrame, str, int]:
+    """Write ``df`` as an external table bucketed and sorted on ``key`` in the
+    shared folder (one job, row count observed in it).  Joins on ``key`` then
+    read it in place and shuffle only the other side.  Returns the table, its
+    catalog name (drop it when done; the files stay) and the row count."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    table = f"sitelens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    obs = Observation(table)
+    (df.observe(obs, F.count(F.lit(1)).alias("n")).repartition(n_buckets, key)
+     .write.format("parquet").option("path", scratch_path(spark, name))
+     .bucketBy(n_buckets, key).sortBy(key).saveAsTable(table))
+    return spark.table(table), table, int(obs.get.get("n", 0) or 0)

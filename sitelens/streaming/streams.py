@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import graph as gr
 from ..operators import index as ix
 from ..operators import traffic as tr
-from ..session import broadcast_if_small, materialize, scratch_path
+from ..session import broadcast_if_small, bucketed_table, scratch_path
 from ..sources import fixtures as fx
 from ..sources import index_store as ist
 from ..sources.tables import read_table, spread
@@ -76,9 +76,10 @@ def stream_server_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream-static left join with the page index, then a streaming
     aggregation in complete mode (state: one row per server)."""
     m = fx.pages_per_site(read_table(spark, sf_dir, "documents").select("doc_id"))
-    # the static side is written once: each micro-batch reads (path, readable,
-    # n_bytes) instead of rebuilding the pages
-    pidx, _ = materialize(gr.page_index(fx.corpus(spark, sf_dir)), "stream-page-index")
+    # the static side is written once, bucketed on path: each micro-batch reads
+    # (path, readable, n_bytes) in place and only the micro-batch is shuffled
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pidx, table, _ = bucketed_table(gr.page_index(fx.corpus(spark, sf_dir)), "path", n_buckets, "stream-page-index")
     reqs = fx.requests_rows(stream_table(spark, sf_dir, "events"), m)
     stats = tr.server_stats(tr.request_status(reqs, None, pidx))
     out = scratch_path(spark, "stream-server-stats")
@@ -86,8 +87,11 @@ def stream_server_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)  # complete mode: each batch is the whole result
 
-    _run(stats.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", out + "-ckpt"), "server_stats")
+    try:
+        _run(stats.writeStream.outputMode("complete").foreachBatch(write)
+             .option("checkpointLocation", out + "-ckpt"), "server_stats")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
     return spark.read.parquet(out)
 
 
