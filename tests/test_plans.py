@@ -53,3 +53,32 @@ def test_stored_index_lookup_is_pushed_down(spark, small_dir):
     assert "ReadSchema: struct<term:string,path:string,row:bigint>" in text
     n = df.count()
     assert n == ix.occurrences(fx.corpus(spark, small_dir)).where(F.col("term") == "the").count()
+
+
+def test_counter_stream_reads_bucketed_page_index_in_place(spark, small_dir):
+    from sitelens.operators import graph as gr
+    from sitelens.operators import traffic as tr
+    from sitelens.session import bucketed_table
+    from sitelens.streaming import streams as st
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the large-data path
+    pidx, table, _ = bucketed_table(gr.page_index(fx.corpus(spark, small_dir)), "path", 8, "test-stream-pidx")
+    try:
+        reqs = fx.requests_rows(st.stream_table(spark, small_dir, "events"), 10)
+        stats = tr.server_stats(tr.request_status(reqs, None, pidx))
+        q = (stats.writeStream.outputMode("complete").format("memory").queryName("test_counter_plan")
+             .option("checkpointLocation", scratch_path(spark, "test-counter-plan"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        text = q._jsq.explainInternal(False)
+        q.stop()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    assert "Bucketed: true" in text
+    lines = text.split("\n")
+    scan = next(i for i, l in enumerate(lines) if "Bucketed: true" in l)
+    # the line above the bucketed scan is not an exchange: the static side is read in place
+    assert "Exchange" not in lines[scan - 1]
+    assert "Exchange hashpartitioning(req_path" in text
