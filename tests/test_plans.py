@@ -82,3 +82,19 @@ def test_counter_stream_reads_bucketed_page_index_in_place(spark, small_dir):
     # the line above the bucketed scan is not an exchange: the static side is read in place
     assert "Exchange" not in lines[scan - 1]
     assert "Exchange hashpartitioning(req_path" in text
+
+
+def test_running_counters_never_window_a_whole_server(spark, small_dir):
+    import re
+
+    from sitelens.operators import traffic as tr
+
+    df = tr.stats_asof(fx.requests(spark, small_dir), fx.corpus(spark, small_dir))
+    df.write.format("noop").mode("overwrite").save()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\]", text)
+    # the running sum over the request rows is partitioned by server and
+    # chunk; the only window keyed by server alone is over the per-chunk
+    # totals (one row per server and chunk)
+    assert any("server" in keys and "_chunk" in keys for keys in windows)
+    assert "_chunk" in text  # the chunked rows were written by an earlier (range-partitioned) job
