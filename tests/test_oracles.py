@@ -6,12 +6,14 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare
+from sitelens.plans.catalog import QUERIES
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql())
+    assert set(KEYS) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
