@@ -5,12 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.llm import mixing
 from sitelens.llm.common import read_table
 
 #: A score of this or more predicts label 1.
 THRESHOLD = 0.3
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    from public_tokenizers import path
+
+    from sitelens.llm import packing
+    from sitelens.llm.common import materialize
+
+    cut = packing.pieces(read_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+    cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    cut, n = materialize(cut, "pieces")
+    return packing.packed(cut, ["doc_id", "piece", "start", "ids_crc32"], n)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of sources takes of every document."""
+    return mixing.mixed(read_table(spark, sf_dir, "documents"))
+
+
 def _classified(spark: SparkSession, sf_dir: str, module, parts: int, held: int) -> DataFrame:
     from sitelens.llm import classify as cl
 
@@ -35,5 +54,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op9_quality, op10_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_packing, op6_mixing, op9_quality, op10_toxicity)}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
