@@ -25,6 +25,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(cut, ["doc_id", "piece", "start", "ids_crc32"], n)
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier place holds."""
+    from sitelens.llm import chunks
+
+    got = chunks.deduplicated(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    kept = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return got.select("doc_id", (kept + removed).alias("n_bytes"), removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of sources takes of every document."""
     return mixing.mixed(read_table(spark, sf_dir, "documents"))
@@ -54,5 +64,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op6_mixing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_packing, op5_substrings, op6_mixing, op9_quality, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
