@@ -51,25 +51,28 @@ def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def hot_keys(df: DataFrame, key: str, total: int) -> list:
-    """Keys of ``df`` with over ``total / HOT_SHARE`` rows: at most HOT_SHARE values."""
+def hot_keys(df: DataFrame, key: str, total: int) -> dict:
+    """Keys of ``df`` with over ``total / HOT_SHARE`` rows (so HOT_SHARE keys at
+    most), each with the number of parts to split it into (HOT_SHARE at most)."""
     bound = max(HOT_ROWS, total // HOT_SHARE)
-    return [r[0] for r in df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > bound).select(key).collect()]
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > bound)
+    return {r[0]: -(-r[1] // bound) for r in counted.collect()}
 
 
 def joined_on_hot_key(left: DataFrame, right: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
-    """``left`` joined with ``right`` (one narrow row a key) on ``key``.
-
-    Rows of the at most HOT_SHARE keys that hold more than 1/HOT_SHARE of
-    ``left`` meet a broadcast of those keys' rows (at most HOT_SHARE of them);
-    all others go through a shuffle join.  ``left`` is read more than once:
-    give a written table.  ``total`` is its row count."""
-    hot = hot_keys(left, key, total)
-    if not hot:
+    """``left`` (``total`` rows) joined with ``right`` (one row a key) on ``key``.
+
+    The at most HOT_SHARE keys that hold more than 1/HOT_SHARE of ``left`` are
+    salted: their rows are dealt to parts by a hash of the other columns, and
+    ``right`` has their row once a part.  ``left`` is read twice: give a
+    written table."""
+    parts = hot_keys(left, key, total)
+    if not parts:
         return left.join(right, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    return (left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, how)
-            .unionByName(left.where(~is_hot).join(right.where(~is_hot), key, how)))
+    n = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]), F.col(key)), F.lit(1))
+    salted = left.withColumn("salt_", F.pmod(F.xxhash64(*[c for c in left.columns if c != key]), n).cast("int"))
+    spread_out = right.withColumn("salt_", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))))
+    return salted.join(spread_out, [key, "salt_"], how).drop("salt_")
 
 
 def _stars(pairs: DataFrame) -> DataFrame:

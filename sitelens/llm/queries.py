@@ -25,6 +25,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(cut, ["doc_id", "piece", "start", "ids_crc32"], n)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similarity 0.85 or more."""
+    from sitelens.llm import minhash
+
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages that an earlier place holds."""
     from sitelens.llm import chunks
@@ -64,5 +71,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_substrings, op6_mixing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op5_substrings, op6_mixing, op9_quality, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
