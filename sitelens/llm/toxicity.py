@@ -27,7 +27,7 @@ from sitelens.llm import textbatch as tb
 
 SIZES = (4, 5, 6)
 #: Bits of a feature's place in the weight table.
-BITS = 21
+BITS = 20
 #: Standard errors by which a place's shares must differ, and texts it must be in.
 CLEAR, SUPPORT = 3.0, 3
 EPOCHS = 8
@@ -39,7 +39,7 @@ _CAPITAL[[*range(65, 91), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] = True
 def grams(column: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
     """For each run of rows: first row, number of rows, and for each size the row (from 0) and place of every n-gram."""
     shift = tb.U64(64 - BITS)
-    for at, data, offsets in tb.text_chunks(column, tb.CHUNK // 2):
+    for at, data, offsets in tb.text_chunks(column, tb.CHUNK // 4):
         begins = (data & 0xC0) != 0x80
         chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         if len(chars) != begins.sum():  # not valid UTF-8: bytes stand for themselves
