@@ -32,6 +32,13 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector under cosine 0.95 or more."""
+    from sitelens.llm import embeddings
+
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages that an earlier place holds."""
     from sitelens.llm import chunks
@@ -47,6 +54,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read_table(spark, sf_dir, "documents"))
 
 
+def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    from sitelens.llm import syncmers
+
+    return syncmers.edited(read_table(spark, sf_dir, "documents"))
+
+
 def _classified(spark: SparkSession, sf_dir: str, module, parts: int, held: int) -> DataFrame:
     from sitelens.llm import classify as cl
 
@@ -71,5 +85,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op5_substrings, op6_mixing, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op5_substrings, op6_mixing, op8_syncmers, op9_quality, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
