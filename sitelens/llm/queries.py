@@ -39,6 +39,14 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from sitelens.llm import html
+
+    got = html.extracted(read_table(spark, sf_dir, "pages"))
+    return got.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages that an earlier place holds."""
     from sitelens.llm import chunks
@@ -85,5 +93,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op5_substrings, op6_mixing, op8_syncmers, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op4_html, op5_substrings, op6_mixing, op8_syncmers, op9_quality, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
