@@ -62,6 +62,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier too."""
+    from sitelens.llm import suffixes
+
+    got = suffixes.deduplicated(read_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     from sitelens.llm import syncmers
@@ -93,5 +102,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op4_html, op5_substrings, op6_mixing, op8_syncmers, op9_quality, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op4_html, op5_substrings, op6_mixing, op7_suffixes, op8_syncmers, op9_quality, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
