@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sitelens.session import materialize, scratch_path
 from sitelens.sources.tables import read_table, spread
 
-__all__ = ["components", "joined_on_hot_key", "mapped", "materialize", "read_table", "scratch_path", "spread", "words_regex"]
+__all__ = ["components", "joined_on_hot_key", "mapped", "materialize", "maybe_among", "read_table", "scratch_path", "spread", "words_regex"]
 
 #: A word: a run of anything but ASCII white space.
 words_regex = r"[^\x20\x09-\x0D]+"
@@ -75,6 +75,23 @@ def joined_on_hot_key(left: DataFrame, right: DataFrame, key: str, total: int, h
     return salted.join(spread_out, [key, "salt_"], how).drop("salt_")
 
 
+#: Bits of the map that ``maybe_among`` broadcasts.
+MAP_BITS = 1 << 23
+
+
+def maybe_among(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``df`` whose key's bit is set in a map of the ids' hashes: all
+    rows with such a key and, by chance, some others, for an exact join that
+    follows.  The map has MAP_BITS bits in all (131,072 rows of 64 bits at
+    most), so it may be broadcast whatever the number of ids."""
+    at = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(MAP_BITS))
+    words = ids.select(F.shiftright(at, 6).alias("word_"), (at % 64).cast("int").alias("bit_"))
+    words = words.groupBy("word_").agg(F.bit_or(F.expr("shiftleft(1L, bit_)")).alias("bits_"))
+    mine = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(MAP_BITS))
+    met = df.withColumn("at_", mine).withColumn("word_", F.shiftright("at_", 6)).join(F.broadcast(words), "word_")
+    return met.where(F.expr("(shiftright(bits_, int(at_ % 64)) & 1L) = 1")).drop("at_", "word_", "bits_")
+
+
 def _stars(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").distinct()
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm import textbatch as tb
-from sitelens.llm.common import components, joined_on_hot_key, mapped, materialize, ship, spread, with_components
+from sitelens.llm.common import components, joined_on_hot_key, mapped, materialize, maybe_among, ship, spread, with_components
 
 SHINGLE = 5
 #: Values that a sketch retains.
@@ -89,7 +89,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``rep, full``: the sets of the documents whose id is in ``ids``."""
+    """``rep, full``: the sets of the documents whose id is in ``ids`` (and of few others)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -98,8 +98,8 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> D
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(sets)), tb.long_lists(np.concatenate(sets), np.array([len(s) for s in sets]))], ["rep", "full"])
                 at += len(sets)
 
-    given = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text_")).join(ids, "rep", "left_semi")
-    return mapped(given.dropDuplicates(["rep", "text_"]), run, "rep long, full array<long>")
+    given = maybe_among(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text_")), "rep", ids, "rep")
+    return mapped(given, run, "rep long, full array<long>")
 
 
 def _least_shared(percent: int) -> list[int]:
@@ -142,6 +142,10 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     return pairs, stars, n_pairs, n_stars
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+
+
 def _joined_twice(pairs: DataFrame, right: DataFrame, cols: list[str], total: int) -> DataFrame:
     """``a, b`` pairs with the columns of both ends, as ``<col>_a`` and ``<col>_b``."""
     for end in ("a", "b"):
@@ -152,14 +156,14 @@ def _joined_twice(pairs: DataFrame, right: DataFrame, cols: list[str], total: in
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n_pairs: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Those pairs that the union's sketch lets through and the full sets confirm."""
     t = percent / 100
+    classes = maybe_among(classes, "rep", _ends(pairs), "rep")
     both = _joined_twice(pairs, classes, ["sketch"], n_pairs)
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, K)
     shown = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b"))) / F.size(union)
     passed, n = materialize(both.where(shown >= t - SIGMAS * sqrt(t * (1 - t) / K)).select("a", "b"), "estimated")
     if not n:
         return passed
-    ids = passed.select(F.col("a").alias("rep")).union(passed.select(F.col("b").alias("rep"))).distinct()
-    sets = _full_sets(docs, ids, id_col, text_col)
+    sets = _full_sets(docs, _ends(passed), id_col, text_col)
     shared = F.size(F.array_intersect("full_a", "full_b"))
     linked = 100 * shared >= percent * (F.size("full_a") + F.size("full_b") - shared)
     return _joined_twice(passed, sets, ["full"], n).where(linked).select("a", "b")
