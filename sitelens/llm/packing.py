@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from sitelens.llm.common import mapped, ship, spread
 
 CAPACITY = 2048
-#: Pieces of a shard, on average: about 10 MB with their identifying columns.
-SHARD = 1 << 15
+#: Pieces of a shard, on average: about 30 MB with their token ids.
+SHARD = 1 << 13
 #: Token ids that one Arrow batch of pieces holds, about.
 BATCH_IDS = 1 << 20
 #: The id that ends a document.
