@@ -8,7 +8,7 @@ by the highest quotients target / (2 i + 1), and a source's blocks go to its
 shards (dealt by a hash of the id) by the same rule on the shards' sizes.  A
 shard's documents stand in a seeded order, end to end; its quota is the first
 so many blocks of that line, which starts again at its end (whole passes, then
-a part), so no document is taken more than EPOCHS times.
+a part) and ends with its pass EPOCHS, so no document is taken more often.
 
 All of it is DataFrame work: the documents are read twice (sizes by source and
 shard, then the takes) and shuffled once, by source and shard; a hot source is
@@ -98,8 +98,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     parts = fine.groupBy("source_", (F.col("fine") % shards).alias("shard")).agg(F.sum("words").alias("words"))
     parts = parts.join(sources.select("source_", "place", "source_size", "target", "blocks"), "source_")
     parts = _quotas(parts, F.col("words").cast("double"), F.col("blocks"), "quota", ["place"], ["place", "shard"])
-    parts = parts.withColumn("quota", F.least("quota", F.floor(EPOCHS * F.col("words") / BLOCK)))
-    parts, _ = materialize(parts.select("source_", "shard", "words", "source_size", "target", (F.col("quota") * BLOCK).alias("take")), "mixquotas")
+    take = F.least(F.col("quota") * BLOCK, EPOCHS * F.col("words"))
+    parts, _ = materialize(parts.select("source_", "shard", "words", "source_size", "target", take.alias("take")), "mixquotas")
 
     line = Window.partitionBy("source_", "shard").orderBy(_hex("order"), "id_", "size")
     got = sized.withColumn("shard", F.col("fine") % shards).join(parts, ["source_", "shard"])
@@ -139,7 +139,7 @@ partq AS (SELECT place, shard, sign(lack)::BIGINT AS s, lack,
     row_number() OVER (PARTITION BY place ORDER BY CASE WHEN lack > 0 THEN -(words::DOUBLE / (2 * k + 1)) ELSE words::DOUBLE / (2 * k + 1) END, place, shard) AS r
   FROM (SELECT place, shard, lack, words, CASE WHEN lack > 0 THEN first + i - 1 ELSE first - i END AS k
         FROM (SELECT *, unnest(range(1, abs(lack) + 1)) AS i FROM part3 WHERE lack <> 0 AND words > 0)) WHERE k >= 0),
-part AS (SELECT skey, part3.shard, words, source_size, target, least(first + coalesce(more, 0), floor({EPOCHS} * words::DOUBLE / {BLOCK})::BIGINT) * {BLOCK} AS take
+part AS (SELECT skey, part3.shard, words, source_size, target, least((first + coalesce(more, 0)) * {BLOCK}, {EPOCHS} * words) AS take
   FROM part3 LEFT JOIN (SELECT place, shard, sum(s)::BIGINT AS more FROM partq WHERE r <= abs(lack) GROUP BY ALL) m ON m.place = part3.place AND m.shard = part3.shard),
 line AS (SELECT doc_id, size, source_size, target, words, take,
     sum(size) OVER (PARTITION BY sized.skey, num % n ORDER BY line_key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended

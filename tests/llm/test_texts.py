@@ -1,0 +1,283 @@
+"""Packing, mixing, chunks, repeated substrings, fingerprints."""
+
+import hashlib
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from brute import WORD, without_repeats
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from public_tokenizers import path
+from tokenizers import Tokenizer
+
+from sitelens.llm import chunks, mixing, packing, queries, suffixes, syncmers
+from sitelens.llm import textbatch as tb
+
+FILE = path("byte_bpe_50k.json")
+RNG = np.random.default_rng(17)
+SYLLABLES = ["th", "er", "on", "an", "ré", "ß", "ing", "ou", "st", "ent"]
+
+
+def prose(n, rng=RNG):
+    return " ".join("".join(rng.choice(SYLLABLES, rng.integers(1, 4))) for _ in range(n))
+
+
+ODD = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "日本語 text 🙂 <|endoftext|> é́"), (6, prose(3000)), (None, "no id at all"), (7, "same"), (8, "same"), (8, "same")]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=60))
+def test_best_two_fit_places_every_item_once(lengths):
+    lengths = np.array(lengths, np.int64)
+    bins, offset = packing.best_two_fit(lengths, 50)
+    for b in set(bins.tolist()):
+        at = np.flatnonzero(bins == b)
+        at = at[np.argsort(offset[at])]
+        assert offset[at].tolist() == [0, *np.cumsum(lengths[at])[:-1]]
+        assert lengths[at].sum() <= 50
+    # no two bins could be one
+    fill = np.sort(np.bincount(bins, lengths) if len(bins) else np.zeros(0))
+    assert len(fill) < 2 or fill[0] + fill[1] > 50
+
+
+def test_best_two_fit_replaces_the_smallest_by_a_tighter_pair():
+    # greedy: 6 + 3 leaves 1; without the 3 the gap is 4, which 2 + 2 fill
+    bins, _ = packing.best_two_fit(np.array([6, 3, 2, 2]), 10)
+    assert bins[0] == bins[2] == bins[3] != bins[1]
+    with pytest.raises(ValueError):
+        packing.best_two_fit(np.array([11]), 10)
+
+
+def test_ids_are_those_of_the_tokenizers_library(small_documents):
+    texts = [r.text for r in small_documents.select("text").collect()] + [t or "" for _, t in ODD] + ["\x00\x7f   \t\r\n", "don't I'LL we've  12345678901", "a" * 3000, "ﷺ" * 200]
+    plain = Tokenizer.from_file(FILE)
+    plain.encode_special_tokens = True
+    for text, want in zip(texts, plain.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert packing.encoder(FILE)(text).tolist() == want.ids
+
+
+def _packed(docs, capacity):
+    cut = packing.pieces(docs, FILE, capacity)
+    return packing.packed(cut, ["doc_id", "piece", "start"], cut.count(), capacity).collect()
+
+
+@pytest.mark.parametrize("capacity", [16, 2048])
+def test_packing_is_a_round_trip(documents, monkeypatch, capacity):
+    monkeypatch.setattr(packing, "SHARD", 100)
+    rows = ODD + [(100 + i, prose(int(n))) for i, n in enumerate(RNG.integers(1, 80, 300))]
+    plain = Tokenizer.from_file(FILE)
+    plain.encode_special_tokens = True
+    want = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+    got = _packed(documents(rows), capacity)
+    spaces, pieces = {}, {}
+    for r in got:
+        assert r.length == len(r.ids) // 4 <= capacity
+        spaces.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        pieces.setdefault(r.doc_id, set()).add((r.piece, r.start, np.frombuffer(r.ids, "<u4").tobytes()))
+    for one in spaces.values():
+        one.sort()
+        assert [o for o, _ in one] == [0, *np.cumsum([n for _, n in one])[:-1].tolist()] and sum(n for _, n in one) <= capacity
+    for i, ids in want.items():
+        parts = sorted(pieces[i])
+        assert [p for p, _, _ in parts] == list(range(len(parts)))
+        assert np.frombuffer(b"".join(x for _, _, x in parts), "<u4").tolist() == ids
+        assert all(len(x) == 4 * capacity for _, _, x in parts[1:]) and len(parts) == -(-len(ids) // capacity)
+    assert Counter(r.doc_id for r in got)[8] == 2 * len(pieces[8])
+    least = -(-sum(r.length for r in got) // capacity)
+    assert len(spaces) <= least * 1.02 + 5
+    assert _packed(documents([]), capacity) == []
+
+
+def test_op1_digests_are_of_the_ids(spark):
+    got = queries.op1_packing(spark, "/root/testdata/sf0.001").collect()
+    text = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in got:
+        ids = np.append(packing.encoder(FILE)(text[r.doc_id]), 0)[r.start : r.start + r.length]
+        assert zlib.crc32(ids.astype("<u4").tobytes()) == r.ids_crc32
+
+
+def _mix(rows):
+    """Targets by bisection of the level, for rows (id, size, source)."""
+    sizes = Counter()
+    for _, n, s in rows:
+        sizes[s] += n
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    low, high = 0.0, 4.0 * sum(sizes.values()) + 1
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(3 * sizes[s], level * weight[s]) for s in order) < sum(sizes.values()) else (low, level)
+    return sizes, {s: min(3 * sizes[s], high * weight[s]) for s in order}
+
+
+def test_mix_against_bisection(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 4000)
+    rows = [(i, prose(int(n)), None if s == 4 else f"s{s}") for i, (n, s) in enumerate(zip(RNG.integers(0, 90, 600), RNG.choice(6, 600, p=[0.6, 0.02, 0.08, 0.1, 0.1, 0.1]), strict=True))]
+    rows += [(None, "null id", "s1"), (3000, None, "s1"), (3001, " ", "empty"), (3002, "a b", "tiny"), (3002, "a b", "tiny")]
+    docs = documents(rows)
+    got = mixing.mixed(docs, carry=("source",)).collect()
+    sizes, target = _mix([(i, len(WORD.findall(t or "")), s) for i, t, s in rows])
+    taken = Counter()
+    for r in got:
+        assert r.taken <= 3 * r.size and r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(target[r.source], rel=1e-9, abs=1e-6)
+        taken[r.source] += r.taken
+    assert len(got) == len(rows)
+    for s, n in taken.items():
+        assert abs(n - target[s]) <= mixing.BLOCK * 3
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mixed(docs.repartition(7), carry=("source",)).collect()))
+    assert mixing.mixed(documents([])).count() == 0
+
+
+def test_op6_matches_its_sql(spark):
+    from compare import compare
+
+    assert compare(spark, "op6_mixing", "/root/testdata/sf0.001")["ok"]
+
+
+def _plain_cuts(raw):
+    """Chunk ends by the rolling form of the gear hash."""
+    h, out = 0, []
+    for i, b in enumerate(raw):
+        h = (2 * h + int(chunks.GEAR[b])) & 0xFFFF
+        if h < (1 << 16) // chunks.AVERAGE and i + 1 >= chunks.WINDOW:
+            out.append(i + 1)
+    return sorted({*out, len(raw)} - {0})
+
+
+def _plain_chunks(rows, min_run):
+    """Kept texts by a dictionary of chunks, for rows with distinct ids."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        raw = (text or "").encode()
+        ends = _plain_cuts(raw)
+        spans = []
+        for s, e in zip([0, *ends], ends, strict=False):
+            if raw[s:e] in seen:
+                if spans and spans[-1][1] == s:
+                    spans[-1][1] = e
+                else:
+                    spans.append([s, e])
+            seen.add(raw[s:e])
+        spans = [chunks._whole(raw, s, e) for s, e in spans if e - s >= min_run]
+        bounds = [0, *[x for span in spans for x in span], len(raw)]
+        out[i] = b"".join(raw[s:e] for s, e in zip(bounds[::2], bounds[1::2], strict=True)).decode()
+    return out
+
+
+def test_chunks_against_a_rolling_hash(documents):
+    passage = prose(70)
+    rows = [(i, prose(60) + " " + passage + " " + prose(60)) for i in range(40)] + [(i, prose(100)) for i in range(50, 70)]
+    rows += [(80, "ab" * 5000), (81, None), (82, ""), (83, passage), (84, rows[3][1]), (85, rows[3][1])]
+    got = {r.doc_id: r for r in chunks.deduplicated(documents(rows), carry=("source",)).collect()}
+    want = _plain_chunks(rows, chunks.MIN_RUN)
+    assert {i: r.text or "" for i, r in got.items()} == want
+    assert all(not got[i].spans for i in range(50, 70))  # clean documents stay as they are
+    caught = [sum(s.end - s.start for s in got[i].spans) / len(passage.encode()) for i in range(1, 40)]
+    assert np.mean(caught) > 0.6 and got[84].text == "" and got[81].text is None
+
+
+def test_chunks_of_odd_rows(documents):
+    docs = documents([*ODD, (None, "no id at all " * 40), (None, "no id at all " * 40)])
+    got = chunks.deduplicated(docs).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in docs.collect())
+    assert all(not r.spans for r in got if r.doc_id != 6)
+    assert chunks.deduplicated(documents([])).count() == 0
+
+
+def _check_suffixes(docs, length=suffixes.LENGTH):
+    got = {r.doc_id: (bytes(r.kept), r.n_bytes - len(r.kept), len(r.spans)) for r in suffixes.deduplicated(docs, length).collect()}
+    assert got == without_repeats([(r.doc_id, r.text) for r in docs.collect()], length)
+
+
+def test_repeats_against_all_strings(small_documents):
+    _check_suffixes(small_documents)
+
+
+@pytest.mark.parametrize("length", [40, 100])
+def test_repeats_around_edits_and_in_periods(documents, length):
+    rng = np.random.default_rng(29)
+    base, passage = prose(150, rng), prose(30, rng)
+    rows = [(i, base[: (x := int(rng.integers(0, len(base))))] + "#" * int(rng.integers(0, 3)) + base[x + int(rng.integers(0, 3)) :]) for i in range(30)]
+    rows += [(40 + i, prose(20, rng) + passage + prose(20, rng)) for i in range(20)]
+    rows += [(70, "abc" * 400), (71, "x" * 500), (72, "x" * 99), (73, "y" * 100), (74, "y" * 100), (75, None), (76, ""), (77, ("é" * 70 + "ü") * 5), (78, base), (79, base)]
+    _check_suffixes(documents([rows[i] for i in rng.permutation(len(rows))]), length)
+
+
+def test_repeats_of_odd_rows(documents):
+    docs = documents([*ODD, (None, "z" * 300), (None, "z" * 300)])
+    got = suffixes.deduplicated(docs).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in docs.collect())
+    assert [r.n_bytes - len(r.kept) for r in got if r.doc_id in (None, 7, 8)] == [0] * 6
+    assert suffixes.deduplicated(documents([])).count() == 0
+
+
+def test_cover_is_chosen_by_content():
+    """Equal strings reach a sampled suffix after the same number of bytes."""
+    passage = prose(60).encode()
+    one, two = (np.frombuffer(prose(n).encode() + passage + prose(9).encode(), np.uint8) for n in (40, 23))
+    tops = []
+    for data in (one, two):
+        _, at, low, high, _ = suffixes.covers(data, np.array([0, len(data)]))
+        reached = {p: a - p for a, lo, hi in zip(at, low, high, strict=True) for p in range(lo, hi + 1)}
+        assert sorted(reached) == list(range(len(data) - suffixes.LENGTH + 1))
+        begin = bytes(data).index(passage)
+        tops.append([reached[begin + i] for i in range(len(passage) - suffixes.LENGTH + 1)])
+    assert tops[0] == tops[1]
+
+
+def _edited(texts):
+    """Rows in descending order of id: the edited texts."""
+    return [t[: len(t) - len(t) // 3] + n[: len(t) // 3] for t, n in zip(texts, texts[1:] + texts[:1], strict=True)]
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_edited_texts_and_likeness(documents, monkeypatch, parts):
+    monkeypatch.setattr(syncmers, "slots", lambda spark: parts)
+    rows = [(i, t) for i, t in ODD if i not in (None, 8)] + [(8, "same")] + [(20 + i, prose(int(n))) for i, n in enumerate(RNG.integers(20, 400, 60))]
+    rows += [(-5, rows[-1][1]), (-7, "last")]
+    got = {r.doc_id: r for r in syncmers.edited(documents(rows).repartition(5)).collect()}
+    assert len(got) == len(rows)
+    order = sorted(rows, key=lambda r: -r[0])
+    texts = [t or "" for _, t in order]
+    for (i, _), text, edit in zip(order, texts, _edited(texts), strict=True):
+        assert got[i].n_chars == len(text) and got[i].edited_sha256 == hashlib.sha256(edit.encode()).hexdigest()
+        if text == edit:
+            assert got[i].fingerprint == got[i].edited_fingerprint and got[i].near_edited == 1
+        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+    assert got[-5].fingerprint == got[20 + 59].fingerprint and got[7].fingerprint == got[8].fingerprint and got[8].near_next == 1
+    long = [got[20 + i] for i in range(60)]
+    assert np.mean([r.near_edited for r in long]) > 0.55 and np.mean([r.near_next for r in long[1:]]) < 0.1
+    plain = {r.doc_id: r.fingerprint for r in syncmers.fingerprinted(documents(rows)).collect()}
+    assert plain == {i: r.fingerprint for i, r in got.items()}
+
+
+def test_syncmers_do_not_depend_on_what_stands_around():
+    passage = prose(80)
+    a, b = (syncmers.anchors([x + passage + y])[0] for x, y in ((prose(5), prose(9)), (prose(31), "")))
+    inner = syncmers.anchors([passage])[0]
+    for found in (a, b):
+        assert set(inner[0].tolist()) <= set(found[0].tolist())
+
+
+def test_fingerprints_of_few_rows(documents):
+    assert syncmers.edited(documents([])).count() == 0
+    one = syncmers.edited(documents([(3, "only one row here")])).collect()[0]
+    assert one.near_next == 1 and one.edited_sha256 == hashlib.sha256(_edited(["only one row here"])[0].encode()).hexdigest()
+    twice = syncmers.edited(documents([(3, "a"), (3, "a"), (None, "b"), (None, None)])).collect()
+    assert len(twice) == 4
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(max_size=30), max_size=8))
+def test_words_of_rows(texts):
+    import pyarrow as pa
+
+    found = []
+    for _, data, offsets in tb.text_chunks(pa.array(texts, pa.string()), 16):
+        start, end, first = tb.word_spans(data, offsets)
+        raw = data.tobytes()
+        found += [[raw[s:e].decode() for s, e in zip(start[i:j], end[i:j], strict=True)] for i, j in zip(first[:-1], first[1:], strict=True)]
+    assert found == [WORD.findall(t) for t in texts]
