@@ -143,12 +143,13 @@ def _narrowed(docs: DataFrame, open_: DataFrame, id_col: str, text_col: str, len
 def _sorted_out(suffixes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """``id_, place`` of the repeats, and of the earliest suffix of each rank in buckets of several ranks."""
     spark = suffixes.sparkSession
-    several = suffixes.groupBy("bucket").count().where("count > 1").select("bucket")
+    # written, so that the join sees two shuffled sides and can split a hot bucket
+    several, _ = materialize(suffixes.groupBy("bucket").count().where("count > 1").select("bucket"), f"{name}several")
     tied, _ = materialize(suffixes.join(several, "bucket", "left_semi"), f"{name}tied")
     _let_go(spark)
     here = F.struct("id_", "place")
     firsts, _ = materialize(tied.groupBy("bucket", "rank").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")), f"{name}ranks")
-    mixed = firsts.groupBy("bucket").count().where("count > 1").select("bucket")
+    mixed, _ = materialize(firsts.groupBy("bucket").count().where("count > 1").select("bucket"), f"{name}mixed")
     open_, _ = materialize(firsts.join(mixed, "bucket", "left_semi").select("first.id_", "first.place"), f"{name}open")
     repeats, _ = materialize(tied.join(firsts.where("n > 1").select("bucket", "rank", "first"), ["bucket", "rank"])
                              .where(F.col("first") < here).select("id_", "place"), f"{name}repeats")
