@@ -4,12 +4,14 @@ except the bounded list of hot keys named below."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +48,26 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` with this package on the executors."""
+    """``df.mapInArrow(run, schema)`` with this package on the executors.  A
+    worker gives its task's memory back at the end: it idles beside the JVM
+    while later stages run."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def then_let_go(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _let_go()
+
+    return df.mapInArrow(then_let_go, schema)
+
+
+def _let_go() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)  # glibc; elsewhere there is nothing to do
+    except (AttributeError, OSError):
+        pass
 
 
 def hot_keys(df: DataFrame, key: str, total: int) -> dict:
