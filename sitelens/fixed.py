@@ -27,6 +27,8 @@ UNKNOWN_REPLY = "Sorry , I don't serve this command."
 IN_PROGRESS_REPLY = "Crawling still in progress.Sorry."
 NO_RESULTS = "No results found"
 SERVER_STATS_FORMAT = "Server up for %s , %d pages have been served ,%d bytes."
+CRAWLER_STATS_FORMAT = "Server up for %s , %d downloads ,%d bytes."
+SERVER_UNKNOWN_REPLY = "Sorry,I don't serve this command."
 RESULT_HEADER_FORMAT = "%s : %d "   # page header of a search answer: path, hit lines
 RESULT_ROW_SEPARATOR = ","          # answer rows are f,row,text
 UPTIME_FORMAT = "%02d:%02d:%02d"

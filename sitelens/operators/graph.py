@@ -2,25 +2,25 @@
 
 The crawl is a breadth-first fixpoint run as a driver loop of DataFrame
 rounds (Spark 4.1 recursive CTEs only allow UNION ALL, which does not stop on
-cycles).  Each round cuts its lineage with a reliable checkpoint into the
-shared checkpoint folder, so a lost executor recomputes at most one round.
-The fetch status of every link target is attached to the links once and
-checkpointed; a small frontier is broadcast (its size is the previous
-round's count) and probes that link table without shuffling it, a large one
-is shuffle-joined.
+cycles).  The fetch status of every link target is attached to the links
+once; the links are written as a table bucketed on their source, the URLs seen
+so far as one table bucketed on their path, to which each round appends its
+own.  A round is one job whatever the depth: the frontier meets the links in
+place (broadcast where its observed bytes prove it small, else shuffled: it,
+not the links), and its distinct targets meet the seen table in one anti-join,
+in place too.  Only candidates move; a lost executor recomputes one round.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..functions.urls import href_targets, normalize_url, site_of
-from ..session import BROADCAST_ROW_LIMIT, checkpoint_count, cut_lineage, scratch_path
+from ..session import append_bucketed, bucketed_table, scratch_path
 
 from ..fixed import IN_PROGRESS_REPLY as IN_PROGRESS
 from ..fixed import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK
@@ -60,24 +60,10 @@ def _bytes(found_path, readable, n_bytes) -> "F.Column":
     return F.when(found_path.isNotNull() & readable, n_bytes).otherwise(F.lit(0)).cast("bigint")
 
 
-def _lookup_small(small: DataFrame, small_key: str, big: DataFrame, big_key: str, n_small: int) -> DataFrame:
-    """Rows of ``big`` whose key is in ``small``.
-
-    When ``small`` is proven small it is broadcast and ``big`` is streamed (no
-    shuffle of ``big``); otherwise a shuffle semi-join.
-    """
-    keys = small.select(F.col(small_key).alias(big_key)).distinct()
-    if n_small <= BROADCAST_ROW_LIMIT:
-        keys = F.broadcast(keys)
-    return big.join(keys, big_key, "left_semi")
-
-
-def with_status(keys: DataFrame, pidx: DataFrame, n_keys: int) -> DataFrame:
+def with_status(keys: DataFrame, pidx: DataFrame) -> DataFrame:
     """``keys(path, depth)`` -> ``(path, depth, fetch, status, bytes)``."""
-    k = keys.withColumn("fetch", fetch_path("path"))
-    found = _lookup_small(k, "fetch", pidx, "path", n_keys).select(
-        F.col("path").alias("fetch"), F.col("path").alias("found"), "readable", "n_bytes")
-    j = k.join(found, "fetch", "left")
+    p = pidx.select(F.col("path").alias("fetch"), F.col("path").alias("found"), "readable", "n_bytes")
+    j = keys.withColumn("fetch", fetch_path("path")).join(p, "fetch", "left")
     return j.select("path", "depth", "fetch", _status(F.col("found"), F.col("readable")).alias("status"),
                     _bytes(F.col("found"), F.col("readable"), F.col("n_bytes")).alias("bytes"))
 
@@ -94,116 +80,65 @@ def edge_status(link_edges: DataFrame, pidx: DataFrame) -> DataFrame:
                     _bytes(F.col("found"), F.col("readable"), F.col("n_bytes")).alias("bytes"))
 
 
-def frontier_step(frontier: DataFrame, linked: DataFrame, seen, n_frontier: int | None = None) -> DataFrame:
+def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, small: bool = False) -> DataFrame:
     """One crawl round: targets of links of the frontier's readable pages
     (``status`` 200, looked up at ``fetch``) whose key was never seen.
-    ``linked`` is :func:`edge_status`; ``seen`` a DataFrame with ``path`` or
-    a list of them (one per earlier round); ``-> (path, fetch, status, bytes)``.
-
-    A frontier proven small is broadcast and the link table is streamed
-    without a shuffle; a large one is shuffle-joined.  The candidates are
-    deduplicated on ``path`` and anti-joined with each earlier round in turn:
-    rounds stored as tables bucketed on ``path`` are read in place, so only
-    the candidates are shuffled (once), never the URLs seen so far."""
+    ``linked`` is :func:`edge_status`, ``seen`` a frame with ``path``;
+    ``-> (path, fetch, status, bytes)``.
+
+    ``small`` says that the frontier is proven small: it is broadcast.  With
+    ``linked`` bucketed on ``src`` and ``seen`` on ``path``, both are read in
+    place: the frontier (if large) and the distinct targets are shuffled, once
+    each, and there is one anti-join however many rounds came before."""
     srcs = frontier.where(F.col("status") == STATUS_OK).select(F.col("fetch").alias("src"))
-    n = n_frontier if n_frontier is not None else BROADCAST_ROW_LIMIT + 1
-    if n <= BROADCAST_ROW_LIMIT:
+    if small:
         srcs = F.broadcast(srcs)
     cand = linked.join(srcs, "src", "left_semi").select("path", "fetch", "status", "bytes").dropDuplicates(["path"])
-    for r in (seen if isinstance(seen, list) else [seen]):
-        cand = cand.join(r.select("path"), "path", "left_anti")
-    return cand
-
+    return cand.join(seen.select("path"), "path", "left_anti")
 
-def _round_table(df: DataFrame, n_buckets: int, name: str) -> tuple[DataFrame, str, str, int]:
-    """Write a crawl round as an external table bucketed and sorted on
-    ``path`` in the shared folder (one job; the row count is observed in it).
-    Returns the table, its folder, its catalog name and its row count."""
-    from pyspark.sql import Observation
 
-    spark = df.sparkSession
-    table = f"sitelens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    folder = scratch_path(spark, name)
-    obs = Observation(table)
-    (df.observe(obs, F.count(F.lit(1)).alias("n")).repartition(n_buckets, "path")
-     .write.format("parquet").option("path", folder).bucketBy(n_buckets, "path").sortBy("path").saveAsTable(table))
-    return spark.table(table), folder, table, int(obs.get.get("n", 0) or 0)
+# Tuning: rounds after which the seen table's small files are written anew.
+COMPACT_ROUNDS = 64
 
 
-def crawl(pages: DataFrame, start: str, max_depth: int | None = None, max_rounds: int = 100_000) -> DataFrame:
+def crawl(pages: DataFrame, start: str, max_depth: int | None = None) -> DataFrame:
     """``(path, depth, status, bytes)``: every URL the crawl discovers from
     ``start`` with its breadth-first depth, the status a fetch gets and the
     body bytes (200 only).  Links are followed from readable pages only.
 
-    ``max_depth`` stops fetching after that depth (rows deeper than it are
-    not returned); ``max_rounds`` is a safety cap that raises, never trims.
-
-    Each round is one job that cuts the lineage in the shared folder, and
-    its row count is observed in that job, so the size of the seen set is
-    known exactly.  While it is under the broadcast bound, rounds are
-    checkpoints and the seen set is broadcast to the anti-join (nothing but
-    the candidates moves).  Past the bound the seen set is written once as a
-    table bucketed on ``path``; from then on every round is such a table and
-    the candidates are merged against them in place (no shuffle of the
-    seen set in any round).
-    """
+    ``max_depth`` stops fetching after that depth: what was discovered but not
+    fetched is returned too, one deeper, with NULL status and bytes."""
     spark: SparkSession = pages.sparkSession
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pidx = page_index(pages)
-    linked = cut_lineage(edge_status(edges(pages.where(F.col("readable"))), pidx))
-
     cols = ["path", "depth", "fetch", "status", "bytes"]
-    start_df = spark.createDataFrame([(start, 0)], "path string, depth bigint")
-    current, _ = checkpoint_count(with_status(start_df, pidx, 1).select(*cols), "crawl_0")
-    out_parts = [current]          # every round, for the result
-    bucketed: list[DataFrame] = []  # the seen set as bucketed tables (large mode)
-    tables: list[str] = []
-    n_current, n_seen, depth = 1, 1, 0
+    links, link_table, _ = bucketed_table(edge_status(edges(pages.where(F.col("readable"))), pidx), "src", n_buckets, "crawl-links")
+    tables = [link_table]
     try:
-        while n_current > 0:
-            if max_depth is not None and depth >= max_depth:
-                break
-            if depth >= max_rounds:
-                raise RuntimeError(f"crawl did not finish within {max_rounds} rounds")
-            if not bucketed and n_seen <= BROADCAST_ROW_LIMIT:
-                seen = out_parts[0].select("path")
-                for r in out_parts[1:]:
-                    seen = seen.unionByName(r.select("path"))
-                seen_list = [F.broadcast(seen)]  # proven small by the observed counts
-            else:
-                if not bucketed:  # switch once: the seen set so far becomes one bucketed table
-                    seen = out_parts[0]
-                    for r in out_parts[1:]:
-                        seen = seen.unionByName(r)
-                    t, _, name, _ = _round_table(seen.select(*cols), n_buckets, "crawl-seen")
-                    bucketed.append(t)
-                    tables.append(name)
-                seen_list = bucketed
-            new = frontier_step(current, linked, seen_list, n_current).withColumn("depth", F.lit(depth + 1).cast("bigint"))
-            if bucketed:
-                nxt, folder, name, n_next = _round_table(new.select(*cols), n_buckets, f"crawl-{depth + 1}")
-                tables.append(name)
-                if n_next:
-                    bucketed.append(nxt)
-                    nxt = spark.read.schema(nxt.schema).parquet(folder)  # result side: no catalog entry
-            else:
-                nxt, n_next = checkpoint_count(new.select(*cols), f"crawl_{depth + 1}")
-            if n_next == 0:
-                break
-            out_parts.append(nxt)
-            current, n_current = nxt, n_next
-            n_seen += n_next
+        first = with_status(spark.createDataFrame([(start, 0)], "path string, depth bigint"), pidx).select(*cols)
+        folder = scratch_path(spark, "crawl-seen")
+        _, seen, added = bucketed_table(first, "path", n_buckets, "crawl-seen", folder)
+        tables.append(seen)
+        depth = 0
+        while added:
+            every = spark.table(seen)
+            frontier = every.where(F.col("depth") == depth)
+            new = frontier_step(frontier, links, every, added <= session.BROADCAST_BYTE_LIMIT)
             depth += 1
-        out = out_parts[0]
-        for r in out_parts[1:]:
-            out = out.unionByName(r)
-        # the result is cut from the round tables before their catalog entries go
-        out = cut_lineage(out.select("path", "depth", "status", "bytes")) if tables else \
-            out.select("path", "depth", "status", "bytes")
+            last = max_depth is not None and depth > max_depth
+            if last:
+                new = new.withColumn("status", F.lit(None).cast("int")).withColumn("bytes", F.lit(None).cast("bigint"))
+            added = append_bucketed(new.withColumn("depth", F.lit(depth).cast("bigint")).select(*cols), seen, "path", n_buckets, folder)
+            if last:
+                break
+            if depth % COMPACT_ROUNDS == 0:
+                folder = scratch_path(spark, "crawl-seen")
+                _, seen, _ = bucketed_table(spark.table(seen), "path", n_buckets, "crawl-seen", folder)
+                tables.append(seen)
+        return spark.read.schema(first.schema).parquet(folder).select("path", "depth", "status", "bytes")
     finally:
         for t in tables:  # external tables: the folders stay, the catalog entries go
             spark.sql(f"DROP TABLE IF EXISTS {t}")
-    return out
 
 
 def seen_urls(link_edges: DataFrame, start: str) -> DataFrame:
@@ -245,10 +180,6 @@ def inlink_coverage(link_edges: DataFrame, pages: DataFrame) -> DataFrame:
         "n_pages", "n_unlinked", (F.col("n_unlinked") == 0).alias("all_linked"))
 
 
-def all_pages_linked(link_edges: DataFrame, pages: DataFrame) -> bool:
-    return inlink_audit(link_edges, pages).limit(1).count() == 0
-
-
 def unreached_pages(pages: DataFrame, crawled: DataFrame) -> DataFrame:
     """``(path)``: pages that exist but the crawl never requests."""
     asked = crawled.select(fetch_path("path").alias("path")).distinct()
@@ -267,12 +198,30 @@ def crawl_stats(crawled: DataFrame) -> DataFrame:
 def crawl_pending(crawled: DataFrame) -> DataFrame:
     """``(max_depth, fetched, pending, gate)``: for each round limit, the URLs
     fetched and the URLs discovered but not fetched, and the reply a SEARCH
-    would get.  Grouped by depth first: one row per depth reaches the window."""
+    would get.  Rows without a status wait in the queue: their depth is no
+    limit reached.  Grouped by depth first: one row per depth reaches the window."""
     from pyspark.sql import Window as W
 
-    per = crawled.groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
+    per = crawled.groupBy("depth").agg(F.count(F.lit(1)).alias("n"), F.count("status").alias("done"))
     w = W.orderBy("depth").rowsBetween(W.unboundedPreceding, W.currentRow)
     nxt = W.orderBy("depth")
-    return (per.select(F.col("depth").alias("max_depth"), F.sum("n").over(w).cast("bigint").alias("fetched"),
-                       F.coalesce(F.lead("n").over(nxt), F.lit(0)).cast("bigint").alias("pending"))
-            .withColumn("gate", F.when(F.col("pending") > 0, F.lit(IN_PROGRESS)).otherwise(F.lit(READY))))
+    return (per.select(F.col("depth").alias("max_depth"), F.sum("done").over(w).cast("bigint").alias("fetched"),
+                       F.coalesce(F.lead("n").over(nxt), F.lit(0)).cast("bigint").alias("pending"), "done")
+            .where("done > 0").drop("done").withColumn("gate", _gate("pending")))
+
+
+def _gate(pending: str) -> "F.Column":
+    return F.when(F.col(pending) > 0, F.lit(IN_PROGRESS)).otherwise(F.lit(READY))
+
+
+def crawl_gate(crawled: DataFrame) -> DataFrame:
+    """One row ``(fetched, pending, gate)``: what a crawl has fetched, what
+    still waits, and the reply that a SEARCH gets now."""
+    return (crawled.agg(F.count("status").alias("fetched"), (F.count(F.lit(1)) - F.count("status")).alias("pending"))
+            .withColumn("gate", _gate("pending")))
+
+
+def fetched_pages(pages: DataFrame, crawled: DataFrame) -> DataFrame:
+    """The pages a crawl saves: fetched with status 200 and not empty."""
+    saved = crawled.where((F.col("status") == STATUS_OK) & (F.col("bytes") > 0)).select(fetch_path("path").alias("path")).distinct()
+    return pages.join(saved, "path", "left_semi")

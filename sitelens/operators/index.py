@@ -73,8 +73,9 @@ def page_term_counts(pages: DataFrame, vocab: list[str] | None = None) -> DataFr
             .select(F.col("o.term").alias("term"), "path", F.col("o.tf").alias("fr")))
 
 
-def postings_from_occurrences(occ: DataFrame) -> DataFrame:
-    """Same postings from a stored occurrence table (groups by term and page)."""
+def stored_postings(occ: DataFrame) -> DataFrame:
+    """Same postings from a stored occurrence table (groups by term and page;
+    filter the table first)."""
     return (occ.groupBy("term", "path")
             .agg(F.sum("tf").cast("bigint").alias("fr"), F.array_sort(F.collect_set("row")).alias("offsets")))
 
@@ -84,19 +85,12 @@ def lexicon(post: DataFrame) -> DataFrame:
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("fr").cast("bigint").alias("cf"))
 
 
-def term_lookup(post: DataFrame, word: str) -> DataFrame:
-    """Exact match of one word (a prefix of a stored word is no match)."""
-    return post.where(F.col("term") == F.lit(word))
-
-
 def _extreme(post: DataFrame, words: DataFrame, highest: bool) -> DataFrame:
-    from ..session import broadcast_if_small
-
     key = F.struct((-F.col("fr") if highest else F.col("fr")).alias("k"), F.col("path").alias("path"))
-    probe, _ = broadcast_if_small(words.select("term").distinct())
-    best = post.join(probe, "term", "left_semi").groupBy("term").agg(F.min(key).alias("b"))
+    words = words.select("term").distinct()
+    best = post.join(words, "term", "left_semi").groupBy("term").agg(F.min(key).alias("b"))
     fr = (-F.col("b.k")) if highest else F.col("b.k")
-    return (words.select("term").distinct().join(best, "term", "left")
+    return (words.join(best, "term", "left")
             .select("term", F.coalesce(fr, F.lit(0)).cast("bigint").alias("fr"), F.col("b.path").alias("path")))
 
 
@@ -104,7 +98,8 @@ def max_count(post: DataFrame, words: DataFrame) -> DataFrame:
     """``(term, fr, path)``: page with the highest frequency of each word; a tie
     goes to the smallest path; an unknown word gives ``fr`` 0 and no path.
     ``min`` of a struct is a map-side combinable aggregate, so a word found in
-    every page still moves one row per task."""
+    every page still moves one row per task.  ``words`` is a cheap frame (a
+    probe's): it is used twice."""
     return _extreme(post, words, highest=True)
 
 

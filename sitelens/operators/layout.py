@@ -1,113 +1,23 @@
-"""Site layout steps of the page generator, as data operators.
-
-``sample_links`` picks each page's link targets deterministically without
-pairing a site's pages with each other: pages get dense ordinals (chunked
-running counts, balanced even for a site holding a third of all pages) and
-each page computes its targets' ordinals arithmetically, then looks them up
-with equi-joins on unique keys.  ``line_slices`` is a range join keyed by
-page.
-"""
+"""Line ranges of pages."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import site_of
-from ..session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialize
-from ..sources.tables import spread
-from .prefix import running_sums
-
-# Hash salts that make internal and external picks independent.
-INTERNAL_SALT = "int:"
-EXTERNAL_SALT = "ext:"
-
-
-def _h(salt: str, c: str) -> Column:
-    """A 32-bit integer from the md5 of ``salt || c`` (same in any engine)."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(c))), 1, 8), 16, 10).cast("bigint")
-
-
-def _upto(n: Column) -> Column:
-    """``[0, n)`` as an array (empty for n <= 0)."""
-    return F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), (n - 1).cast("bigint"))).otherwise(
-        F.array().cast("array<bigint>"))
-
-
-def sample_links(pages: DataFrame, n_internal: Column | None = None, n_external: Column | None = None) -> DataFrame:
-    """``(src, kind, k, dst)``: per page ``P//2+1`` distinct targets in its own
-    site and ``W//2+1`` distinct targets in other sites (P pages in the site,
-    W sites), never the page itself; both capped by how many exist.
-
-    Targets are consecutive ordinals from a hashed start: internal ordinal
-    ``(i + 1 + (h + k) mod (P-1)) mod P``, external position ``(h' + k) mod
-    (N-P)`` over all pages outside the site.
-    """
-    p = pages.select("path", site_of("path").alias("site"))
-    # one chunked pass: the global ordinal over (site, path); a page's ordinal
-    # inside its site is that minus the site's first ordinal
-    ordered = running_sums(p, keys=[], order=["site", "path"], values={"g": F.lit(1).cast("bigint")})
-    # used five times below: written once to the shared folder (the page
-    # count comes from the same job)
-    ordered, n_total = materialize(ordered.select("site", "path", (F.col("g") - 1).alias("g")), "ordinals")
-
-    sizes = ordered.groupBy("site").agg(F.count(F.lit(1)).alias("P"), F.min("g").alias("start"))
-    sizes, n_sites = materialize(sizes, "site-sizes")
-    sizes, _ = broadcast_if_small(sizes)
-    n_pages = F.lit(n_total).cast("bigint")
-    # each page expands to P//2+1 + W//2+1 candidate rows: spread the pages
-    # over all task slots first (a small table may come back as one file)
-    t = spread(ordered.join(sizes, "site", "inner"), "path").withColumn("idx", F.col("g") - F.col("start"))
-    ordered = t.select("site", "path", "g", "idx")
-
-    f = n_internal if n_internal is not None else F.floor(F.col("P") / 2).cast("bigint") + 1
-    q = n_external if n_external is not None else F.lit(n_sites // 2 + 1).cast("bigint")
-    f = F.least(f, F.col("P") - 1)
-    m = n_pages - F.col("P")
-    q = F.least(q, m)
-
-    internal = (t.select("path", "site", "idx", "P", _h(INTERNAL_SALT, "path").alias("h"),
-                         F.explode(_upto(f)).alias("k"))
-                .select(F.col("path").alias("src"), F.lit("internal").alias("kind"), "k", "site",
-                        ((F.col("idx") + 1 + (F.col("h") % (F.col("P") - 1) + F.col("k")) % (F.col("P") - 1))
-                         % F.col("P")).alias("idx")))
-    # target lookups: a page table proven small (count observed above) is
-    # broadcast so the candidate rows are not shuffled; else a shuffle join
-    small = n_total <= BROADCAST_ROW_LIMIT
-    by_idx = ordered.select("site", "idx", F.col("path").alias("dst"))
-    by_g = ordered.select("g", F.col("path").alias("dst"))
-    if small:
-        by_idx, by_g = F.broadcast(by_idx), F.broadcast(by_g)
-    internal = internal.join(by_idx, ["site", "idx"], "inner")
-
-    external = (t.select("path", "P", "start", m.alias("m"), _h(EXTERNAL_SALT, "path").alias("h"),
-                         F.explode(_upto(q)).alias("k"))
-                .select(F.col("path").alias("src"), F.lit("external").alias("kind"), "k",
-                        ((F.col("h") % F.col("m") + F.col("k")) % F.col("m")).alias("pos"), "start", "P")
-                .select("src", "kind", "k",
-                        F.when(F.col("pos") < F.col("start"), F.col("pos")).otherwise(F.col("pos") + F.col("P"))
-                        .alias("g")))
-    external = external.join(by_g, "g", "inner")
-    cols = ["src", "kind", "k", "dst"]
-    return internal.select(*cols).unionByName(external.select(*cols))
-
-
-def slice_plan(lines_per_page: DataFrame, n_slices: int = 4, start: int = 0) -> DataFrame:
-    """``(path, k, lo, hi)``: ``n_slices`` slices of ``len = max(n_lines //
-    n_slices, 1)`` lines from ``start``; slice k covers ``start + k*len`` to
-    ``start + (k+1)*len`` inclusive (neighbours share one line)."""
-    ln = F.greatest(F.floor(F.col("n_lines") / n_slices).cast("bigint"), F.lit(1).cast("bigint"))
-    return (lines_per_page.select("path", ln.alias("len"), F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))).alias("k"))
-            .select("path", F.col("k").cast("bigint").alias("k"), (F.lit(start) + F.col("k") * F.col("len")).alias("lo"),
-                    (F.lit(start) + (F.col("k") + 1) * F.col("len")).alias("hi")))
-
-
-def line_slices(lines: DataFrame, plan: DataFrame) -> DataFrame:
-    """``(path, k, line_no, line)``: range join of numbered lines with slice
-    bounds.  The equi key ``path`` keeps it a sort-merge join per page (no
-    nested loop over all lines)."""
-    l = lines.alias("l")
-    s = plan.alias("s")
-    cond = (F.col("l.path") == F.col("s.path")) & F.col("l.line_no").between(F.col("s.lo"), F.col("s.hi"))
-    return l.join(s, cond, "inner").select(F.col("l.path").alias("path"), F.col("s.k").alias("k"),
-                                            F.col("l.line_no").alias("line_no"), F.col("l.line").alias("line"))
+from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
+
+
+def line_slices(pages: DataFrame, n_slices: int = 4, start: int = 0) -> DataFrame:
+    """``(path, k, line_no, line)``: ``n_slices`` slices of ``len = max(n_lines
+    // n_slices, 1)`` lines from ``start``; slice k covers lines ``start +
+    k*len`` to ``start + (k+1)*len`` inclusive (neighbours share one line).
+    Cut out of the page's own line array: no join and no shuffle."""
+    ls = pages.select("path", T.lines_array("html").alias("ls"))
+    size = F.greatest(F.floor(F.size("ls") / n_slices), F.lit(1)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.lit(n_slices - 1)), lambda k: F.struct(
+        k.cast("bigint").alias("k"), (F.lit(start) + k * size).alias("lo"), F.slice("ls", F.lit(start + 1) + k * size, size + 1).alias("part")))
+    slices = explode_rows(ls, ["path"], cut, "x").select("path", "x.k", "x.lo", "x.part")
+    return (posexplode_rows(slices, ["path", "k", "lo"], F.col("part"), "at", "line")
+            .select("path", "k", (F.col("lo") + F.col("at")).cast("bigint").alias("line_no"), "line"))

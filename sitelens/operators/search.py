@@ -10,14 +10,15 @@ term found on a third of all lines is just a probe into the broadcast table.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.arrays import explode_rows, posexplode_rows
 from ..functions.urls import site_of
-from ..session import broadcast_if_small
-from . import index as ix
+from ..session import broadcast_if_small, materialize
 from .lines import with_indexable
 
 from ..fixed import NO_RESULTS, RESULT_HEADER_FORMAT, RESULT_ROW_SEPARATOR
@@ -49,39 +50,43 @@ def query_terms(queries: DataFrame, raw: str = "raw", max_terms: int | None = No
 IN_LIST_LIMIT = 10_000
 
 
-def _probe(qterms: DataFrame) -> DataFrame:
-    """The query-term table, broadcast when a count proves it small."""
-    q, _ = broadcast_if_small(qterms.select("query_id", "term"))
-    return q
+class Probe(NamedTuple):
+    """Query words ready to be joined: ``(query_id, term)``, broadcast where
+    proven small, and the vocabulary if it is short enough for a predicate."""
+
+    frame: DataFrame
+    vocab: list[str] | None
 
 
-def probe_and_vocab(qterms: DataFrame) -> tuple[DataFrame, list[str] | None]:
-    """Probe table and query vocabulary from one bounded collect.
+def probe(qterms: DataFrame | Probe) -> Probe:
+    """Probe table and query vocabulary from one bounded collect (a probe is
+    handed on as it is).
 
     Up to ``IN_LIST_LIMIT`` (query, word) rows are collected: then the probe
     is broadcast and the vocabulary filters terms inside each row before any
     explode (``isin`` on a literal list is a hash-set lookup).  Above the
-    bound nothing is collected: a size-checked probe and no pre-filter."""
-    spark = qterms.sparkSession
-    rows = qterms.select("query_id", "term").limit(IN_LIST_LIMIT + 1).collect()
+    bound nothing is collected: a size-checked probe and no pre-filter; the
+    rows that come out are the same."""
+    if isinstance(qterms, Probe):
+        return qterms
+    q = qterms.select("query_id", "term")
+    rows = q.limit(IN_LIST_LIMIT + 1).collect()
     if len(rows) <= IN_LIST_LIMIT:
-        probe = F.broadcast(spark.createDataFrame(rows, "query_id bigint, term string"))
-        return probe, sorted({r["term"] for r in rows})
-    return _probe(qterms), None
+        return Probe(F.broadcast(q.sparkSession.createDataFrame(rows, q.schema)), sorted({r["term"] for r in rows}))
+    return Probe(broadcast_if_small(q)[0], None)
 
 
 def _only(terms, vocab: list[str] | None):
     return terms if vocab is None else F.filter(terms, lambda t: t.isin(vocab))
 
 
-def query_word_filter(words: DataFrame, qterms: DataFrame, word: str = "term") -> DataFrame:
+def query_word_filter(words: DataFrame, qterms: DataFrame | Probe, word: str = "term") -> DataFrame:
     """Rows of ``words`` whose word is one of a query's words, tagged with the
     query id (exact, case-sensitive match)."""
-    q = _probe(qterms).withColumnRenamed("term", word)
-    return words.join(q, word, "inner")
+    return words.join(probe(qterms).frame.withColumnRenamed("term", word), word, "inner")
 
 
-def matching_lines(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> DataFrame:
+def matching_lines(pages: DataFrame, qterms: DataFrame | Probe, compat: bool = False) -> DataFrame:
     """``(query_id, path, row, line_no, line, term)``: one row per query term
     found on an indexable line.  With ``compat`` the ``line`` text is the
     physical line numbered like ``row`` (the reference's lookup)."""
@@ -93,13 +98,13 @@ def matching_lines(pages: DataFrame, qterms: DataFrame, compat: bool = False) ->
     else:
         arr = F.transform("ix", lambda z: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
                                                    z["line"].alias("shown")))
-    probe, vocab = probe_and_vocab(qterms)
+    asked, vocab = probe(qterms)
     lines = (posexplode_rows(base, ["path"], arr, "row", "z")
              .select("path", F.col("row").cast("bigint").alias("row"), F.col("z.line_no").alias("line_no"),
                      F.col("z.shown").alias("line"),
                      _only(F.array_distinct(T.line_terms("z.line")), vocab).alias("terms")))
     return (explode_rows(lines, ["path", "row", "line_no", "line"], F.col("terms"), "term")
-            .join(probe, "term", "inner")
+            .join(asked, "term", "inner")
             .select("query_id", "path", "row", "line_no", "line", "term"))
 
 
@@ -125,21 +130,27 @@ def search_words(pages: DataFrame, words: list[str], compat: bool = False) -> Da
     return number_hits(lines).drop("query_id")
 
 
-def search_stored_words(index: DataFrame, lines: DataFrame, words: list[str], n_buckets: int) -> DataFrame:
-    """One SEARCH with literal words against the stored index and line store:
-    ``term IN (words)`` is pushed to the index scan and the hit pages' line
-    buckets are pruned at run time."""
-    from ..sources.index_store import path_bucket
+def _from_store(hits: DataFrame, store: DataFrame) -> DataFrame:
+    """Result rows of ``(query_id, path, row)`` hits.  A page's hit rows are
+    gathered once per query (the only removal of duplicates), meet the page's
+    row of the bucketed store, which is read in place, and are numbered and
+    given their lines inside that row: no window."""
+    per = hits.groupBy("query_id", "path").agg(F.array_sort(F.collect_set("row")).alias("rows"))
+    met = per.join(store, "path", "inner").select(
+        "query_id", "path", F.size("rows").cast("bigint").alias("n_rows"),
+        F.transform("rows", lambda r: F.struct(r.alias("row"), F.col("lines")[r.cast("int")].alias("line"))).alias("hits"))
+    return (posexplode_rows(met, ["query_id", "path", "n_rows"], F.col("hits"), "f", "x")
+            .select("query_id", "path", "n_rows", F.col("f").cast("bigint").alias("f"), "x.row", "x.line"))
+
 
-    hits = (index.where(F.col("term").isin(list(dict.fromkeys(words))))
-            .select("path", "row", "line_no").distinct()
-            .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
-    m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")
-    return number_hits(m.select(F.lit(0).cast("bigint").alias("query_id"), "path", "row", "line_no",
-                                "line")).drop("query_id")
+def search_stored_words(index: DataFrame, store: DataFrame, words: list[str]) -> DataFrame:
+    """One SEARCH with literal words against the stored index and page store:
+    ``term IN (words)`` is pushed to the index scan."""
+    hits = index.where(F.col("term").isin(list(dict.fromkeys(words)))).select(F.lit(0).cast("bigint").alias("query_id"), "path", "row")
+    return _from_store(hits, store).drop("query_id")
 
 
-def search_hits(pages: DataFrame, qterms: DataFrame) -> DataFrame:
+def search_hits(pages: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
     """``(query_id, path, row, line_no)``: distinct lines holding any word of
     the query.  The distinct is pre-aggregated per task before its shuffle."""
     return matching_lines(pages, qterms).select("query_id", "path", "row", "line_no").distinct()
@@ -159,38 +170,31 @@ def number_hits(m: DataFrame) -> DataFrame:
                     (F.row_number().over(page.orderBy("row")) - 1).cast("bigint").alias("f"), "row", "line")
 
 
-def search_rows(pages: DataFrame, qterms: DataFrame, compat: bool = False) -> DataFrame:
+def search_rows(pages: DataFrame, qterms: DataFrame | Probe, compat: bool = False) -> DataFrame:
     """``(query_id, path, n_rows, f, row, line)``: hits with the text of the
     line, the number of hit lines of the page and the 0-based ordinal ``f``
     of the hit in its page (ascending row)."""
     return number_hits(matching_lines(pages, qterms, compat=compat).drop("term"))
 
 
-def search_stored(index: DataFrame, lines: DataFrame, qterms: DataFrame, n_buckets: int) -> DataFrame:
-    """:func:`search_rows` against a stored index and line store
-    (:mod:`sitelens.sources.index_store`): per query only the index row
-    groups of its words are read (a literal ``term IN`` list, pushed to the
-    parquet scan, when the word count is under a checked bound), and only the
-    line partitions of the hit pages (dynamic partition pruning on the
-    path bucket)."""
-    from ..sources.index_store import path_bucket
-
-    probe, vocab = probe_and_vocab(qterms)
+def search_stored(index: DataFrame, store: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
+    """:func:`search_rows` against a stored index and page store
+    (:mod:`sitelens.sources.index_store`): only the index row groups of the
+    query words are read (a literal ``term IN`` list, pushed to the parquet
+    scan, when the word count is under a checked bound) and no page is parsed."""
+    asked, vocab = probe(qterms)
     if vocab is not None:
         # proven small: the words become a scan predicate pushed to parquet
         index = index.where(F.col("term").isin(vocab))
-    hits = (index.join(probe, "term", "inner").select("query_id", "path", "row", "line_no").distinct()
-            .withColumn("bucket", path_bucket(F.col("path"), n_buckets)))
-    m = hits.join(lines.select("bucket", "path", "row", "line"), ["bucket", "path", "row"], "inner")
-    return number_hits(m.select("query_id", "path", "row", "line_no", "line"))
+    return _from_store(index.join(asked, "term", "inner").select("query_id", "path", "row"), store)
 
 
-def hit_ordinal(pages: DataFrame, qterms: DataFrame) -> DataFrame:
+def hit_ordinal(pages: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
     """``(query_id, path, row, f)``."""
     return search_rows(pages, qterms).select("query_id", "path", "row", "f")
 
 
-def search_summary(pages: DataFrame, qterms: DataFrame) -> DataFrame:
+def search_summary(pages: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
     """``(query_id, path, n_rows)``: distinct hit lines per page (the result's
     ``fr``).  A single-distinct aggregate: one shuffle on (query, page)."""
     return (matching_lines(pages, qterms).groupBy("query_id", "path")
@@ -209,18 +213,17 @@ def search_ordered(hits: DataFrame) -> DataFrame:
     return hits.orderBy("query_id", "path", "row")
 
 
-def union_rows(post: DataFrame, qterms: DataFrame) -> DataFrame:
+def union_rows(post: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
     """``(query_id, path, rows, n_rows)``: union of the offset lists of the
     query's words per page (the nested-index form of the search)."""
-    q = _probe(qterms)
-    return (post.join(q, "term", "inner").groupBy("query_id", "path")
+    return (post.join(probe(qterms).frame, "term", "inner").groupBy("query_id", "path")
             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("offsets")))).alias("rows"))
             .select("query_id", "path", "rows", F.size("rows").cast("bigint").alias("n_rows")))
 
 
-def page_frequency(post: DataFrame, qterms: DataFrame) -> DataFrame:
+def page_frequency(post: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
     """``(query_id, path, freq)``: occurrences of the query's words per page."""
-    return (post.join(_probe(qterms), "term", "inner").groupBy("query_id", "path")
+    return (post.join(probe(qterms).frame, "term", "inner").groupBy("query_id", "path")
             .agg(F.sum("fr").cast("bigint").alias("freq")))
 
 
@@ -235,12 +238,12 @@ def _top(df: DataFrame, key: str, k: int) -> DataFrame:
             .select("query_id", "rank", key, "freq"))
 
 
-def rank_pages(post: DataFrame, qterms: DataFrame, k: int = 10) -> DataFrame:
+def rank_pages(post: DataFrame, qterms: DataFrame | Probe, k: int = 10) -> DataFrame:
     """``(query_id, rank, path, freq)``: pages by frequency of the query words."""
     return _top(page_frequency(post, qterms), "path", k)
 
 
-def rank_sites(post: DataFrame, qterms: DataFrame, k: int = 10) -> DataFrame:
+def rank_sites(post: DataFrame, qterms: DataFrame | Probe, k: int = 10) -> DataFrame:
     """``(query_id, rank, site, freq)``: sites by frequency of the query words."""
     per_site = (page_frequency(post, qterms).withColumn("site", site_of("path"))
                 .groupBy("query_id", "site").agg(F.sum("freq").cast("bigint").alias("freq")))
@@ -250,19 +253,18 @@ def rank_sites(post: DataFrame, qterms: DataFrame, k: int = 10) -> DataFrame:
 def search_report(rows: DataFrame, queries: DataFrame) -> DataFrame:
     """``(query_id, path, f, text)``: the answer as text rows.  Per page a
     header ``path : n `` (``f`` = -1), then ``f,row,text`` rows; a query with
-    no hit gets one ``No results found`` row.  Order by (query_id, path, f)."""
-    heads = (rows.select("query_id", "path", "n_rows").distinct()
-             .select("query_id", "path", F.lit(-1).cast("bigint").alias("f"),
-                     F.format_string(RESULT_HEADER_FORMAT, F.col("path"), F.col("n_rows")).alias("text")))
-    body = rows.select("query_id", "path", "f",
-                       F.concat_ws(RESULT_ROW_SEPARATOR, F.col("f").cast("string"), F.col("row").cast("string"),
-                                   F.col("line")).alias("text"))
-    answered = rows.select("query_id").distinct()
+    no hit gets one ``No results found`` row.  Order by (query_id, path, f).
+
+    The search runs once: its text rows are written, a page's first row
+    bringing the header, and the unanswered queries are those whose id is
+    not in that table."""
+    line = F.concat_ws(RESULT_ROW_SEPARATOR, F.col("f").cast("string"), F.col("row").cast("string"), F.col("line"))
+    head = F.struct(F.lit(-1).cast("bigint").alias("f"), F.format_string(RESULT_HEADER_FORMAT, F.col("path"), F.col("n_rows")).alias("text"))
+    body = F.struct(F.col("f"), line.alias("text"))
+    both = F.when(F.col("f") == 0, F.array(head, body)).otherwise(F.array(body))
+    text, _ = materialize(rows.select("query_id", "path", F.explode(both).alias("x")).select("query_id", "path", "x.f", "x.text"), "report")
+    answered = text.select("query_id").distinct()
     none = (queries.select("query_id").distinct().join(answered, "query_id", "left_anti")
             .select("query_id", F.lit(None).cast("string").alias("path"), F.lit(-1).cast("bigint").alias("f"),
                     F.lit(NO_RESULTS).alias("text")))
-    return heads.unionByName(body).unionByName(none)
-
-
-def term_lookup(post: DataFrame, word: str) -> DataFrame:
-    return ix.term_lookup(post, word)
+    return text.unionByName(none)

@@ -16,7 +16,8 @@ from .graph import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK, page_index
 from .prefix import running_sums
 from .search import command_words
 
-from ..fixed import REQUEST_VERB, SEARCH_VERB, SERVER_STATS_FORMAT, SHUTDOWN_COMMAND, STATS_COMMAND, UNKNOWN_REPLY
+from ..fixed import (CRAWLER_STATS_FORMAT, REQUEST_VERB, SEARCH_VERB, SERVER_STATS_FORMAT, SERVER_UNKNOWN_REPLY, SHUTDOWN_COMMAND,
+                     STATS_COMMAND, UNKNOWN_REPLY)
 
 # the first space-separated word is the verb (leading spaces skipped)
 SEARCH_VERB_PATTERN = rf"^ *{SEARCH_VERB}( |\z)"
@@ -53,6 +54,23 @@ def command_log(cmds: DataFrame, raw: str = "raw", max_terms: int | None = None)
             .withColumn("reply", F.when(F.col("kind") == "UNKNOWN", F.lit(UNKNOWN_REPLY))))
 
 
+def server_command_log(cmds: DataFrame, raw: str = "raw") -> DataFrame:
+    """The server's command set: adds ``kind`` (STATS, SHUTDOWN, UNKNOWN: a
+    SEARCH is unknown to it) and ``reply`` (its refusal text for UNKNOWN)."""
+    kind = F.when(command_kind(raw) == "SEARCH", F.lit("UNKNOWN")).otherwise(command_kind(raw))
+    return (cmds.withColumn("kind", kind)
+            .withColumn("reply", F.when(F.col("kind") == "UNKNOWN", F.lit(SERVER_UNKNOWN_REPLY))))
+
+
+def crawler_stats(crawled: DataFrame, secs: int = 0) -> DataFrame:
+    """One row ``(uptime, downloads, bytes, reply)``: the crawler's STATS
+    answer ``secs`` seconds after its start.  A download has more than zero bytes."""
+    up = uptime_hms(F.lit(secs).cast("bigint"))
+    got = crawled.agg(F.count(F.when(F.col("bytes") > 0, True)).cast("bigint").alias("downloads"),
+                      F.coalesce(F.sum(F.when(F.col("bytes") > 0, F.col("bytes"))), F.lit(0)).cast("bigint").alias("bytes"))
+    return got.select(up.alias("uptime"), "downloads", "bytes", F.format_string(CRAWLER_STATS_FORMAT, up, "downloads", "bytes").alias("reply"))
+
+
 def _with_status(reqs: DataFrame, pages: DataFrame | None, pidx: DataFrame | None = None) -> DataFrame:
     """Left join on the requested path.  A page requested by a third of all
     requests is a skewed join key: AQE's skew-join split handles it (the
@@ -91,6 +109,18 @@ def server_stats(status: DataFrame) -> DataFrame:
                  F.sum(F.when(ok, F.col("bytes")).otherwise(F.lit(0))).cast("bigint").alias("bytes")))
 
 
+def server_totals(requests: DataFrame, pages: DataFrame | None, pidx: DataFrame | None = None) -> DataFrame:
+    """``(server, served, bytes)`` straight from a request log: requests are
+    counted by server and page first (combined before the shuffle), so the
+    page lookup sees one row for each, however often the page was asked for."""
+    asked = (request_log(requests).where(~F.col("is_cmd") & F.col("req_path").isNotNull())
+             .groupBy("server", "req_path").agg(F.count(F.lit(1)).alias("times")))
+    ok = served("status", "bytes")
+    return (_with_status(asked, pages, pidx).groupBy("server")
+            .agg(F.coalesce(F.sum(F.when(ok, F.col("times"))), F.lit(0)).cast("bigint").alias("served"),
+                 F.coalesce(F.sum(F.when(ok, F.col("times") * F.col("bytes"))), F.lit(0)).cast("bigint").alias("bytes")))
+
+
 def whole_seconds(ts) -> Column:
     return F.unix_seconds(F.col(ts).cast("timestamp"))
 
@@ -102,10 +132,13 @@ def stats_asof(requests: DataFrame, pages: DataFrame) -> DataFrame:
 
     Running sums are chunked (see :mod:`.prefix`), so a server with a third of
     all requests is spread over many tasks."""
-    rows = _with_status(request_log(requests), pages)
-    ok = (F.col("status") == STATUS_OK) & (F.col("bytes") > 0) & ~F.col("is_cmd")
-    rows = rows.select("event_id", "server", "is_cmd", whole_seconds("ts").alias("secs"),
-                       F.col("ts").cast("timestamp").alias("ts"), ok.alias("ok"), "bytes")
+    # only parsed page requests look their page up; commands and other rows go round the join
+    logged = request_log(requests)
+    is_request = ~F.col("is_cmd") & F.col("req_path").isNotNull()
+    cols = ["event_id", "server", "is_cmd", whole_seconds("ts").alias("secs"), F.col("ts").cast("timestamp").alias("ts")]
+    looked = _with_status(logged.where(is_request), pages).select(*cols, served("status", "bytes").alias("ok"), "bytes")
+    other = logged.where(~is_request).select(*cols, F.lit(False).alias("ok"), F.lit(None).cast("bigint").alias("bytes"))
+    rows = looked.unionByName(other)
     run = running_sums(
         rows, keys=["server"], order=["ts", "event_id"],
         values={"served": F.when(F.col("ok"), 1).otherwise(0).cast("bigint"),

@@ -11,10 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import NO_RESULTS
+from ..functions import text as T
+from ..functions.timefmt import uptime_hms
+from ..functions.urls import normalize_url, site_of
+from ..operators import graph as gr
 from ..operators import index as ix
+from ..operators import layout as lay
 from ..operators import lines as ln
-from ..functions import text as T
+from ..operators import search as se
+from ..operators import traffic as tr
+from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources import index_store as ist
+from ..sources import pages as pg
+from ..sources.tables import read_table
+from ..streaming import streams as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -67,10 +79,10 @@ def q_lexicon(spark, sf_dir):
 
 
 # --- search -----------------------------------------------------------------
-from ..operators import search as se  # noqa: E402
 
 LOOKUP_WORD = "the"   # word looked up by the term_lookup query
 TOP_K = 10            # ranking depth of rank_pages / rank_sites
+CRAWL_SECONDS = 3986  # uptime shown in the crawler's STATS answer
 
 
 def qterms(spark, sf_dir):
@@ -84,13 +96,17 @@ def q_query_terms(spark, sf_dir):
 
 @query("query_word_filter")
 def q_query_word_filter(spark, sf_dir):
-    lex = ix.lexicon(ix.page_term_counts(pages(spark, sf_dir)))
-    return se.query_word_filter(lex, qterms(spark, sf_dir)).select("query_id", "term", "df", "cf")
+    q = se.probe(qterms(spark, sf_dir))
+    lex = ix.lexicon(ix.page_term_counts(pages(spark, sf_dir), q.vocab))
+    return se.query_word_filter(lex, q).select("query_id", "term", "df", "cf")
 
 
 @query("term_lookup")
 def q_term_lookup(spark, sf_dir):
-    return flat_postings(ix.term_lookup(ix.postings(pages(spark, sf_dir)), LOOKUP_WORD))
+    """One word looked up in the stored index (the filter reaches the scan)."""
+    folder = scratch_path(spark, "index")
+    ist.write_index(ix.occurrences(pages(spark, sf_dir)), folder)
+    return flat_postings(ix.stored_postings(ist.lookup(spark, folder, LOOKUP_WORD)))
 
 
 @query("search_hits")
@@ -125,23 +141,20 @@ def q_search_ordered(spark, sf_dir):
 
 @query("rank_pages")
 def q_rank_pages(spark, sf_dir):
-    q = qterms(spark, sf_dir)
-    _, vocab = se.probe_and_vocab(q)
-    return se.rank_pages(ix.page_term_counts(pages(spark, sf_dir), vocab), q, k=TOP_K)
+    q = se.probe(qterms(spark, sf_dir))
+    return se.rank_pages(ix.page_term_counts(pages(spark, sf_dir), q.vocab), q, k=TOP_K)
 
 
 @query("rank_sites")
 def q_rank_sites(spark, sf_dir):
-    q = qterms(spark, sf_dir)
-    _, vocab = se.probe_and_vocab(q)
-    return se.rank_sites(ix.page_term_counts(pages(spark, sf_dir), vocab), q, k=TOP_K)
+    q = se.probe(qterms(spark, sf_dir))
+    return se.rank_sites(ix.page_term_counts(pages(spark, sf_dir), q.vocab), q, k=TOP_K)
 
 
 @query("union_rows")
 def q_union_rows(spark, sf_dir):
-    q = qterms(spark, sf_dir)
-    _, vocab = se.probe_and_vocab(q)
-    u = se.union_rows(ix.postings(pages(spark, sf_dir), vocab), q)
+    q = se.probe(qterms(spark, sf_dir))
+    u = se.union_rows(ix.postings(pages(spark, sf_dir), q.vocab), q)
     return u.select("query_id", "path", F.array_join("rows", "-").alias("rows_text"), "n_rows")
 
 
@@ -153,17 +166,17 @@ def q_search_report(spark, sf_dir):
 
 @query("max_count")
 def q_max_count(spark, sf_dir):
-    return ix.max_count(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir))
+    q = se.probe(qterms(spark, sf_dir))
+    return ix.max_count(ix.page_term_counts(pages(spark, sf_dir), q.vocab), q.frame)
 
 
 @query("min_count")
 def q_min_count(spark, sf_dir):
-    return ix.min_count(ix.page_term_counts(pages(spark, sf_dir)), qterms(spark, sf_dir))
+    q = se.probe(qterms(spark, sf_dir))
+    return ix.min_count(ix.page_term_counts(pages(spark, sf_dir), q.vocab), q.frame)
 
 
 # --- link graph -------------------------------------------------------------
-from ..functions.urls import normalize_url, site_of  # noqa: E402
-from ..operators import graph as gr  # noqa: E402
 
 
 @query("extract_links")
@@ -194,9 +207,9 @@ def q_frontier_step(spark, sf_dir):
     p = pages(spark, sf_dir)
     start = spark.createDataFrame([(fx.START_PAGE, 0)], "path string, depth bigint")
     pidx = gr.page_index(p)
-    frontier = gr.with_status(start, pidx, 1)
+    frontier = gr.with_status(start, pidx)
     linked = gr.edge_status(gr.edges(p.where("readable")), pidx)
-    return gr.frontier_step(frontier, linked, start, 1).select("path")
+    return gr.frontier_step(frontier, linked, start, small=True).select("path")
 
 
 @query("dangling_links")
@@ -220,6 +233,45 @@ def q_crawl(spark, sf_dir):
     return crawled(spark, sf_dir)
 
 
+LIMIT_DEPTH = 2       # last depth that the limited crawl fetches
+
+
+def limited(spark, sf_dir):
+    return gr.crawl(pages(spark, sf_dir), fx.START_PAGE, max_depth=LIMIT_DEPTH)
+
+
+@query("crawl_limited")
+def q_crawl_limited(spark, sf_dir):
+    """A crawl stopped at a depth: fetched URLs and those still in the queue."""
+    return limited(spark, sf_dir)
+
+
+@query("crawl_gate")
+def q_crawl_gate(spark, sf_dir):
+    """What a SEARCH is told while that crawl has URLs to fetch."""
+    return gr.crawl_gate(limited(spark, sf_dir))
+
+
+def saved_pages(spark, sf_dir):
+    """Crawl, save what it fetched, read the store."""
+    p = pages(spark, sf_dir)
+    folder = scratch_path(spark, "crawled")
+    pg.write_pages(gr.fetched_pages(p, gr.crawl(p, fx.START_PAGE)), folder)
+    return pg.read_pages(spark, folder)
+
+
+@query("crawled_rows")
+def q_crawled_rows(spark, sf_dir):
+    """Every benchmark search over the pages that the crawl saved."""
+    return se.search_rows(saved_pages(spark, sf_dir), qterms(spark, sf_dir))
+
+
+@query("crawled_rank")
+def q_crawled_rank(spark, sf_dir):
+    q = se.probe(qterms(spark, sf_dir))
+    return se.rank_pages(ix.page_term_counts(saved_pages(spark, sf_dir), q.vocab), q, k=TOP_K)
+
+
 @query("unreached_pages")
 def q_unreached_pages(spark, sf_dir):
     return gr.unreached_pages(pages(spark, sf_dir), crawled(spark, sf_dir))
@@ -236,9 +288,6 @@ def q_crawl_pending(spark, sf_dir):
 
 
 # --- requests, commands, counters ---------------------------------------------
-from ..functions.timefmt import uptime_hms  # noqa: E402
-from ..operators import traffic as tr  # noqa: E402
-from ..sources.tables import read_table  # noqa: E402
 
 
 @query("request_log")
@@ -260,7 +309,17 @@ def q_request_status(spark, sf_dir):
 
 @query("server_stats")
 def q_server_stats(spark, sf_dir):
-    return tr.server_stats(tr.request_status(fx.requests(spark, sf_dir), pages(spark, sf_dir)))
+    return tr.server_totals(fx.requests(spark, sf_dir), pages(spark, sf_dir))
+
+
+@query("crawler_stats")
+def q_crawler_stats(spark, sf_dir):
+    return tr.crawler_stats(crawled(spark, sf_dir), CRAWL_SECONDS)
+
+
+@query("server_command_log")
+def q_server_command_log(spark, sf_dir):
+    return tr.server_command_log(fx.commands(spark, sf_dir)).select("event_id", "kind", "reply")
 
 
 @query("stats_asof")
@@ -276,9 +335,6 @@ def q_uptime_hms(spark, sf_dir):
 
 
 # --- sources and sinks, text counts ---------------------------------------------
-from ..session import scratch_path  # noqa: E402
-from ..sources import index_store as ist  # noqa: E402
-from ..sources import pages as pg  # noqa: E402
 
 
 @query("scan_pages")
@@ -293,12 +349,13 @@ def q_site_catalog(spark, sf_dir):
 
 @query("write_pages")
 def q_write_pages(spark, sf_dir):
-    """Round trip: write every page under its site, then rewrite one site
-    (dynamic overwrite must keep the others), read back."""
+    """Round trip: save every page, then some pages of one site again with
+    another text; the store has the new texts beside all other pages."""
     folder = scratch_path(spark, "pages")
     p = pages(spark, sf_dir)
     pg.write_pages(p, folder)
-    pg.write_pages(p.where(F.col("path").startswith("site3/")), folder)
+    again = p.where(F.col("path").startswith("site3/") & (F.col("doc_id") % 3 == 0))
+    pg.write_pages(again.withColumn("html", F.concat("html", F.lit("saved again\n"))), folder)
     return pg.read_pages(spark, folder).select("path", "site", "readable", T.text_bytes("html").alias("n_bytes"),
                                                  F.md5("html").alias("html_md5"))
 
@@ -320,50 +377,38 @@ def q_corpus_bwl(spark, sf_dir):
     return ln.corpus_bwl(pages(spark, sf_dir))
 
 
-# --- generator layout -----------------------------------------------------------
-from ..operators import layout as lay  # noqa: E402
-from ..functions.text import lines_array  # noqa: E402
-
-
-@query("sample_links")
-def q_sample_links(spark, sf_dir):
-    return lay.sample_links(pages(spark, sf_dir))
-
-
 @query("line_slices")
 def q_line_slices(spark, sf_dir):
-    p = pages(spark, sf_dir)
-    plan = lay.slice_plan(p.select("path", F.size(lines_array("html")).alias("n_lines")), n_slices=4)
-    return lay.line_slices(ln.page_lines(p), plan)
+    return lay.line_slices(pages(spark, sf_dir), n_slices=4)
 
 
 # --- streams ------------------------------------------------------------------
-from ..streaming import streams as st  # noqa: E402
 
 QUERIES["stream_server_stats"] = st.stream_server_stats
 QUERIES["stream_seen_urls"] = st.stream_seen_urls
 QUERIES["stream_postings"] = st.stream_postings
 QUERIES["stream_commands"] = st.stream_commands
+QUERIES["stream_answers"] = st.stream_answers
 
 
 @query("search_stored")
 def q_search_stored(spark, sf_dir):
-    """Build the index and line store once in the shared folder, then answer
+    """Build the index and page store once in the shared folder, then answer
     every benchmark search from them."""
     p = pages(spark, sf_dir)
-    n_buckets = ist.BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    idir, ldir = scratch_path(spark, "index"), scratch_path(spark, "lines")
-    ist.write_index(ix.occurrences(p), idir)
-    ist.write_lines(ln.indexable_lines(p), ldir, n_buckets)
-    return se.search_stored(ist.read_index(spark, idir), ist.read_lines(spark, ldir), qterms(spark, sf_dir), n_buckets)
+    folder = scratch_path(spark, "index")
+    ist.write_index(ix.occurrences(p), folder)
+    store = spark.table(ist.write_lines(p, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return se.search_stored(ist.read_index(spark, folder), store, qterms(spark, sf_dir))
 
 
 @query("search_command")
 def q_search_command(spark, sf_dir):
-    """One SEARCH command as typed (the first benchmark search), over every page."""
-    q = fx.search_queries(spark, sf_dir)
-    words = q.orderBy("query_id").select(se.command_words("raw").alias("w")).first()["w"][1:]
-    return se.search_words(pages(spark, sf_dir), words)
+    """Every benchmark command as typed: its kind, totals and reply."""
+    raw = fx.search_queries(spark, sf_dir)
+    totals = se.search_totals(se.search_summary(pages(spark, sf_dir), se.query_terms(raw)))
+    logged = tr.command_log(raw).select("query_id", "kind", "reply").join(totals, "query_id", "left").na.fill(0, ["n_pages", "n_rows"])
+    return logged.withColumn("reply", F.when(F.col("n_rows") == 0, F.lit(NO_RESULTS)).otherwise(F.col("reply")))
 
 
 @query("search_totals")

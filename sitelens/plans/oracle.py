@@ -240,6 +240,17 @@ oracle("crawl_stats", """SELECT status, CAST(count(*) AS BIGINT) AS n_urls,
   CAST(count(*) FILTER (WHERE bytes > 0) AS BIGINT) AS downloads,
   CAST(sum(CASE WHEN bytes > 0 THEN bytes ELSE 0 END) AS BIGINT) AS bytes
 FROM crawl GROUP BY status""", "crawl")
+oracle("crawl_limited", """SELECT path, depth, CASE WHEN depth <= 2 THEN status END AS status, CASE WHEN depth <= 2 THEN bytes END AS bytes
+FROM crawl WHERE depth <= 3""", "crawl")
+oracle("crawl_gate", """SELECT count(*) FILTER (WHERE depth <= 2) AS fetched, count(*) FILTER (WHERE depth = 3) AS pending,
+  CASE WHEN count(*) FILTER (WHERE depth = 3) > 0 THEN 'Crawling still in progress.Sorry.' ELSE 'ready' END AS gate
+FROM crawl""", "crawl")
+cte("saved", "SELECT DISTINCT fetch_path(path) AS path FROM crawl WHERE status = 200 AND bytes > 0", "crawl")
+oracle("crawled_rows", """SELECT query_id, path, n_rows, f, row, line FROM search_rows
+WHERE path IN (SELECT path FROM saved)""", "search_rows", "saved")
+oracle("crawled_rank", """SELECT query_id, rank, path, freq FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY freq DESC, path) AS BIGINT) AS rank, path, freq
+  FROM page_freq WHERE path IN (SELECT path FROM saved)) WHERE rank <= 10""", "page_freq", "saved")
 oracle("crawl_pending", """SELECT depth AS max_depth,
   CAST(sum(n) OVER (ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fetched,
   CAST(coalesce(lead(n) OVER (ORDER BY depth), 0) AS BIGINT) AS pending,
@@ -281,6 +292,12 @@ FROM (SELECT event_id, server, is_cmd, secs,
         FROM request_log AS r LEFT JOIN corpus AS c ON c.path = r.req_path)
   WINDOW w AS (PARTITION BY server ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 WHERE is_cmd""", "request_log", "corpus")
+oracle("crawler_stats", f"""SELECT {_hms('3986')} AS uptime, downloads, bytes,
+  printf('Server up for %s , %d downloads ,%d bytes.', {_hms('3986')}, downloads, bytes) AS reply
+FROM (SELECT CAST(count(*) FILTER (WHERE bytes > 0) AS BIGINT) AS downloads, CAST(sum(bytes) AS BIGINT) AS bytes FROM crawl)""", "crawl")
+oracle("server_command_log", """SELECT event_id, CASE WHEN kind = 'SEARCH' THEN 'UNKNOWN' ELSE kind END AS kind,
+  CASE WHEN kind IN ('SEARCH', 'UNKNOWN') THEN 'Sorry,I don''t serve this command.' END AS reply
+FROM command_rows""", "command_rows")
 oracle("uptime_hms", f"""SELECT event_id, secs, {_hms('secs')} AS uptime
 FROM (SELECT event_id, epoch_us(ts) // 1000000 - epoch_us(date_trunc('month', ts)) // 1000000 AS secs FROM events)""")
 
@@ -290,7 +307,9 @@ oracle("scan_pages", """SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS si
 oracle("site_catalog", """SELECT regexp_extract(path, '^/*([^/]+)', 1) AS site, CAST(count(*) AS BIGINT) AS n_pages,
   CAST(sum(strlen(html)) AS BIGINT) AS n_bytes FROM corpus GROUP BY 1""", "corpus")
 oracle("write_pages", """SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS site, readable,
-  CAST(strlen(html) AS BIGINT) AS n_bytes, md5(html) AS html_md5 FROM corpus""", "corpus")
+  CAST(strlen(html) AS BIGINT) AS n_bytes, md5(html) AS html_md5
+FROM (SELECT path, readable, html || CASE WHEN starts_with(path, 'site3/') AND doc_id % 3 = 0 THEN 'saved again' || chr(10) ELSE '' END AS html
+      FROM corpus)""", "corpus")
 oracle("write_index", "SELECT term, path, row, line_no, tf FROM occurrences", "occurrences")
 oracle("text_bwl", """SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes,
   CAST(len(regexp_extract_all(text, '[^ \\n]+[ \\n]')) AS BIGINT) AS words,
@@ -303,27 +322,6 @@ FROM (SELECT regexp_extract(path, '^/*([^/]+)', 1) AS site, strlen(html) AS byte
         length(html) - length(replace(html, chr(10), '')) AS lines FROM corpus)
 GROUP BY ROLLUP (site)""", "corpus")
 
-# --- generator layout -------------------------------------------------------------
-cte("ordinals", """SELECT path, site, CAST(row_number() OVER (PARTITION BY site ORDER BY path) - 1 AS BIGINT) AS idx,
-  CAST(row_number() OVER (ORDER BY site, path) - 1 AS BIGINT) AS g
-FROM (SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS site FROM corpus)""", "corpus")
-cte("site_sizes", "SELECT site, count(*) AS P, min(g) AS start FROM ordinals GROUP BY site", "ordinals")
-cte("layout_t", """
-  SELECT o.path, o.site, o.idx, o.g, s.P, s.start,
-    (SELECT count(*) FROM ordinals) - s.P AS m,
-    least(s.P // 2 + 1, s.P - 1) AS f,
-    least((SELECT count(*) FROM site_sizes) // 2 + 1, (SELECT count(*) FROM ordinals) - s.P) AS q,
-    CAST(('0x' || substr(md5('int:' || o.path), 1, 8)) AS BIGINT) AS h1,
-    CAST(('0x' || substr(md5('ext:' || o.path), 1, 8)) AS BIGINT) AS h2
-  FROM ordinals AS o JOIN site_sizes AS s ON s.site = o.site""", "ordinals", "site_sizes")
-cte("layout_i", "SELECT path, site, idx, P, h1, unnest(generate_series(0, f - 1)) AS k FROM layout_t WHERE f > 0", "layout_t")
-cte("layout_e", "SELECT path, start, P, m, h2, unnest(generate_series(0, q - 1)) AS k FROM layout_t WHERE q > 0", "layout_t")
-oracle("sample_links", """SELECT i.path AS src, 'internal' AS kind, CAST(i.k AS BIGINT) AS k, o.path AS dst
-FROM layout_i AS i JOIN ordinals AS o ON o.site = i.site AND o.idx = (i.idx + 1 + (i.h1 % (i.P - 1) + i.k) % (i.P - 1)) % i.P
-UNION ALL
-SELECT e.path AS src, 'external' AS kind, CAST(e.k AS BIGINT) AS k, o.path AS dst
-FROM layout_e AS e JOIN ordinals AS o ON o.g = CASE WHEN (e.h2 % e.m + e.k) % e.m < e.start THEN (e.h2 % e.m + e.k) % e.m
-                                      ELSE (e.h2 % e.m + e.k) % e.m + e.P END""", "layout_i", "layout_e", "ordinals")
 cte("slice_plan", """SELECT path, CAST(k AS BIGINT) AS k, k * len AS lo, (k + 1) * len AS hi
   FROM (SELECT path, greatest(len(ls) // 4, 1) AS len, unnest(generate_series(0, 3)) AS k FROM page_split)""", "page_split")
 oracle("line_slices", """SELECT l.path, p.k, l.line_no, l.line FROM lines AS l JOIN slice_plan AS p ON p.path = l.path AND l.line_no BETWEEN p.lo AND p.hi""",
@@ -338,17 +336,26 @@ cte("command_keys", """SELECT event_id, kind, list_distinct(terms) AS uterms,
 cte("command_hits", """SELECT DISTINCT q.qkey, o.path, o.row
 FROM (SELECT DISTINCT qkey, unnest(uterms) AS term FROM command_keys WHERE kind = 'SEARCH') AS q
 JOIN occurrences AS o ON o.term = q.term""", "command_keys", "occurrences")
-oracle("stream_commands", """SELECT c.event_id, c.kind,
+oracle("stream_commands", f"""SELECT c.event_id, c.kind,
   CASE WHEN c.kind = 'SEARCH' THEN CAST(coalesce(h.n_pages, 0) AS BIGINT) END AS n_pages,
   CASE WHEN c.kind = 'SEARCH' THEN CAST(coalesce(h.n_rows, 0) AS BIGINT) END AS n_rows,
   CASE WHEN c.kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.'
+       WHEN c.kind = 'STATS' THEN printf('Server up for %s , %d downloads ,%d bytes.', {_hms('c.secs - s.start_secs')}, d.downloads, d.bytes)
        WHEN c.kind = 'SEARCH' AND coalesce(h.n_rows, 0) = 0 THEN 'No results found' END AS reply
-FROM command_keys AS c
+FROM (SELECT k.*, epoch_us(e.ts) // 1000000 AS secs FROM command_keys AS k JOIN events AS e USING (event_id)) AS c
+CROSS JOIN (SELECT min(epoch_us(ts) // 1000000) AS start_secs FROM events) AS s
+CROSS JOIN (SELECT count(*) FILTER (WHERE bytes > 0) AS downloads, CAST(sum(bytes) AS BIGINT) AS bytes FROM crawl) AS d
 LEFT JOIN (SELECT qkey, count(DISTINCT path) AS n_pages, count(*) AS n_rows FROM command_hits GROUP BY qkey) AS h
-  ON h.qkey = c.qkey AND c.kind = 'SEARCH'""", "command_keys", "command_hits")
+  ON h.qkey = c.qkey AND c.kind = 'SEARCH'""", "command_keys", "command_hits", "crawl")
+oracle("stream_answers", """SELECT h.qkey, h.path, CAST(count(*) OVER (PARTITION BY h.qkey, h.path) AS BIGINT) AS n_rows,
+  CAST(row_number() OVER (PARTITION BY h.qkey, h.path ORDER BY h.row) - 1 AS BIGINT) AS f, h.row, l.line
+FROM command_hits AS h JOIN ix_lines AS l ON l.path = h.path AND l.row = h.row""", "command_hits", "ix_lines")
 oracle("search_stored", ORACLES["search_rows"][0], *ORACLES["search_rows"][1])
-oracle("search_command", """SELECT path, n_rows, f, row, line FROM search_rows
-WHERE query_id = (SELECT min(query_id) FROM search_queries)""", "search_rows", "search_queries")
+oracle("search_command", """SELECT q.query_id, 'SEARCH' AS kind, CAST(coalesce(h.n_pages, 0) AS BIGINT) AS n_pages,
+  CAST(coalesce(h.n_rows, 0) AS BIGINT) AS n_rows, CASE WHEN coalesce(h.n_rows, 0) = 0 THEN 'No results found' END AS reply
+FROM search_queries AS q
+LEFT JOIN (SELECT query_id, count(DISTINCT path) AS n_pages, count(*) AS n_rows FROM hit_lines GROUP BY query_id) AS h
+  ON h.query_id = q.query_id""", "search_queries", "hit_lines")
 oracle("search_totals", """SELECT query_id, CAST(count(DISTINCT path) AS BIGINT) AS n_pages,
   CAST(count(*) AS BIGINT) AS n_rows FROM hit_lines GROUP BY query_id""", "hit_lines")
 cte("in_degree", """SELECT c.path, CAST(count(DISTINCT e.src) AS BIGINT) AS in_degree

@@ -6,11 +6,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-# Row bound under which a side of a join may be broadcast.  Query-term and
-# frontier tables are checked against it with a count before broadcasting.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Bytes under which a side of a join may be broadcast.  Query-term, frontier
+# and chunk-offset tables are measured against it before broadcasting.
+BROADCAST_BYTE_LIMIT = 64 << 20
 
 
 def get_spark(master: str | None = None, app: str = "sitelens",
@@ -81,16 +81,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after a count proves it is under ``limit`` rows.
+def bytes_of(df: DataFrame) -> Column:
+    """Bytes of all rows: 16 a value and the bytes of its text."""
+    from pyspark.sql import functions as F
+
+    width = F.lit(16 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if f.dataType.simpleString() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+    return F.coalesce(F.sum(width), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` only after a sum over its rows proves it is under
+    ``limit`` bytes (``BROADCAST_BYTE_LIMIT``).  The frame is evaluated for
+    that: give a written table or a cheap scan.
 
     Returns the (possibly hinted) frame and whether it was broadcast; above the
     limit the caller's join falls back to a shuffle join chosen by Spark/AQE.
     """
     from pyspark.sql import functions as F
 
-    n = df.count()
-    if n <= limit:
+    n = df.agg(bytes_of(df)).first()[0]
+    if n <= (BROADCAST_BYTE_LIMIT if limit is None else limit):
         return F.broadcast(df), True
     return df, False
 
@@ -111,30 +124,22 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.schema(df.schema).parquet(path), n
 
 
-def checkpoint_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, int]:
-    """Reliable checkpoint that also returns the row count, observed in the
-    checkpoint's own job (no separate count job)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    ensure_checkpoint_dir(df.sparkSession)
-    obs = Observation(name)
-    out = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    return out, int(obs.get.get("n", 0) or 0)
+def bucketed_table(df: DataFrame, key: str, n_buckets: int, name: str, folder: str | None = None) -> tuple[DataFrame, str, int]:
+    """Write ``df`` as an external table bucketed and sorted on ``key`` in the
+    shared folder (one job).  Joins on ``key`` then read it in place and
+    shuffle only the other side.  Returns the table, its catalog name (drop it
+    when done; the files stay) and its size in bytes, observed in the job."""
+    spark = df.sparkSession
+    table = f"sitelens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    n = append_bucketed(df.repartition(n_buckets, key), table, key, n_buckets, folder or scratch_path(spark, name))
+    return spark.table(table), table, n
 
 
-def bucketed_table(df: DataFrame, key: str, n_buckets: int, name: str) -> tuple[DataFrame, str, int]:
-    """Write ``df`` as an external table bucketed and sorted on ``key`` in the
-    shared folder (one job, row count observed in it).  Joins on ``key`` then
-    read it in place and shuffle only the other side.  Returns the table, its
-    catalog name (drop it when done; the files stay) and the row count."""
+def append_bucketed(df: DataFrame, table: str, key: str, n_buckets: int, folder: str) -> int:
+    """Append to (or create) a table of :func:`bucketed_table`; the bytes added."""
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
-    spark = df.sparkSession
-    table = f"sitelens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    obs = Observation(table)
-    (df.observe(obs, F.count(F.lit(1)).alias("n")).repartition(n_buckets, key)
-     .write.format("parquet").option("path", scratch_path(spark, name))
+    obs = Observation(f"{table}_{uuid.uuid4().hex[:8]}")
+    (df.observe(obs, bytes_of(df).alias("n")).write.format("parquet").mode("append").option("path", folder)
      .bucketBy(n_buckets, key).sortBy(key).saveAsTable(table))
-    return spark.table(table), table, int(obs.get.get("n", 0) or 0)
+    return int(obs.get.get("n", 0) or 0)

@@ -33,16 +33,10 @@ def anchor(target: Column, label: str) -> Column:
     return F.concat(F.lit('<a href="../'), target, F.lit(f'"> {label}</a> \n'))
 
 
-_COUNTS: dict[tuple, int] = {}
-
-
 def pages_per_site(documents: DataFrame) -> int:
-    """Pages per site: the document count over the number of sites.  The
-    count of an unchanged input is remembered (one scalar per input)."""
-    key = tuple(sorted(documents.inputFiles()))
-    if key not in _COUNTS:
-        _COUNTS[key] = documents.count()
-    m = _COUNTS[key] // N_SITES
+    """Pages per site: the document count (from the parquet footers) over the
+    number of sites."""
+    m = documents.count() // N_SITES
     if m < 1:
         raise ValueError(f"need at least {N_SITES} documents for the page fixture")
     return m
@@ -108,18 +102,11 @@ def requests_rows(ev: DataFrame, m: int) -> DataFrame:
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``search_queries(query_id, raw)``: the first three words of each
-    benchmark text as a SEARCH command (with a doubled space)."""
+    """``search_queries(query_id, raw)``: every word of each benchmark text as
+    a SEARCH command (with a doubled space)."""
     b = read_table(spark, sf_dir, "benchmark")
     flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
-
-    def word(k: int) -> Column:
-        return F.split_part(flat, F.lit(" "), F.lit(k))
-
-    return b.select(
-        F.col("item_id").alias("query_id"),
-        F.concat(F.lit("SEARCH "), word(1), F.lit("  "), word(2), F.lit(" "), word(3), F.lit("\r\n")).alias("raw"),
-    )
+    return b.select(F.col("item_id").alias("query_id"), F.concat(F.lit("SEARCH  "), flat, F.lit("\r\n")).alias("raw"))
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,9 +150,7 @@ SELECT event_id, ts, user_id % 4 AS server, event_type = 'signup' AS is_cmd,
 FROM events CROSS JOIN (SELECT CAST(floor(count(*) / 20) AS BIGINT) AS m FROM documents) AS n)"""
 
 SEARCH_QUERIES_SQL = r"""search_queries AS (
-SELECT item_id AS query_id,
-  'SEARCH ' || split_part(replace(text, chr(10), ' '), ' ', 1) || '  ' || split_part(replace(text, chr(10), ' '), ' ', 2)
-  || ' ' || split_part(replace(text, chr(10), ' '), ' ', 3) || chr(13) || chr(10) AS raw
+SELECT item_id AS query_id, 'SEARCH  ' || replace(text, chr(10), ' ') || chr(13) || chr(10) AS raw
 FROM benchmark)"""
 
 COMMANDS_SQL = r"""commands AS (

@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region nation customer supplier part orders lineitem events documents "
-          "embeddings pages benchmark labels conversations").split()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -17,7 +13,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     The page operators are CPU work inside each row; a small table stored as
     one parquet row group would run as a single task.  A large input already
-    has many splits and is left as it is (no shuffle).
+    has many splits and is left as it is (no shuffle).  Give a plain scan: the
+    number of splits of a joined frame is known only by running the join.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:

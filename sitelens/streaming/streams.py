@@ -7,9 +7,11 @@ rewrites only its own output (``batch=<id>`` folders overwritten).  Each
 function runs its query with ``trigger(availableNow=True)`` and returns the
 sink read back as a batch DataFrame.
 
-The reference keeps process-lifetime state with no event time: the
-URL-dedup stream (T2) therefore keeps every URL in state by design; the
-counter stream (T1) keeps one row per server.
+The reference keeps process-lifetime state with no event time, so a URL is
+queued once and a page indexed once, ever.  What earlier micro-batches saw is
+a narrow table of their keys: a micro-batch is reduced to its distinct keys
+first and then anti-joined with the batches before it (never with its own
+folder, which a replay overwrites).
 """
 
 from __future__ import annotations
@@ -19,25 +21,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import CRAWLER_STATS_FORMAT, NO_RESULTS
+from ..functions.timefmt import uptime_hms
 from ..operators import graph as gr
 from ..operators import index as ix
+from ..operators import search as se
 from ..operators import traffic as tr
-from ..session import broadcast_if_small, bucketed_table, scratch_path
+from ..session import broadcast_if_small, bucketed_table, materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources import index_store as ist
 from ..sources.tables import read_table, spread
 
-from ..fixed import NO_RESULTS  # noqa: E402
+# Files that a registered stream's source is staged in, one a micro-batch.
+SOURCE_FILES = 4
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A driver table as a stream source.  A file source needs a folder or a
-    glob, so the file is matched with a one-character class."""
-    schema = read_table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{sf_dir.rstrip('/')}/[{name[0]}]{name[1:]}.parquet")
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files: int = SOURCE_FILES) -> DataFrame:
+    """A driver table as a stream of several files, one a micro-batch."""
+    table = read_table(spark, sf_dir, name)
+    folder = scratch_path(spark, f"source-{name}")
+    table.repartition(files).write.parquet(folder)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _earlier(spark: SparkSession, out: str, batch_id: int, schema: str) -> DataFrame:
+    """Rows that the micro-batches before ``batch_id`` wrote."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, batch long").parquet(out).where(F.col("batch") < batch_id).drop("batch")
 
 
 def _run(writer, name: str) -> None:
@@ -72,96 +83,129 @@ def _read_batches(spark: SparkSession, out: str, schema_df: DataFrame | None = N
 
 
 def stream_server_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1: running ``(server, served, bytes)`` over a request stream; a
-    stream-static left join with the page index, then a streaming
-    aggregation in complete mode (state: one row per server)."""
+    """T1: ``(server, served, bytes)`` over a request stream.  A micro-batch is
+    counted by server and page, the pages looked up in a table bucketed on
+    path that is read in place, and one row a server is written; the counters
+    are the sums of those rows."""
     m = fx.pages_per_site(read_table(spark, sf_dir, "documents").select("doc_id"))
-    # the static side is written once, bucketed on path: each micro-batch reads
-    # (path, readable, n_bytes) in place and only the micro-batch is shuffled
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pidx, table, _ = bucketed_table(gr.page_index(fx.corpus(spark, sf_dir)), "path", n_buckets, "stream-page-index")
     reqs = fx.requests_rows(stream_table(spark, sf_dir, "events"), m)
-    stats = tr.server_stats(tr.request_status(reqs, None, pidx))
     out = scratch_path(spark, "stream-server-stats")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)  # complete mode: each batch is the whole result
-
     try:
-        _run(stats.writeStream.outputMode("complete").foreachBatch(write)
+        _run(reqs.writeStream.foreachBatch(_batch_sink(out, lambda batch: tr.server_totals(batch, None, pidx)))
              .option("checkpointLocation", out + "-ckpt"), "server_stats")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
-    return spark.read.parquet(out)
+    return _read_batches(spark, out).groupBy("server").agg(F.sum("served").cast("bigint").alias("served"), F.sum("bytes").cast("bigint").alias("bytes"))
+
+
+def new_urls(pages: DataFrame, out: str, batch_id: int) -> None:
+    """Write the URLs that a micro-batch of pages links to and no earlier one did."""
+    urls = gr.extract_links(pages).select(F.col("dst").alias("url")).distinct()
+    new = urls.join(_earlier(pages.sparkSession, out, batch_id, "url string"), "url", "left_anti")
+    new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
 
 def stream_seen_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2: each discovered URL once, ever (``dropDuplicates`` without a
-    watermark: unbounded state, as the reference's queue)."""
+    """T2: each discovered URL once, ever."""
     m = fx.pages_per_site(read_table(spark, sf_dir, "documents").select("doc_id"))
-    pages = fx.corpus_rows(stream_table(spark, sf_dir, "documents"), m)
-    urls = gr.extract_links(pages).select(F.col("dst").alias("url")).dropDuplicates(["url"])
     out = scratch_path(spark, "stream-seen-urls")
-    _run(urls.writeStream.outputMode("append").format("parquet").option("path", out)
+    docs = stream_table(spark, sf_dir, "documents")
+    _run(docs.writeStream.foreachBatch(lambda batch, i: new_urls(fx.corpus_rows(batch, m), out, i))
          .option("checkpointLocation", out + "-ckpt"), "seen_urls")
-    return spark.read.parquet(out)
+    return _read_batches(spark, out)
+
+
+def index_new_pages(pages: DataFrame, out: str, batch_id: int) -> None:
+    """Write the postings of a micro-batch's pages whose path no earlier one
+    had (``out``), after their paths (``out`` + ``-paths``).  A path that comes
+    twice in the micro-batch is indexed once."""
+    spark = pages.sparkSession
+    known = f"{out}-paths"
+    paths = pages.select("path").distinct().join(_earlier(spark, known, batch_id, "path string"), "path", "left_anti")
+    paths.write.mode("overwrite").parquet(f"{known}/batch={batch_id}")
+    new = spark.read.schema("path string").parquet(f"{known}/batch={batch_id}")
+    # a micro-batch may arrive as one split: the semi-join on path spreads it before the CPU work
+    once = pages.join(new, "path", "left_semi").dropDuplicates(["path"])
+    ix.postings(once).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
 
 def stream_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T3: pages are indexed as they arrive.  Postings are computed inside
-    each page row, so the stream is stateless; each micro-batch's postings
-    land in their own batch folder (replay-safe)."""
+    """T3: pages are indexed as they arrive, each path once ever."""
     m = fx.pages_per_site(read_table(spark, sf_dir, "documents").select("doc_id"))
-    docs = stream_table(spark, sf_dir, "documents")
     out = scratch_path(spark, "stream-postings")
+    docs = stream_table(spark, sf_dir, "documents")
+    _run(docs.writeStream.foreachBatch(lambda batch, i: index_new_pages(fx.corpus_rows(spread(batch, "doc_id"), m), out, i))
+         .option("checkpointLocation", out + "-ckpt"), "postings")
+    return _read_batches(spark, out).select("term", "path", "fr", F.array_join("offsets", "-").alias("offsets_text"),
+                                            F.size("offsets").cast("bigint").alias("n_offsets"))
+
+
+def answer_commands(logged: DataFrame, index: DataFrame, store: DataFrame, stats: dict, out: str, batch_id: int) -> None:
+    """Answer a micro-batch of classified commands.
+
+    Each set of search words is answered once, ever: its rows go to
+    ``out``-answers ``(qkey, path, n_rows, f, row, line)`` and its totals to
+    ``out``-totals.  ``out`` gets a row per event, ``(event_id, kind, n_pages,
+    n_rows, reply)``: SEARCH with the totals of its words, STATS with the
+    crawler's counters (``stats``: start second, downloads, bytes)."""
+    spark = logged.sparkSession
+    answers, totals = f"{out}-answers", f"{out}-totals"
+    is_search = F.col("kind") == "SEARCH"
+    rows = (logged.withColumn("uterms", F.array_distinct("terms"))
+            .withColumn("qkey", F.when(is_search, F.array_join(F.array_sort("uterms"), " "))))
+    asked = rows.where(is_search).select("qkey", "uterms").dropDuplicates(["qkey"])
+    asked = asked.join(_earlier(spark, totals, batch_id, "qkey string, n_pages long, n_rows long").select("qkey"), "qkey", "left_anti")
+    words = asked.select(F.col("qkey").alias("query_id"), F.explode_outer("uterms").alias("term")).where("term is not null")
+    found = se.search_stored(index, store, words).withColumnRenamed("query_id", "qkey")
+    found.write.mode("overwrite").parquet(f"{answers}/batch={batch_id}")
+    found = spark.read.schema(found.schema).parquet(f"{answers}/batch={batch_id}")
+    per = found.groupBy("qkey").agg(F.count(F.when(F.col("f") == 0, True)).alias("n_pages"), F.count(F.lit(1)).alias("n_rows"))
+    (asked.select("qkey").join(per, "qkey", "left").na.fill(0, ["n_pages", "n_rows"])
+     .write.mode("overwrite").parquet(f"{totals}/batch={batch_id}"))
+    known, _ = broadcast_if_small(_earlier(spark, totals, batch_id + 1, "qkey string, n_pages long, n_rows long"))
+    up = uptime_hms(tr.whole_seconds("ts") - F.lit(stats["start"]))
+    answered = rows.where(is_search).join(known, "qkey").select(
+        "event_id", "kind", "n_pages", "n_rows", F.when(F.col("n_rows") == 0, F.lit(NO_RESULTS)).otherwise(F.col("reply")).alias("reply"))
+    other = rows.where(~is_search).select(
+        "event_id", "kind", F.lit(None).cast("bigint").alias("n_pages"), F.lit(None).cast("bigint").alias("n_rows"),
+        F.when(F.col("kind") == "STATS", F.format_string(CRAWLER_STATS_FORMAT, up, F.lit(stats["downloads"]), F.lit(stats["bytes"])))
+        .otherwise(F.col("reply")).alias("reply"))
+    answered.unionByName(other).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+
+def _commands(spark: SparkSession, sf_dir: str) -> str:
+    """Run the command stream; its sink folder (see :func:`answer_commands`).
+    The index and page store are built once; the crawl has ended."""
+    pages = fx.corpus(spark, sf_dir)
+    folder = scratch_path(spark, "stream-index")
+    ist.write_index(ix.occurrences(pages), folder)
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = ist.write_lines(pages, n_buckets)
+    counters = tr.crawler_stats(gr.crawl(pages, fx.START_PAGE)).first()
+    start = read_table(spark, sf_dir, "events").agg(F.min(tr.whole_seconds("ts"))).first()[0]
+    stats = {"start": start, "downloads": counters["downloads"], "bytes": counters["bytes"]}
+    logged = tr.command_log(fx.commands_from_events(stream_table(spark, sf_dir, "events")))
+    out = scratch_path(spark, "stream-commands")
+    index, store = ist.read_index(spark, folder), spark.table(table)
 
-    def index_batch(batch: DataFrame) -> DataFrame:
-        # a micro-batch may arrive as one split: spread it before the CPU work
-        pages = fx.corpus_rows(spread(batch, "doc_id"), m)
-        return ix.postings(pages).select("term", "path", "fr", F.array_join("offsets", "-").alias("offsets_text"),
-                                         F.size("offsets").cast("bigint").alias("n_offsets"))
-
-    _run(docs.writeStream.foreachBatch(_batch_sink(out, index_batch)).option("checkpointLocation", out + "-ckpt"),
-         "postings")
-    return _read_batches(spark, out)
-
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch, _ = materialize(batch, "commands")  # used by every step: the source is read once
+        answer_commands(batch, index, store, stats, out, batch_id)
 
-def answer_commands(logged: DataFrame, index: DataFrame) -> DataFrame:
-    """``(event_id, kind, n_pages, n_rows, reply)`` for a batch of classified
-    commands.  Each distinct set of search words is answered once: its words
-    (a small, size-checked broadcast) probe the stored index."""
-    searches = (logged.where(F.col("kind") == "SEARCH")
-                .select("event_id", F.array_distinct("terms").alias("uterms"))
-                .withColumn("qkey", F.array_join(F.array_sort("uterms"), " ")))
-    qt = searches.select("qkey", F.explode("uterms").alias("term")).distinct()
-    qt, _ = broadcast_if_small(qt)
-    hits = index.join(qt, "term", "inner").select("qkey", "path", "row").distinct()
-    per_q = hits.groupBy("qkey").agg(F.countDistinct("path").cast("bigint").alias("n_pages"),
-                                     F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-    ans = searches.select("event_id", "qkey").join(per_q, "qkey", "left").select(
-        "event_id", F.coalesce("n_pages", F.lit(0)).cast("bigint").alias("n_pages"),
-        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"))
-    out = logged.select("event_id", "kind", "reply").join(ans, "event_id", "left")
-    reply = F.when((F.col("kind") == "SEARCH") & (F.col("n_rows") == 0), F.lit(NO_RESULTS)).otherwise(F.col("reply"))
-    return out.select("event_id", "kind", "n_pages", "n_rows", reply.alias("reply"))
+    try:
+        _run(logged.writeStream.foreachBatch(write).option("checkpointLocation", out + "-ckpt"), "commands")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
+    return out
 
 
 def stream_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: route a command stream; SEARCH commands are answered against the
-    index, which is built once and stored sorted by term."""
-    index_dir = scratch_path(spark, "stream-index")
-    ist.write_index(ix.occurrences(fx.corpus(spark, sf_dir)), index_dir)
-    index = ist.read_index(spark, index_dir).select("term", "path", "row")
-    cmds = fx.commands_from_events(stream_table(spark, sf_dir, "events"))
-    logged = tr.command_log(cmds)
-    out = scratch_path(spark, "stream-commands")
+    """T4: every command of the stream with its reply and totals."""
+    return _read_batches(spark, _commands(spark, sf_dir))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            answer_commands(batch, index).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        finally:
-            batch.unpersist()
 
-    _run(logged.writeStream.foreachBatch(write).option("checkpointLocation", out + "-ckpt"), "commands")
-    return _read_batches(spark, out)
+def stream_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: the result rows of every set of search words in the stream."""
+    return _read_batches(spark, _commands(spark, sf_dir) + "-answers")

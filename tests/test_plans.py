@@ -55,33 +55,87 @@ def test_stored_index_lookup_is_pushed_down(spark, small_dir):
     assert n == ix.occurrences(fx.corpus(spark, small_dir)).where(F.col("term") == "the").count()
 
 
-def test_counter_stream_reads_bucketed_page_index_in_place(spark, small_dir):
+def _physical(df) -> str:
+    """The plan that ran, tree only."""
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_counters_read_the_bucketed_page_index_in_place(spark, small_dir, monkeypatch):
     from sitelens.operators import graph as gr
     from sitelens.operators import traffic as tr
     from sitelens.session import bucketed_table
-    from sitelens.streaming import streams as st
 
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the large-data path
     pidx, table, _ = bucketed_table(gr.page_index(fx.corpus(spark, small_dir)), "path", 8, "test-stream-pidx")
     try:
-        reqs = fx.requests_rows(st.stream_table(spark, small_dir, "events"), 10)
-        stats = tr.server_stats(tr.request_status(reqs, None, pidx))
-        q = (stats.writeStream.outputMode("complete").format("memory").queryName("test_counter_plan")
-             .option("checkpointLocation", scratch_path(spark, "test-counter-plan"))
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        text = q._jsq.explainInternal(False)
-        q.stop()
+        text = plan(tr.server_totals(fx.requests(spark, small_dir), None, pidx))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     assert "Bucketed: true" in text
     lines = text.split("\n")
-    scan = next(i for i, l in enumerate(lines) if "Bucketed: true" in l)
-    # the line above the bucketed scan is not an exchange: the static side is read in place
+    scan = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+    # no exchange above the bucketed scan, and requests are counted before theirs
     assert "Exchange" not in lines[scan - 1]
-    assert "Exchange hashpartitioning(req_path" in text
+    assert text.index("Exchange hashpartitioning(req_path") < text.index("partial_count")
+
+
+def test_a_crawl_round_moves_candidates_only(spark, small_dir):
+    """Large path: bucketed links and seen URLs are read in place, one anti-join at any round."""
+    from sitelens.operators import graph as gr
+    from sitelens.session import bucketed_table
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    p = fx.corpus(spark, small_dir)
+    links, t1, _ = bucketed_table(gr.edge_status(gr.edges(p.where("readable")), gr.page_index(p)), "src", 8, "test-links")
+    crawled = gr.crawl(p, fx.START_PAGE).withColumn("fetch", gr.fetch_path("path"))
+    seen, t2, _ = bucketed_table(crawled, "path", 8, "test-seen")
+    try:
+        text = plan(gr.frontier_step(seen.where("depth = 3"), links, seen, small=False))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        for t in (t1, t2):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+    assert text.count("LeftAnti") == 1
+    exchanges = [x for x in text.split("\n") if "Exchange" in x]
+    assert len(exchanges) == 2  # the frontier by its pages, the candidates by their paths
+    lines = text.split("\n")
+    for i, x in enumerate(lines):
+        if "FileScan" in x and ("test_links" in x or "LeftAnti" in "".join(lines[max(0, i - 4): i])):
+            assert "Exchange" not in "".join(lines[max(0, i - 3): i])
+
+
+def test_search_report_reads_the_pages_once(spark, small_dir):
+    from sitelens.plans.catalog import QUERIES
+
+    df = QUERIES["search_report"](spark, small_dir)
+    assert "documents.parquet" not in plan(df)  # the search ran once and was written
+
+
+def test_results_come_in_order(spark, small_dir):
+    from sitelens.plans.catalog import QUERIES
+
+    got = [(r["query_id"], r["path"].encode(), r["row"]) for r in QUERIES["search_ordered"](spark, small_dir).collect()]
+    assert got == sorted(got) and len(got) > 100
+
+
+def test_long_queries_take_the_shuffled_path_to_the_same_rows(spark, small_dir, monkeypatch):
+    from sitelens.plans.catalog import QUERIES
+
+    keys = ("search_rows", "rank_pages", "union_rows", "search_stored", "max_count")
+    small = {k: sorted(map(str, QUERIES[k](spark, small_dir).collect())) for k in keys}
+    monkeypatch.setattr(se, "IN_LIST_LIMIT", 0)
+    monkeypatch.setattr("sitelens.session.BROADCAST_BYTE_LIMIT", 0)
+    assert small == {k: sorted(map(str, QUERIES[k](spark, small_dir).collect())) for k in keys}
+
+
+def test_query_ids_may_be_text(spark, small_dir):
+    q = fx.search_queries(spark, small_dir).withColumn("query_id", F.concat(F.lit("q"), F.col("query_id").cast("string")))
+    got = se.search_summary(fx.corpus(spark, small_dir), se.query_terms(q))
+    assert got.schema["query_id"].dataType.simpleString() == "string" and got.count() > 0
 
 
 def test_running_counters_never_window_a_whole_server(spark, small_dir):

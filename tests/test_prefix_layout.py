@@ -1,4 +1,4 @@
-"""Chunked running sums and link sampling."""
+"""Chunked running sums and line slices."""
 
 from __future__ import annotations
 
@@ -30,23 +30,10 @@ def test_running_sums_no_key_and_filter(spark):
     assert got == [(i, i + 1) for i in range(0, 500, 5)]
 
 
-def test_sample_links_properties(spark):
-    sites = {0: 7, 1: 3, 2: 5, 3: 1}
-    pages = spark.createDataFrame([(f"site{s}/p{j}.html", "") for s, n in sites.items() for j in range(n)],
-                                  "path string, html string")
-    rows = lay.sample_links(pages).collect()
-    by_src = {}
-    for r in rows:
-        by_src.setdefault((r["src"], r["kind"]), []).append(r["dst"])
-    n_pages, n_sites = sum(sites.values()), len(sites)
-    for s, n in sites.items():
-        for j in range(n):
-            src = f"site{s}/p{j}.html"
-            internal = by_src.get((src, "internal"), [])
-            external = by_src.get((src, "external"), [])
-            assert len(internal) == min(n // 2 + 1, n - 1)
-            assert len(external) == min(n_sites // 2 + 1, n_pages - n)
-            assert len(set(internal)) == len(internal) and src not in internal
-            assert all(d.startswith(f"site{s}/") for d in internal)
-            assert len(set(external)) == len(external)
-            assert not any(d.startswith(f"site{s}/") for d in external)
+def test_line_slices_cover_and_overlap(spark):
+    pages = spark.createDataFrame([("a", "".join(f"l{i}\n" for i in range(10))), ("b", "one"), ("c", "")], "path string, html string")
+    got = sorted((r["path"], r["k"], r["line_no"], r["line"]) for r in lay.line_slices(pages, n_slices=4).collect())
+    exp = [("a", k, i, f"l{i}") for k in range(4) for i in range(2 * k, min(2 * k + 3, 10))] + [("b", 0, 0, "one")]
+    assert got == exp
+    text = lay.line_slices(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text

@@ -156,8 +156,26 @@ def test_crawl_matches_model(graph_pages):
 def test_crawl_missing_start_and_depth_limit(graph_pages):
     rows = gr.crawl(graph_pages, "nowhere.html").collect()
     assert [(r["path"], r["status"]) for r in rows] == [("nowhere.html", 404)]
-    limited = gr.crawl(graph_pages, "start.html", max_depth=1).collect()
-    assert max(r["depth"] for r in limited) == 1
+    limited = gr.crawl(graph_pages, "start.html", max_depth=1)
+    whole = {r["path"]: r for r in gr.crawl(graph_pages, "start.html").collect()}
+    rows = limited.collect()
+    # what is fetched is as in the whole crawl; what waits has no status yet
+    assert {r["path"] for r in rows if r["status"] is not None} == {p for p, r in whole.items() if r["depth"] <= 1}
+    assert {r["path"] for r in rows if r["status"] is None} == {p for p, r in whole.items() if r["depth"] == 2} != set()
+    assert all(r["bytes"] is None and r["depth"] == 2 for r in rows if r["status"] is None)
+    gate = gr.crawl_gate(limited).first()
+    assert gate["pending"] == sum(r["status"] is None for r in rows) and gate["gate"] == "Crawling still in progress.Sorry."
+    last = max(gr.crawl_pending(limited).collect(), key=lambda r: r["max_depth"])
+    assert (last["max_depth"], last["pending"], last["gate"]) == (1, gate["pending"], gate["gate"])
+    assert gr.crawl_gate(gr.crawl(graph_pages, "start.html")).first()["gate"] == "ready"
+
+
+def test_deep_crawl_has_one_plan_for_all_rounds(spark, monkeypatch):
+    """A chain: the seen table is compacted on the way, nothing is lost."""
+    monkeypatch.setattr(gr, "COMPACT_ROUNDS", 5)
+    pages = spark.createDataFrame([(f"p{i}", f'<a href="p{i + 1}">x</a>\n', True) for i in range(12)], "path string, html string, readable boolean")
+    got = {r["path"]: (r["depth"], r["status"]) for r in gr.crawl(pages, "p0").collect()}
+    assert got == {f"p{i}": (i, 200 if i < 12 else 404) for i in range(13)}
 
 
 def test_crawl_subset_of_seen(graph_pages):
@@ -202,11 +220,14 @@ def test_stored_search_equals_batch_search(spark, pages):
     from sitelens.session import scratch_path
     from sitelens.sources import index_store as ist
 
-    idir, ldir = scratch_path(spark, "t-idx"), scratch_path(spark, "t-lines")
+    idir = scratch_path(spark, "t-idx")
     ist.write_index(ix.occurrences(pages), idir, n_files=3)
-    ist.write_lines(ln.indexable_lines(pages), ldir, 16)
+    table = ist.write_lines(pages, 4)
     words = ["word", "x", "café"]
-    got = {tuple(r) for r in se.search_stored_words(ist.read_index(spark, idir), ist.read_lines(spark, ldir), words, 16).collect()}
+    try:
+        got = {tuple(r) for r in se.search_stored_words(ist.read_index(spark, idir), spark.table(table), words).collect()}
+    finally:
+        spark.sql(f"DROP TABLE {table}")
     assert got == {tuple(r) for r in se.search_words(pages, words).collect()}
 
 
@@ -227,13 +248,13 @@ def test_max_terms_option(spark):
 
 def test_crawl_large_mode_equals_small_mode(graph_pages, spark, small_dir, monkeypatch):
     """With a tiny broadcast bound the crawl takes its large-data path: no
-    broadcast frontier, seen set as bucketed tables.  Same result."""
+    broadcast frontier.  Same result."""
     from sitelens.sources import fixtures as fx
 
     small = {tuple(r) for r in gr.crawl(graph_pages, "start.html").collect()}
     corpus = fx.corpus(spark, small_dir)
     small_corpus = {tuple(r) for r in gr.crawl(corpus, fx.START_PAGE).collect()}
-    monkeypatch.setattr(gr, "BROADCAST_ROW_LIMIT", 2)
+    monkeypatch.setattr("sitelens.session.BROADCAST_BYTE_LIMIT", 2)
     assert {tuple(r) for r in gr.crawl(graph_pages, "start.html").collect()} == small
     assert {tuple(r) for r in gr.crawl(corpus, fx.START_PAGE).collect()} == small_corpus
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("sitelens_")]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("sitelens_crawl")]

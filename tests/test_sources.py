@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from sitelens.operators import index as ix
 from sitelens.session import scratch_path
 from sitelens.sources import fixtures as fx
 from sitelens.sources import index_store as ist
@@ -37,22 +37,56 @@ def test_scan_text_files_round_trip(spark, small_dir):
     assert a == b
 
 
-def test_write_pages_dynamic_overwrite(spark, small_dir):
+def test_scan_keeps_every_name_and_only_this_level(spark):
+    import pytest
+
+    root = Path(tempfile.mkdtemp(prefix="sitelens-names-"))
+    for name in ("site0/a.html", "site0/d e.html", "site0/p+q%20r.html", "site0/é.html", "site0/sub/x.html", "top.html"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(name)
+    got = {r["path"]: (r["site"], r["html"]) for r in pg.scan_pages(spark, str(root)).collect()}
+    assert got == {n: ("site0", n) for n in ("site0/a.html", "site0/d e.html", "site0/p+q%20r.html", "site0/é.html")}
+    for hidden in ("_b.html", ".c.html"):
+        (root / "site0" / hidden).write_text("x")
+        with pytest.raises(ValueError, match=hidden):
+            pg.scan_pages(spark, str(root))
+        (root / "site0" / hidden).unlink()
+
+
+def test_a_saved_page_replaces_that_page_only(spark, small_dir):
     corpus = fx.corpus(spark, small_dir)
     folder = scratch_path(spark, "test-pages")
     pg.write_pages(corpus, folder)
-    # rewriting one site with fewer pages replaces that site only
-    pg.write_pages(corpus.where(F.col("path").startswith("site3/") & (F.col("doc_id") < 40)), folder)
-    back = pg.read_pages(spark, folder)
-    assert back.where("site = 'site3'").count() == corpus.where(F.col("path").startswith("site3/") & (F.col("doc_id") < 40)).count()
-    assert back.where("site <> 'site3'").count() == corpus.where(~F.col("path").startswith("site3/")).count()
-
-
-def test_index_store_files_are_term_ranges(spark, small_dir):
-    folder = scratch_path(spark, "test-index-ranges")
-    ist.write_index(ix.occurrences(fx.corpus(spark, small_dir)), folder, n_files=4)
-    per_file = (ist.read_index(spark, folder).withColumn("f", F.input_file_name())
-                .groupBy("f").agg(F.min("term").alias("lo"), F.max("term").alias("hi")).orderBy("lo").collect())
-    # ranges do not overlap, so a term lookup touches one file
-    for a, b in zip(per_file, per_file[1:]):
-        assert a["hi"] < b["lo"]
+    again = corpus.where(F.col("path").startswith("site3/") & (F.col("doc_id") < 40)).withColumn("html", F.lit("new\n"))
+    assert 0 < again.count() < corpus.where(F.col("path").startswith("site3/")).count()
+    pg.write_pages(again, folder)
+    pg.write_pages(again.withColumn("html", F.lit("newer\n")), folder)
+    want = {r["path"]: r["html"] for r in corpus.collect()} | {r["path"]: "newer\n" for r in again.collect()}
+    assert {r["path"]: r["html"] for r in pg.read_pages(spark, folder).collect()} == want
+    target = scratch_path(spark, "test-pages-compact")
+    pg.compact_pages(spark, folder, target)
+    assert {r["path"]: r["html"] for r in pg.read_pages(spark, target).collect()} == want
+
+
+def test_a_hot_site_is_several_files(spark):
+    pages = spark.range(3000).select(
+        F.concat(F.lit("site"), F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 10).cast("string"), F.lit("/p"),
+                 F.col("id").cast("string")).alias("path"), F.lit("text\n").alias("html"))
+    folder = scratch_path(spark, "test-hot-site")
+    pg.write_pages(pages, folder)
+    files = spark.read.parquet(folder).where("site = 'site0'").select(F.input_file_name().alias("f")).distinct().count()
+    assert files >= 3
+
+
+def test_index_store_splits_a_hot_term(spark):
+    occ = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("the")).otherwise(F.concat(F.lit("w"), F.col("id").cast("string"))).alias("term"),
+                                   F.concat(F.lit("p"), F.col("id").cast("string")).alias("path"), F.col("id").alias("row"),
+                                   F.col("id").alias("line_no"), F.lit(1).cast("bigint").alias("tf"))
+    folder = scratch_path(spark, "test-hot-term")
+    ist.write_index(occ, folder, n_files=10)
+    stored = ist.read_index(spark, folder).withColumn("f", F.input_file_name())
+    sizes = [r["count"] for r in stored.groupBy("f").count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    # ranges of (term, path) do not overlap, so a lookup touches neighbouring files only
+    ends = stored.groupBy("f").agg(F.min(F.struct("term", "path")).alias("lo"), F.max(F.struct("term", "path")).alias("hi")).orderBy("lo").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:]))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from sitelens.operators import graph as gr
+from sitelens.operators import index as ix
 from sitelens.session import scratch_path
+from sitelens.sources import fixtures as fx
 from sitelens.streaming import streams as st
 
 
@@ -17,15 +21,50 @@ def test_replayed_batch_is_idempotent(spark):
     assert st._read_batches(spark, out).count() == 100
 
 
-def test_restart_on_same_checkpoint_reprocesses_nothing(spark, small_dir):
+def test_restart_in_the_middle_reprocesses_nothing(spark, small_dir):
     out = scratch_path(spark, "test-restart")
     ckpt = out + "-ckpt"
+    table = spark.read.parquet(f"{small_dir}/events.parquet").select("event_id", "event_type")
+    folder = scratch_path(spark, "test-restart-source")
+    table.repartition(4).write.parquet(folder)
+    seen = []
 
-    def run():
-        src = st.stream_table(spark, small_dir, "events").select("event_id", "event_type")
-        st._run(src.writeStream.foreachBatch(st._batch_sink(out)).option("checkpointLocation", ckpt), "restart")
+    def run(stop_at=None):
+        sink = st._batch_sink(out)
 
+        def write(batch, i):
+            if i == stop_at:
+                raise RuntimeError("lost")
+            seen.append(i)
+            sink(batch, i)
+
+        src = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        st._run(src.writeStream.foreachBatch(write).option("checkpointLocation", ckpt), "restart")
+
+    with pytest.raises(Exception):
+        run(stop_at=2)
+    assert seen == [0, 1]
     run()
-    first = st._read_batches(spark, out).count()
-    run()  # restart: the source offsets are in the checkpoint
-    assert st._read_batches(spark, out).count() == first == spark.read.parquet(f"{small_dir}/events.parquet").count()
+    run()
+    assert seen == [0, 1, 2, 3]
+    assert st._read_batches(spark, out).count() == table.count()
+
+
+def test_a_page_that_arrives_twice_is_indexed_once(spark, small_dir):
+    pages = fx.corpus(spark, small_dir).select("path", "html")
+    out = scratch_path(spark, "test-twice")
+    some = pages.where(F.col("path").startswith("site1"))
+    for i, batch in enumerate([some.union(some), pages, pages]):
+        st.index_new_pages(batch, out, i)
+    st.index_new_pages(pages, out, 1)  # a replay of the second
+    got = sorted(map(str, st._read_batches(spark, out).select("term", "path", "fr", "offsets").collect()))
+    assert got == sorted(map(str, ix.postings(pages).collect()))
+
+
+def test_a_url_is_discovered_once(spark, small_dir):
+    pages = fx.corpus(spark, small_dir)
+    out = scratch_path(spark, "test-urls")
+    for i, batch in enumerate([pages, pages.limit(50), pages]):
+        st.new_urls(batch, out, i)
+    urls = [r["url"] for r in st._read_batches(spark, out).collect()]
+    assert len(urls) == len(set(urls)) == gr.edges(pages).select("dst").distinct().count()
