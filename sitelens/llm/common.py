@@ -5,6 +5,7 @@ except the bounded list of hot keys named below."""
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from sitelens.session import materialize, scratch_path
 from sitelens.sources.tables import read_table, spread
 
-__all__ = ["components", "joined_on_hot_key", "mapped", "materialize", "maybe_among", "read_table", "scratch_path", "spread", "words_regex"]
+__all__ = ["clean", "components", "joined_on_hot_key", "mapped", "materialize", "maybe_among", "read_table", "scratch_path", "spread", "words_regex"]
 
 #: A word: a run of anything but ASCII white space.
 words_regex = r"[^\x20\x09-\x0D]+"
@@ -70,6 +71,12 @@ def _let_go() -> None:
         pass
 
 
+def clean(spark: SparkSession) -> None:
+    """Finished steps are written: have Spark's cleaner remove their shuffle files now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def hot_keys(df: DataFrame, key: str, total: int) -> dict:
     """Keys of ``df`` with over ``total / HOT_SHARE`` rows (so HOT_SHARE keys at
     most), each with the number of parts to split it into (HOT_SHARE at most)."""
@@ -111,6 +118,10 @@ def maybe_among(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFra
     return met.where(F.expr("(shiftright(bits_, int(at_ % 64)) & 1L) = 1")).drop("at_", "word_", "bits_")
 
 
+#: Narrow rows that one task of a component round writes, at least.
+ROUND_ROWS = 100_000
+
+
 def _stars(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").distinct()
 
@@ -126,17 +137,19 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     the logarithm of the component size; no edge or label reaches the driver."""
     now = edges.select(F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b"))
     now, n = materialize(_stars(now), "cc")
-    seen = None
+    spark, seen = edges.sparkSession, None
     while n:
+        parts = -(-n // ROUND_ROWS)  # few links: few tasks and files
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low, _ = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "ccmin")
+        low, _ = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).coalesce(2 * parts), "ccmin")
         down = now.select(F.col("b").alias("a"), F.col("a").alias("v"))  # each node with its larger neighbours
         large = joined_on_hot_key(down, low, "a", n).select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large, n_large = materialize(_stars(large), "cclarge")
-        low, _ = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "ccmin")
+        large, n_large = materialize(_stars(large).coalesce(parts), "cclarge")
+        low, _ = materialize(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(2 * parts), "ccmin")
         met = joined_on_hot_key(large, low, "a", n_large)
         small = met.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        now, n = materialize(_stars(small), "cc")
+        now, n = materialize(_stars(small).coalesce(parts), "cc")
+        clean(spark)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm import textbatch as tb
-from sitelens.llm.common import components, joined_on_hot_key, mapped, materialize, maybe_among, ship, spread, with_components
+from sitelens.llm.common import clean, components, joined_on_hot_key, mapped, materialize, maybe_among, ship, spread, with_components
 
 SHINGLE = 5
 #: Values that a sketch retains.
@@ -139,6 +139,7 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
              .where((F.col("a") != F.col("x.b"))).select("a", F.col("x.b").alias("b"), _near("n_a", "x.n", percent).alias("fits")))
     pairs, n_pairs = materialize(pairs, "pairs")
     stars, n_stars = materialize(stars, "stars")
+    clean(classes.sparkSession)
     return pairs, stars, n_pairs, n_stars
 
 
@@ -223,8 +224,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     pairs, stars, n_pairs, n_stars = _candidates(classes, percent)
     tried = pairs.union(stars.where("fits").select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
     edges, n_edges = materialize(_verified(docs, classes, tried, n_pairs + n_stars, percent, id_col, text_col), "edges")
+    clean(docs.sparkSession)
     if n_stars:
         more, n_more = materialize(_left_over(docs, stars, edges, percent, id_col, text_col), "more")
+        clean(docs.sparkSession)
         if n_more:
             edges, n_edges = edges.union(more), n_edges + n_more
     by_class = with_components(classes.select("d1", "d2", "rep"), components(edges, "a", "b"), "rep", n_rows)

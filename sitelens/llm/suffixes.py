@@ -33,16 +33,15 @@ no other a repeat; an empty table gives an empty result."""
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm import textbatch as tb
-from sitelens.llm.common import mapped, materialize, spread
+from sitelens.llm.common import clean, mapped, materialize, spread
 
 #: Bytes of a string, of a bucket's common prefix, and starts that a narrower bucket has.
 LENGTH, WORD, STEP = 100, 24, 16
@@ -146,23 +145,17 @@ def _sorted_out(suffixes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     # written, so that the join sees two shuffled sides and can split a hot bucket
     several, _ = materialize(suffixes.groupBy("bucket").count().where("count > 1").select("bucket"), f"{name}several")
     tied, _ = materialize(suffixes.join(several, "bucket", "left_semi"), f"{name}tied")
-    _let_go(spark)
+    clean(spark)
     here = F.struct("id_", "place")
     firsts, _ = materialize(tied.groupBy("bucket", "rank").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")), f"{name}ranks")
     mixed, _ = materialize(firsts.groupBy("bucket").count().where("count > 1").select("bucket"), f"{name}mixed")
     open_, _ = materialize(firsts.join(mixed, "bucket", "left_semi").select("first.id_", "first.place"), f"{name}open")
     repeats, _ = materialize(tied.join(firsts.where("n > 1").select("bucket", "rank", "first"), ["bucket", "rank"])
                              .where(F.col("first") < here).select("id_", "place"), f"{name}repeats")
-    _let_go(spark)
+    clean(spark)
     return repeats, open_
 
 
-def _let_go(spark: SparkSession) -> None:
-    """Finished steps are written: have Spark's cleaner remove their shuffle files now."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, kept`` (bytes), ``spans`` (removed byte ranges start, end, in order) and ``n_bytes`` of every row."""
     if not WORD < length <= WORD + 127:
@@ -171,7 +164,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     repeats, open_ = _sorted_out(_suffixes(docs, id_col, text_col, length), "suffix")
     for step in (STEP, 1):
         narrow, n = materialize(_narrowed(docs, open_, id_col, text_col, length, step), f"step{step}")
-        _let_go(spark)
+        clean(spark)
         if not n:
             break
         more, open_ = _sorted_out(narrow, f"step{step}")
