@@ -1,18 +1,23 @@
 """Repeated substrings, exactly: every byte that a ``LENGTH``-byte string
 covers which also starts earlier (smaller id, or earlier in the same text).
 
-The construction is blockwise over a cover sample of the suffixes.  The sample
-has the property that a difference cover is used for: two suffixes with the
-same first LENGTH bytes reach a sampled suffix after the same number of bytes.
-An arithmetic difference cover has it for every pair of places at a density of
-12 % (modulus 73, 9 residues) and nine lanes a suffix; here the places are
-chosen by content, the smallest hash of ``WORD`` bytes among those in LENGTH
-bytes, at under 3 % and one lane.  See the README for the figures.
+The construction is blockwise over a cover sample of the suffixes: two
+suffixes with the same first LENGTH bytes reach a sampled suffix after the same
+number of bytes, so sampled suffixes' ranks settle the ties of all others.  Two
+covers have that property:
+
+``difference``: places whose residue modulo ``MODULUS`` is in a difference cover
+(each difference of two places is one of two residues): 12 % of the places, and
+every string reaches nine of them.
+``content``: the place with the smallest hash of ``WORD`` bytes among those in a
+string: under 3 % of the places, and every string reaches one.  Results are
+equal; it is the default as the other's sample alone is over the disk limit
+of the check (see the README for the figures).
 
 1. *Buckets.*  Sampled suffixes go to the bucket of their first WORD bytes.  A
    bucket with one suffix has no repeat and leaves.
 2. *Ranks.*  Suffixes of a bucket with equal context (all bytes of all strings
-   that reach this sampled suffix first) have one rank, its place the earliest.
+   that reach this sampled suffix) have one rank, its place the earliest.
    All later ones of the rank are repeats, with all their strings at once.
 3. *Long ties.*  Where a bucket has several ranks, strings of different ranks
    may still be equal.  Only the earliest suffix of each rank goes on: its
@@ -52,11 +57,26 @@ RUN = 1 << 18
 TAG, AT = 49, 14
 
 
-def covers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+#: A perfect difference cover: the powers of 2 modulo 73 (nine of them).
+MODULUS = 73
+RESIDUES = sorted({pow(2, i, MODULUS) for i in range(MODULUS)})
+
+
+def covers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, cover: str = "content") -> tuple[np.ndarray, ...]:
     """``row, at, low, high, prefix``: each sampled suffix' start and the first
-    and last start of the strings that reach it first; the prefix hashes."""
+    and last start of the strings that reach it; the prefix hashes."""
     prefix = tb.prefix_hash(data)
     words = length - WORD + 1
+    if cover == "difference":
+        sizes = np.diff(offsets)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(row)) - offsets[row]
+        some = np.flatnonzero(np.isin(place % MODULUS, RESIDUES) & (place + WORD <= sizes[row]) & (sizes[row] >= length))
+        row, place = row[some], place[some]
+        low, high = np.maximum(place - MODULUS + 1, 0), np.minimum(place, sizes[row] - length)
+        some = low <= high
+        row, place, low, high = row[some], place[some], low[some], high[some]
+        return row, place + offsets[row], low + offsets[row], high + offsets[row], prefix
     n = len(data) - length + 1
     if n <= 0:
         return (*[np.zeros(0, np.int64)] * 4, prefix)
@@ -79,6 +99,11 @@ def covers(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple
     return row[first], at[first], starts[first], starts[last], prefix
 
 
+def _rank(prefix: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """By the bytes of [start, end) and where in them the sampled suffix starts."""
+    return tb.mix(tb.span_hash(prefix, start, end) + (at - start).astype(np.uint64) * tb.PLACE[50])
+
+
 def _packed(tag: np.ndarray, at: np.ndarray, back_low: np.ndarray, back_high: np.ndarray) -> np.ndarray:
     return tag << TAG | at << AT | back_low << 7 | back_high
 
@@ -92,17 +117,17 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id_"), F.xxhash64(text_col).bitwiseAND(F.lit(0x3FFF)).alias("tag_"), F.col(text_col).alias("text_"))
 
 
-def _suffixes(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+def _suffixes(docs: DataFrame, id_col: str, text_col: str, length: int, cover: str) -> DataFrame:
     """``bucket, rank, id_, place`` of every sampled suffix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tags = b.column(1).to_numpy()
             for first, data, offsets in tb.text_chunks(b.column(2), RUN):
-                row, at, low, high, prefix = covers(data, offsets, length)
+                row, at, low, high, prefix = covers(data, offsets, length, cover)
                 place = _packed(tags[first + row], at - offsets[row], at - low, at - high)
                 yield pa.RecordBatch.from_arrays(
-                    [tb.as_longs(tb.span_hash(prefix, at, at + WORD)), tb.as_longs(tb.span_hash(prefix, low, high + length)), b.column(0).take(pa.array(first + row)), pa.array(place)],
+                    [tb.as_longs(tb.span_hash(prefix, at, at + WORD)), tb.as_longs(_rank(prefix, at, low, high + length)), b.column(0).take(pa.array(first + row)), pa.array(place)],
                     ["bucket", "rank", "id_", "place"])
 
     given = spread(_tagged(docs, id_col, text_col)).where("id_ is not null")
@@ -131,7 +156,7 @@ def _narrowed(docs: DataFrame, open_: DataFrame, id_col: str, text_col: str, len
                     x = at[some] + offsets[r]
                     middle = tb.span_hash(prefix, x - j * step, x - (j + 1) * step + 1 + length)
                     yield pa.RecordBatch.from_arrays(
-                        [tb.as_longs(tb.mix(middle + tb.U64(j))), tb.as_longs(tb.span_hash(prefix, x - far, x - near + length)),
+                        [tb.as_longs(tb.mix(middle + tb.U64(j))), tb.as_longs(_rank(prefix, x, x - far, x - near + length)),
                          b.column(0).take(pa.array(first + r)), pa.array(_packed(tags[first + r], at[some], far, near))], ["bucket", "rank", "id_", "place"])
 
     asks = open_.groupBy("id_", F.shiftright("place", TAG).alias("tag_")).agg(F.collect_set("place").alias("places"))
@@ -156,12 +181,14 @@ def _sorted_out(suffixes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return repeats, open_
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", cover: str = "content") -> DataFrame:
     """``id_col, kept`` (bytes), ``spans`` (removed byte ranges start, end, in order) and ``n_bytes`` of every row."""
     if not WORD < length <= WORD + 127:
         raise ValueError(f"length must be over {WORD} and at most {WORD + 127}")
+    if cover != "content" and (cover != "difference" or length < WORD + MODULUS - 1):
+        raise ValueError(f"cover must be content, or difference with a length of at least {WORD + MODULUS - 1}")
     spark = docs.sparkSession
-    repeats, open_ = _sorted_out(_suffixes(docs, id_col, text_col, length), "suffix")
+    repeats, open_ = _sorted_out(_suffixes(docs, id_col, text_col, length, cover), "suffix")
     for step in (STEP, 1):
         narrow, n = materialize(_narrowed(docs, open_, id_col, text_col, length, step), f"step{step}")
         clean(spark)

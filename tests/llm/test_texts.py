@@ -187,8 +187,8 @@ def test_chunks_of_odd_rows(documents):
     assert chunks.deduplicated(documents([])).count() == 0
 
 
-def _check_suffixes(docs, length=suffixes.LENGTH):
-    got = {r.doc_id: (bytes(r.kept), r.n_bytes - len(r.kept), len(r.spans)) for r in suffixes.deduplicated(docs, length).collect()}
+def _check_suffixes(docs, length=suffixes.LENGTH, cover="content"):
+    got = {r.doc_id: (bytes(r.kept), r.n_bytes - len(r.kept), len(r.spans)) for r in suffixes.deduplicated(docs, length, cover=cover).collect()}
     assert got == without_repeats([(r.doc_id, r.text) for r in docs.collect()], length)
 
 
@@ -196,14 +196,22 @@ def test_repeats_against_all_strings(small_documents):
     _check_suffixes(small_documents)
 
 
-@pytest.mark.parametrize("length", [40, 100])
-def test_repeats_around_edits_and_in_periods(documents, length):
+def test_every_difference_is_one_of_two_residues():
+    n = suffixes.MODULUS
+    assert len(suffixes.RESIDUES) == 9 and {(a - b) % n for a in suffixes.RESIDUES for b in suffixes.RESIDUES} == set(range(n))
+    # so any two starts reach sampled places after the same number of bytes, below the modulus
+    for p, q in RNG.integers(0, 10_000, (50, 2)).tolist():
+        assert any((p + d) % n in suffixes.RESIDUES and (q + d) % n in suffixes.RESIDUES for d in range(n))
+
+
+@pytest.mark.parametrize(("length", "cover"), [(40, "content"), (100, "content"), (100, "difference")])
+def test_repeats_around_edits_and_in_periods(documents, length, cover):
     rng = np.random.default_rng(29)
     base, passage = prose(150, rng), prose(30, rng)
     rows = [(i, base[: (x := int(rng.integers(0, len(base))))] + "#" * int(rng.integers(0, 3)) + base[x + int(rng.integers(0, 3)) :]) for i in range(30)]
     rows += [(40 + i, prose(20, rng) + passage + prose(20, rng)) for i in range(20)]
     rows += [(70, "abc" * 400), (71, "x" * 500), (72, "x" * 99), (73, "y" * 100), (74, "y" * 100), (75, None), (76, ""), (77, ("é" * 70 + "ü") * 5), (78, base), (79, base)]
-    _check_suffixes(documents([rows[i] for i in rng.permutation(len(rows))]), length)
+    _check_suffixes(documents([rows[i] for i in rng.permutation(len(rows))]), length, cover)
 
 
 def test_repeats_of_odd_rows(documents):
