@@ -29,10 +29,11 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm import textbatch as tb
@@ -128,14 +129,27 @@ def _runs(texts: Iterator[str]) -> Iterator[tuple[int, list[str]]]:
         yield at, run
 
 
+def _above(splits: list[float], col: str) -> Column:
+    """How many of the ascending splits are over the column: by groups of
+    about sqrt(n) splits, then inside one group, so a row tests few of them."""
+    if not splits:
+        return F.lit(0)
+    step = isqrt(len(splits) - 1) + 1
+    groups = [splits[i : i + step] for i in range(0, len(splits), step)]
+    over = lambda values: F.size(F.filter(values.cast("array<double>"), lambda s: s > F.col(col)))
+    whole = over(F.lit([g[0] for g in groups]))  # groups that are over it from their first split on: the last ones
+    first = F.lit(len(groups)) - whole
+    rest = F.greatest(F.lit(len(splits)) - first * step, F.lit(0))
+    return rest + F.when(first > 0, over(F.element_at(F.array(*[F.lit(g) for g in groups]), first))).otherwise(0)
+
+
 def _neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``part, extra, id_, text_`` sorted in partitions of one range of ids
     each, descending; the last row of a partition is the next one's first."""
-    parts = 4 * slots(docs.sparkSession)
+    parts = 2 * slots(docs.sparkSession)
     splits = sorted(set(docs.stat.approxQuantile(id_col, [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []))
     given = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"), F.xxhash64(text_col).alias("tie"), F.lit(False).alias("extra"))
-    above = F.size(F.filter(F.array(*[F.lit(s) for s in splits]).cast("array<double>"), lambda s: s > F.col("id_"))) if splits else F.lit(0)
-    given = given.withColumn("part", F.when(F.col("id_").isNull(), len(splits)).otherwise(above).cast("int"))
+    given = given.withColumn("part", F.when(F.col("id_").isNull(), len(splits)).otherwise(_above(splits, "id_")).cast("int"))
     heads = given.groupBy("part").agg(F.min(F.struct(F.col("id_").isNull().alias("none"), (-F.col("id_")).alias("down"), "tie")).alias("x"))
     heads = sorted((r["part"], r["x"]["down"], r["x"]["tie"]) for r in heads.collect())  # one row a partition
     if not heads:

@@ -262,6 +262,13 @@ def test_edited_texts_and_likeness(documents, monkeypatch, parts):
     assert plain == {i: r.fingerprint for i, r in got.items()}
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 50])
+def test_ranges_of_ids(spark, n):
+    splits = sorted({float(x) for x in RNG.integers(0, 100, n)})
+    got = spark.range(-5, 106).select("id", syncmers._above(splits, "id").alias("n")).collect()
+    assert all(r.n == sum(s > r.id for s in splits) for r in got)
+
+
 def test_syncmers_do_not_depend_on_what_stands_around():
     passage = prose(80)
     a, b = (syncmers.anchors([x + passage + y])[0] for x, y in ((prose(5), prose(9)), (prose(31), "")))
