@@ -34,7 +34,7 @@ from sitelens.llm.common import mapped, spread
 #: Bytes of a chunk, on average, and of the gear hash's window.
 AVERAGE, WINDOW = 32, 16
 #: Bytes that a removed run has at least.
-MIN_RUN = 128
+MIN_RUN = 96
 GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 

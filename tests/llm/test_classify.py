@@ -14,7 +14,7 @@ from brute import near_duplicates
 
 import corpus_pipeline as cp
 from sitelens.llm import classify as cl
-from sitelens.llm import html, packing, quality, queries, toxicity
+from sitelens.llm import chunks, html, packing, quality, queries, toxicity
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -153,7 +153,7 @@ def test_pipeline_stage_by_stage(spark):
     assert {r["doc_id"] for r in apart} == {i for i, (_, c) in of.items() if i == c}
     from test_texts import _plain_chunks
 
-    want = _plain_chunks([(r["doc_id"], r["text"]) for r in apart], 128)
+    want = _plain_chunks([(r["doc_id"], r["text"]) for r in apart], chunks.MIN_RUN)
     assert {r["doc_id"]: r["text"] for r in cut} == want and all(r["n_chars"] == len(r["text"]) for r in cut)
     by_id = {r["doc_id"]: r for r in cut}
     assert all(r == by_id[r["doc_id"]] for r in mixed)
