@@ -61,7 +61,7 @@ def scored(docs: DataFrame, carried: dict[str, Column], text_col: str, model: tu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            margin = margins(b.column("text_"), sent.value) + bias
+            margin = margins(b.column(b.num_columns - 1), sent.value) + bias
             score = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score)], [*b.schema.names[:-1], "score"])
 

@@ -96,7 +96,9 @@ def joined_on_hot_key(left: DataFrame, right: DataFrame, key: str, total: int, h
     if not parts:
         return left.join(right, key, how)
     n = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]), F.col(key)), F.lit(1))
-    salted = left.withColumn("salt_", F.pmod(F.xxhash64(*[c for c in left.columns if c != key]), n).cast("int"))
+    others = [c for c in left.columns if c != key]
+    deal = F.xxhash64(*others) if others else F.monotonically_increasing_id()  # a written table's rows keep their places
+    salted = left.withColumn("salt_", F.pmod(deal, n).cast("int"))
     spread_out = right.withColumn("salt_", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))))
     return salted.join(spread_out, [key, "salt_"], how).drop("salt_")
 

@@ -42,6 +42,8 @@ def test_hot_key_join_is_an_equi_join(spark, monkeypatch):
     assert common.hot_keys(left, "k", 300)
     for how in ("inner", "left"):
         assert sorted(map(str, common.joined_on_hot_key(left, right, "k", 300, how).collect())) == sorted(map(str, left.join(right, "k", how).collect()))
+    keys = left.select("k")
+    assert sorted(map(str, common.joined_on_hot_key(keys, right, "k", 300).collect())) == sorted(map(str, keys.join(right, "k").collect()))
 
 
 def test_near_duplicates_of_the_small_table(small_documents):
