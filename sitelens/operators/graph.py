@@ -98,7 +98,7 @@ def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, small
 
 
 # Tuning: rounds after which the seen table's small files are written anew.
-COMPACT_ROUNDS = 64
+COMPACT_ROUNDS = 8
 
 
 def crawl(pages: DataFrame, start: str, max_depth: int | None = None) -> DataFrame:
