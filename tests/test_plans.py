@@ -55,13 +55,7 @@ def test_stored_index_lookup_is_pushed_down(spark, small_dir):
     assert n == ix.occurrences(fx.corpus(spark, small_dir)).where(F.col("term") == "the").count()
 
 
-def _physical(df) -> str:
-    """The plan that ran, tree only."""
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-
-
-def test_counters_read_the_bucketed_page_index_in_place(spark, small_dir, monkeypatch):
+def test_counters_read_the_bucketed_page_index_in_place(spark, small_dir):
     from sitelens.operators import graph as gr
     from sitelens.operators import traffic as tr
     from sitelens.session import bucketed_table
@@ -152,3 +146,29 @@ def test_running_counters_never_window_a_whole_server(spark, small_dir):
     # totals (one row per server and chunk)
     assert any("server" in keys and "_chunk" in keys for keys in windows)
     assert "_chunk" in text  # the chunked rows were written by an earlier (range-partitioned) job
+
+
+def test_a_hot_page_is_split_in_the_status_lookup(spark):
+    """A third of all requests ask for one page: the lookup's skewed partition is read in parts."""
+    from sitelens.operators import traffic as tr
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    page = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 500).cast("string")))
+    reqs = spark.range(0, 20000, 1, 8).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.lit(0).cast("bigint").alias("server"),
+                                              F.lit(False).alias("is_cmd"), F.concat(F.lit("Get ../"), page, F.lit(" HTTP/1.1\r\n")).alias("raw"))
+    pages = spark.range(0, 500, 1, 4).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("path")).union(spark.sql("select 'hot'"))
+    pages = pages.select("path", F.lit(True).alias("readable"), F.lit("text\n").alias("html"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = tr.request_status(reqs, pages)
+        n = sum(r["status"] == 200 for r in df.collect())
+        text = plan(df)
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skewed" in text and "skew=true" in text
+    assert n == 20000
