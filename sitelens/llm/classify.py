@@ -55,18 +55,22 @@ def fitted(sample: DataFrame, fit: Callable[[list, np.ndarray], tuple[np.ndarray
 
 def scored(docs: DataFrame, carried: dict[str, Column], text_col: str, model: tuple[np.ndarray, float],
            margins: Callable[[pa.Array, np.ndarray], np.ndarray]) -> DataFrame:
-    """The carried columns and ``score``, the logistic function of the margin, for every row."""
+    """The carried columns and ``score``, the logistic function of the margin,
+    for every row.  A text that is carried under its own name is sent once."""
     weights, bias = model
     sent = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # as many values as places
 
+    names = list(carried)
+    at = names.index(text_col) if text_col in names else len(names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            margin = margins(b.column(b.num_columns - 1), sent.value) + bias
+            margin = margins(b.column(at), sent.value) + bias
             score = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score)], [*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(score)], [*names, "score"])
 
-    given = spread(docs).select(*[c.alias(n) for n, c in carried.items()], F.col(text_col).alias("text_"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1]], "score double"])
+    given = spread(docs).select(*[c.alias(n) for n, c in carried.items()], *[F.col(text_col).alias("text_")][: at == len(names)])
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[: len(names)]], "score double"])
     return mapped(given, run, schema)
 
 
@@ -74,11 +78,13 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, ep
          l1: float, l2: float) -> tuple[np.ndarray, float]:
     """Follow-the-regularised-leader (proximal) logistic regression.
 
-    Each row is ``(places, values)`` with distinct places.  Per coordinate z is
+    Each row is ``(places, values)`` with distinct places; the list is used up
+    (its rows are replaced by short numbers).  Per coordinate z is
     the sum of gradients less the learning-rate change times the weight and n
     the sum of squared gradients; a weight is 0 while |z| <= l1."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = [(np.append(at, size), np.append(value, 1.0)) for at, value in rows]  # the last place: the intercept
+    for k, (at, value) in enumerate(rows):  # the last place: the intercept
+        rows[k] = np.append(at, size).astype(np.int32), np.append(value, 1).astype(np.float32)
 
     def weights(at: np.ndarray) -> np.ndarray:
         w = -(z[at] - np.sign(z[at]) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2)

@@ -46,7 +46,7 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _fit(columns: list[pa.Array], y: np.ndarray) -> tuple[np.ndarray, float]:
-    rows = [(at.astype(np.int32), value) for c in columns for at, value in features(c)]
+    rows = [(at.astype(np.int32), value.astype(np.float32)) for c in columns for at, value in features(c)]
     return cl.ftrl(rows, y, 1 << BITS, EPOCHS, alpha=10.0, beta=1.0, l1=0.05, l2=0.0)
 
 

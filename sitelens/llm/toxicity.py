@@ -89,7 +89,8 @@ def _fit(columns: list[pa.Array], y: np.ndarray) -> tuple[np.ndarray, float]:
         for _, count, found in grams(column):
             row, place = _present(found, keep)
             cut = np.searchsorted(row, np.arange(count + 1))
-            rows += [(place[i:j], ratio[place[i:j]]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+            place, value = place.astype(np.int32), ratio[place].astype(np.float32)
+            rows += [(place[i:j].copy(), value[i:j].copy()) for i, j in zip(cut[:-1], cut[1:], strict=True)]
     weights, bias = cl.ftrl(rows, y, size, EPOCHS, alpha=0.1, beta=1.0, l1=0.05, l2=0.1)
     return weights * ratio, bias
 

@@ -125,6 +125,16 @@ def test_character_grams_against_plain_ones():
     assert low == up
 
 
+def test_a_carried_text_is_scored_once_sent(documents):
+    docs = documents([(1, "some words"), (2, None)])
+    model = (np.ones(1 << toxicity.BITS), 0.0)
+    from pyspark.sql import functions as F
+
+    plain = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    carried = toxicity.score(docs, model, carried={"doc_id": F.col("doc_id"), "text": F.col("text")}).collect()
+    assert {r.doc_id: (r.text, r.score) for r in carried} == {1: ("some words", plain[1]), 2: (None, plain[2])}
+
+
 def test_ftrl_separates_and_drops_noise():
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 400).astype(float)
