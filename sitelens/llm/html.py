@@ -61,9 +61,21 @@ subscribe subscription signup login share sharing social comment comments disqus
 pagination pager toolbar copyright""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: Dropped with all they hold, an article too, where their end tag is met; without it they end with their parent.
+CLOSED = frozenset("noscript template iframe svg".split())
+#: Start tags that end an open svg: drawings have no such elements.
+NOT_DRAWN = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre
+ruby s small span strong strike sub sup table tt u ul var article aside footer header main nav section""".split())
+
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# Comments and declarations; text of script, style, textarea and title up to the end tag or the page's end; self-closed
+# ones, and elements that are dropped whole, where the next tag of that name is the end tag (others are nodes); tags.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*+>|<(script|style|textarea|title|noscript|template|iframe|svg)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S | re.I)
+    rf"""<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*+>|<(script|style|textarea|title)(?=[\s/>])[^>]*+(?<!/)>.*?(?:</\1\s*+>|\Z)"""
+    rf"""|<(script|style|textarea|title)(?=[\s/>])[^>]*+(?<=/)>(?:(?!</?\2[\s/>]).)*+</\2\s*+>"""
+    rf"""|<(noscript|template|iframe)(?=[\s/>]){_ATTRIBUTES}(?<!/)>(?:(?!</?\3[\s/>]).)*+</\3\s*+>"""
+    rf"""|<svg(?=[\s/>]){_ATTRIBUTES}(?<!/)>(?:(?!</?(?:svg|{"|".join(sorted(NOT_DRAWN))})[\s/>]).)*+</svg\s*+>"""
+    rf"""|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -97,22 +109,32 @@ def _tree(html: str) -> _Node:
     """The page's tree; children are nodes and strings (decoded text).  ``hold`` marks what is noise."""
     root = at = _Node("html", None)
     root.hold = False
-    last = 0
+    last, drawn = 0, False
     for m in _TOKEN.finditer(html):
         if m.start() > last:
             at.children.append(unescape(html[last : m.start()]))
         last = m.end()
-        name = m[3] or m[6]
+        name = m[5] or m[8]
         if not name:  # a comment, a declaration or an element of raw text
             continue
-        tag, closing, raw = name.lower(), m[2] or m[5], (m[4] if m[3] else m[7]) or ""
+        tag, closing, raw = name.lower(), m[4] or m[7], (m[6] if m[5] else m[9]) or ""
         if closing:
             x = at
             while x is not None and x.tag != tag and not (x.tag in SCOPE and tag not in SCOPE and tag != "tr"):
                 x = x.parent
             if x is not None and x.tag == tag and x.parent is not None:
                 at = x.parent
+                if tag in CLOSED:
+                    x.children = []
             continue
+        if tag in NOT_DRAWN and drawn:
+            x = at
+            while x is not None and x.tag not in ("svg", "foreignobject"):
+                x = x.parent
+            if x is None:
+                drawn = False
+            elif x.tag == "svg":
+                at = x.parent
         if tag in ("html", "body") and at.parent is None:
             if tag == "html":
                 continue
@@ -136,6 +158,7 @@ def _tree(html: str) -> _Node:
         at.children.append(node)
         if tag not in VOID and not raw.endswith("/"):
             at = node
+            drawn = drawn or tag == "svg"
     if last < len(html):
         at.children.append(unescape(html[last:]))
     return root

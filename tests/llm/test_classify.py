@@ -46,6 +46,24 @@ def test_main_text(page):
         assert html.main_text(page) == PAGES[page]
 
 
+#: Pages whose raw-text elements are self-closed, unclosed or only alike in name.
+RAW = {
+    '<article><p>first</p><svg class="i"/><p>second</p><svg><path d="M0"/><text>drawn</text></svg><p>third</p></article>': "first\n\nsecond\n\nthird",
+    '<article><p>first</p><svg class="i"><path d="M0"/><p>second</p></article>': "first\n\nsecond",
+    '<article><svg><title/><style/><g></svg><p>first</p><svg><foreignObject><p>drawn</p></foreignObject></svg><p>second</p></article>': "first\n\nsecond",
+    "<article><title-card>first</title-card><p>second</p><template-x>third</template-x></article>": "first\n\nsecond\n\nthird",
+    '<article><div><p>first</p><iframe src="a"></div><p>second</p><iframe src="b"></iframe><iframe src="c"/><p>third</p></article>': "first\n\nsecond\n\nthird",
+    "<article><p>first</p><noscript><div><article>none</article></noscript><template><p>none</p><template>none</template></div></template><p>second</p></article>": "first\n\nsecond",
+    '<script src="a"/><article><p>first</p><script src="b"></script><p>second</p></article><script>"<p>none</p>"': "first\n\nsecond",
+    "<body><noscript><article><p>kept of an open one</p></article></body>": "kept of an open one",
+}
+
+
+@pytest.mark.parametrize("page", RAW)
+def test_raw_text_elements_take_no_more_than_their_own(page):
+    assert html.main_text(page) == RAW[page]
+
+
 def test_density_falls_with_links():
     text, links = html._density(400, 2, 0, 0, 0.2), html._density(400, 20, 380, 20, 0.2)
     assert text > 50 * max(links, 1e-9)
