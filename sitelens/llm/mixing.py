@@ -40,23 +40,29 @@ def _quotas(df: DataFrame, share: Column, seats: Column, number: str, whole: lis
     share / (2 i + 1) give each row, within each group of the columns ``whole``.
 
     Rounding each share at the common divisor is the same rule's result for a
-    nearby number of seats; the few seats that differ are then given to the
-    highest next quotients or taken from the lowest last ones."""
+    nearby number of seats; the seats that differ are then given to the
+    highest next quotients or taken from the lowest last ones.  Rounding at the
+    divisor for half a seat a row more (less) gives (leaves) at least (most) the
+    seats asked for, so the quotients between the two divisors hold all that can
+    be given (taken); they are the difference and one a row, at most, and
+    each row offers one more against rounding errors."""
     group = Window.partitionBy(*whole) if whole else Window.partitionBy(F.lit(0))
     df = df.withColumn("share_", share).withColumn("seats_", seats).withColumn("all_", F.sum("share_").over(group))
     df = df.withColumn("first_", F.when(F.col("all_") > 0, F.floor(F.col("seats_") * F.col("share_") / F.col("all_") + 0.5)).otherwise(0))
     df = df.withColumn("lack_", F.col("seats_") - F.sum("first_").over(group))
-    steps = F.least(F.abs("lack_"), F.ceil(F.abs("lack_") * F.col("share_") / F.col("all_")) + 2)
+    half = F.signum("lack_") * F.sum((F.col("share_") > 0).cast("long")).over(group) / 2
+    near = F.when(F.col("all_") > 0, F.floor(F.greatest(F.col("seats_") + half, F.lit(0)) * F.col("share_") / F.col("all_") + 0.5)).otherwise(0)
+    df = df.withColumn("steps_", F.least(F.abs("lack_"), F.abs(near - F.col("first_")) + 1))
     at = F.when(F.col("lack_") > 0, F.col("first_") + F.col("i_") - 1).otherwise(F.col("first_") - F.col("i_"))
     quotient = F.col("share_") / (2 * F.col("at_") + 1)
-    tried = (df.where("lack_ <> 0 and share_ > 0").withColumn("i_", F.explode(F.sequence(F.lit(1), steps.cast("int")))).withColumn("at_", at).where("at_ >= 0")
+    tried = (df.where("lack_ <> 0 and share_ > 0").withColumn("i_", F.explode(F.sequence(F.lit(1), F.col("steps_").cast("int")))).withColumn("at_", at).where("at_ >= 0")
              .withColumn("rank_", F.row_number().over(group.orderBy(F.when(F.col("lack_") > 0, -quotient).otherwise(quotient), *order)))
              .where("rank_ <= abs(lack_)").groupBy(*[F.col(c).alias(f"{c}_k") for c in order]).agg(F.sum(F.signum("lack_")).cast("long").alias("more_")))
     same = F.lit(True)
     for c in order:
         same = same & (F.col(c) == F.col(f"{c}_k"))
     out = df.join(tried, same, "left").withColumn(number, F.col("first_") + F.coalesce("more_", F.lit(0)))
-    return out.drop("share_", "seats_", "all_", "first_", "lack_", "more_", *[f"{c}_k" for c in order])
+    return out.drop("share_", "seats_", "all_", "first_", "lack_", "steps_", "more_", *[f"{c}_k" for c in order])
 
 
 def _key(col: str) -> Column:

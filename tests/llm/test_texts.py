@@ -131,6 +131,31 @@ def test_mix_against_bisection(documents, monkeypatch):
     assert mixing.mixed(documents([])).count() == 0
 
 
+def _highest_quotients(shares, seats):
+    """Sainte-Lague seat by seat."""
+    import heapq
+
+    got, queue = [0] * len(shares), [(-w, i) for i, w in enumerate(shares) if w]
+    heapq.heapify(queue)
+    for _ in range(seats if queue else 0):
+        _, i = queue[0]
+        got[i] += 1
+        heapq.heapreplace(queue, (-shares[i] / (2 * got[i] + 1), i))
+    return got
+
+
+def test_quotas_are_those_of_the_highest_quotients(spark):
+    groups = [([500] + [1] * 500, 62), ([20000] + [3] * 5000, 1000), ([1] * 7, 3), ([0, 0], 0), ([7], 5), ([5000, 300] + [40] * 900, 2500), ([300] + [10] * 400, 410)]
+    groups += [(RNG.zipf(1.3, 300).clip(0, 10**9).tolist(), int(n)) for n in (1, 40, 150, 1000, 10**6)]
+    rows = [(g, i, int(w), n) for g, (shares, n) in enumerate(groups) for i, w in enumerate(shares)]
+    df = spark.createDataFrame(rows, "place long, shard long, words long, blocks long")
+    got = {(r.place, r.shard): r.quota for r in mixing._quotas(df, df.words.cast("double"), df.blocks, "quota", ["place"], ["place", "shard"]).collect()}
+    for g, (shares, n) in enumerate(groups):
+        want = _highest_quotients(shares, n)
+        mine = [got[g, i] for i in range(len(shares))]
+        assert sum(mine) == sum(want) and sorted(zip(shares, mine, strict=True)) == sorted(zip(shares, want, strict=True))
+
+
 def test_op6_matches_its_sql(spark):
     from compare import compare
 
