@@ -6,13 +6,16 @@ its source's size and the excess is shared anew by weight among the others.
 The corpus' words make blocks of ``BLOCK`` words; the blocks go to the sources
 by the highest quotients target / (2 i + 1), and a source's blocks go to its
 shards (dealt by a hash of the id) by the same rule on the shards' sizes.  A
-shard's documents stand in a seeded order, end to end; its quota is the first
-so many blocks of that line, which starts again at its end (whole passes, then
-a part) and ends with its pass EPOCHS, so no document is taken more often.
+source has the corpus' number of shards, or fewer so that a shard holds
+``SHARD_LEAST`` of its words on average.  A shard's documents stand in a seeded
+order, end to end; its quota is the first so many blocks of that line, which
+starts again at its end (whole passes, then a part) and ends with its pass
+EPOCHS, so no document is taken more often; the words that a quota has beyond
+that end go to the source's other shards, by what is left of their lines.
 
 All of it is DataFrame work: the documents are read twice (sizes by source and
-shard, then the takes) and shuffled once, by source and shard; a hot source is
-split over its shards.
+shard, then the takes), meet the short table of sources and are shuffled once,
+by source and shard; a hot source is split over its shards.
 
 Defined results: a null text has size 0 and is not taken; a null source is a
 source; a null id has a place like any other; repeated rows count each; an
@@ -32,6 +35,8 @@ EPOCHS = 3
 BLOCK = 16
 #: Words of all sources that a shard number should hold; shard numbers are a power of two up to MOST.
 SHARD_WORDS, MOST = 1 << 18, 4096
+#: Words of its source that a shard holds on average, at least.
+SHARD_LEAST = 64 * BLOCK
 SEED = "mix"
 
 
@@ -65,6 +70,17 @@ def _quotas(df: DataFrame, share: Column, seats: Column, number: str, whole: lis
     return out.drop("share_", "seats_", "all_", "first_", "lack_", "steps_", "more_", *[f"{c}_k" for c in order])
 
 
+def _passed_on(parts: DataFrame) -> DataFrame:
+    """``take``: each shard's words after the cut, and of the words that its
+    source's shards lost by it a part like its share of the room, to the word."""
+    whole = Window.partitionBy("source_")
+    left = F.least(F.col("blocks") * BLOCK, EPOCHS * F.col("source_size")) - F.sum("cut").over(whole)
+    parts = parts.withColumn("left_", left.cast("decimal(19,0)")).withColumn("rooms_", F.sum("room").over(whole))
+    parts = parts.withColumn("upto_", F.sum("room").over(whole.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    more = F.expr("left_ * cast(upto_ as decimal(19,0)) div rooms_ - left_ * cast(upto_ - room as decimal(19,0)) div rooms_")
+    return parts.withColumn("take", F.col("cut") + F.when(F.col("rooms_") > 0, more).otherwise(0)).drop("left_", "rooms_", "upto_")
+
+
 def _key(col: str) -> Column:
     return F.when(F.col(col).isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), F.col(col)))
 
@@ -101,14 +117,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     sources = sources.withColumn("target", F.least(F.col("most").cast("double"), F.max("level").over(one) * F.col("weight")))
     sources = _quotas(sources, F.col("target"), F.floor(F.lit(total) / BLOCK + 0.5), "blocks", [], ["place"])
 
-    parts = fine.groupBy("source_", (F.col("fine") % shards).alias("shard")).agg(F.sum("words").alias("words"))
-    parts = parts.join(sources.select("source_", "place", "source_size", "target", "blocks"), "source_")
+    few = F.array_max(F.filter(F.array(*[F.lit(1 << i) for i in range(shards.bit_length())]), lambda n: (n == 1) | (n * SHARD_LEAST <= F.col("source_size"))))
+    sources, _ = materialize(sources.select("source_", "place", "source_size", "target", "blocks", few.alias("shards")), "mixsources")
+
+    parts = fine.join(sources, "source_").groupBy("source_", "place", "source_size", "target", "blocks", (F.col("fine") % F.col("shards")).alias("shard")).agg(F.sum("words").alias("words"))
     parts = _quotas(parts, F.col("words").cast("double"), F.col("blocks"), "quota", ["place"], ["place", "shard"])
-    take = F.least(F.col("quota") * BLOCK, EPOCHS * F.col("words"))
-    parts, _ = materialize(parts.select("source_", "shard", "words", "source_size", "target", take.alias("take")), "mixquotas")
+    parts = _passed_on(parts.withColumn("cut", F.least(F.col("quota") * BLOCK, EPOCHS * F.col("words"))).withColumn("room", EPOCHS * F.col("words") - F.col("cut")))
+    parts, _ = materialize(parts.select("source_", "shard", "words", "source_size", "target", "take"), "mixquotas")
 
     line = Window.partitionBy("source_", "shard").orderBy(_hex("order"), "id_", "size")
-    got = sized.withColumn("shard", F.col("fine") % shards).join(parts, ["source_", "shard"])
+    got = sized.join(sources.select("source_", "shards"), "source_").withColumn("shard", F.col("fine") % F.col("shards")).drop("shards").join(parts, ["source_", "shard"])
     got = got.withColumn("end_", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     part = F.least(F.greatest(F.expr("take % words") - (F.col("end_") - F.col("size")), F.lit(0)), F.col("size"))
     taken = F.when(F.col("words") > 0, F.expr("take div words") * F.col("size") + part).otherwise(0).cast("long")

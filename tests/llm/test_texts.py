@@ -156,6 +156,21 @@ def test_quotas_are_those_of_the_highest_quotients(spark):
         assert sum(mine) == sum(want) and sorted(zip(shares, mine, strict=True)) == sorted(zip(shares, want, strict=True))
 
 
+def test_a_small_source_of_a_large_corpus_comes_to_its_target(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 16)
+    rows = [(i, "a b c", "s0") for i in range(1000)] + [(2000 + i, "w " * 400, "s1") for i in range(200)]
+    rows += [(3000 + i, prose(int(n)), "s2") for i, n in enumerate([9000, *[1] * 1000])] + [(5000, "a b", "s3")]
+    sizes, target = _mix([(i, len(WORD.findall(t)), s) for i, t, s in rows])
+    assert target["s0"] == 9000  # all passes
+    for least in (mixing.SHARD_LEAST, 1):  # few shards a source, and thousands
+        monkeypatch.setattr(mixing, "SHARD_LEAST", least)
+        taken = Counter()
+        for r in mixing.mixed(documents(rows), carry=("source",)).collect():
+            assert 0 <= r.taken <= 3 * r.size
+            taken[r.source] += r.taken
+        assert all(abs(taken[s] - target[s]) <= mixing.BLOCK for s in sizes)
+
+
 def test_op6_matches_its_sql(spark):
     from compare import compare
 
