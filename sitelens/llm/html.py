@@ -13,8 +13,12 @@ the threshold go.
 
 What is never main text leaves the tree first: scripts, styles, forms, menus,
 headers, footers, asides and whatever its role, class or id names as such, as
-advert, notice or reader comment (``NOISE``), and what is hidden.  An element
-with an article or main inside is kept whatever its name.
+advert, notice or reader comment (``NOISE``), and what is hidden.  A class or an
+id is such a name as a whole: its other words only say where or in what the
+element stands.  Headings stay whatever their class or id, paragraphs but for
+the class of an advert or a comment.  An element with an article or main inside
+is kept whatever its name; so is one with most of the page's text outside links,
+unless it is named as advert, comment, cookie notice, footer or menu (``FIRM``).
 
 Character references are decoded; white space inside a block becomes one
 space; blocks are trimmed and joined in page order by two line feeds.
@@ -54,11 +58,22 @@ SCOPE = frozenset("html body table td th button".split())
 DROPPED = frozenset("""head script style noscript template nav header footer aside form button select textarea input label iframe svg canvas object
 audio video map menu dialog datalist""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-#: Words in a class or id that name what is not main text.
+#: Words that, alone or with each other, name what is not main text as a class or id.
 NOISE = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu
 breadcrumb breadcrumbs header masthead topbar footer sidebar aside cookie cookies consent gdpr notice popup modal overlay newsletter
 subscribe subscription signup login share sharing social comment comments disqus reply replies respond related recommended widget
-pagination pager toolbar copyright""".split())
+pagination pager toolbar copyright adsbygoogle commentlist""".split())
+#: Of these, adverts and comments, which may be paragraphs; names whose elements go whatever they hold; names that also tell a page's layout.
+FIRM_P = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comment comments adsbygoogle commentlist".split())
+FIRM = FIRM_P | frozenset("""disqus reply replies respond cookie cookies consent gdpr footer copyright breadcrumb breadcrumbs nav navbar navigation
+pagination pager""".split())
+LAYOUT = frozenset("banner header masthead topbar sidebar aside notice popup modal overlay widget toolbar menu".split())
+#: Other words that may stand in such a class or id; the second ones not where its words of NOISE are all of LAYOUT.
+FRAME = frozenset("""site main global top bottom left right primary secondary upper lower wrap wrapper container inner outer box bar area block
+group row holder bg wp mobile desktop list links link item items icon icons button buttons form field title text label close""".split())
+OWNERS = frozenset("""post posts entry article articles page pages section content story stories news product products body author meta count thread
+media slot unit space zone google dfp law info for you email""".split())
+COMPOUNDS = frozenset("article-sidebar blog-sidebar page-sidebar post-sidebar sidebar-widgets footer-widgets header-widgets".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: Dropped with all they hold, an article too, where their end tag is met; without it they end with their parent.
@@ -88,8 +103,22 @@ class _Node:
         self.chars = self.link_chars = self.tags = self.link_tags = self.own = 0
 
 
-def _noise(tag: str, raw: str) -> bool:
-    """Whether the element's name, role, class or id says that it is not main text."""
+def _named(names: str) -> set[str]:
+    """The words of NOISE of each class or id that names noise as a whole."""
+    found: set[str] = set()
+    for name in names.split():
+        words = {w.lower() for w in _WORDS.findall(name) if len(w) > 1}
+        noise = words & NOISE
+        if noise and (words <= NOISE | FRAME or words <= NOISE | FRAME | OWNERS and not noise <= LAYOUT):
+            found |= noise
+        elif name.lower().replace("_", "-") in COMPOUNDS:
+            found |= noise or {"widget"}
+    return found
+
+
+def _noise(tag: str, raw: str) -> bool | str:
+    """Whether the element's name, role, class or id says that it is not main
+    text; a string where that holds only for an element without most of the text."""
     if tag in DROPPED:
         return True
     if not raw or raw.isspace():
@@ -99,10 +128,14 @@ def _noise(tag: str, raw: str) -> bool:
         return True
     if re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return True
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main") or tag in HEADINGS:
         return False
-    named = {w.lower() for k in ("class", "id") for w in _WORDS.findall(attributes.get(k, ""))}
-    return bool(named & NOISE) and (tag != "article" or bool(named & {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo"}))
+    if tag == "p":
+        return bool(_named(attributes.get("class", "")) & FIRM_P)
+    named = _named(f"{attributes.get('class', '')} {attributes.get('id', '')}")
+    if tag == "article":
+        return bool(named & {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo"})
+    return bool(named & FIRM) or ("header" if named & {"header", "masthead"} else "named" if named else False)
 
 
 def _tree(html: str) -> _Node:
@@ -154,7 +187,7 @@ def _tree(html: str) -> _Node:
             if found is not None:
                 at = found.parent
         node = _Node(tag, at)
-        node.hold = _noise(tag, raw)
+        node.hold = tag in DROPPED if at.tag in ("pre", "code") else _noise(tag, raw)  # classes in code are for its colours
         at.children.append(node)
         if tag not in VOID and not raw.endswith("/"):
             at = node
@@ -175,9 +208,17 @@ def _in_order(root: _Node) -> list[_Node]:
 
 def _pruned(root: _Node) -> list[_Node]:
     """Take noise out of the tree; the nodes that stay, parents first.  An
-    element that holds an article or main stays, and of a header inside an
+    element that holds an article or main stays, or one that is only named as
+    noise and holds most of the text outside links; of a header inside an
     article its headings stay."""
     order, holds = _in_order(root), set()
+    if any(isinstance(x.hold, str) for x in order):
+        for x in reversed(order):
+            if x.tag != "a" and x.hold is not True:
+                x.chars = sum(len(" ".join(c.split())) if isinstance(c, str) else c.chars for c in x.children)
+        for x in order:
+            if isinstance(x.hold, str) and 2 * x.chars > root.chars:
+                x.hold = False
     for x in order:
         if x.tag in ("article", "main") and not x.hold:
             up = x.parent
@@ -193,7 +234,7 @@ def _pruned(root: _Node) -> list[_Node]:
         for c in x.children:
             if isinstance(c, str) or not c.hold or id(c) in holds:
                 children.append(c)
-            elif c.tag == "header" and inside:
+            elif (c.tag == "header" or c.hold == "header") and inside:
                 children += [h for h in _in_order(c) if h.tag in HEADINGS]
         x.children = children
         for c in reversed(children):

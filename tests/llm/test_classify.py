@@ -64,6 +64,41 @@ def test_raw_text_elements_take_no_more_than_their_own(page):
     assert html.main_text(page) == RAW[page]
 
 
+LONG, MORE = ("Many plain words that tell the story. " * 8).strip(), ("And the other half of it, as long. " * 8).strip()
+BOTH = f"{LONG}\n\n{MORE}"
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "with-comments", "header-fixed", "layout sidebar-left", "elementor-widget", "menu", "content-sidebar-wrap", "tag-ad post"])
+def test_a_wrapper_is_kept_whatever_its_name(name):
+    page = f'<body><div class="nav"><a href="/">home</a></div><div class="{name}"><p>{LONG}</p><p>{MORE}</p></div><div class="site-footer">f</div></body>'
+    assert html.main_text(page) == BOTH
+
+
+NAMED = {
+    '<h2 id="related-work">Related work</h2>': "Related work",
+    '<h2 class="header" id="cookies">Cookies</h2>': "Cookies",
+    '<section id="cookie-recipe"><p>Take flour.</p></section>': "Take flour.",
+    '<p class="social sharing-policy" id="comment">A policy.</p>': "A policy.",
+    '<div class="post-header"><h1>Head</h1></div>': "Head",
+    '<div class="header"><h1>Head</h1><span>by x</span></div>': "Head",
+    '<div class="post has-comments">It has some.</div>': "It has some.",
+    '<div id="cookie-policy">We keep none.</div>': "We keep none.",
+    '<pre>x = 1 <span class="comment"># one</span></pre>': "x = 1 # one",
+    **dict.fromkeys(['<p class="ad">buy</p>', '<div class="ad-slot-300x250">buy</div>', '<div class="adBanner">buy</div>', '<section id="comments">great</section>', '<div class="comments-area">great</div>',
+                     '<div class="related-posts">more</div>', '<ul class="share-buttons"><li>tell</ul>', '<div id="cookie_notice">ok?</div>', '<div class="left sidebar">side</div>', '<div class="entry-footer">tags</div>',
+                     '<article class="comment">great</article>', '<div class="newsletter-signup">join</div>'], ""),
+}
+
+
+@pytest.mark.parametrize("part", NAMED)
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_noise_is_named_by_a_whole_class_or_id(part, outer):
+    if outer == "div" and 'class="header"><h1>' in part:
+        return  # outside an article it is the site's
+    want = "\n\n".join(x for x in (LONG, NAMED[part], MORE) if x)
+    assert html.main_text(f"<body><{outer}><p>{LONG}</p>{part}<p>{MORE}</p></{outer}></body>") == want
+
+
 def test_density_falls_with_links():
     text, links = html._density(400, 2, 0, 0, 0.2), html._density(400, 20, 380, 20, 0.2)
     assert text > 50 * max(links, 1e-9)
