@@ -58,7 +58,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their token ids and their places in sequences."""
     from public_tokenizers import path
 
-    cut, n = materialize(packing.pieces(docs, path("byte_bpe_50k.json")).withColumn("ids_crc32", F.crc32("ids")), "pieces")
+    cut, n = materialize(packing.pieces(docs, path("byte_bpe_50k.json"), added=True).withColumn("ids_crc32", F.crc32("ids")), "pieces")
     return packing.packed(cut, ["doc_id", "piece", "start", "ids_crc32"], n)
 
 

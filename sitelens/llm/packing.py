@@ -37,30 +37,34 @@ END = 0
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Callable[[str], np.ndarray]:
+def encoder(path: str, added: bool = False) -> Callable[[str], np.ndarray]:
     """Text to uint32 ids by a byte-level BPE file of ``tokenizers``.
 
     The file's vocabulary, as byte strings with their ids as ranks, goes to
     tiktoken's implementation of the same merges: equal ids (tested against
-    ``tokenizers``) in a quarter of the time.  Special tokens' strings are
-    ordinary text."""
+    ``tokenizers``) in a quarter of the time.  With ``added``, the strings of the
+    file's added tokens become their ids, as the library's default is; else
+    they are ordinary text (its ``encode_special_tokens``)."""
     import tiktoken
     from public_tokenizers import PATTERN
 
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level BPE writes as themselves
     byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
     file = json.loads(Path(path).read_text(encoding="utf-8"))
-    special = {t["content"] for t in file.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in file.get("added_tokens", [])}
+    if added and any(t[k] for t in file.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path}: added tokens that look at the text around them")
     ranks = {bytes(byte_of[c] for c in token): i for token, i in file["model"]["vocab"].items() if token not in special}
-    made = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: made.encode_to_numpy(text, disallowed_special=())
+    made = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special if added else {})
+    return lambda text: made.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, piece, start, length, ids`` of every piece; ``ids`` are little-endian unsigned 32-bit integers."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
+    """``id_col, piece, start, length, ids`` of every piece; ``ids`` are little-endian
+    unsigned 32-bit integers, by ``encoder(tokenizer, added)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, added)
         for b in batches:
             rows, held = [], 0
             for key, text in zip(b.column(0), b.column(1), strict=True):

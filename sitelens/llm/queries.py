@@ -19,7 +19,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sitelens.llm import packing
     from sitelens.llm.common import materialize
 
-    cut = packing.pieces(read_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+    cut = packing.pieces(read_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), added=True)
     cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     cut, n = materialize(cut, "pieces")
     return packing.packed(cut, ["doc_id", "piece", "start", "ids_crc32"], n)

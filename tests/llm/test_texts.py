@@ -58,6 +58,23 @@ def test_ids_are_those_of_the_tokenizers_library(small_documents):
         assert packing.encoder(FILE)(text).tolist() == want.ids
 
 
+def test_added_tokens_are_those_of_the_library_by_default(spark, documents, tmp_path):
+    import corpus_pipeline as cp
+
+    rows = [(i, t) for i, t in ODD if i is not None] + [(20, "a<|endoftext|>b"), (21, "<|endoftext|><|endoftext|>"), (22, "<|ENDOFTEXT|> <|endoftext|"), (23, prose(1500) + "<|endoftext|> " + prose(1500))]
+    plain = Tokenizer.from_file(FILE)
+    want = {i: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+    assert want[20] == [64, 50256, 65, 0]
+    for i, t in rows:
+        assert packing.encoder(FILE, added=True)(t or "").tolist() == want[i][:-1]
+    docs = documents(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    packed = cp.pack(spark, docs.select(*cp.COLUMNS), str(tmp_path)).collect()
+    for got in (queries.op1_packing(spark, str(tmp_path)).collect(), packed):
+        assert {r.doc_id: sum(x.length for x in got if x.doc_id == r.doc_id) for r in got if r.doc_id != 8} == {i: len(x) for i, x in want.items() if i != 8}
+        assert all(r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()) for r in got)
+
+
 def _packed(docs, capacity):
     cut = packing.pieces(docs, FILE, capacity)
     return packing.packed(cut, ["doc_id", "piece", "start"], cut.count(), capacity).collect()
