@@ -4,9 +4,11 @@ Of all ``K`` code points in a row, those are anchors whose smallest inner
 string of ``S`` code points (by a hash) is the first or the last: whether a
 k-mer is an anchor depends on it alone, not on its surroundings, so texts that
 share a passage share its anchors whatever stands around it.  A fingerprint
-keeps the ``KEPT`` anchors with the smallest hashes, each with its first place
-(code points from the text's start), in order of place: 16 hexadecimal digits
-an anchor (hash, then place).
+keeps all anchors whose hash is below ``SHARE``, so it grows with the text and
+texts that share a passage keep the same anchors of it; where these are fewer
+than ``KEPT``, it keeps so many with the smallest hashes.  Each has its first
+place (code points from the text's start); they are in order of place: 16
+hexadecimal digits an anchor (hash, then place).
 
 ``likeness`` matches positions: anchors common to both fingerprints (up to the
 hash that both cover) are chained in increasing order of both places; it is
@@ -40,8 +42,10 @@ from sitelens.llm import textbatch as tb
 from sitelens.llm.common import mapped, slots, spread
 
 K, S = 12, 6
-#: Anchors of a fingerprint.
+#: Anchors of a fingerprint, at least, where a text has so many.
 KEPT = 64
+#: Anchors with a hash below this, an eighth of all, are kept whatever the text.
+SHARE = 1 << 29
 #: Code points that are fingerprinted at once, about.
 RUN = 1 << 19
 
@@ -78,7 +82,8 @@ def anchors(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def _kept(found: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
     key, first = np.unique(found[0], return_index=True)
-    key, place = key[:KEPT], found[1][first[:KEPT]]
+    n = max(KEPT, int(np.searchsorted(key, SHARE)))
+    key, place = key[:n], found[1][first[:n]]
     order = np.argsort(place, kind="stable")
     return list(zip(key[order].tolist(), place[order].tolist(), strict=True))
 
@@ -94,7 +99,7 @@ def shown(fingerprint: list[tuple[int, int]]) -> str:
 def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
     if not a or not b:
         return float(a == b)
-    cover = min(max(h for h, _ in x) if len(x) == KEPT else 1 << 32 for x in (a, b))
+    cover = min(max(SHARE - 1, *(h for h, _ in x)) if len(x) >= KEPT else 1 << 32 for x in (a, b))
     there = {h: p for h, p in b if h <= cover}
     ours = [h for h, _ in a if h <= cover]
     ends: list[int] = []  # the smallest last place of a chain of each length

@@ -334,6 +334,21 @@ def test_syncmers_do_not_depend_on_what_stands_around():
         assert set(inner[0].tolist()) <= set(found[0].tolist())
 
 
+def test_shared_passages_keep_common_anchors_in_long_texts():
+    rng = np.random.default_rng(5)
+    for _ in range(10):
+        passage = prose(150, rng)[:600]
+        long, other, short = prose(20_000, rng) + passage + prose(3000, rng), prose(9000, rng) + passage, prose(20, rng) + passage
+        a, b, c, inner = ({h for h, _ in f} for f in syncmers.fingerprints([long, other, short, passage]))
+        low = {h for h in inner if h < syncmers.SHARE}
+        assert len(low) >= 5 and low <= a & b & c
+    whole = prose(6000, rng)
+    one, part = syncmers.fingerprints([whole, whole[: len(whole) // 8]])
+    n = len({h for h in syncmers.anchors([whole])[0][0].tolist() if h < syncmers.SHARE})
+    assert len(one) == n > 8 * syncmers.KEPT
+    assert syncmers.likeness(one, part) == pytest.approx(2 / 9, abs=0.03) and syncmers.likeness(one, one) == 1
+
+
 def test_fingerprints_of_few_rows(documents):
     assert syncmers.edited(documents([])).count() == 0
     one = syncmers.edited(documents([(3, "only one row here")])).collect()[0]
