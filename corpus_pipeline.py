@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from sitelens.llm import chunks, minhash, mixing, packing, toxicity
 from sitelens.llm.common import materialize, read_table
+from sitelens.llm.queries import THRESHOLD
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document whose toxicity score is this or more is rejected.
-REJECTED = 0.5
+#: A document whose toxicity score is this or more is rejected: toxic by the operator's own decision.
+REJECTED = THRESHOLD
 #: Jaccard similarity of five-word shingles, in hundredths, from which documents are near copies.
 NEAR = 80
 

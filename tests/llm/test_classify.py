@@ -232,6 +232,18 @@ def test_pipeline_stage_by_stage(spark):
         assert bytes(r["ids"]) == ids and zlib.crc32(ids) == r["ids_crc32"]
 
 
+def test_pipeline_rejects_what_op10_calls_toxic(spark, documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    scores = [0.1, queries.THRESHOLD - 0.01, queries.THRESHOLD, 0.4, 0.49, 0.5, 0.9]
+    docs = documents([(i, "words") for i in range(len(scores))])
+    score = F.element_at(F.array(*map(F.lit, scores)), F.col("doc_id").cast("int") + 1)
+    monkeypatch.setattr(toxicity, "train", lambda *a, **k: None)
+    monkeypatch.setattr(toxicity, "score", lambda docs, model, carried: docs.select(*[c.alias(n) for n, c in carried.items()], score.alias("score")))
+    kept = cp.drop_toxic(spark, docs, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in kept} == {0, 1}
+
+
 def test_pipeline_of_nothing(spark, documents):
     docs = documents([]).select(*cp.COLUMNS)
     for _, stage in cp.STAGES:
