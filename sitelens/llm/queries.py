@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, one a contract."""
+"""The registered queries of the thirteen operators, one a contract."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import mixing
+from sitelens.llm import mixing, negatives
 from sitelens.llm.common import read_table
 
 #: A score of this or more predicts label 1.
@@ -102,5 +102,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op4_html, op5_substrings, op6_mixing, op7_suffixes, op8_syncmers, op9_quality, op10_toxicity)}
-ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under two tokenizers, linked, with the counts of their pairs."""
+    from public_tokenizers import path
+
+    from sitelens.llm import alignment
+
+    return alignment.aligned(read_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text that they decode to, as digests."""
+    from public_tokenizers import path
+
+    from sitelens.llm import bpe
+
+    file = path("word_bpe_49k.json")
+    ids = bpe.encoded(read_table(spark, sf_dir, "documents"), file)
+    # what the ids decode to, beside the ids
+    got = bpe.decoded(ids, file, carried=True)
+    return got.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the labels of every seventh are moved by one."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mined(read_table(spark, sf_dir, "embeddings").withColumn("label", moved), anchor=F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op4_html, op5_substrings, op6_mixing, op7_suffixes, op8_syncmers, op9_quality, op10_toxicity,
+                                   op11_alignment, op12_bpe, op13_negatives)}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op13_negatives": negatives.SQL}
