@@ -37,15 +37,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitelens.llm.bpe import PLAIN
 from sitelens.llm.common import mapped, materialize, scratch_path, ship, spread
+from sitelens.llm.packing import encoder
 from sitelens.llm.textbatch import as_longs
 
 #: Documents of a block at most (places in its bitmaps), and entries from which it is closed.
-DOCS, LINKED = 1 << 13, 1 << 21
+DOCS, LINKED = 1 << 13, 1 << 20
 #: Pieces of text, and links of such, that a worker remembers: some 150 MB.
-PIECES, PIECE_LINKS = 1 << 18, 1 << 21
-#: Characters of texts that are split at once.
-PART = 1 << 22
+PIECES, PIECE_LINKS = 1 << 19, 1 << 22
+#: Characters of texts that are split at once, and of a piece that is short.
+PART, SHORT = 1 << 20, 256
+#: Pieces that are encoded at once.
+JOINT = 1 << 12
 #: Bits of an id, and of a document's place in its block: together with a second id 64.
 ID_BITS, PLACE_BITS = 24, 16
 #: Links of a group above which its equal tokens are counted before they are paired.
@@ -75,11 +79,12 @@ class _Remembered:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if max(max(self.a_bytes), len(pieces)) >> ID_BITS:
             raise ValueError("ids of over 24 bits")
-        self.lead = self.b.encode("a")
-        self.cuts = len(self.lead) == 1 and not any(re.search("[^▁]▁", p) for p in pieces)
+        self.quick = encoder(first)
+        self.cuts = len(self.b.encode("a")) == 1 and not any(re.search("[^▁]▁", p) for p in pieces)
         self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
         self.a_size[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.a_text, self.b_text = ({i: str(i) for i in self.a_bytes}, [str(i) for i in range(len(pieces))])
         self.clear()
 
     def clear(self) -> None:
@@ -98,34 +103,62 @@ class _Remembered:
     def places(self, pieces: list[str]) -> np.ndarray:
         if len(self.place) > PIECES or len(self.pair) > PIECE_LINKS:
             self.clear()
-        new = list(dict.fromkeys(p for p in pieces if p not in self.place))
+        new = [p for p in dict.fromkeys(pieces) if p not in self.place]
         if new:
             self._add(new)
         return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
 
-    def _add(self, new: list[str]) -> None:
-        whole = [" " + p for p in new]
+    def _one_by_one(self, whole: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Both tokenizers' ids and their numbers by piece, and which pieces both give back."""
         a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
-        b = self.b.encode(new) if not self.cuts else [ids[1:] if ids[:1] == self.lead else [] for ids in self.b.encode(["a" + w for w in whole])]
+        b = self.b.encode(["a" + w for w in whole] if self.cuts else [w[1:] for w in whole], num_threads=1)
+        b = [ids[1:] for ids in b] if self.cuts else b
         given = [w.encode() for w in whole]
-        sound = ["▁" not in p and b"".join([self.a_bytes[i] for i in x]) == g and b"".join([self.b_bytes[i] for i in y]) == g for p, g, x, y in zip(new, given, a, b, strict=True)]
+        sound = np.array([b"".join([self.a_bytes[i] for i in x]) == g and b"".join([self.b_bytes[i] for i in y]) == g for g, x, y in zip(given, a, b, strict=True)], bool)
         a, b = ([x if ok else [] for x, ok in zip(ids, sound, strict=True)] for ids in (a, b))
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(new)) for ids in (a, b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((a, n_a), (b, n_b)))
+        return ([np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b)], [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b)], sound)
+
+    def _at_once(self, whole: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """As :meth:`_one_by_one`, of pieces between certain cuts: joined, encoded and cut again."""
+        joined = "".join(whole)
+        given = joined.encode()
+        end = np.cumsum([len(w.encode()) for w in whole])
+        flat, n = [], []
+        for ids, table, size in ((self.quick(joined), self.a_bytes, self.a_size), (np.array(self.b.encode("a" + joined)[1:], np.int64), self.b_bytes, self.b_size)):
+            ids = ids.astype(np.int64)
+            at = np.cumsum(size[ids])
+            if b"".join(map(table.__getitem__, ids.tolist())) != given:
+                return self._one_by_one(whole)
+            flat.append(ids)
+            n.append(np.diff(np.append(0, np.searchsorted(at, end, "right"))))
+        return flat, n, np.ones(len(whole), bool)
+
+    def _add(self, new: list[str]) -> None:
+        # pieces of common characters that end with a word stay apart when joined; tiktoken is quicker on them and gives the same
+        apart = [self.cuts and 0 < len(p) <= SHORT and not p[-1].isspace() and PLAIN.fullmatch(p) is not None for p in new]
+        joint, rest = ([p for p, x in zip(new, apart, strict=True) if x == y] for y in (True, False))
+        new = joint + rest
+        some = [self._at_once([" " + p for p in joint[i : i + JOINT]]) for i in range(0, len(joint), JOINT)]
+        if rest:
+            some.append(self._one_by_one([" " + p for p in rest]))
+        (flat_a, flat_b), (n_a, n_b) = ([np.concatenate([x[k][side] for x in some]) for side in (0, 1)] for k in (0, 1))
+        sound = np.concatenate([x[2] for x in some])
+        list_a, list_b = flat_a.tolist(), flat_b.tolist()
         end_a, end_b = np.cumsum(self.a_size[flat_a]), np.cumsum(self.b_size[flat_b])
         common = np.intersect1d(end_a, end_b, assume_unique=True)
         # the first token of each group, and the first group of each piece
         from_a, from_b = (np.append(0, np.searchsorted(end, common, "right")) for end in (end_a, end_b))
         done = np.append(0, np.cumsum(n_a))
         first = np.searchsorted(common, np.append(0, end_a)[done], "right")
-        in_a, in_b = np.diff(from_a), np.diff(from_b)
-        links = in_a * in_b
-        parts = ["|".join((",".join(map(str, flat_a[s:e].tolist())), ",".join(map(str, flat_b[u:v].tolist())))) if e - s > 1 or v - u > 1 else f"{flat_a[s]}|{flat_b[u]}"
-                 for s, e, u, v in zip(from_a[:-1].tolist(), from_a[1:].tolist(), from_b[:-1].tolist(), from_b[1:].tolist(), strict=True)]
+        links = np.diff(from_a) * np.diff(from_b)
+        text_a, text_b = (list(map(names.__getitem__, ids)) for names, ids in ((self.a_text, list_a), (self.b_text, list_b)))
+        parts = [text_a[s] + "|" + text_b[u] if one == 1 else ",".join(text_a[s:e]) + "|" + ",".join(text_b[u:v])
+                 for one, s, e, u, v in zip(links.tolist(), from_a[:-1].tolist(), from_a[1:].tolist(), from_b[:-1].tolist(), from_b[1:].tolist(), strict=True)]
         group, pair, times = self._pairs(flat_a, flat_b, from_a, from_b, links)
         at = np.searchsorted(group, first)  # pairs are in the order of their groups
         base, known = len(self.text), len(self.pair)
-        self.text += [";".join(parts[s:e]).encode() if ok else None for ok, s, e in zip(sound, first[:-1].tolist(), first[1:].tolist(), strict=True)]
+        bounds = first.tolist()
+        self.text += [";".join(parts[s:e]).encode() if ok else None for ok, s, e in zip(sound.tolist(), bounds, bounds[1:], strict=False)]
         total = np.append(0, np.cumsum(links))
         self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, np.diff(first), np.diff(total[first])])], axis=1)
         self.at = np.concatenate([self.at, known + at[1:]])
