@@ -22,7 +22,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
     (the stored index grain)."""
     rows = (posexplode_rows(with_indexable(pages), ["path"], F.col("ix"), "row", "z")
             .select("path", F.col("row").cast("bigint").alias("row"), F.col("z.line_no").alias("line_no"),
-                    F.array_sort(T.line_terms("z.line")).alias("s")))
+                    F.sort_array(T.line_terms("z.line")).alias("s")))
     runs = rows.select("path", "row", "line_no", "s", T.sorted_runs("s").alias("st"))
     return (explode_rows(runs, ["path", "row", "line_no"], T.term_counts("s", "st"), "o")
             .select(F.col("o.term").alias("term"), "path", "row", "line_no", F.col("o.tf").alias("tf")))
@@ -36,10 +36,10 @@ def postings(pages: DataFrame, vocab: list[str] | None = None) -> DataFrame:
     posting; offsets are a slice of that run.
     """
     pairs = F.flatten(F.transform(
-        F.col("ix"), lambda z, r: F.transform(T.line_terms(z["line"]),
+        F.col("ix"), lambda z, r: F.transform(_only(T.line_terms(z["line"]), vocab),
                                               lambda t: F.struct(t.alias("term"), r.cast("bigint").alias("row")))))
     sorted_pairs = (with_indexable(pages)
-                    .select("path", F.array_sort(pairs).alias("p"))
+                    .select("path", F.sort_array(pairs).alias("p"))
                     .select("path", F.transform("p", lambda x: x["term"]).alias("s"),
                             F.transform("p", lambda x: x["row"]).alias("rw")))
     runs = sorted_pairs.select("path", "s", "rw", T.sorted_runs("s").alias("st"))
@@ -50,15 +50,15 @@ def postings(pages: DataFrame, vocab: list[str] | None = None) -> DataFrame:
         return F.struct(F.col("s")[b].alias("term"), (end - b).cast("bigint").alias("fr"),
                         F.array_distinct(F.slice("rw", b + 1, end - b)).alias("offsets"))
 
-    return (explode_rows(runs, ["path"], _keep(F.transform("st", posting), vocab), "p")
+    return (explode_rows(runs, ["path"], F.transform("st", posting), "p")
             .select(F.col("p.term").alias("term"), "path", F.col("p.fr").alias("fr"),
                     F.col("p.offsets").alias("offsets")))
 
 
-def _keep(arr, vocab: list[str] | None):
-    """Keep only postings of ``vocab`` words, inside the row, before the
-    explode (``isin`` on a literal list is a hash-set lookup)."""
-    return arr if vocab is None else F.filter(arr, lambda o: o["term"].isin(vocab))
+def _only(terms, vocab: list[str] | None):
+    """Terms of ``vocab`` alone, inside the row and before they are sorted
+    (``isin`` on a literal list is a hash-set lookup)."""
+    return terms if vocab is None else F.filter(terms, lambda t: t.isin(vocab))
 
 
 def page_term_counts(pages: DataFrame, vocab: list[str] | None = None) -> DataFrame:
@@ -66,10 +66,10 @@ def page_term_counts(pages: DataFrame, vocab: list[str] | None = None) -> DataFr
     only frequencies (lexicon, ranking, extreme counts).  Per page the terms
     are one sorted string array cut into runs: no row bookkeeping.  With
     ``vocab`` only those words' rows are produced."""
-    terms = F.flatten(F.transform(F.col("ix"), lambda z: T.line_terms(z["line"])))
-    sorted_terms = with_indexable(pages).select("path", F.array_sort(terms).alias("s"))
+    terms = F.flatten(F.transform(F.col("ix"), lambda z: _only(T.line_terms(z["line"]), vocab)))
+    sorted_terms = with_indexable(pages).select("path", F.sort_array(terms).alias("s"))
     runs = sorted_terms.select("path", "s", T.sorted_runs("s").alias("st"))
-    return (explode_rows(runs, ["path"], _keep(T.term_counts("s", "st"), vocab), "o")
+    return (explode_rows(runs, ["path"], T.term_counts("s", "st"), "o")
             .select(F.col("o.term").alias("term"), "path", F.col("o.tf").alias("fr")))
 
 

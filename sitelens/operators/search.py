@@ -1,15 +1,18 @@
 """Multi-word search (OR semantics) over page tables, ranking and reports.
 
-Plan shape for a batch of queries: pages -> indexable lines (in-row) ->
-distinct terms per line, kept only if they are query words (a literal
-hash-set test, when the vocabulary is proven small) -> hash join with the
-*broadcast* query-term table -> one shuffle on (query, page) that numbers
-the hits.  Only hits cross a shuffle; the corpus is never shuffled, and a
-term found on a third of all lines is just a probe into the broadcast table.
+Plan shape for a batch of queries: a page is a row, and all that a query asks
+of a page is answered in that row.  The query words, proven few, are a literal
+hash table (an array of buckets); a page's terms are looked up in it, its
+(query, row) pairs are made distinct and sorted as numbers, and each run of one
+query is that query's result for the page: its rows, their lines out of the
+page's own array, their count and their ordinals.  Nothing is shuffled, so no
+line of text moves, and a word found on a third of all lines is just a look-up.
+A page's path is its key.
 """
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -50,12 +53,22 @@ def query_terms(queries: DataFrame, raw: str = "raw", max_terms: int | None = No
 IN_LIST_LIMIT = 10_000
 
 
+# Buckets of the literal table of query words: one to two words each at most at that limit.
+BUCKETS = 1 << 13
+# A (query, row) pair as one number: rows of a page are under this.
+ROWS = 1 << 32
+
+
 class Probe(NamedTuple):
     """Query words ready to be joined: ``(query_id, term)``, broadcast where
-    proven small, and the vocabulary if it is short enough for a predicate."""
+    proven small, and, if they are few enough for a literal, the vocabulary,
+    the queries by number ``(q, query_id)`` and the table that gives a word's
+    queries (JSON, see :func:`queries_of`)."""
 
     frame: DataFrame
     vocab: list[str] | None
+    numbered: DataFrame | None = None
+    table: str | None = None
 
 
 def probe(qterms: DataFrame | Probe) -> Probe:
@@ -70,14 +83,30 @@ def probe(qterms: DataFrame | Probe) -> Probe:
     if isinstance(qterms, Probe):
         return qterms
     q = qterms.select("query_id", "term")
-    rows = q.limit(IN_LIST_LIMIT + 1).collect()
-    if len(rows) <= IN_LIST_LIMIT:
-        return Probe(F.broadcast(q.sparkSession.createDataFrame(rows, q.schema)), sorted({r["term"] for r in rows}))
-    return Probe(broadcast_if_small(q)[0], None)
+    rows = q.select("query_id", "term", _bucket(F.col("term")).alias("at")).limit(IN_LIST_LIMIT + 1).collect()
+    if len(rows) > IN_LIST_LIMIT:
+        return Probe(broadcast_if_small(q)[0], None)
+    spark, kind = q.sparkSession, q.schema["query_id"].dataType.simpleString()
+    number = {i: n for n, i in enumerate(dict.fromkeys(r["query_id"] for r in rows))}
+    asked: dict[tuple[int, str], list[int]] = {}
+    for r in rows:
+        asked.setdefault((r["at"], r["term"]), []).append(number[r["query_id"]])
+    table: list[list[dict]] = [[] for _ in range(BUCKETS)]
+    for (at, word), queries in asked.items():
+        table[at].append({"w": word, "q": sorted(set(queries))})
+    return Probe(F.broadcast(spark.createDataFrame([r[:2] for r in rows], q.schema)), sorted({r["term"] for r in rows}),
+                 F.broadcast(spark.createDataFrame([(n, i) for i, n in number.items()], f"q bigint, query_id {kind}")), json.dumps(table))
+
 
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
-def _only(terms, vocab: list[str] | None):
-    return terms if vocab is None else F.filter(terms, lambda t: t.isin(vocab))
+
+def queries_of(word: Column, table: str) -> Column:
+    """Numbers of the queries that ask for ``word``: its bucket of the literal
+    table (one constant, whatever its size) is picked by position and searched."""
+    buckets = F.from_json(F.lit(table), "array<array<struct<w:string,q:array<bigint>>>>")
+    return F.flatten(F.transform(F.filter(F.get(buckets, _bucket(word)), lambda e: e["w"] == word), lambda e: e["q"]))
 
 
 def query_word_filter(words: DataFrame, qterms: DataFrame | Probe, word: str = "term") -> DataFrame:
@@ -86,48 +115,65 @@ def query_word_filter(words: DataFrame, qterms: DataFrame | Probe, word: str = "
     return words.join(probe(qterms).frame.withColumnRenamed("term", word), word, "inner")
 
 
-def matching_lines(pages: DataFrame, qterms: DataFrame | Probe, compat: bool = False) -> DataFrame:
-    """``(query_id, path, row, line_no, line, term)``: one row per query term
-    found on an indexable line.  With ``compat`` the ``line`` text is the
-    physical line numbered like ``row`` (the reference's lookup)."""
+def page_hits(pages: DataFrame, qterms: DataFrame | Probe, **carried: Column) -> DataFrame:
+    """``(query_id, path, rows)``, one row per query and page that holds any of
+    its words, ``rows`` ascending, with the ``carried`` columns of the page
+    (expressions of ``html`` and of ``ix``, its indexable lines).
+
+    Few query words: all inside the page's row, no shuffle.  Above the bound
+    of the literal table the page's postings meet the query words, their rows
+    are gathered per query and page (combined before that shuffle), and the
+    carried columns come by a join on the page's path."""
+    asked = probe(qterms)
     base = with_indexable(pages, keep=("path", "html"))
-    if compat:
-        ls = T.lines_array("html")
-        arr = F.transform("ix", lambda z, r: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
-                                                      ls[r].alias("shown")))
-    else:
-        arr = F.transform("ix", lambda z: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
-                                                   z["line"].alias("shown")))
-    asked, vocab = probe(qterms)
-    lines = (posexplode_rows(base, ["path"], arr, "row", "z")
-             .select("path", F.col("row").cast("bigint").alias("row"), F.col("z.line_no").alias("line_no"),
-                     F.col("z.shown").alias("line"),
-                     _only(F.array_distinct(T.line_terms("z.line")), vocab).alias("terms")))
-    return (explode_rows(lines, ["path", "row", "line_no", "line"], F.col("terms"), "term")
-            .join(asked, "term", "inner")
-            .select("query_id", "path", "row", "line_no", "line", "term"))
+    if asked.table is None:
+        from .index import postings
+
+        met = union_rows(postings(pages), asked).select("query_id", "path", "rows")
+        return met.join(base.select("path", *[c.alias(k) for k, c in carried.items()]), "path") if carried else met
+
+    def numbers(z: Column, r: Column) -> Column:
+        queries = F.flatten(F.transform(T.line_terms(z["line"]), lambda t: queries_of(t, asked.table)))
+        return F.transform(F.array_distinct(queries), lambda q: q * F.lit(ROWS) + r.cast("bigint"))
+
+    names = list(carried)
+    found = base.select("path", *[c.alias(k) for k, c in carried.items()], F.sort_array(F.flatten(F.transform("ix", numbers))).alias("p"))
+    # a column of its own: inside the runs' lambda it would be made anew for each pair
+    split = found.select("path", *names, "p", F.transform("p", lambda x: F.shiftright(x, 32)).alias("s"))
+    runs = split.select("path", *names, "p", T.sorted_runs("s").alias("st"))
+
+    def one(b: Column, j: Column) -> Column:
+        end = F.when(j + 1 < F.size("st"), F.col("st")[j + 1]).otherwise(F.size("p"))
+        return F.struct(F.shiftright(F.col("p")[b], 32).alias("q"), F.transform(F.slice("p", b + 1, end - b), lambda x: x % F.lit(ROWS)).alias("rows"))
+
+    return (explode_rows(runs, ["path", *names], F.transform("st", one), "x").select("path", *names, "x.q", "x.rows")
+            .join(asked.numbered, "q").select("query_id", "path", "rows", *names))
+
+
+def _lines(compat: bool) -> Column:
+    """The texts that hits show, by row: the indexable lines, or with
+    ``compat`` the physical lines numbered like them (the reference's lookup)."""
+    return T.lines_array("html") if compat else F.transform("ix", lambda z: z["line"])
+
+
+def _with_text(met: DataFrame) -> DataFrame:
+    """``(query_id, path, n_rows, f, row, line)`` from ``(query_id, path, rows, lines)``."""
+    texts = met.select("query_id", "path", F.size("rows").cast("bigint").alias("n_rows"),
+                       F.transform("rows", lambda r: F.struct(r.alias("row"), F.col("lines")[r.cast("int")].alias("line"))).alias("hits"))
+    return (posexplode_rows(texts, ["query_id", "path", "n_rows"], F.col("hits"), "f", "x")
+            .select("query_id", "path", "n_rows", F.col("f").cast("bigint").alias("f"), "x.row", "x.line"))
 
 
 def search_words(pages: DataFrame, words: list[str], compat: bool = False) -> DataFrame:
     """One SEARCH with literal words: ``(path, n_rows, f, row, line)``.
 
     The words are a literal array, so each line is tested with
-    ``arrays_overlap`` in place: no join and no broadcast job; the only
-    shuffle groups the hit lines by page."""
+    ``arrays_overlap`` in place and the page's row answers: no join, no
+    broadcast job, no shuffle."""
     ws = F.array(*[F.lit(w) for w in dict.fromkeys(words)]) if words else F.array().cast("array<string>")
-    base = with_indexable(pages, keep=("path", "html"))
-    if compat:
-        ls = T.lines_array("html")
-        arr = F.transform("ix", lambda z, r: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
-                                                      ls[r].alias("shown")))
-    else:
-        arr = F.transform("ix", lambda z: F.struct(z["line_no"].alias("line_no"), z["line"].alias("line"),
-                                                   z["line"].alias("shown")))
-    lines = (posexplode_rows(base, ["path"], arr, "row", "z")
-             .where(F.arrays_overlap(T.line_terms("z.line"), ws))
-             .select(F.lit(0).cast("bigint").alias("query_id"), "path", F.col("row").cast("bigint").alias("row"),
-                     F.col("z.line_no").alias("line_no"), F.col("z.shown").alias("line")))
-    return number_hits(lines).drop("query_id")
+    hit = F.transform("ix", lambda z, r: F.when(F.arrays_overlap(T.line_terms(z["line"]), ws), r.cast("bigint")))
+    base = with_indexable(pages, keep=("path", "html")).select("path", _lines(compat).alias("lines"), F.filter(hit, lambda r: r.isNotNull()).alias("rows"))
+    return _with_text(base.where(F.size("rows") > 0).withColumn("query_id", F.lit(0).cast("bigint"))).drop("query_id")
 
 
 def _from_store(hits: DataFrame, store: DataFrame) -> DataFrame:
@@ -136,11 +182,7 @@ def _from_store(hits: DataFrame, store: DataFrame) -> DataFrame:
     row of the bucketed store, which is read in place, and are numbered and
     given their lines inside that row: no window."""
     per = hits.groupBy("query_id", "path").agg(F.array_sort(F.collect_set("row")).alias("rows"))
-    met = per.join(store, "path", "inner").select(
-        "query_id", "path", F.size("rows").cast("bigint").alias("n_rows"),
-        F.transform("rows", lambda r: F.struct(r.alias("row"), F.col("lines")[r.cast("int")].alias("line"))).alias("hits"))
-    return (posexplode_rows(met, ["query_id", "path", "n_rows"], F.col("hits"), "f", "x")
-            .select("query_id", "path", "n_rows", F.col("f").cast("bigint").alias("f"), "x.row", "x.line"))
+    return _with_text(per.join(store, "path", "inner"))
 
 
 def search_stored_words(index: DataFrame, store: DataFrame, words: list[str]) -> DataFrame:
@@ -151,30 +193,17 @@ def search_stored_words(index: DataFrame, store: DataFrame, words: list[str]) ->
 
 
 def search_hits(pages: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
-    """``(query_id, path, row, line_no)``: distinct lines holding any word of
-    the query.  The distinct is pre-aggregated per task before its shuffle."""
-    return matching_lines(pages, qterms).select("query_id", "path", "row", "line_no").distinct()
-
-
-def number_hits(m: DataFrame) -> DataFrame:
-    """``(query_id, path, n_rows, f, row, line)`` from matching lines
-    ``(query_id, path, row, line_no, line)``: one shuffle on (query, page);
-    the duplicate removal (a line holding several words of the query) and
-    the window over the page's hits reuse that partitioning.  Everything is
-    sort-based and spillable; a page's hits are bounded by the page."""
-    from pyspark.sql import Window as W
-
-    m = m.repartition("query_id", "path").dropDuplicates(["query_id", "path", "row", "line_no"])
-    page = W.partitionBy("query_id", "path")
-    return m.select("query_id", "path", F.count(F.lit(1)).over(page).cast("bigint").alias("n_rows"),
-                    (F.row_number().over(page.orderBy("row")) - 1).cast("bigint").alias("f"), "row", "line")
+    """``(query_id, path, row, line_no)``: distinct lines holding any word of the query."""
+    met = page_hits(pages, qterms, nos=F.transform("ix", lambda z: z["line_no"]))
+    return explode_rows(met, ["query_id", "path"], F.transform("rows", lambda r: F.struct(r.alias("row"), F.col("nos")[r.cast("int")].alias("line_no"))), "x").select(
+        "query_id", "path", "x.row", "x.line_no")
 
 
 def search_rows(pages: DataFrame, qterms: DataFrame | Probe, compat: bool = False) -> DataFrame:
     """``(query_id, path, n_rows, f, row, line)``: hits with the text of the
     line, the number of hit lines of the page and the 0-based ordinal ``f``
     of the hit in its page (ascending row)."""
-    return number_hits(matching_lines(pages, qterms, compat=compat).drop("term"))
+    return _with_text(page_hits(pages, qterms, lines=_lines(compat)))
 
 
 def search_stored(index: DataFrame, store: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
@@ -182,23 +211,22 @@ def search_stored(index: DataFrame, store: DataFrame, qterms: DataFrame | Probe)
     (:mod:`sitelens.sources.index_store`): only the index row groups of the
     query words are read (a literal ``term IN`` list, pushed to the parquet
     scan, when the word count is under a checked bound) and no page is parsed."""
-    asked, vocab = probe(qterms)
-    if vocab is not None:
+    asked = probe(qterms)
+    if asked.vocab is not None:
         # proven small: the words become a scan predicate pushed to parquet
-        index = index.where(F.col("term").isin(vocab))
-    return _from_store(index.join(asked, "term", "inner").select("query_id", "path", "row"), store)
+        index = index.where(F.col("term").isin(asked.vocab))
+    return _from_store(index.join(asked.frame, "term", "inner").select("query_id", "path", "row"), store)
 
 
 def hit_ordinal(pages: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
     """``(query_id, path, row, f)``."""
-    return search_rows(pages, qterms).select("query_id", "path", "row", "f")
+    return posexplode_rows(page_hits(pages, qterms), ["query_id", "path"], F.col("rows"), "f", "row").select(
+        "query_id", "path", "row", F.col("f").cast("bigint").alias("f"))
 
 
 def search_summary(pages: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
-    """``(query_id, path, n_rows)``: distinct hit lines per page (the result's
-    ``fr``).  A single-distinct aggregate: one shuffle on (query, page)."""
-    return (matching_lines(pages, qterms).groupBy("query_id", "path")
-            .agg(F.countDistinct("row").cast("bigint").alias("n_rows")))
+    """``(query_id, path, n_rows)``: distinct hit lines per page (the result's ``fr``)."""
+    return page_hits(pages, qterms).select("query_id", "path", F.size("rows").cast("bigint").alias("n_rows"))
 
 
 def search_totals(summary: DataFrame) -> DataFrame:

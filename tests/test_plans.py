@@ -35,6 +35,32 @@ def test_search_probes_broadcast_terms(spark, small_dir):
     assert "SortMergeJoin" not in p
 
 
+def _exchanges(df) -> list[str]:
+    return [x for x in plan(df).split("\n") if "Exchange" in x and "BroadcastExchange" not in x]
+
+
+def test_a_search_is_answered_in_the_page_row(spark, small_dir):
+    """No hit, and so no line of text, is shuffled: the only exchange spreads the single-split scan."""
+    p = fx.corpus(spark, small_dir)
+    q = se.probe(se.query_terms(fx.search_queries(spark, small_dir)))
+    word = q.vocab[0]
+    for df in (se.search_rows(p, q), se.search_rows(p, q, compat=True), se.search_hits(p, q), se.hit_ordinal(p, q), se.search_summary(p, q), se.search_words(p, [word])):
+        found = _exchanges(df)
+        assert len(found) <= 1 and all("doc_id" in x for x in found), found
+        assert "Window" not in plan(df) and "Aggregate" not in plan(df)
+    assert "from_json" not in plan(se.search_rows(p, q))  # the table of query words is one constant
+
+
+def test_long_queries_shuffle_rows_before_lines(spark, small_dir, monkeypatch):
+    """Above the literal bound, hits are gathered per query and page without their text."""
+    monkeypatch.setattr(se, "IN_LIST_LIMIT", 0)
+    p = fx.corpus(spark, small_dir)
+    df = se.search_rows(p, se.query_terms(fx.search_queries(spark, small_dir)))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    gathered = text[text.index("Aggregate [query_id"):]
+    assert "collect_list(offsets" in gathered and "lines#" not in gathered.split("\n", 1)[0]
+
+
 def test_lexicon_aggregates_map_side(spark, small_dir):
     df = ix.lexicon(ix.postings(fx.corpus(spark, small_dir)))
     df.write.format("noop").mode("overwrite").save()
@@ -119,7 +145,7 @@ def test_results_come_in_order(spark, small_dir):
 def test_long_queries_take_the_shuffled_path_to_the_same_rows(spark, small_dir, monkeypatch):
     from sitelens.plans.catalog import QUERIES
 
-    keys = ("search_rows", "rank_pages", "union_rows", "search_stored", "max_count")
+    keys = ("search_rows", "search_rows_compat", "search_hits", "hit_ordinal", "search_summary", "search_report", "rank_pages", "union_rows", "search_stored", "max_count")
     small = {k: sorted(map(str, QUERIES[k](spark, small_dir).collect())) for k in keys}
     monkeypatch.setattr(se, "IN_LIST_LIMIT", 0)
     monkeypatch.setattr("sitelens.session.BROADCAST_BYTE_LIMIT", 0)
