@@ -21,6 +21,7 @@ from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..functions.urls import href_targets, normalize_url, site_of
 from ..session import append_bucketed, bucketed_table, scratch_path
+from .prefix import running_sums
 
 from ..fixed import IN_PROGRESS_REPLY as IN_PROGRESS
 from ..fixed import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK
@@ -221,6 +222,22 @@ def crawl_gate(crawled: DataFrame) -> DataFrame:
             .withColumn("gate", _gate("pending")))
 
 
+def crawl_log(crawled: DataFrame, start: int, seconds: int) -> DataFrame:
+    """``(path, ts, fetched, downloads, bytes, pending)``: the crawl's counters
+    after each fetch.  URLs are fetched by depth, then path, one each
+    ``seconds`` from the second ``start`` on; ``pending`` counts the URLs
+    that the crawl still fetches after it.  Running sums are chunked, so the
+    log of a crawl of any size is made by all tasks."""
+    done = crawled.where(F.col("status").isNotNull()).select("path", "depth", F.col("bytes").alias("size"))
+    got = F.col("size") > 0
+    run = running_sums(done, keys=[], order=["depth", "path"],
+                       values={"fetched": F.lit(1).cast("bigint"), "downloads": F.when(got, 1).otherwise(0).cast("bigint"),
+                               "bytes": F.when(got, F.col("size")).otherwise(0).cast("bigint")})
+    total = run.agg(F.count(F.lit(1))).first()[0]
+    return run.select("path", F.timestamp_seconds(F.lit(start) + F.col("fetched") * seconds).alias("ts"), "fetched", "downloads", "bytes",
+                      (F.lit(total) - F.col("fetched")).cast("bigint").alias("pending"))
+
+
 def fetched_pages(pages: DataFrame, crawled: DataFrame) -> DataFrame:
     """The pages a crawl saves: fetched with status 200 and not empty."""
     saved = crawled.where((F.col("status") == STATUS_OK) & (F.col("bytes") > 0)).select(fetch_path("path").alias("path")).distinct()

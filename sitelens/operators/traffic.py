@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.timefmt import uptime_hms
 from ..functions.urls import normalize_url
-from .graph import STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK, page_index
+from .asof import asof_join
+from .graph import IN_PROGRESS, READY, STATUS_FORBIDDEN, STATUS_MISSING, STATUS_OK, page_index
 from .prefix import running_sums
 from .search import command_words
 
@@ -71,6 +72,32 @@ def crawler_stats(crawled: DataFrame, secs: int = 0) -> DataFrame:
     return got.select(up.alias("uptime"), "downloads", "bytes", F.format_string(CRAWLER_STATS_FORMAT, up, "downloads", "bytes").alias("reply"))
 
 
+def crawler_asof(logged: DataFrame, log: DataFrame, start: int) -> DataFrame:
+    """Classified commands with the crawl's ``downloads, bytes, pending`` as of
+    their time, the ``gate`` that a SEARCH meets and their ``uptime``.
+
+    ``log`` is :func:`.graph.crawl_log`.  Before its first row nothing is
+    downloaded and the start page waits: a crawl that has not begun is in
+    progress (``pending`` NULL)."""
+    met = asof_join(logged, log.select("ts", "downloads", "bytes", "pending"), "ts", ["downloads", "bytes", "pending"])
+    zero = F.lit(0).cast("bigint")
+    ready = F.coalesce(F.col("pending") == 0, F.lit(False))
+    return (met.withColumn("downloads", F.coalesce("downloads", zero)).withColumn("bytes", F.coalesce("bytes", zero))
+            .withColumn("gate", F.when(ready, F.lit(READY)).otherwise(F.lit(IN_PROGRESS)))
+            .withColumn("uptime", uptime_hms(whole_seconds("ts") - F.lit(start))))
+
+
+def command_replies(asof: DataFrame) -> DataFrame:
+    """``(event_id, kind, downloads, bytes, pending, reply)``: the reply that a
+    command gets at its time, as far as no index is asked: the counters for
+    STATS, the gate for a SEARCH while the crawl runs (else NULL), the refusal
+    for UNKNOWN."""
+    stats = F.format_string(CRAWLER_STATS_FORMAT, F.col("uptime"), F.col("downloads"), F.col("bytes"))
+    waits = (F.col("kind") == "SEARCH") & (F.col("gate") != READY)
+    reply = F.when(F.col("kind") == "STATS", stats).when(waits, F.col("gate")).otherwise(F.col("reply"))
+    return asof.select("event_id", "kind", "downloads", "bytes", "pending", reply.alias("reply"))
+
+
 def _with_status(reqs: DataFrame, pages: DataFrame | None, pidx: DataFrame | None = None) -> DataFrame:
     """Left join on the requested path.  A page requested by a third of all
     requests is a skewed join key: AQE's skew-join split handles it (the

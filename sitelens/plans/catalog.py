@@ -317,6 +317,22 @@ def q_crawler_stats(spark, sf_dir):
     return tr.crawler_stats(crawled(spark, sf_dir), CRAWL_SECONDS)
 
 
+def crawl_log(spark, sf_dir, start):
+    return gr.crawl_log(crawled(spark, sf_dir), start, fx.FETCH_SECONDS)
+
+
+@query("crawl_log")
+def q_crawl_log(spark, sf_dir):
+    return crawl_log(spark, sf_dir, fx.first_second(spark, sf_dir)).withColumn("ts", F.unix_seconds("ts"))
+
+
+@query("command_replies")
+def q_command_replies(spark, sf_dir):
+    """Every command with the crawl's counters and gate as of its time."""
+    start = fx.first_second(spark, sf_dir)
+    return tr.command_replies(tr.crawler_asof(tr.command_log(fx.commands(spark, sf_dir)), crawl_log(spark, sf_dir, start), start))
+
+
 @query("server_command_log")
 def q_server_command_log(spark, sf_dir):
     return tr.server_command_log(fx.commands(spark, sf_dir)).select("event_id", "kind", "reply")
@@ -386,6 +402,7 @@ def q_line_slices(spark, sf_dir):
 
 QUERIES["stream_server_stats"] = st.stream_server_stats
 QUERIES["stream_seen_urls"] = st.stream_seen_urls
+QUERIES["stream_requested_urls"] = st.stream_requested_urls
 QUERIES["stream_postings"] = st.stream_postings
 QUERIES["stream_commands"] = st.stream_commands
 QUERIES["stream_answers"] = st.stream_answers

@@ -295,6 +295,30 @@ WHERE is_cmd""", "request_log", "corpus")
 oracle("crawler_stats", f"""SELECT {_hms('3986')} AS uptime, downloads, bytes,
   printf('Server up for %s , %d downloads ,%d bytes.', {_hms('3986')}, downloads, bytes) AS reply
 FROM (SELECT CAST(count(*) FILTER (WHERE bytes > 0) AS BIGINT) AS downloads, CAST(sum(bytes) AS BIGINT) AS bytes FROM crawl)""", "crawl")
+cte("crawl_log", """SELECT path, s + 600 * fetched AS secs, fetched, downloads, bytes, n - fetched AS pending
+FROM (SELECT path, CAST(row_number() OVER w AS BIGINT) AS fetched, CAST(count(*) FILTER (WHERE bytes > 0) OVER w AS BIGINT) AS downloads,
+        CAST(sum(bytes) OVER w AS BIGINT) AS bytes, CAST(count(*) OVER () AS BIGINT) AS n
+      FROM crawl WINDOW w AS (ORDER BY depth, path ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS c
+CROSS JOIN (SELECT min(epoch_us(ts) // 1000000) AS s FROM events) AS e""", "crawl")
+oracle("crawl_log", "SELECT path, secs AS ts, fetched, downloads, bytes, pending FROM crawl_log", "crawl_log")
+# counters of each command's time: sums over the fetches before it, in one ordered union
+cte("command_asof", """SELECT event_id, secs, start_secs, CAST(downloads AS BIGINT) AS downloads, CAST(bytes AS BIGINT) AS bytes,
+  CASE WHEN fetches > 0 THEN CAST(n - fetches AS BIGINT) END AS pending
+FROM (SELECT event_id, us // 1000000 AS secs, start_secs, n,
+        sum(d) OVER w AS downloads, sum(b) OVER w AS bytes, sum(f) OVER w AS fetches
+      FROM (SELECT event_id, epoch_us(ts) AS us, 1 AS side, 0 AS d, 0 AS b, 0 AS f FROM events
+            UNION ALL
+            SELECT NULL, secs * 1000000, 0, CASE WHEN c.bytes > 0 THEN 1 ELSE 0 END, c.bytes, 1
+            FROM crawl_log AS l JOIN crawl AS c USING (path)) AS u
+      CROSS JOIN (SELECT min(epoch_us(ts) // 1000000) AS start_secs FROM events) AS s
+      CROSS JOIN (SELECT count(*) AS n FROM crawl) AS k
+      WINDOW w AS (ORDER BY us, side, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE event_id IS NOT NULL""", "crawl_log", "crawl")
+_REPLY = f"""CASE WHEN c.kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.'
+       WHEN c.kind = 'STATS' THEN printf('Server up for %s , %d downloads ,%d bytes.', {_hms('a.secs - a.start_secs')}, a.downloads, a.bytes)
+       WHEN c.kind = 'SEARCH' AND coalesce(a.pending, 1) > 0 THEN 'Crawling still in progress.Sorry.'"""
+oracle("command_replies", f"""SELECT c.event_id, c.kind, a.downloads, a.bytes, a.pending, {_REPLY} END AS reply
+FROM command_rows AS c JOIN command_asof AS a USING (event_id)""", "command_rows", "command_asof")
 oracle("server_command_log", """SELECT event_id, CASE WHEN kind = 'SEARCH' THEN 'UNKNOWN' ELSE kind END AS kind,
   CASE WHEN kind IN ('SEARCH', 'UNKNOWN') THEN 'Sorry,I don''t serve this command.' END AS reply
 FROM command_rows""", "command_rows")
@@ -331,22 +355,22 @@ oracle("line_slices", """SELECT l.path, p.k, l.line_no, l.line FROM lines AS l J
 oracle("stream_server_stats", ORACLES["server_stats"][0], *ORACLES["server_stats"][1])
 oracle("stream_seen_urls", "SELECT DISTINCT dst AS url FROM edges", "edges")
 oracle("stream_postings", ORACLES["postings"][0], *ORACLES["postings"][1])
+oracle("stream_requested_urls", "SELECT DISTINCT req_path AS url FROM request_log WHERE NOT is_cmd AND req_path IS NOT NULL", "request_log")
 cte("command_keys", """SELECT event_id, kind, list_distinct(terms) AS uterms,
   array_to_string(list_sort(list_distinct(terms)), ' ') AS qkey FROM command_rows""", "command_rows")
+# SEARCH commands that come after the crawl's last fetch are answered from the pages that it saved
 cte("command_hits", """SELECT DISTINCT q.qkey, o.path, o.row
-FROM (SELECT DISTINCT qkey, unnest(uterms) AS term FROM command_keys WHERE kind = 'SEARCH') AS q
-JOIN occurrences AS o ON o.term = q.term""", "command_keys", "occurrences")
+FROM (SELECT DISTINCT qkey, unnest(uterms) AS term FROM command_keys JOIN command_asof USING (event_id) WHERE kind = 'SEARCH' AND pending = 0) AS q
+JOIN occurrences AS o ON o.term = q.term
+WHERE o.path IN (SELECT path FROM saved)""", "command_keys", "command_asof", "occurrences", "saved")
 oracle("stream_commands", f"""SELECT c.event_id, c.kind,
-  CASE WHEN c.kind = 'SEARCH' THEN CAST(coalesce(h.n_pages, 0) AS BIGINT) END AS n_pages,
-  CASE WHEN c.kind = 'SEARCH' THEN CAST(coalesce(h.n_rows, 0) AS BIGINT) END AS n_rows,
-  CASE WHEN c.kind = 'UNKNOWN' THEN 'Sorry , I don''t serve this command.'
-       WHEN c.kind = 'STATS' THEN printf('Server up for %s , %d downloads ,%d bytes.', {_hms('c.secs - s.start_secs')}, d.downloads, d.bytes)
+  CASE WHEN c.kind = 'SEARCH' AND a.pending = 0 THEN CAST(coalesce(h.n_pages, 0) AS BIGINT) END AS n_pages,
+  CASE WHEN c.kind = 'SEARCH' AND a.pending = 0 THEN CAST(coalesce(h.n_rows, 0) AS BIGINT) END AS n_rows,
+  {_REPLY}
        WHEN c.kind = 'SEARCH' AND coalesce(h.n_rows, 0) = 0 THEN 'No results found' END AS reply
-FROM (SELECT k.*, epoch_us(e.ts) // 1000000 AS secs FROM command_keys AS k JOIN events AS e USING (event_id)) AS c
-CROSS JOIN (SELECT min(epoch_us(ts) // 1000000) AS start_secs FROM events) AS s
-CROSS JOIN (SELECT count(*) FILTER (WHERE bytes > 0) AS downloads, CAST(sum(bytes) AS BIGINT) AS bytes FROM crawl) AS d
+FROM command_keys AS c JOIN command_asof AS a USING (event_id)
 LEFT JOIN (SELECT qkey, count(DISTINCT path) AS n_pages, count(*) AS n_rows FROM command_hits GROUP BY qkey) AS h
-  ON h.qkey = c.qkey AND c.kind = 'SEARCH'""", "command_keys", "command_hits", "crawl")
+  ON h.qkey = c.qkey AND c.kind = 'SEARCH'""", "command_keys", "command_asof", "command_hits")
 oracle("stream_answers", """SELECT h.qkey, h.path, CAST(count(*) OVER (PARTITION BY h.qkey, h.path) AS BIGINT) AS n_rows,
   CAST(row_number() OVER (PARTITION BY h.qkey, h.path ORDER BY h.row) - 1 AS BIGINT) AS f, h.row, l.line
 FROM command_hits AS h JOIN ix_lines AS l ON l.path = h.path AND l.row = h.row""", "command_hits", "ix_lines")

@@ -17,6 +17,7 @@ from .tables import read_table, spread
 
 N_SITES = 20
 START_PAGE = "site0/page0_1000.html"
+FETCH_SECONDS = 600  # the crawl's log: one URL each ten minutes from the first event on
 
 
 def _s(c: Column) -> Column:
@@ -115,6 +116,12 @@ def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commands_from_events(ev)
 
 
+def first_second(spark: SparkSession, sf_dir: str) -> int:
+    """Second of the first event: the crawler's start."""
+    ts = F.col("ts").cast("timestamp")
+    return read_table(spark, sf_dir, "events").agg(F.min(F.unix_seconds(ts))).first()[0]
+
+
 def commands_from_events(ev: DataFrame) -> DataFrame:
     t = F.col("event_type")
     raw = (F.when(t == "signup", F.lit("STATS\r\n"))
