@@ -16,8 +16,9 @@ is hot.  A document's own chunk starts are the only group that is gathered.
 
 Defined results: a null text is kept and has no chunk, an empty one too; of
 repeated rows (equal id and text) none is a copy of the other, as their places
-are equal; a document with a null id has no place: it is kept whole and makes
-no other a copy; an empty table gives an empty result."""
+are equal; rows of one id with different texts have places of their own, in the
+order of a hash of the text; a document with a null id has no place among the others: it loses
+what it repeats of itself and makes no other a copy; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -25,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm import textbatch as tb
-from sitelens.llm.common import mapped, spread
+from sitelens.llm.common import mapped, several_texts, spread, told_apart
 
 #: Bytes of a chunk, on average, and of the gear hash's window.
 AVERAGE, WINDOW = 32, 16
@@ -53,64 +54,54 @@ def cuts(data: np.ndarray, offsets: np.ndarray, average: int = AVERAGE) -> np.nd
     return np.flatnonzero(mark)
 
 
-def _tag(text: str) -> Column:
-    """16 bits of the text: tells rows of one id with different texts apart."""
-    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFF))
-
-
-def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return spread(docs).select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).withColumn("tag_", _tag("text_"))
-
-
-def chunks(docs: DataFrame, average: int = AVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``digest, id_, at`` of every chunk; ``at`` is its first byte's place plus 2**40 times the text's tag."""
+def chunks(tagged: DataFrame, average: int = AVERAGE) -> DataFrame:
+    """``digest, id_, tag_, at`` of every chunk of :func:`told_apart` texts; ``at`` is its first byte's place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tags = b.column(2).to_numpy()
             for first, data, offsets in tb.text_chunks(b.column(1)):
                 end = cuts(data, offsets, average)
                 start = np.append(0, end[:-1])[: len(end)]
                 row = np.searchsorted(offsets, start, "right") - 1
-                digest = tb.span_hash(tb.prefix_hash(data), start, end)
-                at = start - offsets[row] + (tags[first + row] << 40)
-                yield pa.RecordBatch.from_arrays([tb.as_longs(digest), b.column(0).take(pa.array(first + row)), pa.array(at)], ["digest", "id_", "at"])
+                digest = tb.exact_hash(data, start, end)
+                whose = pa.array(first + row)
+                yield pa.RecordBatch.from_arrays([tb.as_longs(digest), b.column(0).take(whose), b.column(2).take(whose), pa.array(start - offsets[row])], ["digest", "id_", "tag_", "at"])
 
-    given = _tagged(docs, id_col, text_col).where("id_ is not null")
-    return mapped(given, run, f"digest long, id_ {given.schema[0].dataType.simpleString()}, at long")
+    given = tagged.where("id_ is not null").select("id_", "text_", "tag_")
+    return mapped(given, run, f"digest long, id_ {given.schema[0].dataType.simpleString()}, tag_ long, at long")
 
 
-def copied(docs: DataFrame, average: int = AVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def copied(tagged: DataFrame, average: int = AVERAGE) -> DataFrame:
     """``id_, tag_, starts``: the first bytes of the chunks that are copies."""
-    found = chunks(docs, average, id_col, text_col)
-    place = F.struct("id_", "at")
+    found = chunks(tagged, average)
+    place = F.struct("id_", "tag_", "at")
     firsts = (found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("digest", "first"))
     copies = found.join(firsts, "digest").where(F.col("first") < place)
-    at = F.col("at").bitwiseAND(F.lit((1 << 40) - 1))
-    return copies.groupBy("id_", F.shiftright("at", 40).alias("tag_")).agg(F.collect_set(at).alias("starts"))
+    return copies.groupBy("id_", "tag_").agg(F.collect_set("at").alias("starts"))
 
 
 def deduplicated(docs: DataFrame, average: int = AVERAGE, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text",
                  carry: tuple[str, ...] = ()) -> DataFrame:
     """``id_col``, the carried columns, the kept ``text_col`` and ``spans``, the
     removed byte ranges (start, end), of every row."""
-    given = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"), *[F.col(c).alias(f"carry_{c}") for c in carry])
-    marks = copied(docs, average, id_col, text_col)
-    met = given.withColumn("tag_", _tag("text_")).join(marks, ["id_", "tag_"], "left").select("id_", *[f"carry_{c}" for c in carry], "text_", "starts")
+    several = several_texts(docs, id_col, text_col)
+    marks = copied(told_apart(spread(docs), several, id_col, text_col), average)
+    met = told_apart(docs, several, id_col, text_col, carry).join(marks, ["id_", "tag_"], "left").select("id_", *[f"carry_{c}" for c in carry], "text_", "starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, starts = b.column(b.num_columns - 2), b.column(b.num_columns - 1)
             kept, spans = texts.to_pylist(), [[] for _ in range(len(texts))]
-            for i, marked in enumerate(starts):
-                if not marked.is_valid:
+            for i, (key, marked) in enumerate(zip(b.column(0), starts, strict=True)):
+                if not marked.is_valid and (key.is_valid or not kept[i]):
                     continue
                 raw = kept[i].encode()
-                end = cuts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), average)
+                data = np.frombuffer(raw, np.uint8)
+                end = cuts(data, np.array([0, len(raw)]), average)
                 size = dict(zip(np.append(0, end[:-1]).tolist(), end.tolist(), strict=True))
                 runs: list[list[int]] = []
-                for s in sorted(marked.as_py()):
+                for s in sorted(marked.as_py() if marked.is_valid else _own(data, end)):
                     if runs and runs[-1][1] == s:
                         runs[-1][1] = size[s]
                     else:
@@ -125,6 +116,14 @@ def deduplicated(docs: DataFrame, average: int = AVERAGE, min_run: int = MIN_RUN
     return mapped(met, run, schema).select(F.col("id_").alias(id_col), *[F.col(f"carry_{c}").alias(c) for c in carry], F.col("text_").alias(text_col), "spans")
 
 
+def _own(data: np.ndarray, end: np.ndarray) -> list[int]:
+    """Starts of the chunks of a text that it holds earlier too."""
+    start = np.append(0, end[:-1])
+    found = tb.exact_hash(data, start, end)
+    order = np.argsort(found, kind="stable")
+    return start[order[1:][found[order[1:]] == found[order[:-1]]]].tolist()
+
+
 def _whole(raw: bytes, start: int, end: int) -> tuple[int, int]:
     """The span without the code points that it holds in part."""
     while start < end and raw[start] & 0xC0 == 0x80:

@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import mapped, spread
+from sitelens.llm.common import mapped, materialize, spread
 
-#: At most so many labelled rows are used to fit, chosen by a hash of the id.
-MAX_LABELLED = 16_000
+#: At most so many labelled rows are used to fit, chosen by a hash of the id, and of
+#: these the first whose texts have at most so many bytes in all (at least one).
+MAX_LABELLED, MAX_BYTES = 16_000, 256 << 20
 
 
 def fold(id_col: str, parts: int) -> Column:
@@ -22,14 +23,23 @@ def fold(id_col: str, parts: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, id_col: str, text_col: str, bound: int) -> DataFrame:
-    """``rank, text, label`` of at most ``bound`` labelled rows: the first by a
-    hash of the id among those that ``keep`` allows.  A label that is null is
-    none; of several labels of an id the largest counts.  The chosen labels
-    (``bound`` short rows at most) are broadcast, so texts are read in place."""
+    """``rank, text, label`` of at most ``bound`` labelled rows and ``MAX_BYTES``
+    bytes: the first by a hash of the id among those that ``keep`` allows.  A
+    label that is null is none; of several labels of an id the largest counts, of
+    several rows of an id the text with the smallest hash.  The chosen labels
+    (``bound`` short rows at most) are broadcast, so texts are read in place, and
+    rows of an id are reduced to one by each task."""
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"))
               .where(F.col("label").isNotNull() & F.col("id").isNotNull()).groupBy("id").agg(F.max("label").alias("label"))
               .where(keep).withColumn("rank", F.xxhash64("id")).orderBy("rank", "id").limit(bound))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    met = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    one = met.groupBy("rank", "id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    one, _ = materialize(one, "sample")
+    before = Window.orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, -1)  # over ``bound`` short rows
+    used = one.select("rank", "id", F.octet_length("text").alias("size")).withColumn("used", F.sum("size").over(before))
+    fits = used.where(F.coalesce("used", F.lit(0)) + F.coalesce("size", F.lit(0)) <= MAX_BYTES).select("id")
+    first = used.orderBy("rank", "id").select("id").limit(1)
+    return one.join(F.broadcast(fits.union(first).distinct()), "id", "left_semi")
 
 
 def fitted(sample: DataFrame, fit: Callable[[list, np.ndarray], tuple[np.ndarray, float]], size: int) -> tuple[np.ndarray, float]:

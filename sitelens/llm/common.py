@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.session import materialize, scratch_path
+from sitelens.session import broadcast_if_small, materialize, scratch_path
 from sitelens.sources.tables import read_table, spread
 
 __all__ = ["clean", "components", "joined_on_hot_key", "mapped", "materialize", "maybe_among", "read_table", "scratch_path", "spread", "words_regex"]
@@ -103,6 +103,26 @@ def joined_on_hot_key(left: DataFrame, right: DataFrame, key: str, total: int, h
     return salted.join(spread_out, [key, "salt_"], how).drop("salt_")
 
 
+def several_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """The ids whose rows hold different texts (None where there are none), by
+    one narrow aggregate; broadcast where their bytes prove few."""
+    tag = F.xxhash64(text_col)
+    found = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id_")).agg(F.min(tag).alias("low_"), F.max(tag).alias("high_"))
+    several, n = materialize(found.where("low_ <> high_").select("id_", F.lit(True).alias("several_")), "several")
+    return broadcast_if_small(several)[0] if n else None
+
+
+def told_apart(docs: DataFrame, several: DataFrame | None, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id_, text_, tag_`` (and the carried columns as ``carry_<name>``): ``tag_``
+    is a 64-bit hash of the text where rows of one id hold different texts
+    (:func:`several_texts`), else 0, so (id_, tag_) names a text."""
+    given = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+    none = F.lit(0).cast("long")
+    if several is None:
+        return given.withColumn("tag_", none)
+    return given.join(several, "id_", "left").withColumn("tag_", F.when(F.col("several_"), F.xxhash64("text_")).otherwise(none)).drop("several_")
+
+
 #: Bits of the map that ``maybe_among`` broadcasts.
 MAP_BITS = 1 << 23
 

@@ -52,7 +52,7 @@ def shingle_sets(column: pa.Array) -> Iterator[list[np.ndarray]]:
     """For each run of rows, every row's distinct shingle hashes in ascending order."""
     for _, data, offsets in tb.text_chunks(column):
         start, end, first = tb.word_spans(data, offsets)
-        word = tb.span_hash(tb.prefix_hash(tb.LOWER[data]), start, end)
+        word = tb.exact_hash(tb.LOWER[data], start, end)
         n = max(0, len(word) - SHINGLE + 1)
         five = np.zeros(n, np.uint64)
         for j in range(SHINGLE):

@@ -33,8 +33,8 @@ a written table.
 
 Defined results: a null text is empty; rows that repeat an id with one text are
 one document; of rows with one id and different texts each has a place of its
-own (in the order of a hash); documents with a null id are kept whole and make
-no other a repeat; an empty table gives an empty result."""
+own (in the order of a hash); a document with a null id loses what it repeats
+of itself and makes no other a repeat, nor is it one's; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -46,15 +46,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm import textbatch as tb
-from sitelens.llm.common import clean, mapped, materialize, spread
+from sitelens.llm.common import clean, mapped, materialize, several_texts, spread, told_apart
 
 #: Bytes of a string, of a bucket's common prefix, and starts that a narrower bucket has.
 LENGTH, WORD, STEP = 100, 24, 16
 #: Bytes of text whose suffixes are handled at once, about.
 RUN = 1 << 18
-#: A place in 64 bits: 14 of the text's tag, 35 of the sampled suffix' start, and 7 each for how
-#: many bytes before it the first and the last string start that reach it first.
-TAG, AT = 49, 14
+#: A place in 64 bits: the sampled suffix' start, and 7 bits each for how many bytes
+#: before it the first and the last string start that reach it first.
+AT = 14
 
 
 #: A perfect difference cover: the powers of 2 modulo 73 (nine of them).
@@ -104,42 +104,36 @@ def _rank(prefix: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray
     return tb.mix(tb.span_hash(prefix, start, end) + (at - start).astype(np.uint64) * tb.PLACE[50])
 
 
-def _packed(tag: np.ndarray, at: np.ndarray, back_low: np.ndarray, back_high: np.ndarray) -> np.ndarray:
-    return tag << TAG | at << AT | back_low << 7 | back_high
+def _packed(at: np.ndarray, back_low: np.ndarray, back_high: np.ndarray) -> np.ndarray:
+    return at << AT | back_low << 7 | back_high
 
 
 def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start of the sampled suffix, and how far before it the first and the last string start."""
-    return place >> AT & ((1 << TAG - AT) - 1), place >> 7 & 127, place & 127
+    return place >> AT, place >> 7 & 127, place & 127
 
 
-def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id_"), F.xxhash64(text_col).bitwiseAND(F.lit(0x3FFF)).alias("tag_"), F.col(text_col).alias("text_"))
-
-
-def _suffixes(docs: DataFrame, id_col: str, text_col: str, length: int, cover: str) -> DataFrame:
-    """``bucket, rank, id_, place`` of every sampled suffix."""
+def _suffixes(tagged: DataFrame, length: int, cover: str) -> DataFrame:
+    """``bucket, rank, id_, tag_, place`` of every sampled suffix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tags = b.column(1).to_numpy()
             for first, data, offsets in tb.text_chunks(b.column(2), RUN):
                 row, at, low, high, prefix = covers(data, offsets, length, cover)
-                place = _packed(tags[first + row], at - offsets[row], at - low, at - high)
+                place, whose = _packed(at - offsets[row], at - low, at - high), pa.array(first + row)
                 yield pa.RecordBatch.from_arrays(
-                    [tb.as_longs(tb.span_hash(prefix, at, at + WORD)), tb.as_longs(_rank(prefix, at, low, high + length)), b.column(0).take(pa.array(first + row)), pa.array(place)],
-                    ["bucket", "rank", "id_", "place"])
+                    [tb.as_longs(tb.span_hash(prefix, at, at + WORD)), tb.as_longs(_rank(prefix, at, low, high + length)), b.column(0).take(whose), b.column(1).take(whose), pa.array(place)],
+                    ["bucket", "rank", "id_", "tag_", "place"])
 
-    given = spread(_tagged(docs, id_col, text_col)).where("id_ is not null")
-    return mapped(given, run, f"bucket long, rank long, id_ {given.schema['id_'].dataType.simpleString()}, place long")
+    given = tagged.where("id_ is not null").select("id_", "tag_", "text_")
+    return mapped(given, run, f"bucket long, rank long, id_ {given.schema['id_'].dataType.simpleString()}, tag_ long, place long")
 
 
-def _narrowed(docs: DataFrame, open_: DataFrame, id_col: str, text_col: str, length: int, step: int) -> DataFrame:
+def _narrowed(tagged: DataFrame, open_: DataFrame, length: int, step: int) -> DataFrame:
     """The open places' strings as suffixes of narrower buckets, of ``step`` starts each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tags = b.column(1).to_numpy()
             asked = b.column(3)
             sizes = np.diff(asked.offsets.to_numpy())
             begin = np.append(0, np.cumsum(sizes))
@@ -157,30 +151,38 @@ def _narrowed(docs: DataFrame, open_: DataFrame, id_col: str, text_col: str, len
                     middle = tb.span_hash(prefix, x - j * step, x - (j + 1) * step + 1 + length)
                     yield pa.RecordBatch.from_arrays(
                         [tb.as_longs(tb.mix(middle + tb.U64(j))), tb.as_longs(_rank(prefix, x, x - far, x - near + length)),
-                         b.column(0).take(pa.array(first + r)), pa.array(_packed(tags[first + r], at[some], far, near))], ["bucket", "rank", "id_", "place"])
+                         b.column(0).take(pa.array(first + r)), b.column(1).take(pa.array(first + r)), pa.array(_packed(at[some], far, near))], ["bucket", "rank", "id_", "tag_", "place"])
 
-    asks = open_.groupBy("id_", F.shiftright("place", TAG).alias("tag_")).agg(F.collect_set("place").alias("places"))
-    given = _tagged(docs, id_col, text_col).join(asks, ["id_", "tag_"]).select("id_", "tag_", "text_", "places")
-    return mapped(given, run, f"bucket long, rank long, id_ {given.schema['id_'].dataType.simpleString()}, place long")
+    asks = open_.groupBy("id_", "tag_").agg(F.collect_set("place").alias("places"))
+    given = tagged.join(asks, ["id_", "tag_"]).select("id_", "tag_", "text_", "places")
+    return mapped(given, run, f"bucket long, rank long, id_ {given.schema['id_'].dataType.simpleString()}, tag_ long, place long")
 
 
 def _sorted_out(suffixes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """``id_, place`` of the repeats, and of the earliest suffix of each rank in buckets of several ranks."""
+    """``id_, tag_, place`` of the repeats, and of the earliest suffix of each rank in buckets of several ranks."""
     spark = suffixes.sparkSession
     # written, so that the join sees two shuffled sides and can split a hot bucket
     several, _ = materialize(suffixes.groupBy("bucket").count().where("count > 1").select("bucket"), f"{name}several")
     tied, _ = materialize(suffixes.join(several, "bucket", "left_semi"), f"{name}tied")
     clean(spark)
-    here = F.struct("id_", "place")
+    here = F.struct("id_", "tag_", "place")
     firsts, _ = materialize(tied.groupBy("bucket", "rank").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")), f"{name}ranks")
     mixed, _ = materialize(firsts.groupBy("bucket").count().where("count > 1").select("bucket"), f"{name}mixed")
-    open_, _ = materialize(firsts.join(mixed, "bucket", "left_semi").select("first.id_", "first.place"), f"{name}open")
+    open_, _ = materialize(firsts.join(mixed, "bucket", "left_semi").select("first.id_", "first.tag_", "first.place"), f"{name}open")
     repeats, _ = materialize(tied.join(firsts.where("n > 1").select("bucket", "rank", "first"), ["bucket", "rank"])
-                             .where(F.col("first") < here).select("id_", "place"), f"{name}repeats")
+                             .where(F.col("first") < here).select("id_", "tag_", "place"), f"{name}repeats")
     clean(spark)
     return repeats, open_
 
 
+def _own(raw: bytes, length: int) -> np.ndarray:
+    """Starts of the strings of a text that start earlier in it too."""
+    start = np.arange(max(0, len(raw) - length + 1))
+    found = tb.span_hash(tb.prefix_hash(np.frombuffer(raw, np.uint8)), start, start + length)
+    order = np.argsort(found, kind="stable")
+    return order[1:][found[order[1:]] == found[order[:-1]]]
+
+
 def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", cover: str = "content") -> DataFrame:
     """``id_col, kept`` (bytes), ``spans`` (removed byte ranges start, end, in order) and ``n_bytes`` of every row."""
     if not WORD < length <= WORD + 127:
@@ -188,28 +190,34 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     if cover != "content" and (cover != "difference" or length < WORD + MODULUS - 1):
         raise ValueError(f"cover must be content, or difference with a length of at least {WORD + MODULUS - 1}")
     spark = docs.sparkSession
-    repeats, open_ = _sorted_out(_suffixes(docs, id_col, text_col, length, cover), "suffix")
+    several = several_texts(docs, id_col, text_col)
+    tagged = told_apart(docs, several, id_col, text_col)
+    repeats, open_ = _sorted_out(_suffixes(told_apart(spread(docs), several, id_col, text_col), length, cover), "suffix")
     for step in (STEP, 1):
-        narrow, n = materialize(_narrowed(docs, open_, id_col, text_col, length, step), f"step{step}")
+        narrow, n = materialize(_narrowed(tagged, open_, length, step), f"step{step}")
         clean(spark)
         if not n:
             break
         more, open_ = _sorted_out(narrow, f"step{step}")
         repeats = repeats.union(more)
-    marks = repeats.groupBy("id_", F.shiftright("place", TAG).alias("tag_")).agg(F.collect_list("place").alias("places"))
-    given = _tagged(docs, id_col, text_col).join(marks, ["id_", "tag_"], "left").select("id_", "text_", "places")
+    marks = repeats.groupBy("id_", "tag_").agg(F.collect_list("place").alias("places"))
+    given = tagged.join(marks, ["id_", "tag_"], "left").select("id_", "text_", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for s in range(0, whole.num_rows, 256):
                 b = whole.slice(s, 256)
                 kept, spans, sizes = [], [], []
-                for text, places in zip(b.column(1), b.column(2), strict=True):
+                for key, text, places in zip(b.column(0), b.column(1), b.column(2), strict=True):
                     raw = (text.as_py() or "").encode()
                     sizes.append(len(raw))
                     edges: np.ndarray = np.zeros(0, np.int64)
-                    if places.is_valid:
-                        at, far, near = _unpacked(places.values.to_numpy())
+                    if places.is_valid or not key.is_valid:
+                        if key.is_valid:
+                            at, far, near = _unpacked(places.values.to_numpy())
+                        else:
+                            at = _own(raw, length)
+                            far = near = np.zeros(len(at), np.int64)
                         depth = np.bincount(at - far, minlength=len(raw) + 1) - np.bincount(at - near + length, minlength=len(raw) + 1)
                         covered = np.cumsum(depth) > 0
                         edges = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0))

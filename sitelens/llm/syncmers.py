@@ -155,11 +155,11 @@ def _neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     splits = sorted(set(docs.stat.approxQuantile(id_col, [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []))
     given = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"), F.xxhash64(text_col).alias("tie"), F.lit(False).alias("extra"))
     given = given.withColumn("part", F.when(F.col("id_").isNull(), len(splits)).otherwise(_above(splits, "id_")).cast("int"))
-    heads = given.groupBy("part").agg(F.min(F.struct(F.col("id_").isNull().alias("none"), (-F.col("id_")).alias("down"), "tie")).alias("x"))
+    heads = given.groupBy("part").agg(F.min(F.struct(F.col("id_").isNull().alias("none"), F.bitwise_not("id_").alias("down"), "tie")).alias("x"))
     heads = sorted((r["part"], r["x"]["down"], r["x"]["tie"]) for r in heads.collect())  # one row a partition
     if not heads:
         return given.select("part", "extra", "id_", "text_")
-    to = [(-d if d is not None else None, t, heads[i - 1][0]) for i, (_, d, t) in enumerate(heads)]  # the first range's head follows the last
+    to = [(~d if d is not None else None, t, heads[i - 1][0]) for i, (_, d, t) in enumerate(heads)]  # the first range's head follows the last
     copies = docs.sparkSession.createDataFrame(to, "head long, head_tie long, to int")
     extra = (given.join(F.broadcast(copies), F.col("id_").eqNullSafe(F.col("head")) & (F.col("tie") == F.col("head_tie")))
              .dropDuplicates(["to"]).select("id_", "text_", "tie", F.lit(True).alias("extra"), F.col("to").alias("part")))
