@@ -24,6 +24,7 @@ from ..operators import traffic as tr
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import index_store as ist
+from ..sources import live_index as li
 from ..sources import pages as pg
 from ..sources.tables import read_table
 from ..streaming import streams as st
@@ -376,6 +377,26 @@ def q_write_pages(spark, sf_dir):
                                                  F.md5("html").alias("html_md5"))
 
 
+def page_saves(spark, sf_dir):
+    """Every page, then pages of site3 again with a line more, then some of these a third time."""
+    p = pages(spark, sf_dir).select("doc_id", "path", "html")
+    again = p.where(F.col("path").startswith("site3/") & (F.col("doc_id") % 3 == 0)).withColumn("html", F.concat("html", F.lit("saved again\n")))
+    third = again.where(F.col("doc_id") % 2 == 0).withColumn("html", F.concat("html", F.lit("the third time\n")))
+    return [p, again, third]
+
+
+@query("live_lookup")
+def q_live_lookup(spark, sf_dir):
+    """Words of lines that come and go, looked up after each page's last save."""
+    folder = scratch_path(spark, "live-index")
+    for save in page_saves(spark, sf_dir):
+        li.save_pages(save, folder, most=2)
+    return flat_postings(li.live_postings(spark, folder, words=["again", "third", LOOKUP_WORD]))
+
+
+QUERIES["stream_live_postings"] = st.stream_live_postings
+
+
 @query("write_index")
 def q_write_index(spark, sf_dir):
     folder = scratch_path(spark, "index")

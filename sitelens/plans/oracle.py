@@ -335,6 +335,26 @@ oracle("write_pages", """SELECT path, regexp_extract(path, '^/*([^/]+)', 1) AS s
 FROM (SELECT path, readable, html || CASE WHEN starts_with(path, 'site3/') AND doc_id % 3 = 0 THEN 'saved again' || chr(10) ELSE '' END AS html
       FROM corpus)""", "corpus")
 oracle("write_index", "SELECT term, path, row, line_no, tf FROM occurrences", "occurrences")
+
+
+def _saved_postings(html: str, where: str = "") -> str:
+    """Postings of the pages with the text that their last save gave them."""
+    return f"""SELECT term, path, CAST(sum(tf) AS BIGINT) AS fr, array_to_string(list_sort(list_distinct(list(row))), '-') AS offsets_text,
+  CAST(len(list_distinct(list(row))) AS BIGINT) AS n_offsets
+FROM (SELECT path, row, unnest(list_filter(string_split(line, ' '), lambda x: x <> '')) AS term, 1 AS tf
+      FROM (SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY no) - 1 AS BIGINT) AS row, line
+            FROM (SELECT path, unnest(generate_series(1, len(parts))) AS no, unnest(parts) AS line
+                  FROM (SELECT path, CASE WHEN p[len(p)] = '' THEN p[1:len(p) - 1] ELSE p END AS parts
+                        FROM (SELECT path, string_split({html}, chr(10)) AS p FROM corpus)))
+            WHERE NOT (line LIKE '<_%')))
+{where} GROUP BY term, path"""
+
+
+_THIRD = """html || CASE WHEN starts_with(path, 'site3/') AND doc_id % 3 = 0 THEN 'saved again' || chr(10)
+  || CASE WHEN doc_id % 2 = 0 THEN 'the third time' || chr(10) ELSE '' END ELSE '' END"""
+_NEWLINE = """CASE WHEN starts_with(path, 'site5/') THEN replace(html, chr(92) || 't</body>' || chr(92) || 'n</html>' || chr(10), '') || 'a new line' || chr(10) ELSE html END"""
+oracle("live_lookup", _saved_postings(_THIRD, "WHERE term IN ('again', 'third', 'the')"), "corpus")
+oracle("stream_live_postings", _saved_postings(_NEWLINE), "corpus")
 oracle("text_bwl", """SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes,
   CAST(len(regexp_extract_all(text, '[^ \\n]+[ \\n]')) AS BIGINT) AS words,
   CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS lines

@@ -30,6 +30,7 @@ from ..operators import traffic as tr
 from ..session import broadcast_if_small, bucketed_table, materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources import index_store as ist
+from ..sources import live_index as li
 from ..sources.tables import read_table
 
 # Files that a registered stream's source is staged in, one a micro-batch.
@@ -172,6 +173,25 @@ def stream_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("term", "path", "fr", F.array_join("offsets", "-").alias("offsets_text"), F.size("offsets").cast("bigint").alias("n_offsets"))
 
 
+def stream_live_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with pages that are saved again: each micro-batch is a save of the
+    index that follows replaced pages (:mod:`..sources.live_index`).  The pages
+    arrive in several files; those of ``site5`` come once more, without the
+    pages' last line and with a new one."""
+    pages = fx.corpus(spark, sf_dir).select("doc_id", "path", "html")
+    source, folder = scratch_path(spark, "source-saves"), scratch_path(spark, "stream-live-index")
+    pages.repartition(SOURCE_FILES).write.parquet(source)
+    again = pages.where(F.col("path").startswith("site5/")).withColumn("html", F.concat(F.replace("html", F.lit("\\t</body>\\n</html>\n"), F.lit("")), F.lit("a new line\n")))
+    again.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        li.save_pages(batch, folder, batch_id, most=3)
+
+    _run(stream.writeStream.foreachBatch(save).option("checkpointLocation", folder + "-ckpt"), "live_postings")
+    return li.live_postings(spark, folder).select("term", "path", "fr", F.array_join("offsets", "-").alias("offsets_text"), F.size("offsets").cast("bigint").alias("n_offsets"))
+
+
 def log_between(log: DataFrame, batch: DataFrame) -> DataFrame:
     """The rows of a change log that a micro-batch can see: those of its time
     and the last one before it (two reads with a pushed filter on ``ts``)."""
