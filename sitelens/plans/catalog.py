@@ -26,6 +26,7 @@ from ..sources import fixtures as fx
 from ..sources import index_store as ist
 from ..sources import live_index as li
 from ..sources import pages as pg
+from ..sources import site_files as sf
 from ..sources.tables import read_table
 from ..streaming import streams as st
 
@@ -356,7 +357,10 @@ def q_uptime_hms(spark, sf_dir):
 
 @query("scan_pages")
 def q_scan_pages(spark, sf_dir):
-    return pg.page_table(pages(spark, sf_dir))
+    """Save every page as a file of its site's folder, then scan that folder."""
+    root = scratch_path(spark, "site-files")
+    sf.export_pages(pages(spark, sf_dir), root)
+    return pg.scan_pages(spark, root)
 
 
 @query("site_catalog")

@@ -3,8 +3,8 @@
 A crawl's save folder is ``root/site/page`` files; a page table is
 ``(path, site, html, n_bytes)`` with ``path`` relative to the root.  Parquet
 page tables are the scalable form (splittable, column-pruned, filter
-pushdown on ``path``/``site``); the text-file form reads whole files, one row
-per file, so one file is one task's unit of work.
+pushdown on ``path``/``site``); the file form reads whole files, one row per
+file.
 """
 
 from __future__ import annotations
@@ -14,22 +14,31 @@ from pyspark.sql import functions as F
 
 from ..functions.text import text_bytes
 from ..functions.urls import site_of
+from .site_files import SCHEMES, located, read_files
 
 
 def scan_pages(spark: SparkSession, root: str) -> DataFrame:
     """Read every file one level below each site folder of ``root``
     (non-recursive) -> ``(path, site, html, n_bytes)``.
 
-    Names are as in the folder (decoded); files above or below that level are
-    not read.  Spark's readers skip names that start with ``_`` or ``.``: where
-    there are such files a :class:`ValueError` names them, so none is lost
-    unseen."""
+    Names are as in the folder, whatever they start with; files above or below
+    that level are not read.  Listing and reading happen in tasks
+    (:mod:`.site_files`); a store that pyarrow does not open is read by Spark's
+    text reader, see :func:`scan_by_reader`."""
+    if located(spark, root)[0] not in SCHEMES:
+        return scan_by_reader(spark, root)
+    return page_table(read_files(spark, root))
+
+
+def scan_by_reader(spark: SparkSession, root: str) -> DataFrame:
+    """:func:`scan_pages` for any store that Spark opens.  Its readers skip
+    names that start with ``_`` or ``.``: where there are such files a
+    :class:`ValueError` names them, so none is lost unseen."""
     base = root.rstrip("/")
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(base)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/*/*")) or []
-    hidden = [str(f.getPath().getName()) for f in found if f.isFile() and str(f.getPath().getName())[0] in "_."]
+    hidden = [str(f.getPath().getName()) for mark in "_." for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/*/{mark}*")) or [] if f.isFile()]
     if hidden:
         raise ValueError(f"{base}: rename these pages, whose names hide them from Spark: {', '.join(sorted(hidden)[:20])}")
     # wholetext must be given to text() itself: text() resets the option

@@ -11,6 +11,7 @@ from sitelens.session import scratch_path
 from sitelens.sources import fixtures as fx
 from sitelens.sources import index_store as ist
 from sitelens.sources import pages as pg
+from sitelens.sources import site_files as sf
 
 
 def write_text_pages(pages, root):
@@ -38,18 +39,59 @@ def test_scan_text_files_round_trip(spark, small_dir):
 
 
 def test_scan_keeps_every_name_and_only_this_level(spark):
+    root = Path(tempfile.mkdtemp(prefix="sitelens names-"))
+    kept = ("site0/a.html", "site0/d e.html", "site0/p+q%20r.html", "site0/é.html", "site0/_b.html", "site0/.c.html", "_site/x", ".s/_y", "site0/empty")
+    for name in (*kept, "site0/sub/x.html", "top.html"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("" if name.endswith("empty") else name)
+    (root / "nothing").mkdir()
+    got = {r["path"]: (r["site"], r["html"]) for r in pg.scan_pages(spark, str(root)).collect()}
+    assert got == {n: (n.split("/")[0], "" if n.endswith("empty") else n) for n in kept}
+    assert {(r["path"], r["size"]) for r in sf.list_pages(spark, str(root)).collect()} == {(n, 0 if n.endswith("empty") else len(n.encode())) for n in kept}
+    assert pg.scan_pages(spark, str(root / "nothing")).count() == 0
+
+
+def test_sites_are_partitions_and_pages_are_dealt_to_all_tasks(spark, monkeypatch):
+    """A site with most of the pages is listed by one task and read by many."""
+    root = Path(tempfile.mkdtemp(prefix="sitelens-hot-"))
+    for i in range(200):
+        site = root / ("hot" if i % 10 else f"s{i}")
+        site.mkdir(exist_ok=True)
+        (site / f"p{i}").write_text(f"text {i}\n")
+    listed = sf.list_pages(spark, str(root))
+    assert listed.rdd.getNumPartitions() == 21
+    per = [r["n"] for r in sf.read_files(spark, str(root)).groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(per) == 200 and max(per) < 60
+    monkeypatch.setattr(sf, "LISTING_PARTS", 4)
+    assert sf.list_pages(spark, str(root)).rdd.getNumPartitions() == 4
+    assert sf.list_pages(spark, str(root)).count() == 200
+
+
+def test_exported_pages_replace_their_files(spark, small_dir):
+    root = scratch_path(spark, "test-export")
+    corpus = fx.corpus(spark, small_dir)
+    assert sf.export_pages(corpus, root) == corpus.count()
+    again = corpus.where("doc_id % 7 = 0").withColumn("html", F.lit("new é\n"))
+    sf.export_pages(again, root)
+    got = {r["path"]: r["html"] for r in pg.scan_pages(spark, root).collect()}
+    want = {r["path"]: r["html"] for r in corpus.collect()} | {r["path"]: r["html"] for r in again.collect()}
+    assert got == want
+
+
+def test_other_stores_are_read_by_spark(spark):
+    """Spark's reader gives the same pages, and names those that it would hide."""
     import pytest
 
-    root = Path(tempfile.mkdtemp(prefix="sitelens-names-"))
-    for name in ("site0/a.html", "site0/d e.html", "site0/p+q%20r.html", "site0/é.html", "site0/sub/x.html", "top.html"):
+    root = Path(tempfile.mkdtemp(prefix="sitelens-reader-"))
+    for name in ("site0/a.html", "site0/d e.html", "site0/p+q%20r.html", "site0/sub/x.html", "top.html"):
         (root / name).parent.mkdir(parents=True, exist_ok=True)
         (root / name).write_text(name)
-    got = {r["path"]: (r["site"], r["html"]) for r in pg.scan_pages(spark, str(root)).collect()}
-    assert got == {n: ("site0", n) for n in ("site0/a.html", "site0/d e.html", "site0/p+q%20r.html", "site0/é.html")}
+    read = lambda scan: sorted(map(tuple, scan(spark, str(root)).collect()))
+    assert read(pg.scan_by_reader) == read(pg.scan_pages) and len(read(pg.scan_pages)) == 3
     for hidden in ("_b.html", ".c.html"):
         (root / "site0" / hidden).write_text("x")
         with pytest.raises(ValueError, match=hidden):
-            pg.scan_pages(spark, str(root))
+            pg.scan_by_reader(spark, str(root))
         (root / "site0" / hidden).unlink()
 
 
