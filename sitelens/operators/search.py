@@ -255,7 +255,7 @@ def page_frequency(post: DataFrame, qterms: DataFrame | Probe) -> DataFrame:
             .agg(F.sum("fr").cast("bigint").alias("freq")))
 
 
-def _top(df: DataFrame, key: str, k: int) -> DataFrame:
+def top_of(df: DataFrame, key: str, k: int) -> DataFrame:
     """Top ``k`` per query by (freq desc, key asc).  ``row_number() <= k`` is
     planned with a partial per-task group limit before the shuffle, so a
     query matching every page moves at most k rows per task."""
@@ -268,14 +268,14 @@ def _top(df: DataFrame, key: str, k: int) -> DataFrame:
 
 def rank_pages(post: DataFrame, qterms: DataFrame | Probe, k: int = 10) -> DataFrame:
     """``(query_id, rank, path, freq)``: pages by frequency of the query words."""
-    return _top(page_frequency(post, qterms), "path", k)
+    return top_of(page_frequency(post, qterms), "path", k)
 
 
 def rank_sites(post: DataFrame, qterms: DataFrame | Probe, k: int = 10) -> DataFrame:
     """``(query_id, rank, site, freq)``: sites by frequency of the query words."""
     per_site = (page_frequency(post, qterms).withColumn("site", site_of("path"))
                 .groupBy("query_id", "site").agg(F.sum("freq").cast("bigint").alias("freq")))
-    return _top(per_site, "site", k)
+    return top_of(per_site, "site", k)
 
 
 def search_report(rows: DataFrame, queries: DataFrame) -> DataFrame:

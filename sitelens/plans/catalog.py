@@ -26,6 +26,7 @@ from ..sources import fixtures as fx
 from ..sources import index_store as ist
 from ..sources import live_index as li
 from ..sources import pages as pg
+from ..sources import rank_store as rs
 from ..sources import site_files as sf
 from ..sources.tables import read_table
 from ..streaming import streams as st
@@ -153,6 +154,21 @@ def q_rank_sites(spark, sf_dir):
     return se.rank_sites(ix.page_term_counts(pages(spark, sf_dir), q.vocab), q, k=TOP_K)
 
 
+@query("rank_stored")
+def q_rank_stored(spark, sf_dir):
+    """Store the index in blocks, then rank pages from it."""
+    folder = scratch_path(spark, "rank-index")
+    rs.write_rank_index(ix.page_term_counts(pages(spark, sf_dir)), folder)
+    return rs.rank_pages(spark, folder, qterms(spark, sf_dir), k=TOP_K)
+
+
+@query("rank_sites_stored")
+def q_rank_sites_stored(spark, sf_dir):
+    folder = scratch_path(spark, "rank-index")
+    rs.write_rank_index(ix.page_term_counts(pages(spark, sf_dir)), folder)
+    return rs.rank_sites(spark, folder, qterms(spark, sf_dir), k=TOP_K)
+
+
 @query("union_rows")
 def q_union_rows(spark, sf_dir):
     q = se.probe(qterms(spark, sf_dir))

@@ -200,6 +200,8 @@ oracle("rank_sites", """SELECT query_id, rank, site, freq FROM (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY freq DESC, site) AS BIGINT) AS rank, site, freq
   FROM (SELECT query_id, regexp_extract(path, '^/*([^/]+)', 1) AS site, CAST(sum(freq) AS BIGINT) AS freq
         FROM page_freq GROUP BY 1, 2)) WHERE rank <= 10""", "page_freq")
+oracle("rank_stored", ORACLES["rank_pages"][0], *ORACLES["rank_pages"][1])
+oracle("rank_sites_stored", ORACLES["rank_sites"][0], *ORACLES["rank_sites"][1])
 oracle("union_rows", """SELECT q.query_id, p.path,
   array_to_string(list_sort(list_distinct(flatten(list(p.offsets)))), '-') AS rows_text,
   CAST(len(list_distinct(flatten(list(p.offsets)))) AS BIGINT) AS n_rows
