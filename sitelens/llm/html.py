@@ -9,7 +9,8 @@ the largest sum holds the main text; the smallest density on its path to body
 is the threshold.  If it stands in an article (or main) element, that is taken
 whole; else it grows to its parent, below body, while a neighbour reaches the
 threshold.  Within the chosen subtree, parts that are mostly links and below
-the threshold go.
+the threshold go, but not in an article: its link paragraphs, lists of references
+and tables are its text.
 
 What is never main text leaves the tree first: scripts, styles, forms, menus,
 headers, footers, asides and whatever its role, class or id names as such, as
@@ -62,9 +63,9 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert aler
 NOISE = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu
 breadcrumb breadcrumbs header masthead topbar footer sidebar aside cookie cookies consent gdpr notice popup modal overlay newsletter
 subscribe subscription signup login share sharing social comment comments disqus reply replies respond related recommended widget
-pagination pager toolbar copyright adsbygoogle commentlist""".split())
+pagination pager toolbar copyright adsbygoogle commentlist adbox adblock adslot adunit adspace""".split())
 #: Of these, adverts and comments, which may be paragraphs; names whose elements go whatever they hold; names that also tell a page's layout.
-FIRM_P = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comment comments adsbygoogle commentlist".split())
+FIRM_P = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comment comments adsbygoogle commentlist adbox adblock adslot adunit adspace".split())
 FIRM = FIRM_P | frozenset("""disqus reply replies respond cookie cookies consent gdpr footer copyright breadcrumb breadcrumbs nav navbar navigation
 pagination pager""".split())
 LAYOUT = frozenset("banner header masthead topbar sidebar aside notice popup modal overlay widget toolbar menu".split())
@@ -72,7 +73,7 @@ LAYOUT = frozenset("banner header masthead topbar sidebar aside notice popup mod
 FRAME = frozenset("""site main global top bottom left right primary secondary upper lower wrap wrapper container inner outer box bar area block
 group row holder bg wp mobile desktop list links link item items icon icons button buttons form field title text label close""".split())
 OWNERS = frozenset("""post posts entry article articles page pages section content story stories news product products body author meta count thread
-media slot unit space zone google dfp law info for you email""".split())
+media slot unit space zone google dfp law info for you email user users reader readers visitor visitors member members guest""".split())
 COMPOUNDS = frozenset("article-sidebar blog-sidebar page-sidebar post-sidebar sidebar-widgets footer-widgets header-widgets".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -82,7 +83,8 @@ CLOSED = frozenset("noscript template iframe svg".split())
 NOT_DRAWN = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre
 ruby s small span strong strike sub sup table tt u ul var article aside footer header main nav section""".split())
 
-_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# A quote opens a string only where a value begins.
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+"""
 # Comments and declarations; text of script, style, textarea and title up to the end tag or the page's end; self-closed
 # ones, and elements that are dropped whole, where the next tag of that name is the end tag (others are nodes); tags.
 _TOKEN = re.compile(
@@ -91,7 +93,7 @@ _TOKEN = re.compile(
     rf"""|<(noscript|template|iframe)(?=[\s/>]){_ATTRIBUTES}(?<!/)>(?:(?!</?\3[\s/>]).)*+</\3\s*+>"""
     rf"""|<svg(?=[\s/>]){_ATTRIBUTES}(?<!/)>(?:(?!</?(?:svg|{"|".join(sorted(NOT_DRAWN))})[\s/>]).)*+</svg\s*+>"""
     rf"""|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -142,13 +144,18 @@ def _tree(html: str) -> _Node:
     """The page's tree; children are nodes and strings (decoded text).  ``hold`` marks what is noise."""
     root = at = _Node("html", None)
     root.hold = False
-    last, drawn = 0, False
+    last, drawn, rest = 0, False, ""
+    whole = html.rfind(">") + 1
+    if html.count("<", whole) > 1:  # no tag ends there: looking for each one's end would read the rest again and again
+        html, rest = html[:whole], html[whole:].partition("<!--")[0]
     for m in _TOKEN.finditer(html):
         if m.start() > last:
             at.children.append(unescape(html[last : m.start()]))
         last = m.end()
         name = m[5] or m[8]
         if not name:  # a comment, a declaration or an element of raw text
+            if rest and last == whole and (m[0].startswith("<!--") and not m[0].endswith("-->") or m[1] and not re.search(rf"</{m[1]}\s*>\Z", m[0], re.I)):
+                rest = ""  # open to the page's end
             continue
         tag, closing, raw = name.lower(), m[4] or m[7], (m[6] if m[5] else m[9]) or ""
         if closing:
@@ -192,8 +199,8 @@ def _tree(html: str) -> _Node:
         if tag not in VOID and not raw.endswith("/"):
             at = node
             drawn = drawn or tag == "svg"
-    if last < len(html):
-        at.children.append(unescape(html[last:]))
+    if last < len(html) or rest:
+        at.children.append(unescape(html[last:] + rest))
     return root
 
 
@@ -325,7 +332,7 @@ def _written(top: _Node, threshold: float) -> str:
             end()
         elif isinstance(x, str):
             line.append(x)
-        elif x is not top and x.tag in BLOCK and x.density < threshold and 2 * x.link_chars > x.chars:
+        elif x is not top and top.tag != "article" and x.tag in BLOCK and x.density < threshold and 2 * x.link_chars > x.chars:
             end()
         else:
             if x.tag in BLOCK:
