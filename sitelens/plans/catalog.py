@@ -25,9 +25,11 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import index_store as ist
 from ..sources import live_index as li
+from ..sources import page_sets as ps
 from ..sources import pages as pg
 from ..sources import rank_store as rs
 from ..sources import site_files as sf
+from ..sources import term_store as ts
 from ..sources.tables import read_table
 from ..streaming import streams as st
 
@@ -176,6 +178,45 @@ def q_union_rows(spark, sf_dir):
     return u.select("query_id", "path", F.array_join("rows", "-").alias("rows_text"), "n_rows")
 
 
+@query("sorted_vocabulary")
+def q_sorted_vocabulary(spark, sf_dir):
+    """The stored vocabulary in bytewise order, each word with its global rank."""
+    folder = scratch_path(spark, "terms")
+    ts.write_term_store(ix.postings(pages(spark, sf_dir)), folder)
+    return ts.vocabulary(spark, folder).select("rank", "term", "df", "cf")
+
+
+@query("search_terms")
+def q_search_terms(spark, sf_dir):
+    """The benchmark searches from the parts of the stored postings that hold their words."""
+    folder = scratch_path(spark, "terms")
+    ts.write_term_store(ix.postings(pages(spark, sf_dir)), folder)
+    found = ts.search_terms(spark, folder, qterms(spark, sf_dir))
+    return found.select("query_id", "path", F.array_join("rows", "-").alias("rows_text"), "n_rows", "freq")
+
+
+def stored_page_sets(spark, sf_dir) -> str:
+    folder = scratch_path(spark, "page-sets")
+    ps.write_page_sets(pages(spark, sf_dir), folder)
+    return folder
+
+
+@query("search_page_sets")
+def q_search_page_sets(spark, sf_dir):
+    """The pages of every benchmark search, out of the union of its words' stored sets."""
+    folder = stored_page_sets(spark, sf_dir)
+    return ps.set_pages(spark, folder, ps.any_word(spark, folder, qterms(spark, sf_dir)))
+
+
+@query("search_page_counts")
+def q_search_page_counts(spark, sf_dir):
+    """Pages that hold any, and every, word of a search, by popcount alone."""
+    folder, q = stored_page_sets(spark, sf_dir), se.probe(qterms(spark, sf_dir))
+    some = ps.page_counts(ps.any_word(spark, folder, q))
+    every = ps.page_counts(ps.all_words(spark, folder, q)).withColumnRenamed("n_pages", "n_all")
+    return some.join(every, "query_id", "left").select("query_id", "n_pages", F.coalesce("n_all", F.lit(0)).cast("bigint").alias("n_all"))
+
+
 @query("search_report")
 def q_search_report(spark, sf_dir):
     rows = se.search_rows(pages(spark, sf_dir), qterms(spark, sf_dir))

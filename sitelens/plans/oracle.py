@@ -206,6 +206,17 @@ oracle("union_rows", """SELECT q.query_id, p.path,
   array_to_string(list_sort(list_distinct(flatten(list(p.offsets)))), '-') AS rows_text,
   CAST(len(list_distinct(flatten(list(p.offsets)))) AS BIGINT) AS n_rows
 FROM postings AS p JOIN query_terms AS q ON q.term = p.term GROUP BY q.query_id, p.path""", "postings", "query_terms")
+oracle("sorted_vocabulary", "SELECT row_number() OVER (ORDER BY term) AS rank, term, df, cf FROM lexicon", "lexicon")
+oracle("search_terms", """SELECT q.query_id, p.path,
+  array_to_string(list_sort(list_distinct(flatten(list(p.offsets)))), '-') AS rows_text,
+  CAST(len(list_distinct(flatten(list(p.offsets)))) AS BIGINT) AS n_rows, CAST(sum(p.fr) AS BIGINT) AS freq
+FROM postings AS p JOIN query_terms AS q ON q.term = p.term GROUP BY q.query_id, p.path""", "postings", "query_terms")
+oracle("search_page_sets", "SELECT DISTINCT query_id, path FROM hit_lines", "hit_lines")
+oracle("search_page_counts", """SELECT query_id, CAST(count(*) AS BIGINT) AS n_pages,
+  CAST(count(*) FILTER (WHERE met = wanted) AS BIGINT) AS n_all
+FROM (SELECT q.query_id, p.path, count(*) AS met FROM postings AS p JOIN query_terms AS q ON q.term = p.term GROUP BY q.query_id, p.path)
+JOIN (SELECT query_id, count(*) AS wanted FROM query_terms GROUP BY query_id) USING (query_id)
+GROUP BY query_id""", "postings", "query_terms")
 oracle("search_report", """SELECT DISTINCT query_id, path, CAST(-1 AS BIGINT) AS f, path || ' : ' || n_rows || ' ' AS text FROM search_rows
 UNION ALL
 SELECT query_id, path, f, f || ',' || row || ',' || line AS text FROM search_rows
