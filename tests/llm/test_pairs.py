@@ -103,6 +103,52 @@ def test_embeddings_against_all_products(spark, monkeypatch):
     assert np.mean([got[i][1] == of[i] for i in range(len(x))]) > 0.99
 
 
+def test_copies_are_compared_once(spark, monkeypatch):
+    """A third of the rows are one vector, another third are near copies of a
+    second one: neither makes further cells, visits or comparisons."""
+    monkeypatch.setattr(embeddings, "BLOCK", 64)
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(200, 16))
+    near = base[1] + 0.01 * rng.normal(size=(200, 16))
+    x = np.concatenate([base, np.repeat(base[:1], 200, 0), near]).astype(np.float32)
+    x[5, 0], x[6] = 0.0, x[5]
+    x[6, 0] = -0.0  # equal to row 5
+    ids = list(range(len(x)))
+    ids[250] = 3  # a copy under another vector's id
+    assigned = []
+    whole = embeddings._assigned
+
+    def counted(classes, at, dim):
+        out = whole(classes, at, dim)
+        assigned.append((classes.count(), out.count(), len(at)))
+        return out
+
+    monkeypatch.setattr(embeddings, "_assigned", counted)
+    table = _vectors(spark, [(i, v.tolist(), 0, 1, 2) for i, v in zip(ids, x, strict=True)])
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(table).collect()}
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    linked = y @ y.T >= 0.95
+    np.fill_diagonal(linked, False)
+    want: dict = {}
+    for i, n in zip(ids, linked.sum(1), strict=True):
+        want[i] = want.get(i, 0) + int(n)
+    of = closure(set(ids), [(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked), strict=True)])
+    assert got == {i: (want[i], of[i], i == of[i]) for i in want}
+    classes, rows, cells = assigned[0]
+    assert classes == len(x) - 201 and rows < 3 * classes and cells <= 20
+
+
+def test_starts_are_not_alike():
+    rng = np.random.default_rng(1)
+    x = np.concatenate([np.repeat(rng.normal(size=(1, 8)), 3000, 0), rng.normal(size=(500, 8))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    at = embeddings.starts(rng.permutation(x), 40)
+    alike = at @ at.T
+    np.fill_diagonal(alike, 0)
+    assert len(at) == 40 and alike.max() < embeddings.APART
+    assert len(embeddings.starts(x[:3000], 40)) == 1
+
+
 def test_embeddings_recall_on_the_given_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rng = np.random.default_rng(2)
