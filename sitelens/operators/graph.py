@@ -6,8 +6,8 @@ cycles).  The fetch status of every link target is attached to the links
 once; the links are written as a table bucketed on their source, the URLs seen
 so far as one table bucketed on their path, to which each round appends its
 own.  A round is one job whatever the depth: the frontier meets the links in
-place (broadcast where its observed bytes prove it small, else shuffled: it,
-not the links), and its distinct targets meet the seen table in one anti-join,
+place (broadcast where its observed bytes prove it small, which opens only the
+buckets of its own pages, else shuffled: it, not the links), and its distinct targets meet the seen table in one anti-join,
 in place too.  Only candidates move; a lost executor recomputes one round.
 """
 
@@ -81,7 +81,11 @@ def edge_status(link_edges: DataFrame, pidx: DataFrame) -> DataFrame:
                     _bytes(F.col("found"), F.col("readable"), F.col("n_bytes")).alias("bytes"))
 
 
-def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, small: bool = False) -> DataFrame:
+# Partition column of the stored links: the bucket of ``src``.
+LINK_PART = "src_part"
+
+
+def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, small: bool = False, parts: int = 0) -> DataFrame:
     """One crawl round: targets of links of the frontier's readable pages
     (``status`` 200, looked up at ``fetch``) whose key was never seen.
     ``linked`` is :func:`edge_status`, ``seen`` a frame with ``path``;
@@ -90,11 +94,17 @@ def frontier_step(frontier: DataFrame, linked: DataFrame, seen: DataFrame, small
     ``small`` says that the frontier is proven small: it is broadcast.  With
     ``linked`` bucketed on ``src`` and ``seen`` on ``path``, both are read in
     place: the frontier (if large) and the distinct targets are shuffled, once
-    each, and there is one anti-join however many rounds came before."""
+    each, and there is one anti-join however many rounds came before.  Where
+    ``linked`` has the partition column ``LINK_PART`` (its bucket, one of
+    ``parts``), a broadcast frontier prunes it at run time: a round opens the
+    buckets of its own pages alone."""
     srcs = frontier.where(F.col("status") == STATUS_OK).select(F.col("fetch").alias("src"))
+    on = ["src"]
     if small:
+        if parts:
+            srcs, on = srcs.withColumn(LINK_PART, session.bucket_of("src", parts)), ["src", LINK_PART]
         srcs = F.broadcast(srcs)
-    cand = linked.join(srcs, "src", "left_semi").select("path", "fetch", "status", "bytes").dropDuplicates(["path"])
+    cand = linked.join(srcs, on, "left_semi").select("path", "fetch", "status", "bytes").dropDuplicates(["path"])
     return cand.join(seen.select("path"), "path", "left_anti")
 
 
@@ -113,7 +123,7 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None) -> DataFra
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pidx = page_index(pages)
     cols = ["path", "depth", "fetch", "status", "bytes"]
-    links, link_table, _ = bucketed_table(edge_status(edges(pages.where(F.col("readable"))), pidx), "src", n_buckets, "crawl-links")
+    links, link_table, _ = bucketed_table(edge_status(edges(pages.where(F.col("readable"))), pidx), "src", n_buckets, "crawl-links", partition=LINK_PART)
     tables = [link_table]
     try:
         first = with_status(spark.createDataFrame([(start, 0)], "path string, depth bigint"), pidx).select(*cols)
@@ -124,7 +134,7 @@ def crawl(pages: DataFrame, start: str, max_depth: int | None = None) -> DataFra
         while added:
             every = spark.table(seen)
             frontier = every.where(F.col("depth") == depth)
-            new = frontier_step(frontier, links, every, added <= session.BROADCAST_BYTE_LIMIT)
+            new = frontier_step(frontier, links, every, added <= session.BROADCAST_BYTE_LIMIT, n_buckets)
             depth += 1
             last = max_depth is not None and depth > max_depth
             if last:

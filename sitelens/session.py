@@ -124,22 +124,35 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return spark.read.schema(df.schema).parquet(path), n
 
 
-def bucketed_table(df: DataFrame, key: str, n_buckets: int, name: str, folder: str | None = None) -> tuple[DataFrame, str, int]:
+def bucket_of(key, n_buckets: int) -> Column:
+    """The bucket of ``key`` (Spark's own numbering) in a table of ``n_buckets``."""
+    from pyspark.sql import functions as F
+
+    return F.pmod(F.hash(key), F.lit(n_buckets))
+
+
+def bucketed_table(df: DataFrame, key: str, n_buckets: int, name: str, folder: str | None = None,
+                   partition: str | None = None) -> tuple[DataFrame, str, int]:
     """Write ``df`` as an external table bucketed and sorted on ``key`` in the
     shared folder (one job).  Joins on ``key`` then read it in place and
-    shuffle only the other side.  Returns the table, its catalog name (drop it
+    shuffle only the other side.  With ``partition`` the table has a partition
+    column of that name, the key's :func:`bucket_of`: a partition is a bucket, and
+    a broadcast side that brings the column too opens only its own.  Returns the table, its catalog name (drop it
     when done; the files stay) and its size in bytes, observed in the job."""
     spark = df.sparkSession
     table = f"sitelens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    n = append_bucketed(df.repartition(n_buckets, key), table, key, n_buckets, folder or scratch_path(spark, name))
+    dealt = df.repartition(n_buckets, key)
+    if partition:
+        dealt = dealt.withColumn(partition, bucket_of(key, n_buckets))
+    n = append_bucketed(dealt, table, key, n_buckets, folder or scratch_path(spark, name), partition)
     return spark.table(table), table, n
 
 
-def append_bucketed(df: DataFrame, table: str, key: str, n_buckets: int, folder: str) -> int:
+def append_bucketed(df: DataFrame, table: str, key: str, n_buckets: int, folder: str, partition: str | None = None) -> int:
     """Append to (or create) a table of :func:`bucketed_table`; the bytes added."""
     from pyspark.sql import Observation
 
     obs = Observation(f"{table}_{uuid.uuid4().hex[:8]}")
-    (df.observe(obs, bytes_of(df).alias("n")).write.format("parquet").mode("append").option("path", folder)
-     .bucketBy(n_buckets, key).sortBy(key).saveAsTable(table))
+    rows = df.observe(obs, bytes_of(df).alias("n")).write.format("parquet").mode("append").option("path", folder)
+    (rows.partitionBy(partition) if partition else rows).bucketBy(n_buckets, key).sortBy(key).saveAsTable(table)
     return int(obs.get.get("n", 0) or 0)

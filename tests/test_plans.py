@@ -110,7 +110,7 @@ def test_a_crawl_round_moves_candidates_only(spark, small_dir):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     p = fx.corpus(spark, small_dir)
-    links, t1, _ = bucketed_table(gr.edge_status(gr.edges(p.where("readable")), gr.page_index(p)), "src", 8, "test-links")
+    links, t1, _ = bucketed_table(gr.edge_status(gr.edges(p.where("readable")), gr.page_index(p)), "src", 8, "test-links", partition=gr.LINK_PART)
     crawled = gr.crawl(p, fx.START_PAGE).withColumn("fetch", gr.fetch_path("path"))
     seen, t2, _ = bucketed_table(crawled, "path", 8, "test-seen")
     try:
@@ -128,6 +128,47 @@ def test_a_crawl_round_moves_candidates_only(spark, small_dir):
             assert "Exchange" not in "".join(lines[max(0, i - 3): i])
 
 
+def _scans(node):
+    """The file scans of a plan that ran, those of its finished stages included."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _scans(node.executedPlan())
+    if "QueryStage" in name:
+        return _scans(node.plan())
+    if name.startswith("Scan parquet"):
+        return [node]
+    kids = node.children()
+    return [x for i in range(kids.size()) for x in _scans(kids.apply(i))]
+
+
+def test_a_small_frontier_opens_its_own_links(spark, small_dir):
+    """One page in the frontier: one bucket of the links is read, by pruning at run time."""
+    from sitelens.operators import graph as gr
+    from sitelens.session import bucketed_table
+
+    p = fx.corpus(spark, small_dir)
+    links, t1, _ = bucketed_table(gr.edge_status(gr.edges(p.where("readable")), gr.page_index(p)), "src", 8, "test-links", partition=gr.LINK_PART)
+    crawled = gr.crawl(p, fx.START_PAGE).withColumn("fetch", gr.fetch_path("path"))
+    seen, t2, _ = bucketed_table(crawled, "path", 8, "test-seen")
+    try:
+        for depth in (0, 1):
+            frontier, start = seen.where(F.col("depth") == depth), seen.where(F.col("depth") <= depth)
+            step = gr.frontier_step(frontier, links, start, small=True, parts=8)
+            assert "dynamicpruning" in plan(step)
+            got = sorted(r.path for r in step.collect())
+            assert got == sorted(r.path for r in seen.where(F.col("depth") == depth + 1).collect())
+            assert got == sorted(r.path for r in gr.frontier_step(frontier, links, start).collect())
+            pages = {r[0] for r in frontier.where("status = 200").select("fetch").collect()}
+            held = {r[0] for r in links.where(F.col("src").isin(list(pages))).select(gr.LINK_PART).distinct().collect()}
+            read = [n for n in _scans(step._jdf.queryExecution().executedPlan()) if "test_links" in n.nodeName()]
+            assert len(read) == 1 and read[0].metrics().apply("numPartitions").value() <= max(len(pages), len(held))
+            if depth == 0:
+                assert read[0].metrics().apply("numPartitions").value() == read[0].metrics().apply("numFiles").value() == 1
+    finally:
+        for t in (t1, t2):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
 def test_search_report_reads_the_pages_once(spark, small_dir):
     from sitelens.plans.catalog import QUERIES
 
