@@ -6,15 +6,15 @@ its source's size and the excess is shared anew by weight among the others.
 The corpus' words make blocks of ``BLOCK`` words; the blocks go to the sources
 by the highest quotients target / (2 i + 1), and a source's blocks go to its
 shards (dealt by a hash of the id) by the same rule on the shards' sizes.  A
-source has the corpus' number of shards, or fewer so that a shard holds
-``SHARD_LEAST`` of its words on average.  A shard's documents stand in a seeded
+source has the corpus' number of shards, which grows with the corpus, or fewer
+so that a shard holds ``SHARD_LEAST`` of its words on average.  A shard's documents stand in a seeded
 order, end to end; its quota is the first so many blocks of that line, which
 starts again at its end (whole passes, then a part) and ends with its pass
 EPOCHS, so no document is taken more often; the words that a quota has beyond
 that end go to the source's other shards, by what is left of their lines.
 
-All of it is DataFrame work: the documents are read twice (sizes by source and
-shard, then the takes), meet the short table of sources and are shuffled once,
+All of it is DataFrame work: the documents are read twice (sizes, which are
+written and added up by source and shard, then the takes), meet the short table of sources and are shuffled once,
 by source and shard; a hot source is split over its shards.
 
 Defined results: a null text has size 0 and is not taken; a null source is a
@@ -33,8 +33,11 @@ WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 #: Words of a block.
 BLOCK = 16
-#: Words of all sources that a shard number should hold; shard numbers are a power of two up to MOST.
-SHARD_WORDS, MOST = 1 << 18, 4096
+#: Words of all sources that a shard number should hold; from MANY shards on they
+#: may hold more, up to SHARD_MOST.  Shards are a power of two, without an upper end.
+SHARD_WORDS, MANY, SHARD_MOST = 1 << 18, 4096, 1 << 24
+#: Shard numbers are taken from so many bits.
+NUMBER_BITS = 32
 #: Words of its source that a shard holds on average, at least.
 SHARD_LEAST = 64 * BLOCK
 SEED = "mix"
@@ -93,16 +96,25 @@ def _number(hexed: Column) -> Column:
     return F.conv(F.substring(hexed, 1, 8), 16, 10).cast("long")
 
 
+def corpus_shards(words: int) -> int:
+    """Shards of a source that holds many words, in a corpus of ``words``."""
+    n = 1
+    while n < 1 << (NUMBER_BITS - 1) and (n < MANY and n * SHARD_WORDS < words or n * SHARD_MOST < words):
+        n *= 2
+    return n
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
     """``id_col`` and the carried columns with ``size``, ``source_size``,
     ``target`` and ``taken`` (words that the mix takes, repeats counted) of every row."""
     sized = docs.select(F.col(id_col).alias("id_"), _key(source_col).alias("source_"), *[F.col(c).alias(f"carry_{c}") for c in carry],
                         F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(words_regex)).cast("long").alias("size"))
-    sized = sized.withColumn("fine", _number(_hex("shard")) % MOST)
-    # sizes by source and finest shard: sources x MOST rows at most
-    fine, _ = materialize(sized.groupBy("source_", "fine").agg(F.sum("size").alias("words")), "mixsizes")
-    total = fine.agg(F.sum("words")).first()[0] or 0
-    shards = next((n for n in (1 << i for i in range(13)) if n * SHARD_WORDS >= total), MOST)
+    sized = sized.withColumn("number_", _number(_hex("shard")))
+    sizes, _ = materialize(sized.select("source_", "number_", "size"), "mixsizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    shards = corpus_shards(total)
+    # sizes by source and finest shard: sources x shards rows at most
+    fine, _ = materialize(sizes.groupBy("source_", (F.col("number_") % shards).alias("fine")).agg(F.sum("size").alias("words")), "mixshards")
 
     one = Window.partitionBy(F.lit(0))
     sources = fine.groupBy("source_").agg(F.sum("words").alias("source_size"))
@@ -126,15 +138,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     parts, _ = materialize(parts.select("source_", "shard", "words", "source_size", "target", "take"), "mixquotas")
 
     line = Window.partitionBy("source_", "shard").orderBy(_hex("order"), "id_", "size")
-    got = sized.join(sources.select("source_", "shards"), "source_").withColumn("shard", F.col("fine") % F.col("shards")).drop("shards").join(parts, ["source_", "shard"])
+    got = sized.join(sources.select("source_", "shards"), "source_").withColumn("shard", F.col("number_") % F.col("shards")).drop("shards").join(parts, ["source_", "shard"])
     got = got.withColumn("end_", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     part = F.least(F.greatest(F.expr("take % words") - (F.col("end_") - F.col("size")), F.lit(0)), F.col("size"))
     taken = F.when(F.col("words") > 0, F.expr("take div words") * F.col("size") + part).otherwise(0).cast("long")
     return got.select(F.col("id_").alias(id_col), *[F.col(f"carry_{c}").alias(c) for c in carry], "size", "source_size", "target", taken.alias("taken"))
 
 
-#: DuckDB SQL for the rows of ``mixed`` on ``documents``.
-SQL = rf"""
+def sql() -> str:
+    """DuckDB SQL for the rows of ``mixed`` on ``documents``."""
+    return rf"""
 WITH sized AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '~' ELSE '=' || source END AS skey,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -142,7 +155,8 @@ WITH sized AS (
     ('0x' || substr(md5('{SEED}:shard:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT AS num
   FROM documents),
 total AS (SELECT coalesce(sum(size), 0)::BIGINT AS t FROM sized),
-shards AS (SELECT t, coalesce((SELECT min(v) FROM (SELECT unnest([1,2,4,8,16,32,64,128,256,512,1024,2048,4096]) AS v) WHERE v * {SHARD_WORDS} >= t), {MOST}) AS n FROM total),
+powers AS (SELECT 1::BIGINT << i AS v FROM range(0, {NUMBER_BITS}) AS p(i)),
+shards AS (SELECT t, (SELECT min(v) FROM powers WHERE v = 1::BIGINT << {NUMBER_BITS - 1} OR (v >= {MANY} OR v * {SHARD_WORDS} >= t) AND v * {SHARD_MOST} >= t) AS n FROM total),
 src0 AS (SELECT skey, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY skey = '~', skey) AS place FROM sized GROUP BY skey),
 src1 AS (SELECT *, [5, 2, 1][(place - 1) % 3 + 1] AS weight, {EPOCHS} * source_size AS most FROM src0),
 src2 AS (SELECT *, (t - coalesce(sum(most) OVER (ORDER BY most::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
@@ -153,9 +167,10 @@ src5 AS (SELECT *, (seats - sum(first) OVER ())::BIGINT AS lack FROM src4),
 srcq AS (SELECT place, sign(lack)::BIGINT AS s, row_number() OVER (ORDER BY CASE WHEN lack > 0 THEN -(target / (2 * k + 1)) ELSE target / (2 * k + 1) END, place) AS r, lack
   FROM (SELECT place, lack, target, CASE WHEN lack > 0 THEN first + i - 1 ELSE first - i END AS k
         FROM (SELECT *, unnest(range(1, abs(lack) + 1)) AS i FROM src5 WHERE lack <> 0 AND target > 0)) WHERE k >= 0),
-src AS (SELECT skey, src5.place, source_size, target, first + coalesce(more, 0) AS blocks
+src AS (SELECT skey, src5.place, source_size, target, first + coalesce(more, 0) AS blocks,
+    (SELECT max(v) FROM powers, shards WHERE v <= n AND (v = 1 OR v * {SHARD_LEAST} <= source_size)) AS parts
   FROM src5 LEFT JOIN (SELECT place, sum(s)::BIGINT AS more FROM srcq WHERE r <= abs(lack) GROUP BY place) m ON m.place = src5.place),
-part0 AS (SELECT skey, num % n AS shard, sum(size)::BIGINT AS words FROM sized, shards GROUP BY ALL),
+part0 AS (SELECT sized.skey, num % parts AS shard, sum(size)::BIGINT AS words FROM sized JOIN src ON src.skey = sized.skey GROUP BY ALL),
 part1 AS (SELECT part0.*, place, source_size, target, blocks, sum(words) OVER (PARTITION BY place) AS whole FROM part0 JOIN src USING (skey)),
 part2 AS (SELECT *, CASE WHEN whole > 0 THEN floor(blocks * words::DOUBLE / whole::DOUBLE + 0.5)::BIGINT ELSE 0 END AS first FROM part1),
 part3 AS (SELECT *, (blocks - sum(first) OVER (PARTITION BY place))::BIGINT AS lack FROM part2),
@@ -163,11 +178,17 @@ partq AS (SELECT place, shard, sign(lack)::BIGINT AS s, lack,
     row_number() OVER (PARTITION BY place ORDER BY CASE WHEN lack > 0 THEN -(words::DOUBLE / (2 * k + 1)) ELSE words::DOUBLE / (2 * k + 1) END, place, shard) AS r
   FROM (SELECT place, shard, lack, words, CASE WHEN lack > 0 THEN first + i - 1 ELSE first - i END AS k
         FROM (SELECT *, unnest(range(1, abs(lack) + 1)) AS i FROM part3 WHERE lack <> 0 AND words > 0)) WHERE k >= 0),
-part AS (SELECT skey, part3.shard, words, source_size, target, least((first + coalesce(more, 0)) * {BLOCK}, {EPOCHS} * words) AS take
+cuts AS (SELECT skey, part3.place, part3.shard, words, source_size, target, blocks, least((first + coalesce(more, 0)) * {BLOCK}, {EPOCHS} * words) AS cut
   FROM part3 LEFT JOIN (SELECT place, shard, sum(s)::BIGINT AS more FROM partq WHERE r <= abs(lack) GROUP BY ALL) m ON m.place = part3.place AND m.shard = part3.shard),
-line AS (SELECT doc_id, size, source_size, target, words, take,
-    sum(size) OVER (PARTITION BY sized.skey, num % n ORDER BY line_key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
-  FROM sized, shards, part WHERE part.skey = sized.skey AND part.shard = num % n)
+rooms AS (SELECT *, {EPOCHS} * words - cut AS room, (least(blocks * {BLOCK}, {EPOCHS} * source_size) - sum(cut) OVER (PARTITION BY place))::HUGEINT AS rest,
+    (sum({EPOCHS} * words - cut) OVER (PARTITION BY place))::HUGEINT AS rooms,
+    (sum({EPOCHS} * words - cut) OVER (PARTITION BY place ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::HUGEINT AS upto FROM cuts),
+part AS (SELECT skey, shard, words, source_size, target,
+    (cut + CASE WHEN rooms > 0 THEN rest * upto // rooms - rest * (upto - room) // rooms ELSE 0 END)::BIGINT AS take FROM rooms),
+line AS (SELECT doc_id, size, part.source_size, part.target, words, take,
+    sum(size) OVER (PARTITION BY sized.skey, num % parts ORDER BY line_key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
+  FROM sized JOIN src ON src.skey = sized.skey JOIN part ON part.skey = sized.skey AND part.shard = num % parts)
 SELECT doc_id, size, source_size, target,
   CASE WHEN words > 0 THEN (take // words) * size + least(greatest(take % words - (ended - size), 0), size) ELSE 0 END::BIGINT AS taken
 FROM line"""
+

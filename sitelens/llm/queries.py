@@ -134,4 +134,4 @@ def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_embeddings, op4_html, op5_substrings, op6_mixing, op7_suffixes, op8_syncmers, op9_quality, op10_toxicity,
                                    op11_alignment, op12_bpe, op13_negatives)}
-ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op13_negatives": negatives.SQL}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.sql(), "op13_negatives": negatives.SQL}

@@ -188,6 +188,27 @@ def test_a_small_source_of_a_large_corpus_comes_to_its_target(documents, monkeyp
         assert all(abs(taken[s] - target[s]) <= mixing.BLOCK for s in sizes)
 
 
+@pytest.mark.parametrize("words,many,most,least", [(16, 4096, 1 << 24, 1024), (16, 4096, 1 << 24, 1), (400, 4, 2000, 64), (1, 1 << 20, 1 << 24, 1)])
+def test_the_sql_clips_and_passes_on_too(spark, documents, monkeypatch, words, many, most, least):
+    """Small sources of a large corpus, quotas over the third pass, hot shards: the operator's rows."""
+    import duckdb
+
+    for name, value in (("SHARD_WORDS", words), ("MANY", many), ("SHARD_MOST", most), ("SHARD_LEAST", least)):
+        monkeypatch.setattr(mixing, name, value)
+    rows = [(i, "a b c", "s0") for i in range(300)] + [(2000 + i, "w " * 400, "s1") for i in range(60)]
+    rows += [(3000 + i, prose(int(n)), "s2") for i, n in enumerate([3000, *[1] * 300])] + [(5000, "a b", "s3"), (None, "x y", None), (5001, None, "s4"), (3001, "t", "s2")]
+    got = [(r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in mixing.mixed(documents(rows)).collect()]
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+        want = [(i, n, w, round(t, 6), k) for i, n, w, t, k in con.execute(mixing.sql()).fetchall()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_shards_grow_without_an_end():
+    assert [mixing.corpus_shards(n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 30, 1 << 36, (1 << 36) + 1, 1 << 44)] == [1, 1, 2, 4096, 4096, 8192, 1 << 20]
+
+
 def test_op6_matches_its_sql(spark):
     from compare import compare
 
