@@ -7,7 +7,7 @@ those are not passed on, and no stage takes an unbounded group to one task.
 
 Defined results: a null text stays null until packing, where it is empty;
 repeated rows of an id are one document to the near-duplicate stage, which
-keeps one of them; an empty table passes through all stages."""
+keeps the one with the first text; an empty table passes through all stages."""
 
 from __future__ import annotations
 
@@ -34,9 +34,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id,
+    and of that id's rows the one with the first text (a null only where there is no other)."""
     kept = minhash.near_duplicates(docs, percent=NEAR).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
+    one = docs.join(kept, "doc_id", "left_semi")
+    first = F.min(F.struct(F.col("text").isNull().alias("none"), "text", *[c for c in COLUMNS if c not in ("doc_id", "text")])).alias("row")
+    one = one.groupBy("doc_id").agg(first).select("doc_id", "row.*").select(*COLUMNS)
     return one.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
