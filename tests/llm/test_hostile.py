@@ -95,3 +95,14 @@ def test_a_document_without_id_loses_its_own_repeats(documents):
     assert sorted((bytes(r.kept), r.n_bytes - len(r.kept), len(r.spans)) for r in got) == sorted([want, want, (part.encode(), 0, 0)])
     kept = {(r.doc_id, r.text) for r in chunks.deduplicated(documents([(None, text), (3, text), (None, part)])).collect()}
     assert len({t for _, t in kept}) == 2 and (None, part) in kept and any(len(t) < len(text) for _, t in kept)
+
+
+def test_near_copies_keep_the_first_text_of_an_id(spark, documents):
+    """Different texts of one id: the same row whatever the order and the partitions."""
+    import corpus_pipeline
+
+    same = "one two three four five six seven"
+    rows = [(1, "b other words stand here alone"), (1, None), (1, "a few words stand here alone"), (2, same), (3, same), (4, None), (None, "x"), (None, "x")]
+    for given in (rows, rows[::-1]):
+        kept = corpus_pipeline.drop_near_copies(spark, documents(given).repartition(5), "").select(*corpus_pipeline.COLUMNS).collect()
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "x"), (0, "x"), (1, "a few words stand here alone"), (2, same), (4, "")]
