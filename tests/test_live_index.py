@@ -78,3 +78,13 @@ def test_words_reach_the_scan(spark):
     li.save_pages(_pages(spark, {"s/1": "a b\n"}), folder)
     text = li.live_postings(spark, folder, words=["a"])._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(term,a)" in text or "In(term, [a])" in text
+
+
+def test_a_save_whose_rows_prove_none_at_run_time(spark):
+    """A page without words, and no page at all, behind a shuffle: adaptive execution drops the empty part of the plan."""
+    folder = scratch_path(spark, "test-live-none")
+    li.save_pages(_pages(spark, {"s/1": "a\n", "s/2": "b\n"}), folder)
+    none = _pages(spark, {f"s/{i}": "c\n" for i in range(50)}).repartition(4, "path").where("html = 'never'")
+    now = li.save_pages(none, folder)
+    assert now.segments == {1: 2, 2: 0}
+    assert _rows(li.live_postings(spark, folder)) == _rows(ix.postings(_pages(spark, {"s/1": "a\n", "s/2": "b\n"})))
