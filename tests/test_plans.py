@@ -9,6 +9,7 @@ from sitelens.operators import search as se
 from sitelens.session import scratch_path
 from sitelens.sources import fixtures as fx
 from sitelens.sources import index_store as ist
+from sitelens.sources import term_store as ts
 
 
 def plan(df) -> str:
@@ -239,3 +240,48 @@ def test_a_hot_page_is_split_in_the_status_lookup(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skewed" in text and "skew=true" in text
     assert n == 20000
+
+
+def test_stored_hits_and_postings_are_dealt_by_page_alone(spark, small_dir):
+    """A hit crosses an exchange once, not once for each query that asks for its word."""
+    p = fx.corpus(spark, small_dir)
+    q = se.probe(se.query_terms(fx.search_queries(spark, small_dir)))
+    folder, terms = scratch_path(spark, "test-dealt"), scratch_path(spark, "test-dealt-terms")
+    ist.write_index(ix.occurrences(p), folder)
+    table = ist.write_lines(p, 4)
+    ts.write_term_store(ix.postings(p), terms)
+    try:
+        for df in (se.union_rows(ix.postings(p, q.vocab), q), se.search_stored(ist.read_index(spark, folder), spark.table(table), q),
+                   ts.search_terms(spark, terms, q.frame)):
+            found = _exchanges(df)
+            assert found and not any("query_id" in x for x in found), found
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_result_lines_leave_a_page_row_by_row(spark):
+    """Copies of a line shown for several queries stand side by side, each with its own ordinal and count."""
+    pages = spark.createDataFrame([("s/1", "a b\nc\nb\na c\n")], "path string, html string")
+    q = spark.createDataFrame([(7, "a"), (8, "b"), (8, "c"), (9, "none"), (7, "a")], "query_id long, term string")
+    want = [(7, 2, 0, 0, "a b"), (8, 4, 0, 0, "a b"), (8, 4, 1, 1, "c"), (8, 4, 2, 2, "b"), (7, 2, 1, 3, "a c"), (8, 4, 3, 3, "a c")]
+    got = [(r["query_id"], r["n_rows"], r["f"], r["row"], r["line"]) for r in se.search_rows(pages, q).collect()]
+    assert [r[3] for r in got] == [r[3] for r in want] and sorted(got) == sorted(want)
+
+
+def test_a_written_search_holds_a_page_once(spark, small_dir, monkeypatch):
+    """Whatever the number of queries that show its lines; the ids that it answers are those of its rows."""
+    from sitelens.session import materialize
+
+    kept = []
+    monkeypatch.setattr(se, "materialize", lambda df, name: kept.append(materialize(df, name)) or kept[-1])
+    p = fx.corpus(spark, small_dir)
+    q = se.query_terms(fx.search_queries(spark, small_dir).unionByName(spark.createDataFrame([(-1, "SEARCH nowhere-at-all\n")], "query_id long, raw string")))
+    rows, answered = se.written_search(p, q)
+    assert kept[0][1] == p.count() < rows.count()
+    assert sorted(map(str, rows.collect())) == sorted(map(str, se.search_rows(p, q).collect()))
+    assert {r[0] for r in answered.collect()} == {r[0] for r in rows.select("query_id").collect()} and answered.where("query_id = -1").count() == 0
+
+
+def test_a_sort_of_hits_runs_the_search_once(spark, small_dir):
+    df = se.search_ordered(se.search_hits(fx.corpus(spark, small_dir), se.query_terms(fx.search_queries(spark, small_dir))))
+    assert "documents.parquet" not in plan(df)
