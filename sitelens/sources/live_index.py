@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import index as ix
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 
 #: Segments that an index has at most after a save.
 MOST_SEGMENTS = 8
@@ -101,6 +101,7 @@ def _write(spark: SparkSession, folder: str, number: int, posts: DataFrame, path
     """A segment's two tables; its number of postings."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     paths.select("path").write.mode("overwrite").parquet(f"{folder}/paths/segment={number}")
+    posts, _ = materialize(posts, "segment")  # the ranges read them twice, for their bounds and to deal them
     posts = posts.repartitionByRange(n, "term", "path").sortWithinPartitions("term", "path")
     posts.select("term", "path", "fr", "offsets").write.mode("overwrite").parquet(f"{folder}/postings/segment={number}")
     # from the files' footers: an observation below the exchange goes with its rows where these prove none

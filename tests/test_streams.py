@@ -155,3 +155,26 @@ def test_a_micro_batch_reads_its_part_of_the_log(spark):
     assert part(batch(55, 71)) == [5, 6, 7]
     assert part(batch(60, 60)) == [6] and part(batch(-5)) == [] and part(batch(-5, 3)) == [0] and part(batch()) == []
     assert part(batch(5000)) == [99]
+
+
+def test_a_staged_source_has_files_as_small_as_the_table_s_splits(spark, tmp_path, monkeypatch):
+    """A larger table is staged in more files, and a micro-batch takes as many more."""
+    import glob
+
+    rows = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows.repartition(10).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(st, "scratch_path", lambda spark, name: f"{tmp_path}/staged")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        splits = spark.read.parquet(f"{tmp_path}/documents.parquet").rdd.getNumPartitions()
+        stream = st.stream_table(spark, str(tmp_path), "documents")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = glob.glob(f"{tmp_path}/staged/*.parquet")
+    assert splits > 4 and splits <= len(files) < splits + 4 and len(files) % 4 == 0
+    seen = []
+    st._run(stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count())).option("checkpointLocation", f"{tmp_path}/ckpt"), "staged")
+    assert len(seen) == 4 and sum(seen) == 4000
