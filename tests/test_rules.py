@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,3 +261,21 @@ def test_crawl_large_mode_equals_small_mode(graph_pages, spark, small_dir, monke
     assert {tuple(r) for r in gr.crawl(graph_pages, "start.html").collect()} == small
     assert {tuple(r) for r in gr.crawl(corpus, fx.START_PAGE).collect()} == small_corpus
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("sitelens_crawl")]
+
+
+def test_repeated_terms_are_counted_wherever_they_stand(spark):
+    """Terms once, twice and often, in every place of the sorted line; nulls and empty lines."""
+    rng = random.Random(3)
+    lines = [" ".join(rng.choices("abcdefg", k=n)) for n in range(14) for _ in range(4)] + ["a a a", "a b b", "a a b", "  ", "z"]
+    rows = spark.createDataFrame([("p", "\n".join(lines)), ("q", ""), ("n", None), ("p", "a a")], "path string, html string")
+    want = sorted((t, path, r, n) for path, ls in (("p", lines), ("p", ["a a"])) for r, x in enumerate(ls) for t, n in Counter(x.split()).items())
+    assert sorted((r.term, r.path, r.row, r.tf) for r in ix.occurrences(rows).collect()) == want
+    every = Counter(t for x in lines for t in x.split())
+    got = sorted((r.term, r.path, r.fr, r.of) for r in ix.page_term_counts(rows, total="of").collect())
+    assert got == sorted([(t, "p", n, sum(every.values())) for t, n in every.items()] + [("a", "p", 2, 2)])
+
+
+def test_a_page_is_split_into_lines_once(spark):
+    df = spark.createDataFrame([("p", "a\nb\n")], "path string, html string")
+    plan = ln.page_lines(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(html") == 1

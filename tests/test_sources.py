@@ -132,3 +132,14 @@ def test_index_store_splits_a_hot_term(spark):
     # ranges of (term, path) do not overlap, so a lookup touches neighbouring files only
     ends = stored.groupBy("f").agg(F.min(F.struct("term", "path")).alias("lo"), F.max(F.struct("term", "path")).alias("hi")).orderBy("lo").collect()
     assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:]))
+
+
+def test_index_parts_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """As many parts as keep their size; the session's shuffle partitions at least."""
+    from sitelens.sources import tables
+
+    spark.createDataFrame([(i, f"text {i}") for i in range(100)], "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    stored = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    assert tables.index_parts(spark, str(tmp_path)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(tables, "PART_BYTES", 100)
+    assert tables.index_parts(spark, str(tmp_path)) == -(-stored // 100)
