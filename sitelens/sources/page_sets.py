@@ -18,22 +18,23 @@ from ..functions.arrays import explode_rows
 from ..operators.lines import with_indexable
 from ..operators.numbers import numbered
 from ..operators.search import Probe, probe
-from ..session import broadcast_if_small, materialize
+from ..session import materialize
 
 # Bits of Spark's bitmap functions, and the number of places from which a bitmap is the shorter form.
 RANGE, DENSE = 32_768, 2_048
 _SETS, _PAGES = "sets", "pages"
 
 
-def write_page_sets(pages: DataFrame, folder: str) -> None:
+def write_page_sets(pages: DataFrame, folder: str, n_files: int | None = None) -> None:
     """Number the pages (from 1, in the order they are read) and store each
     word's set.  A page's distinct words are found in its row.  Pages that are
     read together have neighbouring numbers, so a (word, range) group comes
     from few tasks; it holds ``RANGE`` places at most."""
     spark = pages.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = F.array_distinct(F.flatten(F.transform("ix", lambda z: T.line_terms(z["line"]))))
-    got, _ = materialize(numbered(with_indexable(pages).select("path", words.alias("words")), "page", first=1), "page-words")
+    # its rows are written there: neither reader below parses a page
+    got = numbered(with_indexable(pages).select("path", words.alias("words")), "page", first=1)
     got.select("page", "path").repartitionByRange(n, "page").sortWithinPartitions("page").write.mode("overwrite").parquet(f"{folder}/{_PAGES}")
     placed = explode_rows(got, [F.bitmap_bucket_number("page").alias("range"), F.bitmap_bit_position("page").cast("smallint").alias("place")], F.col("words"), "term")
     grouped = placed.groupBy("term", "range").agg(F.sort_array(F.collect_list("place")).alias("places"))
@@ -83,14 +84,20 @@ def page_counts(sets: DataFrame) -> DataFrame:
 
 
 def set_pages(spark: SparkSession, folder: str, sets: DataFrame) -> DataFrame:
-    """``(query_id, path)``: the pages of the sets.  Bitmaps are opened in their
-    row (bytes that are zero are passed over) and numbers meet the page table."""
-    byte = F.transform(F.sequence(F.lit(0), F.lit(RANGE // 8 - 1)),
-                       lambda i: F.struct(i.alias("i"), F.conv(F.substring(F.col("hex"), 2 * i + 1, F.lit(2)), 16, 10).cast("int").alias("b")))
-    eight = lambda x: F.array(*[F.when(x["b"].bitwiseAND(F.lit(1 << k)) != 0, x["i"] * 8 + k) for k in range(8)])
-    bits = F.filter(F.flatten(F.transform(F.filter(byte, lambda x: x["b"] != 0), eight)), lambda p: p.isNotNull())
-    opened = explode_rows(sets.select("query_id", "range", F.hex("bits").alias("hex")), ["query_id", "range"], bits, "place")
-    # the inverse of bitmap_bucket_number and bitmap_bit_position for numbers from 1
-    numbers = opened.select("query_id", ((F.col("range") - 1) * RANGE + F.col("place") + 1).alias("page"))
-    names, _ = broadcast_if_small(spark.read.parquet(f"{folder}/{_PAGES}"))
-    return numbers.join(names, "page").select("query_id", "path")
+    """``(query_id, path)``: the pages of the sets.
+
+    A range's pages are one row, their paths by place (numbers are dense), and
+    the sets meet it: what an exchange carries is one bitmap a query and range
+    and each path once, never a row a page found.  A bitmap is opened there in
+    words of 64 bits; words that are zero are passed over."""
+    place = F.bitmap_bit_position("page").alias("place")
+    names = (spark.read.parquet(f"{folder}/{_PAGES}").groupBy(F.bitmap_bucket_number("page").alias("range"))
+             .agg(F.sort_array(F.collect_list(F.struct(place, "path"))).alias("at"))
+             .select("range", F.transform("at", lambda x: x["path"]).alias("paths")))
+    eight = F.substring("bits", F.col("w") * 8 + 1, F.lit(8))  # of binary: a copy of eight bytes
+    opened = (sets.join(names, "range").select("query_id", "paths", "bits", F.explode(F.sequence(F.lit(0), F.lit(RANGE // 64 - 1))).alias("w"))
+              .where(F.bitmap_count(eight) > 0)
+              .select("query_id", "paths", "w", F.conv(F.hex(eight), 16, -10).cast("bigint").alias("word"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("k")))
+    # the first byte is the word's highest, a byte's first place its lowest bit
+    held = opened.where(F.expr("shiftright(word, k)").bitwiseAND(F.lit(1)) != 0)
+    return held.select("query_id", F.col("paths")[F.col("w") * 64 + F.col("k").bitwiseXOR(F.lit(56))].alias("path"))

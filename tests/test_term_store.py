@@ -153,3 +153,21 @@ def test_no_pages(spark, pages, queries):
     ps.write_page_sets(pages.limit(0), folder)
     assert ps.page_counts(ps.any_word(spark, folder, queries)).count() == 0
     assert ps.set_pages(spark, folder, ps.all_words(spark, folder, queries)).count() == 0
+
+
+def test_opened_sets_meet_ranges_not_pages(spark, pages, queries):
+    """No exchange carries a row for each page found: sets and page names meet by range."""
+    folder = scratch_path(spark, "test-sets-open")
+    ps.write_page_sets(pages, folder)
+    text = ps.set_pages(spark, folder, ps.any_word(spark, folder, queries))._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in text.split("\n") if "Join" in x and "page" in x.split("Join")[1]]
+    assert not joins and "range" in text
+
+
+def test_every_place_of_a_word_is_opened(spark):
+    """Each of a range's first 200 places alone, the sign bit of a word among them."""
+    pages = spark.range(200).select(F.concat(F.lit("s/p"), "id").alias("path"), F.concat(F.lit("w"), "id", F.lit(" x\n")).alias("html"))
+    asked = spark.createDataFrame([(i, f"w{i}") for i in range(200)], "query_id long, term string")
+    folder = scratch_path(spark, "test-sets-places")
+    ps.write_page_sets(pages, folder)
+    assert _rows(ps.set_pages(spark, folder, ps.any_word(spark, folder, asked))) == sorted((i, f"s/p{i}") for i in range(200))
