@@ -29,6 +29,8 @@ KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 #: Bits of a feature's place in the weight table.
 BITS = 18
 EPOCHS = 12
+#: Rows of the sample whose features are sent in one batch.
+RUN = 256
 
 
 def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -45,9 +47,12 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield at.astype(np.int64), value / max(np.sqrt(value @ value), 1e-9)
 
 
-def _fit(columns: list[pa.Array], y: np.ndarray) -> tuple[np.ndarray, float]:
-    rows = [(at.astype(np.int32), value.astype(np.float32)) for c in columns for at, value in features(c)]
-    return cl.ftrl(rows, y, 1 << BITS, EPOCHS, alpha=10.0, beta=1.0, l1=0.05, l2=0.0)
+def _lists(column: pa.Array) -> Iterator[list[pa.Array]]:
+    """``features`` of runs of rows as list columns."""
+    for i in range(0, len(column), RUN):
+        at, value = zip(*features(column.slice(i, RUN)), strict=True)
+        cut = pa.array(np.cumsum([0, *map(len, at)], dtype=np.int32))
+        yield [pa.ListArray.from_arrays(cut, pa.array(np.concatenate(x).astype(kind))) for x, kind in ((at, np.int32), (value, np.float32))]
 
 
 def _margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -57,7 +62,9 @@ def _margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "quality", id_col: str = "doc_id",
           text_col: str = "text", bound: int = cl.MAX_LABELLED) -> tuple[np.ndarray, float]:
     """Weights and intercept from at most ``bound`` labelled rows; ``keep`` is a condition on the column ``id``."""
-    return cl.fitted(cl.labelled_sample(docs, labels, label, keep, id_col, text_col, bound), _fit, 1 << BITS)
+    sample = cl.labelled_sample(docs, labels, label, keep, id_col, text_col, bound)
+    rows = cl.featured(sample, _lists, {"at": "array<int>", "value": "array<float>"})
+    return cl.fitted(rows, 1 << BITS, epochs=EPOCHS, alpha=10.0, beta=1.0, l1=0.05, l2=0.0)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,8 +24,13 @@ from pyspark.sql import functions as F
 
 from sitelens.llm import classify as cl
 from sitelens.llm import textbatch as tb
+from sitelens.llm.common import mapped
 
 SIZES = (4, 5, 6)
+#: Bytes of text whose n-grams are made at once: about 100 bytes of arrays for each.
+RUN = tb.CHUNK // 16
+#: Counted places that are sent in one batch.
+SENT = 1 << 16
 #: Bits of a feature's place in the weight table.
 BITS = 20
 #: Standard errors by which a place's shares must differ, and texts it must be in.
@@ -39,7 +44,7 @@ _CAPITAL[[*range(65, 91), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] = True
 def grams(column: pa.Array) -> Iterator[tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]]:
     """For each run of rows: first row, number of rows, and for each size the row (from 0) and place of every n-gram."""
     shift = tb.U64(64 - BITS)
-    for at, data, offsets in tb.text_chunks(column, tb.CHUNK // 4):
+    for at, data, offsets in tb.text_chunks(column, RUN):
         begins = (data & 0xC0) != 0x80
         chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         if len(chars) != begins.sum():  # not valid UTF-8: bytes stand for themselves
@@ -69,30 +74,35 @@ def _present(found: list[tuple[np.ndarray, np.ndarray]], keep: np.ndarray) -> tu
     return both >> BITS, both & ((1 << BITS) - 1)
 
 
-def _fit(columns: list[pa.Array], y: np.ndarray) -> tuple[np.ndarray, float]:
+def _ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Each place's ratio and whether it is kept, from the numbers of texts (all,
+    toxic) that hold it: counted by every task, added up by place; the kept ones
+    (2**BITS short rows at most) come to the driver."""
     size = 1 << BITS
-    every, toxic, clean, at = np.ones(size, bool), np.zeros(size), np.zeros(size), 0
-    for column in columns:
-        for first, _, found in grams(column):
-            row, place = _present(found, every)
-            label = y[at + first + row]
-            toxic += np.bincount(place, label, size)
-            clean += np.bincount(place, 1 - label, size)
-        at += len(column)
-    n1, n0 = max(y.sum(), 1), max((1 - y).sum(), 1)
-    ratio = np.log((toxic + 0.5) / (n1 + 1)) - np.log((clean + 0.5) / (n0 + 1))
-    both = (toxic + clean) / (n1 + n0)
-    apart = np.abs(toxic / n1 - clean / n0) / np.sqrt(np.maximum(both * (1 - both) * (1 / n1 + 1 / n0), 1e-12))
-    keep = (apart >= CLEAR) & (toxic + clean >= SUPPORT)
-    rows, at = [], 0
-    for column in columns:
-        for _, count, found in grams(column):
-            row, place = _present(found, keep)
-            cut = np.searchsorted(row, np.arange(count + 1))
-            place, value = place.astype(np.int32), ratio[place].astype(np.float32)
-            rows += [(place[i:j].copy(), value[i:j].copy()) for i, j in zip(cut[:-1], cut[1:], strict=True)]
-    weights, bias = cl.ftrl(rows, y, size, EPOCHS, alpha=0.1, beta=1.0, l1=0.05, l2=0.1)
-    return weights * ratio, bias
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, seen, toxic = np.ones(size, bool), np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for b in batches:
+            y = b.column("label").to_numpy(zero_copy_only=False).astype(np.int64)
+            for first, _, found in grams(b.column("text")):
+                row, place = _present(found, every)
+                np.add.at(seen, place, 1)
+                np.add.at(toxic, place, y[first + row])
+        places = np.flatnonzero(seen)
+        for i in range(0, len(places), SENT):
+            at = places[i : i + SENT]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at]), pa.array(toxic[at])], ["at", "seen", "toxic"])
+
+    rows, ones = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    n1, n0 = float(max(ones, 1)), float(max(rows - ones, 1))
+    counts = mapped(sample.select("text", "label"), run, "at int, seen long, toxic long").groupBy("at").agg(*[F.sum(c).alias(c) for c in ("seen", "toxic")])
+    both = F.col("seen") / F.lit(n1 + n0)
+    apart = F.abs(F.col("toxic") / F.lit(n1) - (F.col("seen") - F.col("toxic")) / F.lit(n0)) / F.sqrt(F.greatest(both * (1 - both) * F.lit(1 / n1 + 1 / n0), F.lit(1e-12)))
+    at, seen, toxic = (c.to_numpy() for c in counts.where((apart >= CLEAR) & (F.col("seen") >= SUPPORT)).toArrow().columns)
+    ratio, keep = np.zeros(size), np.zeros(size, bool)
+    ratio[at] = np.log((toxic + 0.5) / (n1 + 1)) - np.log((seen - toxic + 0.5) / (n0 + 1))
+    keep[at] = True
+    return ratio, keep
 
 
 def _margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -106,7 +116,19 @@ def _margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic", id_col: str = "doc_id",
           text_col: str = "text", bound: int = cl.MAX_LABELLED) -> tuple[np.ndarray, float]:
     """Weights and intercept from at most ``bound`` labelled rows; ``keep`` is a condition on the column ``id``."""
-    return cl.fitted(cl.labelled_sample(docs, labels, label, keep, id_col, text_col, bound), _fit, 1 << BITS)
+    sample = cl.labelled_sample(docs, labels, label, keep, id_col, text_col, bound)
+    ratio, kept = _ratios(sample)
+    sent = docs.sparkSession.sparkContext.broadcast(kept)
+
+    def places(column: pa.Array) -> Iterator[list[pa.Array]]:
+        for _, count, found in grams(column):
+            row, place = _present(found, sent.value)
+            cut = np.searchsorted(row, np.arange(count + 1)).astype(np.int32)
+            yield [pa.ListArray.from_arrays(pa.array(cut), pa.array(place.astype(np.int32)))]
+
+    rows = cl.featured(sample, places, {"at": "array<int>"})
+    weights, bias = cl.fitted(rows, 1 << BITS, values=ratio.astype(np.float32), epochs=EPOCHS, alpha=0.1, beta=1.0, l1=0.05, l2=0.1)
+    return weights * ratio, bias
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text",

@@ -196,6 +196,64 @@ def test_ftrl_separates_and_drops_noise():
     assert w[0] > 1 and w[1] < -1 and np.abs(w[2:]).max() < w[0] / 2 and (w[2:] == 0).sum() > 5
 
 
+@pytest.mark.parametrize("own", [True, False])
+def test_a_fit_holds_its_rows_once(own):
+    """The rows are views of the batches that came: an epoch copies none but the one it is at."""
+    import tracemalloc
+
+    rng, size, per, n = np.random.default_rng(2), 1 << 12, 2000, 500
+    flat, value = rng.integers(0, size, per * n).astype(np.int32), rng.random(size).astype(np.float32)
+    flat = flat.reshape(n, per)
+    flat.sort(axis=1)
+    rows = [(row,) if own else (row, value[:per]) for row in flat]
+    y = rng.integers(0, 2, n).astype(float)
+    tracemalloc.start()
+    cl.ftrl(rows, y, size, 1, alpha=0.1, beta=1.0, l1=0.05, l2=0.1, values=value if own else None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < flat.nbytes / 4 and len(rows[0]) == 2 - own
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_a_fit_gets_features_of_all_tasks(spark, documents, monkeypatch, module):
+    """No text goes to the one task of a fit, and its rows are those of the whole sample."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    words = ["plain", "good", "fine", "bad!!", "vile", "worse", "é🙂", "Text"]
+    texts = [" ".join(rng.choice(words[3:] if i % 3 == 0 else words[:5], 40)) if i % 50 else None for i in range(400)]
+    docs = documents(list(enumerate(texts))).repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, label int").withColumnsRenamed({"label": "quality"}).withColumn("toxic", F.col("quality"))
+    seen, fitted = [], cl.fitted
+    monkeypatch.setattr(cl, "fitted", lambda rows, *a, **k: seen.append(rows) or fitted(rows, *a, **k))
+    weights, bias = module.train(docs, labels, F.lit(True))
+    assert seen[0].columns[:4] == ["rank", "id", "label", "at"] and "text" not in seen[0].columns
+    rows = seen[0].orderBy("rank", "id").collect()
+    assert sorted(r.id for r in rows) == list(range(400))
+    y, column = np.array([float(r.label) for r in rows]), pa.array([texts[r.id] for r in rows], pa.string())
+    size = 1 << module.BITS
+    if module is quality:
+        want = [(at.astype(np.int32), value.astype(np.float32)) for at, value in quality.features(column)]
+        plain, plain_bias = cl.ftrl(want, y, size, quality.EPOCHS, alpha=10.0, beta=1.0, l1=0.05, l2=0.0)
+        assert all(np.array_equal(r.value, v) for r, (_, v) in zip(rows, want, strict=True))
+    else:
+        ((_, _, found),) = toxicity.grams(column)
+        sets = [sorted({p for row, place in found for p in place[row == i].tolist()}) for i in range(400)]
+        toxic, clean = np.zeros(size), np.zeros(size)
+        for places, label in zip(sets, y, strict=True):
+            (toxic if label else clean)[places] += 1
+        n1, n0 = y.sum(), (1 - y).sum()
+        ratio = np.log((toxic + 0.5) / (n1 + 1)) - np.log((clean + 0.5) / (n0 + 1))
+        both = (toxic + clean) / (n1 + n0)
+        apart = np.abs(toxic / n1 - clean / n0) / np.sqrt(np.maximum(both * (1 - both) * (1 / n1 + 1 / n0), 1e-12))
+        keep = (apart >= toxicity.CLEAR) & (toxic + clean >= toxicity.SUPPORT)
+        want = [(np.array([p for p in places if keep[p]], np.int32),) for places in sets]
+        plain, plain_bias = cl.ftrl(want, y, size, toxicity.EPOCHS, alpha=0.1, beta=1.0, l1=0.05, l2=0.1, values=ratio.astype(np.float32))
+        plain = plain * ratio
+    assert all(r["at"] == w[0].tolist() for r, w in zip(rows, want, strict=True)) and sum(len(w[0]) for w in want) > 1000
+    assert np.array_equal(weights, plain) and bias == plain_bias and (weights != 0).any()
+
+
 def test_pipeline_stage_by_stage(spark):
     """Every stage's result against its input, the last against the tokens of the one before."""
     sf = "/root/testdata/sf0.01"
