@@ -285,3 +285,17 @@ def test_a_written_search_holds_a_page_once(spark, small_dir, monkeypatch):
 def test_a_sort_of_hits_runs_the_search_once(spark, small_dir):
     df = se.search_ordered(se.search_hits(fx.corpus(spark, small_dir), se.query_terms(fx.search_queries(spark, small_dir))))
     assert "documents.parquet" not in plan(df)
+
+
+def test_a_stored_search_answers_in_small_parts(spark, small_dir, monkeypatch):
+    """Parts of the result grow with the documents, and hits are dealt to them at once; the lines of a part fit a writer's dictionary."""
+    from sitelens.plans.catalog import QUERIES
+    from sitelens.sources import tables
+
+    monkeypatch.setattr(tables, "RESULT_BYTES", 2000)
+    n = tables.result_parts(spark, small_dir)
+    df = QUERIES["search_stored"](spark, small_dir)
+    assert n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = _exchanges(df)
+    assert len(found) == 1 and "hashpartitioning(path#" in found[0] and f", {n})" in found[0]
+    assert df.rdd.getNumPartitions() == n
