@@ -287,6 +287,22 @@ def test_a_sort_of_hits_runs_the_search_once(spark, small_dir):
     assert "documents.parquet" not in plan(df)
 
 
+def test_a_written_search_does_not_grow_with_the_queries(spark, monkeypatch):
+    """Many queries of one word: a row holds the word's number once; the result leaves in the parts asked for."""
+    from sitelens.session import materialize
+
+    kept = []
+    monkeypatch.setattr(se, "materialize", lambda df, name: kept.append(materialize(df, name)) or kept[-1])
+    pages = spark.createDataFrame([("s/1", "a b\nc\n\nb a b\n"), ("s/2", "<html>\n"), ("s/1", "a\n"), (None, "c a\n")], "path string, html string")
+    q = spark.createDataFrame([(i, w) for i in range(50) for w in "ab"[: 1 + i % 2]] + [(60, "c"), (61, "none"), (None, "b")], "query_id long, term string")
+    rows, answered = se.written_search(pages, q, n_parts=5)
+    assert sorted([len(x) for x in r["w"]] for r in kept[0][0].collect()) == [[], [1], [2], [2, 1, 0, 2]]
+    assert kept[0][0].columns == ["path", "lines", "w"] and kept[0][1] == 4
+    assert rows.rdd.getNumPartitions() == 5
+    assert sorted(map(str, rows.collect())) == sorted(map(str, se.search_rows(pages, q).collect()))
+    assert {r[0] for r in answered.collect()} == {r[0] for r in rows.select("query_id").collect()}
+
+
 def test_a_stored_search_answers_in_small_parts(spark, small_dir, monkeypatch):
     """Parts of the result grow with the documents, and hits are dealt to them at once; the lines of a part fit a writer's dictionary."""
     from sitelens.plans.catalog import QUERIES
